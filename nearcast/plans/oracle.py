@@ -182,3 +182,288 @@ r AS (SELECT 'top_delay_rate' AS report, *, row_number() OVER (
       FROM route WHERE flight_count >= 50)
 SELECT * FROM v WHERE rank <= 10 UNION ALL SELECT * FROM r WHERE rank <= 10
 """
+
+# ------------------------------------------------------------ coverage / diagnostics
+
+COVER_SQL = """
+         count(*) AS flights,
+         count(*) FILTER (WHERE is_matched) AS matched_flights,
+         round(100.0 * CAST(count(*) FILTER (WHERE is_matched) AS DOUBLE)
+               / NULLIF(CAST(count(*) AS DOUBLE), 0), 2) AS match_pct
+"""
+
+ORACLE["coverage_grains"] = f"""
+WITH {NEAREST}
+SELECT 'airport' AS grain, user_id, year_month, NULL::DATE AS event_date, NULL::INTEGER AS event_hour,
+       {COVER_SQL} FROM fact GROUP BY user_id, year_month
+UNION ALL
+SELECT 'date', user_id, year_month, event_date, NULL::INTEGER, {COVER_SQL}
+FROM fact GROUP BY user_id, year_month, event_date
+UNION ALL
+SELECT 'hour', user_id, year_month, NULL::DATE, event_hour, {COVER_SQL}
+FROM fact GROUP BY user_id, year_month, event_hour
+"""
+
+ORACLE["coverage_overall"] = f"""
+WITH {NEAREST},
+a AS (SELECT 'airport' AS grain, CAST(user_id AS VARCHAR) AS user_key, year_month, {COVER_SQL}
+      FROM fact GROUP BY user_id, year_month),
+ov AS (SELECT 'overall' AS grain, 'ALL' AS user_key, year_month, {COVER_SQL}
+       FROM fact GROUP BY year_month)
+SELECT * FROM ov UNION ALL SELECT * FROM a
+UNION ALL SELECT 'low_match_airport', user_key, year_month, flights, matched_flights, match_pct
+FROM a WHERE match_pct < 50.0
+"""
+
+ORACLE["coverage_by_month"] = f"""
+WITH {NEAREST}
+SELECT 'month' AS grain, year_month, NULL::BIGINT AS user_id, {COVER_SQL} FROM fact GROUP BY year_month
+UNION ALL
+SELECT 'key_month', year_month, user_id, {COVER_SQL} FROM fact GROUP BY year_month, user_id
+"""
+
+ORACLE["unmatched_by_key"] = f"""
+WITH {NEAREST},
+g AS (SELECT user_id, count(*) AS flights, count(*) FILTER (WHERE NOT is_matched) AS unmatched_flights
+      FROM fact GROUP BY user_id HAVING count(*) FILTER (WHERE NOT is_matched) > 0),
+r AS (SELECT *, row_number() OVER (ORDER BY unmatched_flights DESC NULLS FIRST, user_id) AS rank FROM g)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+ORACLE["row_counts"] = f"""
+WITH {NEAREST}
+SELECT 'lineitem' AS table_name, count(*) AS row_count,
+       (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS distinct_keys,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicate_keys
+FROM lineitem
+UNION ALL
+SELECT 'orders', count(*), count(DISTINCT o_orderkey), count(*) - count(DISTINCT o_orderkey) FROM orders
+UNION ALL
+SELECT 'nearest', count(*), count(DISTINCT event_id), count(*) - count(DISTINCT event_id) FROM nn
+"""
+
+ORACLE["unmatched_by_date"] = f"""
+WITH {NEAREST},
+by_date AS (
+  SELECT user_id, year_month, event_date, count(*) AS flights,
+         count(*) FILTER (WHERE is_matched) AS matched_flights,
+         count(*) FILTER (WHERE NOT is_matched) AS unmatched_flights,
+         round(100.0 * CAST(count(*) FILTER (WHERE is_matched) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0), 2)
+           AS match_pct
+  FROM fact GROUP BY user_id, year_month, event_date),
+totals AS (
+  SELECT 'airport_total' AS report, user_id, year_month, NULL::DATE AS event_date, count(*) AS flights,
+         count(*) FILTER (WHERE is_matched) AS matched_flights,
+         count(*) FILTER (WHERE NOT is_matched) AS unmatched_flights,
+         round(100.0 * CAST(count(*) FILTER (WHERE is_matched) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0), 2)
+           AS match_pct
+  FROM fact GROUP BY user_id, year_month)
+SELECT * FROM totals
+UNION ALL
+SELECT 'worst_day', user_id, year_month, event_date, flights, matched_flights, unmatched_flights, match_pct
+FROM by_date WHERE match_pct < 100
+UNION ALL
+SELECT 'sample_unmatched', user_id, year_month, event_date, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE
+FROM (SELECT DISTINCT user_id, year_month, event_date FROM fact WHERE NOT is_matched
+      ORDER BY event_date DESC, user_id LIMIT 20)
+"""
+
+ORACLE["lag_distribution"] = f"""
+WITH {NEAREST},
+m AS (SELECT obs_event_type, year_month, lag_minutes,
+             CASE WHEN lag_minutes > 0 THEN 'obs_before_dep' WHEN lag_minutes = 0 THEN 'obs_at_dep'
+                  WHEN lag_minutes < 0 THEN 'obs_after_dep' END AS obs_timing
+      FROM fact WHERE match_status = 'matched' AND lag_minutes IS NOT NULL)
+SELECT 'percentile' AS report, obs_event_type, year_month, NULL::VARCHAR AS bucket,
+       count(*) AS matched_flights,
+       round(min(lag_minutes), 2) AS lag_min, round(max(lag_minutes), 2) AS lag_max,
+       round(avg(lag_minutes), 2) AS lag_avg,
+       round(quantile_cont(lag_minutes, 0.5), 2) AS lag_p50,
+       round(quantile_cont(lag_minutes, 0.9), 2) AS lag_p90,
+       round(quantile_cont(lag_minutes, 0.99), 2) AS lag_p99,
+       NULL::BIGINT AS obs_before_dep, NULL::BIGINT AS obs_at_dep, NULL::BIGINT AS obs_after_dep
+FROM m GROUP BY obs_event_type, year_month
+UNION ALL
+SELECT 'timing_split', obs_event_type, year_month, NULL, count(*), NULL, NULL, NULL, NULL, NULL, NULL,
+       count(*) FILTER (WHERE obs_timing = 'obs_before_dep'),
+       count(*) FILTER (WHERE obs_timing = 'obs_at_dep'),
+       count(*) FILTER (WHERE obs_timing = 'obs_after_dep')
+FROM m GROUP BY obs_event_type, year_month
+UNION ALL
+SELECT 'histogram', obs_event_type, year_month,
+       CASE WHEN lag_minutes >= 60 THEN 'lag_gte_60m' WHEN lag_minutes >= 30 THEN 'lag_30_to_60m'
+            WHEN lag_minutes >= 10 THEN 'lag_10_to_30m' WHEN lag_minutes > 0 THEN 'lag_0_to_10m'
+            WHEN lag_minutes = 0 THEN 'lag_0m' WHEN lag_minutes >= -10 THEN 'lag_neg_0_to_10m'
+            WHEN lag_minutes >= -30 THEN 'lag_neg_10_to_30m' WHEN lag_minutes >= -60 THEN 'lag_neg_30_to_60m'
+            ELSE 'lag_lt_neg_60m' END,
+       count(*), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM m GROUP BY obs_event_type, year_month, 4
+"""
+
+ORACLE["dep_time_distribution"] = """
+WITH e AS (
+  SELECT event_type, ts,
+         CASE WHEN ts < TIMESTAMP '1970-01-01' THEN 'before_1970'
+              WHEN ts >= TIMESTAMP '2030-01-01' THEN 'after_2030'
+              WHEN ts IS NULL THEN 'null_dep_time' ELSE 'ok' END AS dep_time_sanity
+  FROM events)
+SELECT 'sanity' AS report, event_type, dep_time_sanity, NULL::INTEGER AS event_hour, count(*) AS flights
+FROM e GROUP BY event_type, dep_time_sanity
+UNION ALL
+SELECT 'hour_distribution', event_type, 'ok', CAST(hour(ts) AS INTEGER), count(*)
+FROM e WHERE dep_time_sanity = 'ok' GROUP BY event_type, hour(ts)
+"""
+
+ORACLE["dedupe_latest"] = """
+SELECT user_id, ts_hour, event_id, ts, event_type, value FROM (
+  SELECT user_id, date_trunc('hour', ts) AS ts_hour, event_id, ts, event_type, value,
+         row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts)
+                            ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events)
+WHERE rn = 1
+"""
+
+# ------------------------------------------------------------ cleaning / time / keys
+
+CLEAN = """
+r AS (
+  SELECT event_id, event_type,
+         CASE WHEN event_type = 'error' THEN '' WHEN event_type = 'signup' THEN 'M'
+              WHEN event_type = 'click' THEN ' ' || CAST(value AS VARCHAR) || ' '
+              ELSE CAST(value AS VARCHAR) END AS raw_value,
+         CASE WHEN value >= 75 THEN '1.00' WHEN value >= 50 THEN '0' WHEN value >= 25 THEN '' END AS raw_flag
+  FROM events),
+r2 AS (SELECT *, CASE WHEN event_type = 'view' THEN 'T' ELSE raw_value END AS raw_trace FROM r),
+clean AS (
+  SELECT event_id, raw_value, raw_trace, raw_flag,
+         nullif(nullif(trim(raw_value), ''), 'M') AS text_clean,
+         CAST(CASE WHEN trim(raw_value) IN ('', 'M') THEN NULL
+                   ELSE CAST(trim(raw_value) AS DECIMAL(18,4)) END AS DOUBLE) AS num_clean,
+         CAST(CASE WHEN trim(raw_trace) IN ('', 'M') THEN NULL WHEN trim(raw_trace) = 'T' THEN 0
+                   ELSE CAST(trim(raw_trace) AS DECIMAL(18,4)) END AS DOUBLE) AS num_trace,
+         CAST(coalesce(nullif(trim(raw_flag), ''), '0') AS DECIMAL(18,4)) = 1 AS flag_clean,
+         event_type = 'error' AS is_cancelled,
+         CASE WHEN event_type = 'error' THEN NULL
+              ELSE CAST(CASE WHEN trim(raw_value) IN ('', 'M') THEN NULL
+                             ELSE CAST(trim(raw_value) AS DECIMAL(18,4)) END AS DOUBLE) END AS delay_clean,
+         CASE WHEN event_type = 'error' THEN NULL
+              ELSE CAST(coalesce(nullif(trim(raw_flag), ''), '0') AS DECIMAL(18,4)) = 1 END AS delay_15_flag
+  FROM r2)
+"""
+
+ORACLE["clean_fields"] = f"WITH {CLEAN} SELECT * FROM clean"
+
+ORACLE["hhmm_to_utc"] = r"""
+WITH z(o_orderpriority, zone) AS (VALUES
+  ('1-URGENT', 'America/New_York'), ('2-HIGH', 'America/Chicago'), ('3-MEDIUM', 'America/Denver'),
+  ('4-NOT SPECIFIED', 'America/Phoenix'), ('5-LOW', 'Pacific/Honolulu')),
+x AS (SELECT o.o_orderkey, z.zone, CAST(o.o_orderkey % 2500 AS VARCHAR) AS hhmm,
+             CAST(o.o_orderdate AS DATE) AS d
+      FROM orders o JOIN z ON o.o_orderpriority = z.o_orderpriority),
+p AS (SELECT *, lpad(regexp_replace(trim(coalesce(hhmm, '')), '\.0+$', ''), 4, '0') AS s FROM x),
+l AS (
+  SELECT o_orderkey, zone, hhmm,
+         CASE WHEN d IS NULL THEN NULL
+              WHEN trim(coalesce(hhmm, '')) IN ('', 'NA') THEN NULL
+              WHEN TRY_CAST(substr(s, 1, 2) AS INTEGER) = 24 AND TRY_CAST(substr(s, 3, 2) AS INTEGER) = 0
+                THEN CAST(d + INTERVAL 1 DAY AS TIMESTAMP)
+              WHEN TRY_CAST(substr(s, 1, 2) AS INTEGER) IS NULL OR TRY_CAST(substr(s, 3, 2) AS INTEGER) IS NULL
+                   OR TRY_CAST(substr(s, 1, 2) AS INTEGER) > 23 OR TRY_CAST(substr(s, 3, 2) AS INTEGER) > 59
+                THEN NULL
+              ELSE CAST(d AS TIMESTAMP) + to_minutes(TRY_CAST(substr(s, 1, 2) AS INTEGER) * 60
+                                                     + TRY_CAST(substr(s, 3, 2) AS INTEGER))
+         END AS local_ts
+  FROM p)
+SELECT o_orderkey, zone, hhmm, local_ts,
+       timezone('UTC', timezone(zone, local_ts)) AS utc_ts,
+       timezone(zone, timezone('UTC', timezone('UTC', timezone(zone, local_ts)))) AS round_trip_ts
+FROM l
+"""
+
+ORACLE["surrogate_key"] = """
+SELECT o_orderkey,
+       md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), ''), coalesce(CAST(o_custkey AS VARCHAR), ''),
+                     coalesce(o_orderstatus, ''), coalesce(o_orderpriority, ''),
+                     coalesce(strftime(o_orderdate, '%Y-%m-%d'), ''))) AS order_sk
+FROM orders
+"""
+
+ORACLE["dim_lookup"] = """
+SELECT s.s_suppkey, s.s_name, n.n_name, r.r_name
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+ORACLE["left_lookup"] = """
+SELECT o.o_custkey, o.o_orderkey, c.c_mktsegment FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+
+ORACLE["missing_refs"] = """
+SELECT DISTINCT 'lineitem_suppkey' AS check_name, l_suppkey AS missing_key FROM lineitem l
+WHERE l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)
+UNION ALL
+SELECT DISTINCT 'lineitem_partkey', l_partkey FROM lineitem l
+WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
+UNION ALL
+SELECT DISTINCT 'lineitem_orderkey', l_orderkey FROM lineitem l
+WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+UNION ALL
+SELECT DISTINCT 'orders_custkey', o_custkey FROM orders o
+WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+"""
+
+ORACLE["keyed_merge"] = """
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+b AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, 1 AS revision
+      FROM orders WHERE o_orderstatus = 'O')
+SELECT t.*, NULL::INTEGER AS revision FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM b
+"""
+
+ORACLE["coverage_extent"] = """
+WITH li AS (SELECT l_suppkey, strftime(l_shipdate, '%Y-%m') AS ym FROM lineitem)
+SELECT count(*) AS row_count, count(DISTINCT ym) AS months, min(ym) AS min_month, max(ym) AS max_month,
+       count(DISTINCT concat_ws('-', CAST(l_suppkey AS VARCHAR), ym)) AS unit_months,
+       count(DISTINCT l_suppkey) AS units
+FROM li
+"""
+
+ORACLE["quality_report"] = f"""
+WITH {NEAREST}, {KEY_HOUR}, {ORDER_LINES}, {ROUTE}, {CLEAN},
+checks(name, violations) AS (
+  SELECT 'not_null_orders_o_orderkey', count(*) FROM orders WHERE o_orderkey IS NULL
+  UNION ALL SELECT 'not_null_orders_o_orderdate', count(*) FROM orders WHERE o_orderdate IS NULL
+  UNION ALL SELECT 'unique_orders_o_orderkey', count(*) FROM
+    (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+  UNION ALL SELECT 'unique_lineitem_order_line', count(*) FROM
+    (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+  UNION ALL SELECT 'accepted_values_o_orderstatus', count(*) FROM orders
+    WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O', 'P')
+  UNION ALL SELECT 'accepted_values_match_status', count(*) FROM nn
+    WHERE match_status IS NOT NULL AND match_status NOT IN ('matched', 'no_obs_in_window')
+  UNION ALL SELECT 'rates_valid_key_hour', count(*) FROM key_hour
+    WHERE flight_count <= 0 OR delayed_count < 0 OR delayed_count > flight_count
+       OR delay_rate_15 < 0 OR delay_rate_15 > 1
+  UNION ALL SELECT 'rates_valid_route', count(*) FROM route
+    WHERE flight_count <= 0 OR delayed_count < 0 OR delayed_count > flight_count
+       OR delay_rate_15 < 0 OR delay_rate_15 > 1
+  UNION ALL SELECT 'refs_lineitem_suppkey', count(*) FROM
+    (SELECT DISTINCT l_suppkey FROM lineitem l WHERE l_suppkey IS NOT NULL
+       AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey))
+  UNION ALL SELECT 'row_count_parity_nearest', count(*) FROM
+    (SELECT (SELECT count(*) FROM nn) AS a,
+            (SELECT count(*) FROM events WHERE event_type = 'purchase') AS b) WHERE a <> b
+  UNION ALL SELECT 'cancelled_null_delay', count(*) FROM clean
+    WHERE is_cancelled AND NOT coalesce(delay_clean IS NULL, false)
+  UNION ALL SELECT 'cancelled_null_flag', count(*) FROM clean
+    WHERE is_cancelled AND NOT coalesce(delay_15_flag IS NULL, false)
+  UNION ALL SELECT 'match_flag_consistent', count(*) FROM nn
+    WHERE (match_status = 'matched') <> (obs_ts IS NOT NULL)
+  UNION ALL SELECT 'null_ts_share', count(*) FROM
+    (SELECT count(*) AS t, count(*) FILTER (WHERE ts IS NULL) AS n FROM events) WHERE n > 0.01 * t
+  UNION ALL SELECT 'matched_within_window', count(*) FROM nn
+    WHERE match_status = 'matched' AND NOT coalesce(abs(lag_minutes) <= 360, false)
+  UNION ALL SELECT 'match_share_by_user', count(*) FROM
+    (SELECT user_id FROM nn GROUP BY user_id
+     HAVING count(*) FILTER (WHERE match_status = 'matched') < 0.9 * count(*)))
+SELECT name, violations, violations = 0 AS passed FROM checks
+"""

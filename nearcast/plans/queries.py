@@ -138,3 +138,289 @@ def route_top_q(spark, sf):
     ]
     cols = ["report", *X.ROUTE_KEYS, *MEASURES, "rank"]
     return R.tagged_union([p.select(*cols) for p in parts]).withColumn("rank", F.col("rank").cast("long"))
+
+
+# ------------------------------------------------ coverage and diagnostics
+
+from nearcast.functions import buckets as B  # noqa: E402
+from nearcast.operators.dedupe import keep_latest  # noqa: E402
+
+COVER = ["flights", "matched_flights", "match_pct"]
+
+
+@query("coverage_grains")
+def coverage_grains_q(spark, sf):
+    """Match coverage by key, key-date and key-hour in one grouping-sets pass."""
+    f = X.nearest_fact(spark, sf)
+    return A.grain_coverage(f, ["user_id", "year_month"],
+                            {"airport": [], "date": ["event_date"], "hour": ["event_hour"]},
+                            F.col("is_matched"))
+
+
+@query("coverage_overall")
+def coverage_overall_q(spark, sf):
+    """Overall + per-key rows, low-match keys repeated under their own label."""
+    f = X.nearest_fact(spark, sf)
+    g = A.grain_coverage(f, ["year_month"], {"overall": [], "airport": ["user_id"]},
+                         F.col("is_matched"))
+    g = g.select("grain", F.when(F.col("grain") == "overall", F.lit("ALL"))
+                 .otherwise(F.col("user_id").cast("string")).alias("user_key"),
+                 "year_month", *COVER)
+    low = g.filter((F.col("grain") == "airport") & (F.col("match_pct") < X.LOW_MATCH_PCT)) \
+        .withColumn("grain", F.lit("low_match_airport"))
+    return g.unionByName(low)
+
+
+@query("coverage_by_month")
+def coverage_by_month_q(spark, sf):
+    """A10: coverage by month and by key-month."""
+    f = X.nearest_fact(spark, sf)
+    return A.grain_coverage(f, ["year_month"], {"month": [], "key_month": ["user_id"]},
+                            F.col("is_matched"))
+
+
+@query("unmatched_by_key")
+def unmatched_by_key_q(spark, sf):
+    """Unmatched count with total, HAVING > 0, top 10."""
+    f = X.nearest_fact(spark, sf)
+    g = f.groupBy("user_id").agg(F.count(F.lit(1)).alias("flights"),
+                                 F.count_if(~F.col("is_matched")).alias("unmatched_flights"))
+    t = R.top_n(g, [R.desc_pg("unmatched_flights"), R.asc_pg("user_id")], 10,
+                where=F.col("unmatched_flights") > 0)
+    return t.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("row_counts")
+def row_counts_q(spark, sf):
+    """Rows, distinct keys, duplicates (lineitem has no natural key)."""
+    from nearcast.sources.tables import load
+    parts = [
+        A.key_counts(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+        .withColumn("table_name", F.lit("lineitem")),
+        A.key_counts(load(spark, sf, "orders"), ["o_orderkey"]).withColumn("table_name", F.lit("orders")),
+        A.key_counts(X.nearest(spark, sf), ["event_id"]).withColumn("table_name", F.lit("nearest")),
+    ]
+    return R.tagged_union(parts)
+
+
+@query("unmatched_by_date")
+def unmatched_by_date_q(spark, sf):
+    """Key totals, worst days (< 100 %), sample of unmatched dates."""
+    f = X.nearest_fact(spark, sf).withColumn("is_unmatched", ~F.col("is_matched"))
+    g = f.groupingSets([["user_id", "year_month"], ["user_id", "year_month", "event_date"]],
+                       "user_id", "year_month", "event_date").agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if("is_matched").alias("matched_flights"),
+        F.count_if("is_unmatched").alias("unmatched_flights"), F.grouping_id().alias("__gid"))
+    g = g.withColumn("match_pct", A.safe_ratio(F.col("matched_flights"), F.col("flights"), 2, pct=True))
+    totals = g.filter(F.col("__gid") == 1).withColumn("report", F.lit("airport_total"))
+    worst = g.filter((F.col("__gid") == 0) & (F.col("match_pct") < 100)).withColumn("report", F.lit("worst_day"))
+    sample = R.distinct_sample(f.filter("is_unmatched"), ["user_id", "year_month", "event_date"],
+                               [F.col("event_date").desc(), F.col("user_id").asc()], 20) \
+        .withColumn("report", F.lit("sample_unmatched"))
+    cols = ["report", "user_id", "year_month", "event_date", "flights", "matched_flights",
+            "unmatched_flights", "match_pct"]
+    return R.tagged_union([totals.drop("__gid"), worst.drop("__gid"), sample]).select(*cols)
+
+
+@query("lag_distribution")
+def lag_distribution_q(spark, sf):
+    """Exact percentiles, timing split, lag histogram."""
+    f = X.nearest_fact(spark, sf).filter((F.col("match_status") == "matched") & F.col("lag_minutes").isNotNull())
+    keys = ["obs_event_type", "year_month"]
+    pct = A.percentiles(f, keys, "lag_minutes").withColumnRenamed("n", "matched_flights") \
+        .withColumn("report", F.lit("percentile"))
+    timing = B.timing_label(F.col("lag_minutes"))
+    split = f.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("matched_flights"),
+        F.count_if(timing == "obs_before_dep").alias("obs_before_dep"),
+        F.count_if(timing == "obs_at_dep").alias("obs_at_dep"),
+        F.count_if(timing == "obs_after_dep").alias("obs_after_dep")).withColumn("report", F.lit("timing_split"))
+    hist = f.groupBy(*keys, B.lag_bucket(F.col("lag_minutes")).alias("bucket")) \
+        .agg(F.count(F.lit(1)).alias("matched_flights")).withColumn("report", F.lit("histogram"))
+    cols = ["report", *keys, "bucket", "matched_flights", "lag_min", "lag_max", "lag_avg",
+            "lag_p50", "lag_p90", "lag_p99", "obs_before_dep", "obs_at_dep", "obs_after_dep"]
+    out = R.tagged_union([pct, split, hist])
+    return out.withColumn("bucket", F.col("bucket").cast("string")).select(*cols)
+
+
+@query("dep_time_distribution")
+def dep_time_distribution_q(spark, sf):
+    """Timestamp sanity labels and the UTC hour distribution."""
+    from nearcast.sources.tables import load
+    ev = load(spark, sf, "events").select("event_type", "ts",
+                                          B.sanity_label(F.col("ts")).alias("dep_time_sanity"))
+    sanity = ev.groupBy("event_type", "dep_time_sanity").agg(F.count(F.lit(1)).alias("flights")) \
+        .withColumn("report", F.lit("sanity")).withColumn("event_hour", F.lit(None).cast("int"))
+    hours = ev.filter(F.col("dep_time_sanity") == "ok").groupBy("event_type", F.hour("ts").alias("event_hour")) \
+        .agg(F.count(F.lit(1)).alias("flights")).withColumn("report", F.lit("hour_distribution")) \
+        .withColumn("dep_time_sanity", F.lit("ok"))
+    cols = ["report", "event_type", "dep_time_sanity", "event_hour", "flights"]
+    return sanity.select(*cols).unionByName(hours.select(*cols))
+
+
+@query("dedupe_latest")
+def dedupe_latest_q(spark, sf):
+    """One row per (user, hour): latest ts, then highest id."""
+    from nearcast.sources.tables import load
+    ev = load(spark, sf, "events")
+    return keep_latest(ev, ["user_id", F.date_trunc("hour", "ts").alias("ts_hour")],
+                       ["ts", "event_id"], keep=["event_id", "ts", "event_type", "value"])
+
+
+# ------------------------------------------------ cleaning, time, keys (P1-P12, H-DT)
+
+from nearcast.functions import cleaning as C  # noqa: E402
+from nearcast.functions import timeutil as TU  # noqa: E402
+from nearcast.functions.keys import surrogate_key  # noqa: E402
+from nearcast.operators import dims as DM  # noqa: E402
+from nearcast.sources.tables import load as _load  # noqa: E402
+
+# The zone seed of the time-parsing analogue (order priority -> IANA zone).
+PRIORITY_ZONES = [
+    ("1-URGENT", "America/New_York"),
+    ("2-HIGH", "America/Chicago"),
+    ("3-MEDIUM", "America/Denver"),
+    ("4-NOT SPECIFIED", "America/Phoenix"),
+    ("5-LOW", "Pacific/Honolulu"),
+]
+
+
+def _raw_text(ev):
+    v = F.col("value").cast("string")
+    raw = (F.when(F.col("event_type") == "error", F.lit("")).when(F.col("event_type") == "signup", F.lit("M"))
+           .when(F.col("event_type") == "click", F.concat(F.lit(" "), v, F.lit(" "))).otherwise(v))
+    trace = F.when(F.col("event_type") == "view", F.lit("T")).otherwise(raw)
+    flag = (F.when(F.col("value") >= 75, F.lit("1.00")).when(F.col("value") >= 50, F.lit("0"))
+            .when(F.col("value") >= 25, F.lit("")))
+    return ev.select("event_id", "event_type", raw.alias("raw_value"), trace.alias("raw_trace"),
+                     flag.alias("raw_flag"))
+
+
+@query("clean_fields")
+def clean_fields_q(spark, sf):
+    """Text tokens -> typed values, cancel-aware delay fields."""
+    r = _raw_text(_load(spark, sf, "events"))
+    cancelled = F.col("event_type") == "error"
+    num = C.clean_numeric("raw_value")
+    return r.select(
+        "event_id", "raw_value", "raw_trace", "raw_flag",
+        C.clean_text("raw_value").alias("text_clean"),
+        num.cast("double").alias("num_clean"),
+        C.clean_numeric_trace("raw_trace").cast("double").alias("num_trace"),
+        C.clean_flag("raw_flag").alias("flag_clean"),
+        cancelled.alias("is_cancelled"),
+        C.null_if_cancelled(num, cancelled).cast("double").alias("delay_clean"),
+        C.cancel_aware_flag("raw_flag", cancelled).alias("delay_15_flag"))
+
+
+@query("hhmm_to_utc")
+def hhmm_to_utc_q(spark, sf):
+    """H-DT1-4, K3: HHMM text + date in an IANA zone -> UTC -> local round trip."""
+    zones = spark.createDataFrame(PRIORITY_ZONES, "o_orderpriority string, zone string")
+    o = _load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    x = DM.lookup(o, zones, "o_orderpriority").select(
+        "o_orderkey", "zone", (F.col("o_orderkey") % 2500).cast("string").alias("hhmm"),
+        F.to_date("o_orderdate").alias("d"))
+    local = TU.hhmm_to_local(F.col("d"), F.col("hhmm"))
+    x = x.select("o_orderkey", "zone", "hhmm", local.alias("local_ts"))
+    x = x.withColumn("utc_ts", TU.local_to_utc(F.col("local_ts"), F.col("zone")))
+    return x.withColumn("round_trip_ts", TU.utc_to_local(F.col("utc_ts"), F.col("zone")))
+
+
+@query("surrogate_key")
+def surrogate_key_q(spark, sf):
+    """md5 of the pipe-joined key parts, nulls as ''."""
+    o = _load(spark, sf, "orders")
+    return o.select("o_orderkey", surrogate_key(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+        F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_sk"))
+
+
+@query("dim_lookup")
+def dim_lookup_q(spark, sf):
+    """Dimension assembly with size-checked broadcast inner joins."""
+    s = _load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = _load(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
+    r = _load(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    return DM.assemble(s, (n, "s_nationkey", "inner"), (r, "n_regionkey", "inner")) \
+        .select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+@query("left_lookup")
+def left_lookup_q(spark, sf):
+    """Left dimension lookup; unknown keys keep a null attribute."""
+    o = _load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = _load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return DM.lookup(o, c, "o_custkey", "left")
+
+
+@query("missing_refs")
+def missing_refs_q(spark, sf):
+    """Distinct child keys without a parent."""
+    li = _load(spark, sf, "lineitem")
+    parts = [
+        DM.missing_refs(li, "l_suppkey", _load(spark, sf, "supplier"), "s_suppkey")
+        .select(F.lit("lineitem_suppkey").alias("check_name"), F.col("l_suppkey").alias("missing_key")),
+        DM.missing_refs(li, "l_partkey", _load(spark, sf, "part"), "p_partkey")
+        .select(F.lit("lineitem_partkey").alias("check_name"), F.col("l_partkey").alias("missing_key")),
+        DM.missing_refs(li, "l_orderkey", _load(spark, sf, "orders"), "o_orderkey")
+        .select(F.lit("lineitem_orderkey").alias("check_name"), F.col("l_orderkey").alias("missing_key")),
+        DM.missing_refs(_load(spark, sf, "orders"), "o_custkey", _load(spark, sf, "customer"), "c_custkey")
+        .select(F.lit("orders_custkey").alias("check_name"), F.col("o_custkey").alias("missing_key")),
+    ]
+    return R.tagged_union(parts)
+
+
+@query("keyed_merge")
+def keyed_merge_q(spark, sf):
+    """delete+insert merge of a re-priced batch with a new column."""
+    from nearcast.operators.incremental import keyed_merge
+    o = _load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    batch = o.filter(F.col("o_orderstatus") == "O").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", (F.col("o_totalprice") + 1.0).alias("o_totalprice"),
+        F.lit(1).alias("revision"))
+    return keyed_merge(o, batch, ["o_orderkey"])
+
+
+@query("coverage_extent")
+def coverage_extent_q(spark, sf):
+    """Rows, months, min/max month, distinct unit-months and units."""
+    li = _load(spark, sf, "lineitem").select("l_suppkey", F.date_format("l_shipdate", "yyyy-MM").alias("ym"))
+    return li.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("ym").alias("months"),
+                  F.min("ym").alias("min_month"), F.max("ym").alias("max_month"),
+                  F.count_distinct(F.concat_ws("-", F.col("l_suppkey").cast("string"), "ym")).alias("unit_months"),
+                  F.count_distinct("l_suppkey").alias("units"))
+
+
+@query("quality_report")
+def quality_report_q(spark, sf):
+    """Q1-Q13, Q16: named checks -> (name, violations, passed)."""
+    from nearcast.operators import quality as Q
+    orders = _load(spark, sf, "orders")
+    li = _load(spark, sf, "lineitem")
+    ev = _load(spark, sf, "events")
+    nn = X.nearest(spark, sf)
+    key_hour = X.key_hour_agg(spark, sf)
+    route = X.route_agg(spark, sf)
+    clean = clean_fields_q(spark, sf)
+    checks = {
+        "not_null_orders_o_orderkey": lambda: Q.not_null(orders, "o_orderkey"),
+        "not_null_orders_o_orderdate": lambda: Q.not_null(orders, "o_orderdate"),
+        "unique_orders_o_orderkey": lambda: Q.unique(orders, ["o_orderkey"]),
+        "unique_lineitem_order_line": lambda: Q.unique(li, ["l_orderkey", "l_linenumber"]),
+        "accepted_values_o_orderstatus": lambda: Q.accepted_values(orders, "o_orderstatus", ["F", "O", "P"]),
+        "accepted_values_match_status": lambda: Q.accepted_values(nn, "match_status", ["matched", "no_obs_in_window"]),
+        "rates_valid_key_hour": lambda: Q.rates_valid(key_hour),
+        "rates_valid_route": lambda: Q.rates_valid(route),
+        "refs_lineitem_suppkey": lambda: DM.missing_refs(li, "l_suppkey", _load(spark, sf, "supplier"), "s_suppkey"),
+        "row_count_parity_nearest": lambda: Q.count_parity(nn, X.purchases(spark, sf)),
+        "cancelled_null_delay": lambda: Q.implies(clean, F.col("is_cancelled"), F.col("delay_clean").isNull()),
+        "cancelled_null_flag": lambda: Q.implies(clean, F.col("is_cancelled"), F.col("delay_15_flag").isNull()),
+        "match_flag_consistent": lambda: nn.filter((F.col("match_status") == "matched") != F.col("obs_ts").isNotNull()),
+        "null_ts_share": lambda: Q.max_null_share(ev, "ts", 0.01),
+        "matched_within_window": lambda: Q.implies(nn, F.col("match_status") == "matched",
+                                                   F.abs(F.col("lag_minutes")) <= X.WINDOW_HOURS * 60),
+        "match_share_by_user": lambda: Q.min_share_by(nn.withColumn("m", F.col("match_status") == "matched"),
+                                                      ["user_id"], F.col("m"), 0.9),
+    }
+    return Q.run_suite(checks)
