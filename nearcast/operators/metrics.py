@@ -4,11 +4,11 @@ All metrics reduce to cumulative counts over distinct scores:
 
 1. ``groupBy(score)`` -> (pos, neg) per distinct score (map-side combine: a
    constant score over a third of the rows becomes one row).
-2. Distributed prefix sum (:func:`prefix_sums`): distinct scores are cut into
-   ~equal buckets by approximate quantile edges (a bounded list of K numbers,
-   taken once so every branch of the plan sees the same edges); per-bucket
-   totals (K rows) give offsets; a window partitioned by bucket adds the local
-   running sum. No task ever holds more than ~1/K of the distinct scores.
+2. Distributed prefix sum (:func:`prefix_sums`): distinct scores fall into a
+   fixed grid of 65,536 order-monotone buckets over [0, 1]; per-bucket totals
+   (at most 65,537 rows, independent of data size) give the offsets; a window
+   partitioned by bucket adds the local running sum. No global window, no
+   extra pass over the data to find bucket edges.
 3. Metrics are sums over that table.
 
 Definitions follow the reference's metric library: step-wise average
@@ -56,28 +56,36 @@ def _edges(df: DataFrame, col: str, k: int) -> list[float]:
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descending: bool = True,
-                partition_cols: list[str] | None = None, buckets: int = DEFAULT_BUCKETS,
-                suffix: str = "_cum") -> DataFrame:
+                partition_cols: list[str] | None = None, grid: tuple[float, float, int] | None = None,
+                buckets: int = DEFAULT_BUCKETS, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_col`` (unique per partition).
 
-    Distributed: bucket by approximate quantile edges of ``order_col``, local
-    running sums inside buckets, plus offsets from bucket totals.
+    Distributed: rows are cut into order-monotone buckets, each bucket runs a
+    local running sum, and per-bucket totals give the offsets.
+
+    * ``grid=(lo, hi, n)``: fixed-width buckets over a bounded order column
+      (scores in [0, 1]); no extra pass over the data, at most n + 1 totals.
+    * otherwise: ``buckets`` approximate-quantile edges, taken in one bounded
+      driver-side list (an extra aggregate pass; for unbounded order columns).
     """
     parts = list(partition_cols or [])
-    edges = _edges(df, order_col, buckets)
-    arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
     s = F.col(order_col)
-    # bucket index monotone in the running order
-    if descending:
-        b = F.size(F.filter(arr, lambda e: e > s))
+    if grid is not None:
+        lo, hi, n = grid
+        b = F.floor((F.least(F.greatest(s, F.lit(lo)), F.lit(hi)) - F.lit(lo)) / F.lit((hi - lo) / n)).cast("long")
+        if descending:
+            b = F.lit(n) - b
     else:
-        b = F.size(F.filter(arr, lambda e: e < s))
+        edges = _edges(df, order_col, buckets)
+        arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
+        # bucket index monotone in the running order
+        b = F.size(F.filter(arr, lambda e: e > s)) if descending else F.size(F.filter(arr, lambda e: e < s))
     d = df.withColumn("__b", b)
     totals = d.groupBy(*parts, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in value_cols])
+    # offsets: one row per (partition, bucket) - bounded by the bucket count
     w_off = Window.partitionBy(*parts).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0))
                                               .alias(f"__o_{c}") for c in value_cols])
-    # offsets are (#partitions x K) rows: broadcast when unpartitioned (K rows)
     if not parts:
         offsets = F.broadcast(offsets)
     order = s.desc() if descending else s.asc()
@@ -88,18 +96,20 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descend
                                      .alias(f"{c}{suffix}") for c in value_cols])
 
 
-def cumulative_table(df: DataFrame, score, label, segments: list[str] | None = None,
-                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Per distinct score (descending): pos, neg, tp, fp = counts with score >= s,
-    plus segment totals P, N."""
+SCORE_GRID = (0.0, 1.0, 1 << 16)
+
+
+def cumulative_table(df: DataFrame, score, label, segments: list[str] | None = None) -> DataFrame:
+    """Per distinct score (descending): pos, neg; tp, fp = counts with score >= s;
+    rank = number of distinct scores >= s; segment totals P, N."""
     segs = list(segments or [])
-    c = score_counts(df, score, label, segs)
-    cum = prefix_sums(c, "s", ["pos", "neg"], descending=True, partition_cols=segs,
-                      buckets=buckets)
-    cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
+    c = score_counts(df, score, label, segs).withColumn("one", F.lit(1))
+    cum = prefix_sums(c, "s", ["pos", "neg", "one"], descending=True, partition_cols=segs,
+                      grid=SCORE_GRID)
+    cum = (cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
+           .withColumnRenamed("one_cum", "rank").drop("one"))
     tot = c.groupBy(*segs).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    tot = F.broadcast(tot) if not segs else tot
-    return cum.join(tot, segs) if segs else cum.crossJoin(tot)
+    return cum.join(tot, segs) if segs else cum.crossJoin(F.broadcast(tot))
 
 
 def _metric_aggs() -> list[Column]:
@@ -123,44 +133,52 @@ def _metric_aggs() -> list[Column]:
 
 
 def ranking_metrics(df: DataFrame, score, label, segments: list[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    trapezoid: bool = False) -> DataFrame:
     """pr_auc (step AP), roc_auc, brier, positive_rate, n_rows, precision_at_recall_50,
-    lift_at_top_decile - one row per segment (M9, M10, M16)."""
+    lift_at_top_decile (+ pr_auc_trapezoid) - one row per segment (M9, M10, M16, M19)."""
     segs = list(segments or [])
-    cum = cumulative_table(df, score, label, segs, buckets)
+    cum = cumulative_table(df, score, label, segs)
     m = cum.groupBy(*segs).agg(*_metric_aggs())
-    lift = top_decile_lift(df, score, label, segs, cum=cum)
-    return m.join(lift, segs) if segs else m.crossJoin(lift)
+    parts = [top_decile_lift(cum, segs)]
+    if trapezoid:
+        parts.append(pr_auc_trapezoid(cum, segs))
+    for p in parts:
+        m = m.join(p, segs) if segs else m.crossJoin(p)
+    return m
 
 
-def exact_quantile_from_counts(cum: DataFrame, q: float, segs: list[str]) -> DataFrame:
-    """Interpolated quantile (``percentile_cont``) from the descending cumulative table.
+def exact_quantiles_from_counts(cum: DataFrame, qs: list[float], segs: list[str],
+                                names: list[str] | None = None) -> DataFrame:
+    """Interpolated quantiles (``percentile_cont``) from the descending cumulative table.
 
     A value s with count c = pos + neg and ge = tp + fp occupies ascending
-    ranks [n - ge, n - ge + c - 1]; the quantile interpolates the values at
-    ranks floor(h) and ceil(h), h = q (n - 1).
+    ranks [n - ge, n - ge + c - 1]; quantile q interpolates the values at
+    ranks floor(h) and ceil(h), h = q (n - 1). All quantiles come out of one
+    aggregate over the (distinct-score) table.
     """
+    names = names or [f"q{i}" for i in range(len(qs))]
     n = F.col("P") + F.col("N")
-    h = F.lit(q) * (n - 1)
-    lo_r, hi_r = F.floor(h), F.ceil(h)
     start = n - (F.col("tp") + F.col("fp"))
     end = start + F.col("pos") + F.col("neg") - 1
-    t = cum.select(*segs, "s", start.alias("__a"), end.alias("__z"), h.alias("__h"),
-                   lo_r.alias("__lo"), hi_r.alias("__hi"))
-    lo = F.max(F.when((F.col("__a") <= F.col("__lo")) & (F.col("__lo") <= F.col("__z")), F.col("s")))
-    hi = F.max(F.when((F.col("__a") <= F.col("__hi")) & (F.col("__hi") <= F.col("__z")), F.col("s")))
-    g = t.groupBy(*segs).agg(lo.alias("__vlo"), hi.alias("__vhi"), F.first("__h").alias("__h"),
-                             F.first("__lo").alias("__flo"))
-    return g.select(*segs, (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo"))
-                            * (F.col("__h") - F.col("__flo"))).alias("q"))
-
-
-def top_decile_lift(df: DataFrame, score, label, segments: list[str] | None = None,
-                    cum: DataFrame | None = None, q: float = 0.9) -> DataFrame:
+    aggs = []
+    for q, name in zip(qs, names):
+        h = F.lit(q) * (n - 1)
+        lo_r, hi_r = F.floor(h), F.ceil(h)
+        lo = F.max(F.when((start <= lo_r) & (lo_r <= end), F.col("s")))
+        hi = F.max(F.when((start <= hi_r) & (hi_r <= end), F.col("s")))
+        frac = F.first(h - lo_r)
+        aggs.append((lo + (hi - lo) * frac).alias(name))
+    return cum.groupBy(*segs).agg(*aggs)
+
+
+def exact_quantile_from_counts(cum: DataFrame, q: float, segs: list[str]) -> DataFrame:
+    """Single interpolated quantile as column ``q`` (see :func:`exact_quantiles_from_counts`)."""
+    return exact_quantiles_from_counts(cum, [q], segs, ["q"])
+
+
+def top_decile_lift(cum: DataFrame, segments: list[str] | None = None, q: float = 0.9) -> DataFrame:
     """mean(y | score >= interpolated q-quantile) / mean(y); 0 if empty or base 0."""
     segs = list(segments or [])
-    if cum is None:
-        cum = cumulative_table(df, score, label, segs)
     cut = exact_quantile_from_counts(cum, q, segs)
     j = cum.join(cut, segs) if segs else cum.crossJoin(F.broadcast(cut))
     top = j.filter(F.col("s") >= F.col("q")).groupBy(*segs).agg(
@@ -172,49 +190,54 @@ def top_decile_lift(df: DataFrame, score, label, segments: list[str] | None = No
     return top.select(*segs, lift.alias("lift_at_top_decile"))
 
 
-def pr_points(df: DataFrame, score, label, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Precision-recall points per distinct threshold."""
-    cum = cumulative_table(df, score, label, None, buckets)
-    return cum.select(F.col("s").alias("threshold"), "tp", "fp",
+def _points(cum: DataFrame, segs: list[str]) -> DataFrame:
+    return cum.select(*segs, "rank", F.col("s").alias("threshold"), "tp", "fp",
                       (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
                       F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(1.0))
                       .alias("recall"))
 
 
-def pr_auc_trapezoid(points: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def pr_points(df: DataFrame, score, label, segments: list[str] | None = None) -> DataFrame:
+    """Precision-recall points per distinct threshold (M19); rank 1 = highest threshold."""
+    segs = list(segments or [])
+    return _points(cumulative_table(df, score, label, segs), segs)
+
+
+def pr_auc_trapezoid(cum: DataFrame, segments: list[str] | None = None) -> DataFrame:
     """Trapezoid area under the PR points incl. the (recall 0, precision 1) end.
 
-    Consecutive points are paired by joining each threshold to the next
-    higher one through its ascending rank - ranks come from the same
-    distributed prefix sum, not a global window.
+    Consecutive points pair up through the distinct-threshold rank of the
+    same prefix sum (an equi-join on rank), not through a global window.
     """
-    ranked = prefix_sums(points.withColumn("__one", F.lit(1)), "threshold", ["__one"],
-                         descending=True, buckets=buckets).withColumnRenamed("__one_cum", "__r")
-    end = points.sparkSession.createDataFrame([(0, 0.0, 1.0)], "__r long, recall double, precision double")
-    pts = ranked.select("__r", "recall", "precision").unionByName(end)
-    nxt = pts.select((F.col("__r") + 1).alias("__r"), F.col("recall").alias("r0"),
-                     F.col("precision").alias("p0"))
-    pair = pts.join(nxt, "__r")
-    return pair.agg(F.sum((F.col("recall") - F.col("r0")) * (F.col("precision") + F.col("p0")) / 2)
-                    .alias("pr_auc_trapezoid"))
-
-
-def calibration_bins(df: DataFrame, score, label, n_bins: int = 10,
-                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    segs = list(segments or [])
+    pts = _points(cum, segs).select(*segs, "rank", "recall", "precision")
+    ends = pts.select(*segs).distinct().select(*segs, F.lit(0).cast("long").alias("rank"),
+                                                F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"))
+    pts = pts.unionByName(ends)
+    prev = pts.select(*segs, (F.col("rank") + 1).alias("rank"), F.col("recall").alias("r0"),
+                      F.col("precision").alias("p0"))
+    pair = pts.join(prev, segs + ["rank"])
+    return pair.groupBy(*segs).agg(
+        F.sum((F.col("recall") - F.col("r0")) * (F.col("precision") + F.col("p0")) / 2)
+        .alias("pr_auc_trapezoid"))
+
+
+def calibration_bins(df: DataFrame, score, label, n_bins: int = 10) -> DataFrame:
     """Quantile-binned calibration table.
 
-    Edges are the exact interpolated 0, 1/n, ..., 1 quantiles of the scores;
-    a score's bin is the number of inner edges strictly below it. Only
+    Edges are the exact interpolated 1/n, ..., (n-1)/n quantiles of the
+    scores (from the cumulative table, a one-row result broadcast back); a
+    score's bin is the number of inner edges strictly below it. Only
     non-empty bins appear.
     """
-    cum = cumulative_table(df, score, label, None, buckets)
-    edges = None
-    for i in range(1, n_bins):
-        qd = exact_quantile_from_counts(cum, i / n_bins, []).select(F.col("q").alias(f"e{i}"))
-        edges = qd if edges is None else edges.crossJoin(qd)
-    arr = F.array(*[F.col(f"e{i}") for i in range(1, n_bins)])
-    y = F.when(_col(label).cast("boolean"), 1.0).otherwise(0.0)
-    x = df.select(clip01(score).alias("s"), y.alias("y")).crossJoin(F.broadcast(edges))
-    x = x.withColumn("bin", F.size(F.filter(arr, lambda e: e < F.col("s"))))
-    return x.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("s").alias("mean_score"),
-                                F.avg("y").alias("positive_share"))
+    cum = cumulative_table(df, score, label, None)
+    names = [f"e{i}" for i in range(1, n_bins)]
+    edges = exact_quantiles_from_counts(cum, [i / n_bins for i in range(1, n_bins)], [], names)
+    edges = edges.select(F.array(*[F.col(c) for c in names]).alias("__edges"))
+    # bin per distinct score (on the pre-aggregated counts), then sum
+    j = cum.crossJoin(F.broadcast(edges))
+    j = j.withColumn("bin", F.size(F.filter(F.col("__edges"), lambda e: e < F.col("s"))))
+    return j.groupBy("bin").agg(
+        F.sum(F.col("pos") + F.col("neg")).cast("long").alias("n"),
+        (F.sum(F.col("s") * (F.col("pos") + F.col("neg"))) / F.sum(F.col("pos") + F.col("neg"))).alias("mean_score"),
+        (F.sum("pos") / F.sum(F.col("pos") + F.col("neg"))).alias("positive_share"))

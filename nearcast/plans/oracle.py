@@ -467,3 +467,116 @@ checks(name, violations) AS (
      HAVING count(*) FILTER (WHERE match_status = 'matched') < 0.9 * count(*)))
 SELECT name, violations, violations = 0 AS passed FROM checks
 """
+
+# ------------------------------------------------------------ ranking metrics / folds
+
+SCORED = """
+sc AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS segment,
+              least(greatest(1.0 / (1.0 + exp(-(value - 50.0) / 25.0)), 0.0), 1.0) AS s,
+              CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS y
+       FROM events)
+"""
+
+CUM = """
+cnt AS (SELECT s, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM sc GROUP BY s),
+cum AS (SELECT s, pos, neg,
+               sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS fp FROM cnt),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM cnt),
+j AS (SELECT cum.*, P, N, tp / (tp + fp) AS prec,
+             CASE WHEN P > 0 THEN tp / P ELSE 1.0 END AS rec FROM cum, tot)
+"""
+
+ORACLE["ranking_metrics"] = f"""
+WITH {SCORED}, {CUM},
+m AS (SELECT CASE WHEN max(P) > 0 THEN sum(pos / P * prec) ELSE 0.0 END AS pr_auc,
+             CASE WHEN max(P) > 0 AND max(N) > 0 THEN sum(pos * (N - fp + 0.5 * neg)) / (max(P) * max(N)) END
+               AS roc_auc,
+             sum(pos * pow(s - 1.0, 2) + neg * pow(s, 2)) / (max(P) + max(N)) AS brier,
+             max(P) / (max(P) + max(N)) AS positive_rate,
+             CAST(max(P) + max(N) AS DOUBLE) AS n_rows,
+             arg_min(prec, struct_pack(d := abs(rec - 0.5), s := s)) AS precision_at_recall_50
+      FROM j),
+cut AS (SELECT quantile_cont(s, 0.9) AS q, avg(y) AS base FROM sc),
+lift AS (SELECT CASE WHEN max(cut.base) = 0 OR count(*) = 0 THEN 0.0
+                     ELSE avg(sc.y) / max(cut.base) END AS lift_at_top_decile
+         FROM sc, cut WHERE sc.s >= cut.q),
+pts AS (SELECT row_number() OVER (ORDER BY s DESC) AS r, rec, prec FROM j
+        UNION ALL SELECT 0, 0.0, 1.0),
+area AS (SELECT sum((a.rec - b.rec) * (a.prec + b.prec) / 2) AS pr_auc_trapezoid
+         FROM pts a JOIN pts b ON b.r = a.r - 1)
+SELECT round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc, round(brier, 6) AS brier,
+       round(positive_rate, 6) AS positive_rate, round(n_rows, 6) AS n_rows,
+       round(precision_at_recall_50, 6) AS precision_at_recall_50,
+       round(lift_at_top_decile, 6) AS lift_at_top_decile, round(pr_auc_trapezoid, 6) AS pr_auc_trapezoid
+FROM m, lift, area
+"""
+
+ORACLE["segment_metrics"] = f"""
+WITH {SCORED},
+base AS (SELECT avg(y) AS b FROM sc),
+cnt AS (SELECT segment, s, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg
+        FROM sc GROUP BY segment, s),
+cum AS (SELECT *, sum(pos) OVER (PARTITION BY segment ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(neg) OVER (PARTITION BY segment ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS fp FROM cnt),
+tot AS (SELECT segment, sum(pos) AS P, sum(neg) AS N FROM cnt GROUP BY segment),
+m AS (SELECT c.segment, max(t.P) + max(t.N) AS n, max(t.P) / (max(t.P) + max(t.N)) AS pr,
+             CASE WHEN max(t.P) > 0 THEN sum(c.pos / t.P * (c.tp / (c.tp + c.fp))) ELSE 0.0 END AS ap
+      FROM cum c JOIN tot t USING (segment) GROUP BY c.segment),
+bl AS (SELECT segment, CASE WHEN sum(y) > 0 THEN avg(CAST(y AS DOUBLE)) ELSE 0.0 END AS ap
+       FROM sc GROUP BY segment)
+SELECT 'segment' AS segment_type, m.segment, CAST(m.n AS BIGINT) AS n_rows, round(m.pr, 4) AS positive_rate,
+       round(m.ap, 4) AS pr_auc_model, round(bl.ap, 4) AS pr_auc_baseline,
+       round(m.ap - bl.ap, 4) AS pr_auc_lift
+FROM m JOIN bl USING (segment) WHERE m.n >= 300
+"""
+
+ORACLE["calibration_bins"] = f"""
+WITH {SCORED},
+e AS (SELECT quantile_cont(s, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM sc)
+SELECT CAST(len(list_filter(e.q, lambda x: x < sc.s)) AS INTEGER) AS bin, count(*) AS n,
+       round(avg(sc.s), 6) AS mean_score, round(avg(CAST(sc.y AS DOUBLE)), 6) AS positive_share
+FROM sc, e GROUP BY 1
+"""
+
+ORACLE["pr_points"] = f"""
+WITH {SCORED}, {CUM}
+SELECT round(s, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       round(prec, 6) AS precision, round(rec, 6) AS recall
+FROM j
+"""
+
+FOLDS_SQL = """
+folds(fold, train_end, val_start, val_end) AS (VALUES
+  ('fold1', '1997-12', '1998-01', '1998-12'), ('fold2', '1998-06', '1998-07', '1998-12'),
+  ('fold3', '1998-09', '1998-10', '1998-12'))
+"""
+
+ORACLE["split_profile"] = """
+WITH om AS (SELECT o_custkey, o_orderpriority, o_totalprice, strftime(o_orderdate, '%Y-%m') AS year_month,
+                   o_orderstatus = 'F' AS target,
+                   CASE WHEN strftime(o_orderdate, '%Y-%m') < '1999-01' THEN 'train' ELSE 'test' END AS split
+            FROM orders)
+SELECT 'summary' AS report, split, NULL::VARCHAR AS year, count(*) AS rows,
+       round(avg(CAST(target AS DOUBLE)), 4) AS positive_rate, count(DISTINCT year_month) AS months,
+       count(DISTINCT o_custkey) AS origins, count(DISTINCT o_orderpriority) AS airlines,
+       round(avg(CAST(o_totalprice IS NULL AS DOUBLE)), 4) AS missing_price_pct
+FROM om GROUP BY split
+UNION ALL
+SELECT 'train_by_year', 'train', substr(year_month, 1, 4), count(*), round(avg(CAST(target AS DOUBLE)), 4),
+       NULL, NULL, NULL, NULL
+FROM om WHERE split = 'train' GROUP BY substr(year_month, 1, 4)
+"""
+
+ORACLE["expanding_folds"] = f"""
+WITH {FOLDS_SQL},
+om AS (SELECT strftime(o_orderdate, '%Y-%m') AS year_month, o_orderstatus = 'F' AS target FROM orders),
+t AS (SELECT f.fold, count(*) AS n, count(*) FILTER (WHERE target) AS p
+      FROM folds f JOIN om ON om.year_month <= f.train_end GROUP BY f.fold),
+v AS (SELECT f.fold, count(*) AS n, count(*) FILTER (WHERE target) AS p
+      FROM folds f JOIN om ON om.year_month >= f.val_start AND om.year_month <= f.val_end GROUP BY f.fold)
+SELECT f.fold, coalesce(t.n, 0) AS train_rows, coalesce(v.n, 0) AS val_rows,
+       round(round(CAST(t.p AS DOUBLE) / NULLIF(CAST(t.n AS DOUBLE), 0), 6), 6) AS train_positive_rate,
+       round(round(CAST(v.p AS DOUBLE) / NULLIF(CAST(v.n AS DOUBLE), 0), 6), 6) AS val_positive_rate
+FROM folds f LEFT JOIN t USING (fold) LEFT JOIN v USING (fold)
+"""

@@ -424,3 +424,126 @@ def quality_report_q(spark, sf):
                                                       ["user_id"], F.col("m"), 0.9),
     }
     return Q.run_suite(checks)
+
+
+# ------------------------------------------------ ranking metrics and folds
+
+from nearcast.operators import metrics as MT  # noqa: E402
+
+# Fixed analogue: the "model score" is a logistic curve of the event value and
+# the target is "the event is an error".
+SCORE_CENTER, SCORE_SCALE = 50.0, 25.0
+SEGMENT_MIN_ROWS = 300
+
+
+def scored_events(spark, sf):
+    ev = _load(spark, sf, "events")
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("value") - SCORE_CENTER) / SCORE_SCALE))
+    return ev.select("event_id", "ts", F.date_format("ts", "yyyy-MM-dd").alias("segment"),
+                     score.alias("score"), (F.col("event_type") == "error").alias("target"))
+
+
+def _round_all(df, cols, digits=6):
+    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+METRIC_COLS = ["pr_auc", "roc_auc", "brier", "positive_rate", "n_rows", "precision_at_recall_50",
+               "lift_at_top_decile"]
+
+
+@query("ranking_metrics")
+def ranking_metrics_q(spark, sf):
+    """Exact step AP, ROC-AUC, Brier, precision@recall 0.5, top-decile lift,
+    trapezoid PR area."""
+    m = MT.ranking_metrics(scored_events(spark, sf), "score", "target", trapezoid=True)
+    return _round_all(m, METRIC_COLS + ["pr_auc_trapezoid"])
+
+
+@query("segment_metrics")
+def segment_metrics_q(spark, sf):
+    """Per-day model vs constant-rate baseline average precision."""
+    s = scored_events(spark, sf)
+    base_rate = s.agg(F.avg(F.col("target").cast("double")).alias("base_score"))
+    model = MT.ranking_metrics(s, "score", "target", ["segment"]).select(
+        "segment", "n_rows", "positive_rate", F.col("pr_auc").alias("m"))
+    base = MT.ranking_metrics(s.crossJoin(F.broadcast(base_rate)), "base_score", "target", ["segment"]) \
+        .select("segment", F.col("pr_auc").alias("b"))
+    j = model.join(base, "segment").filter(F.col("n_rows") >= SEGMENT_MIN_ROWS)
+    return j.select(F.lit("segment").alias("segment_type"), "segment",
+                    F.col("n_rows").cast("long").alias("n_rows"),
+                    F.round("positive_rate", 4).alias("positive_rate"),
+                    F.round("m", 4).alias("pr_auc_model"), F.round("b", 4).alias("pr_auc_baseline"),
+                    F.round(F.col("m") - F.col("b"), 4).alias("pr_auc_lift"))
+
+
+@query("calibration_bins")
+def calibration_bins_q(spark, sf):
+    """10 quantile bins, mean score and positive share per non-empty bin."""
+    c = MT.calibration_bins(scored_events(spark, sf), "score", "target", 10)
+    return _round_all(c, ["mean_score", "positive_share"])
+
+
+@query("pr_points")
+def pr_points_q(spark, sf):
+    """Precision and recall at every distinct threshold."""
+    p = MT.pr_points(scored_events(spark, sf), "score", "target").drop("rank")
+    return _round_all(p, ["threshold", "precision", "recall"])
+
+
+# Fixed analogue: expanding-window folds over order months (train <= end; closed val range).
+FOLDS = [("fold1", "1997-12", "1998-01", "1998-12"),
+         ("fold2", "1998-06", "1998-07", "1998-12"),
+         ("fold3", "1998-09", "1998-10", "1998-12")]
+TEST_START = "1999-01"
+
+
+def order_months(spark, sf):
+    o = _load(spark, sf, "orders")
+    return o.select("o_custkey", "o_orderpriority", "o_totalprice",
+                    F.date_format("o_orderdate", "yyyy-MM").alias("year_month"),
+                    (F.col("o_orderstatus") == "F").alias("target"))
+
+
+@query("split_profile")
+def split_profile_q(spark, sf):
+    """train/test split profile and train rows by year."""
+    o = order_months(spark, sf).withColumn(
+        "split", F.when(F.col("year_month") < TEST_START, "train").otherwise("test"))
+    prof = o.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.round(F.avg(F.col("target").cast("double")), 4).alias("positive_rate"),
+        F.count_distinct("year_month").alias("months"),
+        F.count_distinct("o_custkey").alias("origins"),
+        F.count_distinct("o_orderpriority").alias("airlines"),
+        F.round(F.avg(F.col("o_totalprice").isNull().cast("double")), 4).alias("missing_price_pct")) \
+        .withColumn("report", F.lit("summary")).withColumn("year", F.lit(None).cast("string"))
+    by_year = o.filter(F.col("split") == "train").groupBy(F.substring("year_month", 1, 4).alias("year")) \
+        .agg(F.count(F.lit(1)).alias("rows"),
+             F.round(F.avg(F.col("target").cast("double")), 4).alias("positive_rate")) \
+        .withColumn("report", F.lit("train_by_year")).withColumn("split", F.lit("train"))
+    return R.tagged_union([prof, by_year]).select(
+        "report", "split", "year", "rows", "positive_rate", "months", "origins", "airlines",
+        "missing_price_pct")
+
+
+@query("expanding_folds")
+def expanding_folds_q(spark, sf):
+    """M7: rows and positive rate of each fold's train and validation range.
+
+    Months are aggregated first (one row per month), so the range join with
+    the fold table touches months, not orders.
+    """
+    per_month = order_months(spark, sf).groupBy("year_month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("target").alias("p"))
+    folds = F.broadcast(spark.createDataFrame(FOLDS, "fold string, train_end string, val_start string, val_end string"))
+    j = per_month.crossJoin(folds)
+    in_train = F.col("year_month") <= F.col("train_end")
+    in_val = (F.col("year_month") >= F.col("val_start")) & (F.col("year_month") <= F.col("val_end"))
+    g = j.groupBy("fold").agg(
+        F.sum(F.when(in_train, F.col("n")).otherwise(0)).cast("long").alias("train_rows"),
+        F.sum(F.when(in_train, F.col("p")).otherwise(0)).cast("long").alias("train_pos"),
+        F.sum(F.when(in_val, F.col("n")).otherwise(0)).cast("long").alias("val_rows"),
+        F.sum(F.when(in_val, F.col("p")).otherwise(0)).cast("long").alias("val_pos"))
+    return g.select("fold", "train_rows", "val_rows",
+                    F.round(A.safe_ratio(F.col("train_pos"), F.col("train_rows"), 6), 6).alias("train_positive_rate"),
+                    F.round(A.safe_ratio(F.col("val_pos"), F.col("val_rows"), 6), 6).alias("val_positive_rate"))
