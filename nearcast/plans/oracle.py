@@ -580,3 +580,152 @@ SELECT f.fold, coalesce(t.n, 0) AS train_rows, coalesce(v.n, 0) AS val_rows,
        round(round(CAST(v.p AS DOUBLE) / NULLIF(CAST(v.n AS DOUBLE), 0), 6), 6) AS val_positive_rate
 FROM folds f LEFT JOIN t USING (fold) LEFT JOIN v USING (fold)
 """
+
+# ------------------------------------------------------------ dashboard computations
+
+ORACLE["airport_summaries"] = f"""
+WITH {KEY_HOUR}
+SELECT event_type, CAST(sum(flight_count) AS BIGINT) AS flight_count,
+       CAST(sum(delayed_count) AS BIGINT) AS delayed_count,
+       round(CASE WHEN sum(flight_count) > 0 THEN CAST(sum(delayed_count) AS DOUBLE) / sum(flight_count)
+                  ELSE 0.0 END, 6) AS delay_rate_15,
+       round(CASE WHEN sum(flight_count) > 0 THEN sum(avg_dep_delay_minutes * flight_count) / sum(flight_count)
+                  ELSE 0.0 END, 6) AS avg_dep_delay_minutes
+FROM key_hour GROUP BY event_type
+"""
+
+ORACLE["airport_leaderboard"] = f"""
+WITH {KEY_HOUR},
+g AS (SELECT event_type, CAST(sum(flight_count) AS BIGINT) AS flight_count,
+             CAST(sum(delayed_count) AS BIGINT) AS delayed_count FROM key_hour GROUP BY event_type),
+r AS (SELECT *, CAST(delayed_count AS DOUBLE) / greatest(flight_count, 1) AS delay_rate_15 FROM g),
+t AS (SELECT event_type, flight_count, delayed_count, round(delay_rate_15, 6) AS delay_rate_15,
+             round_even(delay_rate_15 * 100, 1) AS delay_rate_pct,
+             row_number() OVER (ORDER BY delay_rate_15 DESC, event_type) AS rank
+      FROM r WHERE flight_count >= 500)
+SELECT * FROM t WHERE rank <= 10
+"""
+
+ORACLE["top_hours"] = f"""
+WITH {KEY_HOUR},
+t AS (SELECT *, lpad(CAST(event_hour AS VARCHAR), 2, '0') || ':00' AS hour_label,
+             row_number() OVER (ORDER BY delay_rate_15 DESC, flight_count DESC, event_hour) AS rank
+      FROM key_hour WHERE event_type = 'purchase' AND flight_count >= 50)
+SELECT * FROM t WHERE rank <= 5
+"""
+
+def _bucket_rates_sql(col: str, order: list[str]) -> str:
+    lst = ", ".join(f"'{v}'" for v in order)
+    return f"""
+SELECT '{col}' AS dimension, {col} AS bucket,
+       CASE WHEN coalesce(list_position([{lst}], {col}), 0) = 0 THEN {len(order) + 1}
+            ELSE list_position([{lst}], {col}) END AS bucket_order,
+       CAST(sum(flight_count) AS BIGINT) AS flight_count, CAST(sum(delayed_count) AS BIGINT) AS delayed_count,
+       round(CAST(sum(delayed_count) AS DOUBLE) / greatest(sum(flight_count), 1), 6) AS delay_rate_15,
+       round_even(CAST(sum(delayed_count) AS DOUBLE) / greatest(sum(flight_count), 1) * 100, 1) AS delay_rate_pct
+FROM buckets GROUP BY {col}"""
+
+
+# Bucket display orders (same lists as the bucket module).
+_WIND = ["calm_0_5kt", "light_6_15kt", "moderate_16_25kt", "strong_26plus_kt", "unknown"]
+_PRECIP = ["none", "light", "moderate", "heavy"]
+_VIS = ["high_over_10mi", "medium_3_10mi", "low_under_3mi", "unknown"]
+
+ORACLE["bucket_rates"] = f"""
+WITH {ORDER_LINES}, {BUCKETS}
+{_bucket_rates_sql('wind_speed_bucket', _WIND)}
+UNION ALL {_bucket_rates_sql('precip_bucket', _PRECIP)}
+UNION ALL {_bucket_rates_sql('visibility_bucket', _VIS)}
+"""
+
+ORACLE["weather_summary"] = f"""
+WITH {ORDER_LINES}, {BUCKETS}
+SELECT CAST(coalesce(sum(flight_count), 0) AS BIGINT) AS flight_count,
+       CAST(coalesce(sum(delayed_count), 0) AS BIGINT) AS delayed_count, count(*) AS combo_count,
+       round(CASE WHEN coalesce(sum(flight_count), 0) > 0 THEN CAST(sum(delayed_count) AS DOUBLE) / sum(flight_count)
+                  ELSE 0.0 END, 6) AS delay_rate_15, 0 AS min_combo_flights
+FROM buckets
+UNION ALL
+SELECT CAST(coalesce(sum(flight_count), 0) AS BIGINT), CAST(coalesce(sum(delayed_count), 0) AS BIGINT), count(*),
+       round(CASE WHEN coalesce(sum(flight_count), 0) > 0 THEN CAST(sum(delayed_count) AS DOUBLE) / sum(flight_count)
+                  ELSE 0.0 END, 6), 50
+FROM buckets WHERE flight_count >= 50
+"""
+
+ORACLE["worst_combos"] = f"""
+WITH {ORDER_LINES}, {BUCKETS},
+t AS (SELECT *, origin || ' — ' || wind_speed_bucket || ' · ' || precip_bucket || ' · ' || visibility_bucket
+                  AS combo_label FROM buckets WHERE flight_count >= 50),
+r AS (SELECT *, row_number() OVER (ORDER BY delay_rate_15 DESC, flight_count DESC, combo_label) AS rank FROM t)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+ORACLE["precip_lift"] = f"""
+WITH {ORDER_LINES}, {BUCKETS},
+p AS (SELECT precip_bucket, CAST(sum(delayed_count) AS DOUBLE) / greatest(sum(flight_count), 1) AS r
+      FROM buckets GROUP BY precip_bucket)
+SELECT round(max(CASE WHEN precip_bucket = 'heavy' THEN r END)
+             - max(CASE WHEN precip_bucket = 'none' THEN r END), 6) AS rate_lift FROM p
+"""
+
+ROUTES_SQL = """
+routes AS (SELECT * FROM route WHERE l_returnflag IN ('A', 'R'))
+"""
+
+ORACLE["route_summary"] = f"""
+WITH {ORDER_LINES}, {ROUTE}, {ROUTES_SQL}
+SELECT CAST(coalesce(sum(flight_count), 0) AS BIGINT) AS flight_count,
+       CAST(coalesce(sum(delayed_count), 0) AS BIGINT) AS delayed_count, count(*) AS route_count,
+       round(CASE WHEN coalesce(sum(flight_count), 0) > 0 THEN CAST(sum(delayed_count) AS DOUBLE) / sum(flight_count)
+                  ELSE 0.0 END, 6) AS delay_rate_15
+FROM routes
+"""
+
+ORACLE["top_routes"] = f"""
+WITH {ORDER_LINES}, {ROUTE}, {ROUTES_SQL},
+l AS (SELECT *, o_orderpriority || ' → ' || o_orderstatus AS route_label,
+             l_returnflag || ' ' || o_orderpriority || ' → ' || o_orderstatus AS label,
+             round_even(delay_rate_15 * 100, 1) AS delay_rate_pct FROM routes),
+v AS (SELECT 'top_volume' AS report, *, row_number() OVER (
+        ORDER BY flight_count DESC, l_returnflag, o_orderpriority, o_orderstatus) AS rank FROM l),
+d AS (SELECT 'top_delay' AS report, *, row_number() OVER (
+        ORDER BY delay_rate_15 DESC, flight_count DESC, l_returnflag, o_orderpriority, o_orderstatus) AS rank
+      FROM l WHERE flight_count >= 50)
+SELECT report, l_returnflag, o_orderpriority, o_orderstatus, route_label, label, flight_count,
+       delay_rate_15, delay_rate_pct, rank FROM v WHERE rank <= 10
+UNION ALL
+SELECT report, l_returnflag, o_orderpriority, o_orderstatus, route_label, label, flight_count,
+       delay_rate_15, delay_rate_pct, rank FROM d WHERE rank <= 10
+"""
+
+ORACLE["carrier_leaderboard"] = f"""
+WITH {ORDER_LINES}, {ROUTE},
+g AS (SELECT l_returnflag, CAST(sum(flight_count) AS BIGINT) AS flight_count,
+             CAST(sum(delayed_count) AS BIGINT) AS delayed_count FROM route GROUP BY l_returnflag)
+SELECT l_returnflag, flight_count, delayed_count,
+       round(CAST(delayed_count AS DOUBLE) / greatest(flight_count, 1), 6) AS delay_rate_15,
+       round_even(CAST(delayed_count AS DOUBLE) / greatest(flight_count, 1) * 100, 1) AS delay_rate_pct
+FROM g WHERE flight_count >= 200
+"""
+
+ORACLE["overview"] = f"""
+WITH {KEY_HOUR}, {ORDER_LINES}, {ROUTE}, {BUCKETS},
+top AS (SELECT event_type AS top_airport, event_hour AS top_airport_hour,
+               round(delay_rate_15, 6) AS top_airport_delay_rate
+        FROM key_hour WHERE flight_count >= 50
+        ORDER BY delay_rate_15 DESC, event_type, event_hour LIMIT 1),
+busy AS (SELECT event_type AS busiest_airport, event_hour AS busiest_hour, flight_count AS busiest_flights
+         FROM key_hour ORDER BY flight_count DESC, event_type, event_hour LIMIT 1),
+p AS (SELECT precip_bucket, CAST(sum(delayed_count) AS DOUBLE) / greatest(sum(flight_count), 1) AS r
+      FROM buckets GROUP BY precip_bucket),
+precip AS (SELECT round(max(CASE WHEN precip_bucket = 'none' THEN r END), 6) AS precip_rate_none,
+                  round(max(CASE WHEN precip_bucket = 'light' THEN r END), 6) AS precip_rate_light,
+                  round(max(CASE WHEN precip_bucket = 'moderate' THEN r END), 6) AS precip_rate_moderate,
+                  round(max(CASE WHEN precip_bucket = 'heavy' THEN r END), 6) AS precip_rate_heavy FROM p),
+rt AS (SELECT l_returnflag AS top_route_l_returnflag, o_orderpriority AS top_route_o_orderpriority,
+              o_orderstatus AS top_route_o_orderstatus, flight_count AS top_route_flights
+       FROM route ORDER BY flight_count DESC, l_returnflag, o_orderpriority, o_orderstatus LIMIT 1)
+SELECT (SELECT count(*) FROM key_hour) AS airport_hour_rows, (SELECT count(*) FROM buckets) AS weather_bucket_rows,
+       (SELECT count(*) FROM route) AS carrier_route_rows, top.*, busy.*, precip.*, rt.*
+FROM top, busy, precip, rt
+"""

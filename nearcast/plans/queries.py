@@ -547,3 +547,130 @@ def expanding_folds_q(spark, sf):
     return g.select("fold", "train_rows", "val_rows",
                     F.round(A.safe_ratio(F.col("train_pos"), F.col("train_rows"), 6), 6).alias("train_positive_rate"),
                     F.round(A.safe_ratio(F.col("val_pos"), F.col("val_rows"), 6), 6).alias("val_positive_rate"))
+
+
+# ------------------------------------------------ dashboard computations
+
+from nearcast.operators import views as V  # noqa: E402
+
+VIEW_AIRPORT = "purchase"
+VIEW_CARRIERS = ["A", "R"]
+OVERVIEW_MIN_FLIGHTS = 50
+
+
+@query("airport_summaries")
+def airport_summaries_q(spark, sf):
+    """Per-key sums, rate and weighted mean (0 when empty)."""
+    s = V.key_summary(X.key_hour_agg(spark, sf), ["event_type"])
+    return _round_all(s, [A.RATE, A.AVG])
+
+
+@query("airport_leaderboard")
+def airport_leaderboard_q(spark, sf):
+    """Per-key sums, clipped rate, >= 500 flights, top 10."""
+    t = V.leaderboard(X.key_hour_agg(spark, sf), "event_type", X.MIN_KEY_FLIGHTS, 10)
+    return _round_all(t.withColumn("rank", F.col("rank").cast("long")), [A.RATE])
+
+
+@query("top_hours")
+def top_hours_q(spark, sf):
+    """One key's hours, minimum volume, top 5 by rate, with hour labels."""
+    base = X.key_hour_agg(spark, sf).withColumn("hour_label", B.hour_label(F.col("event_hour")))
+    t = R.top_n(base, [F.col(A.RATE).desc(), F.col(A.N).desc(), F.col("event_hour").asc()], 5,
+                where=(F.col("event_type") == VIEW_AIRPORT) & (F.col(A.N) >= X.MIN_HOUR_FLIGHTS))
+    return t.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("bucket_rates")
+def bucket_rates_q(spark, sf):
+    """Pooled clipped rates per bucket of each dimension, display order."""
+    base = X.bucket_agg(spark, sf)
+    parts = [V.bucket_rates(base, c) for c in ("wind_speed_bucket", "precip_bucket", "visibility_bucket")]
+    return _round_all(R.tagged_union(parts), [A.RATE])
+
+
+@query("weather_summary")
+def weather_summary_q(spark, sf):
+    """Flights, delayed, rate and combination count (all keys, and >= 50 combos)."""
+    base = X.bucket_agg(spark, sf)
+    a = V.filtered_summary(base).withColumn("min_combo_flights", F.lit(0))
+    b = V.filtered_summary(base.filter(F.col(A.N) >= X.MIN_COMBO_FLIGHTS)) \
+        .withColumn("min_combo_flights", F.lit(X.MIN_COMBO_FLIGHTS))
+    return _round_all(a.unionByName(b), [A.RATE])
+
+
+@query("worst_combos")
+def worst_combos_q(spark, sf):
+    """Worst bucket combinations (>= 50 flights), labelled with their key, top 5."""
+    base = X.bucket_agg(spark, sf).withColumn(
+        "combo_label", F.concat(F.col("origin"), F.lit(" — "),
+                                F.concat_ws(" · ", "wind_speed_bucket", "precip_bucket", "visibility_bucket")))
+    t = R.top_n(base, [F.col(A.RATE).desc(), F.col(A.N).desc(), F.col("combo_label").asc()], 5,
+                where=F.col(A.N) >= X.MIN_COMBO_FLIGHTS)
+    return t.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("precip_lift")
+def precip_lift_q(spark, sf):
+    """Heavy minus none pooled precipitation rate (null if either is absent)."""
+    rates = V.bucket_rates(X.bucket_agg(spark, sf), "precip_bucket")
+    return _round_all(V.rate_difference(rates, "bucket", A.RATE, "heavy", "none"), ["rate_lift"])
+
+
+def _routes(spark, sf):
+    return V.filter_routes(X.route_agg(spark, sf), "l_returnflag", "o_orderpriority", "o_orderstatus",
+                           carriers=VIEW_CARRIERS)
+
+
+@query("route_summary")
+def route_summary_q(spark, sf):
+    """Optional route filters, then route count, sums and rate."""
+    s = V.filtered_summary(_routes(spark, sf)).withColumnRenamed("combo_count", "route_count")
+    return _round_all(s, [A.RATE])
+
+
+@query("top_routes")
+def top_routes_q(spark, sf):
+    """Top routes by volume and by rate (>= 50), with route labels and percent."""
+    r = _routes(spark, sf).withColumn("route_label", B.route_label("o_orderpriority", "o_orderstatus"))
+    r = r.withColumn("label", F.concat_ws(" ", "l_returnflag", "route_label")) \
+        .withColumn("delay_rate_pct", V.rate_pct(F.col(A.RATE)))
+    keys = [F.col(c).asc() for c in X.ROUTE_KEYS]
+    parts = [R.top_n(r, [F.col(A.N).desc(), *keys], 10, label="top_volume"),
+             R.top_n(r, [F.col(A.RATE).desc(), F.col(A.N).desc(), *keys], 10,
+                     where=F.col(A.N) >= X.MIN_ROUTE_FLIGHTS, label="top_delay")]
+    cols = ["report", *X.ROUTE_KEYS, "route_label", "label", A.N, A.RATE, "delay_rate_pct", "rank"]
+    return R.tagged_union([p.select(*cols) for p in parts]).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("carrier_leaderboard")
+def carrier_leaderboard_q(spark, sf):
+    """Per-carrier sums, clipped rate and percent, >= 200 flights."""
+    return _round_all(V.leaderboard(X.route_agg(spark, sf), "l_returnflag", 200), [A.RATE])
+
+
+@query("overview")
+def overview_q(spark, sf):
+    """Row counts, top key-hour by rate, busiest key-hour, precip rates, top route."""
+    kh, wb, cr = X.key_hour_agg(spark, sf), X.bucket_agg(spark, sf), X.route_agg(spark, sf)
+    counts = kh.agg(F.count(F.lit(1)).alias("airport_hour_rows")) \
+        .crossJoin(wb.agg(F.count(F.lit(1)).alias("weather_bucket_rows"))) \
+        .crossJoin(cr.agg(F.count(F.lit(1)).alias("carrier_route_rows")))
+    top = kh.filter(F.col(A.N) >= OVERVIEW_MIN_FLIGHTS).agg(F.min_by(
+        F.struct("event_type", "event_hour", A.RATE),
+        F.struct(-F.col(A.RATE), F.col("event_type"), F.col("event_hour"))).alias("t")) \
+        .select(F.col("t.event_type").alias("top_airport"), F.col("t.event_hour").alias("top_airport_hour"),
+                F.col(f"t.{A.RATE}").alias("top_airport_delay_rate"))
+    busy = kh.agg(F.min_by(F.struct("event_type", "event_hour", A.N),
+                           F.struct(-F.col(A.N), F.col("event_type"), F.col("event_hour"))).alias("t")) \
+        .select(F.col("t.event_type").alias("busiest_airport"), F.col("t.event_hour").alias("busiest_hour"),
+                F.col(f"t.{A.N}").alias("busiest_flights"))
+    pr = V.bucket_rates(wb, "precip_bucket")
+    precip = pr.agg(*[F.max(F.when(F.col("bucket") == b, F.col(A.RATE))).alias(f"precip_rate_{b}")
+                      for b in B.PRECIP_LABELS])
+    route = cr.agg(F.min_by(F.struct(*X.ROUTE_KEYS, A.N),
+                            F.struct(-F.col(A.N), *[F.col(c) for c in X.ROUTE_KEYS])).alias("t")) \
+        .select(*[F.col(f"t.{c}").alias(f"top_route_{c}") for c in X.ROUTE_KEYS],
+                F.col(f"t.{A.N}").alias("top_route_flights"))
+    out = counts.crossJoin(top).crossJoin(busy).crossJoin(precip).crossJoin(route)
+    return _round_all(out, ["top_airport_delay_rate"] + [f"precip_rate_{b}" for b in B.PRECIP_LABELS])
