@@ -117,8 +117,10 @@ def _metric_aggs() -> list[Column]:
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     # no positives: every recall is 1 (the metric library's convention)
     recall = F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(1.0))
-    ap = F.sum(F.col("pos") / F.col("P") * prec)
-    auc = F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg"))) / (P * N)
+    # row-level divisions use try_divide: aggregates are evaluated before the
+    # CASE guard on the result, and ANSI mode raises on a zero divisor
+    ap = F.sum(F.try_divide(F.col("pos"), F.col("P")) * prec)
+    auc = F.try_divide(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg"))), P * N)
     # precision at the recall nearest 0.5; ties -> lowest threshold
     p_at_r = F.min_by(prec, F.struct(F.abs(recall - F.lit(0.5)), F.col("s")))
     brier = F.sum(F.col("pos") * F.pow(F.col("s") - 1.0, 2) + F.col("neg") * F.pow(F.col("s"), 2)) / (P + N)

@@ -727,5 +727,6 @@ rt AS (SELECT l_returnflag AS top_route_l_returnflag, o_orderpriority AS top_rou
        FROM route ORDER BY flight_count DESC, l_returnflag, o_orderpriority, o_orderstatus LIMIT 1)
 SELECT (SELECT count(*) FROM key_hour) AS airport_hour_rows, (SELECT count(*) FROM buckets) AS weather_bucket_rows,
        (SELECT count(*) FROM route) AS carrier_route_rows, top.*, busy.*, precip.*, rt.*
-FROM top, busy, precip, rt
+FROM (SELECT 1 AS one) d LEFT JOIN top ON true LEFT JOIN busy ON true LEFT JOIN precip ON true
+     LEFT JOIN rt ON true
 """
