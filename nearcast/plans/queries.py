@@ -18,6 +18,8 @@ from nearcast.operators import aggregates as A
 from nearcast.operators import reports as R
 from nearcast.operators.asof import exists_in_window, nearest_asof_candidates
 from nearcast.plans import analogues as X
+from nearcast.plans import analyses as AN
+from nearcast.sources.tables import load as _load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -86,21 +88,7 @@ def rollup_weighted_q(spark, sf):
 @query("pooled_dimensions")
 def pooled_dimensions_q(spark, sf):
     """Pooled by each bucket dimension + worst combinations."""
-    base = X.bucket_agg(spark, sf)
-    pooled = A.pooled_by_dimension(
-        base, ["wind_speed_bucket", "precip_bucket", "visibility_bucket"],
-        ["pooled_wind", "pooled_precip", "pooled_visibility"]) \
-        .withColumn("origin", F.lit(None).cast("string")) \
-        .withColumn("rank", F.lit(None).cast("long"))
-    combos = base.select(
-        F.concat_ws(" | ", "wind_speed_bucket", "precip_bucket", "visibility_bucket").alias("bucket_value"),
-        "origin", *MEASURES)
-    worst = R.top_n(combos, [R.desc_pg(A.RATE), R.desc_pg(A.N), R.asc_pg("origin"),
-                             R.asc_pg("bucket_value")],
-                    10, where=F.col(A.N) >= X.MIN_COMBO_FLIGHTS, label="worst_weather_combo") \
-        .withColumn("rank", F.col("rank").cast("long"))
-    cols = ["report", "bucket_value", "origin", *MEASURES, "rank"]
-    return pooled.select(*cols).unionByName(worst.select(*cols))
+    return AN.weather_bucket_report(X.bucket_agg(spark, sf), "origin", X.MIN_COMBO_FLIGHTS)
 
 
 # ------------------------------------------------------- top reports
@@ -108,36 +96,14 @@ def pooled_dimensions_q(spark, sf):
 @query("top_reports")
 def top_reports_q(spark, sf):
     """Tagged top-10 lists of key-hours and keys."""
-    base = X.key_hour_agg(spark, sf)
-    k = [R.asc_pg("event_type"), R.asc_pg("event_hour")]
-    parts = [
-        R.top_n(base, [R.desc_pg(A.RATE), R.desc_pg(A.N), *k], 10,
-                where=F.col(A.N) >= X.MIN_HOUR_FLIGHTS, label="top_delay_rate"),
-        R.top_n(base, [R.desc_pg(A.AVG), R.desc_pg(A.N), *k], 10,
-                where=F.col(A.N) >= X.MIN_HOUR_FLIGHTS, label="top_avg_delay_minutes"),
-        R.top_n(base, [R.desc_pg(A.N), *k], 10, label="busiest_hour"),
-    ]
-    per_key = A.weighted_rollup(base, ["event_type"]) \
-        .withColumn("event_hour", F.lit(None).cast("int"))
-    parts.append(R.top_n(per_key, [R.desc_pg(A.RATE), R.desc_pg(A.N), R.asc_pg("event_type")], 10,
-                         where=F.col(A.N) >= X.MIN_KEY_FLIGHTS, label="top_airport_delay_rate"))
-    cols = ["report", "event_type", "event_hour", *MEASURES, "rank"]
-    return R.tagged_union([p.select(*cols) for p in parts]) \
-        .withColumn("rank", F.col("rank").cast("long"))
+    return AN.hotspot_report(X.key_hour_agg(spark, sf), "event_type", "event_hour",
+                             X.MIN_HOUR_FLIGHTS, X.MIN_KEY_FLIGHTS)
 
 
 @query("route_top")
 def route_top_q(spark, sf):
     """Top routes by volume and by rate (volume >= 50)."""
-    base = X.route_agg(spark, sf)
-    k = [R.asc_pg(c) for c in X.ROUTE_KEYS]
-    parts = [
-        R.top_n(base, [R.desc_pg(A.N), *k], 10, label="top_volume"),
-        R.top_n(base, [R.desc_pg(A.RATE), R.desc_pg(A.N), *k], 10,
-                where=F.col(A.N) >= X.MIN_ROUTE_FLIGHTS, label="top_delay_rate"),
-    ]
-    cols = ["report", *X.ROUTE_KEYS, *MEASURES, "rank"]
-    return R.tagged_union([p.select(*cols) for p in parts]).withColumn("rank", F.col("rank").cast("long"))
+    return AN.route_report(X.route_agg(spark, sf), X.ROUTE_KEYS, X.MIN_ROUTE_FLIGHTS)
 
 
 # ------------------------------------------------ coverage and diagnostics
@@ -151,24 +117,15 @@ COVER = ["flights", "matched_flights", "match_pct"]
 @query("coverage_grains")
 def coverage_grains_q(spark, sf):
     """Match coverage by key, key-date and key-hour in one grouping-sets pass."""
-    f = X.nearest_fact(spark, sf)
-    return A.grain_coverage(f, ["user_id", "year_month"],
-                            {"airport": [], "date": ["event_date"], "hour": ["event_hour"]},
-                            F.col("is_matched"))
+    return AN.coverage_grains(X.nearest_fact(spark, sf), "user_id", "year_month", "event_date",
+                              "event_hour", F.col("is_matched"))
 
 
 @query("coverage_overall")
 def coverage_overall_q(spark, sf):
     """Overall + per-key rows, low-match keys repeated under their own label."""
-    f = X.nearest_fact(spark, sf)
-    g = A.grain_coverage(f, ["year_month"], {"overall": [], "airport": ["user_id"]},
-                         F.col("is_matched"))
-    g = g.select("grain", F.when(F.col("grain") == "overall", F.lit("ALL"))
-                 .otherwise(F.col("user_id").cast("string")).alias("user_key"),
-                 "year_month", *COVER)
-    low = g.filter((F.col("grain") == "airport") & (F.col("match_pct") < X.LOW_MATCH_PCT)) \
-        .withColumn("grain", F.lit("low_match_airport"))
-    return g.unionByName(low)
+    return AN.coverage_overall(X.nearest_fact(spark, sf), "user_id", "year_month", F.col("is_matched"),
+                               X.LOW_MATCH_PCT, key_out="user_key")
 
 
 @query("coverage_by_month")
@@ -182,12 +139,7 @@ def coverage_by_month_q(spark, sf):
 @query("unmatched_by_key")
 def unmatched_by_key_q(spark, sf):
     """Unmatched count with total, HAVING > 0, top 10."""
-    f = X.nearest_fact(spark, sf)
-    g = f.groupBy("user_id").agg(F.count(F.lit(1)).alias("flights"),
-                                 F.count_if(~F.col("is_matched")).alias("unmatched_flights"))
-    t = R.top_n(g, [R.desc_pg("unmatched_flights"), R.asc_pg("user_id")], 10,
-                where=F.col("unmatched_flights") > 0)
-    return t.withColumn("rank", F.col("rank").cast("long"))
+    return AN.unmatched_top(X.nearest_fact(spark, sf), "user_id", F.col("is_matched"))
 
 
 @query("row_counts")
@@ -206,56 +158,21 @@ def row_counts_q(spark, sf):
 @query("unmatched_by_date")
 def unmatched_by_date_q(spark, sf):
     """Key totals, worst days (< 100 %), sample of unmatched dates."""
-    f = X.nearest_fact(spark, sf).withColumn("is_unmatched", ~F.col("is_matched"))
-    g = f.groupingSets([["user_id", "year_month"], ["user_id", "year_month", "event_date"]],
-                       "user_id", "year_month", "event_date").agg(
-        F.count(F.lit(1)).alias("flights"), F.count_if("is_matched").alias("matched_flights"),
-        F.count_if("is_unmatched").alias("unmatched_flights"), F.grouping_id().alias("__gid"))
-    g = g.withColumn("match_pct", A.safe_ratio(F.col("matched_flights"), F.col("flights"), 2, pct=True))
-    totals = g.filter(F.col("__gid") == 1).withColumn("report", F.lit("airport_total"))
-    worst = g.filter((F.col("__gid") == 0) & (F.col("match_pct") < 100)).withColumn("report", F.lit("worst_day"))
-    sample = R.distinct_sample(f.filter("is_unmatched"), ["user_id", "year_month", "event_date"],
-                               [F.col("event_date").desc(), F.col("user_id").asc()], 20) \
-        .withColumn("report", F.lit("sample_unmatched"))
-    cols = ["report", "user_id", "year_month", "event_date", "flights", "matched_flights",
-            "unmatched_flights", "match_pct"]
-    return R.tagged_union([totals.drop("__gid"), worst.drop("__gid"), sample]).select(*cols)
+    return AN.unmatched_report(X.nearest_fact(spark, sf), "user_id", "year_month", "event_date",
+                               F.col("is_matched"))
 
 
 @query("lag_distribution")
 def lag_distribution_q(spark, sf):
     """Exact percentiles, timing split, lag histogram."""
-    f = X.nearest_fact(spark, sf).filter((F.col("match_status") == "matched") & F.col("lag_minutes").isNotNull())
-    keys = ["obs_event_type", "year_month"]
-    pct = A.percentiles(f, keys, "lag_minutes").withColumnRenamed("n", "matched_flights") \
-        .withColumn("report", F.lit("percentile"))
-    timing = B.timing_label(F.col("lag_minutes"))
-    split = f.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("matched_flights"),
-        F.count_if(timing == "obs_before_dep").alias("obs_before_dep"),
-        F.count_if(timing == "obs_at_dep").alias("obs_at_dep"),
-        F.count_if(timing == "obs_after_dep").alias("obs_after_dep")).withColumn("report", F.lit("timing_split"))
-    hist = f.groupBy(*keys, B.lag_bucket(F.col("lag_minutes")).alias("bucket")) \
-        .agg(F.count(F.lit(1)).alias("matched_flights")).withColumn("report", F.lit("histogram"))
-    cols = ["report", *keys, "bucket", "matched_flights", "lag_min", "lag_max", "lag_avg",
-            "lag_p50", "lag_p90", "lag_p99", "obs_before_dep", "obs_at_dep", "obs_after_dep"]
-    out = R.tagged_union([pct, split, hist])
-    return out.withColumn("bucket", F.col("bucket").cast("string")).select(*cols)
+    f = X.nearest_fact(spark, sf).filter(F.col("match_status") == "matched")
+    return AN.lag_report(f, ["obs_event_type", "year_month"], "lag_minutes")
 
 
 @query("dep_time_distribution")
 def dep_time_distribution_q(spark, sf):
     """Timestamp sanity labels and the UTC hour distribution."""
-    from nearcast.sources.tables import load
-    ev = load(spark, sf, "events").select("event_type", "ts",
-                                          B.sanity_label(F.col("ts")).alias("dep_time_sanity"))
-    sanity = ev.groupBy("event_type", "dep_time_sanity").agg(F.count(F.lit(1)).alias("flights")) \
-        .withColumn("report", F.lit("sanity")).withColumn("event_hour", F.lit(None).cast("int"))
-    hours = ev.filter(F.col("dep_time_sanity") == "ok").groupBy("event_type", F.hour("ts").alias("event_hour")) \
-        .agg(F.count(F.lit(1)).alias("flights")).withColumn("report", F.lit("hour_distribution")) \
-        .withColumn("dep_time_sanity", F.lit("ok"))
-    cols = ["report", "event_type", "dep_time_sanity", "event_hour", "flights"]
-    return sanity.select(*cols).unionByName(hours.select(*cols))
+    return AN.time_sanity_report(_load_events(spark, sf), "event_type", "ts", "event_hour")
 
 
 @query("dedupe_latest")
@@ -273,7 +190,6 @@ from nearcast.functions import cleaning as C  # noqa: E402
 from nearcast.functions import timeutil as TU  # noqa: E402
 from nearcast.functions.keys import surrogate_key  # noqa: E402
 from nearcast.operators import dims as DM  # noqa: E402
-from nearcast.sources.tables import load as _load  # noqa: E402
 
 # The zone seed of the time-parsing analogue (order priority -> IANA zone).
 PRIORITY_ZONES = [
@@ -674,3 +590,7 @@ def overview_q(spark, sf):
                 F.col(f"t.{A.N}").alias("top_route_flights"))
     out = counts.crossJoin(top).crossJoin(busy).crossJoin(precip).crossJoin(route)
     return _round_all(out, ["top_airport_delay_rate"] + [f"precip_rate_{b}" for b in B.PRECIP_LABELS])
+
+
+def _load_events(spark, sf):
+    return _load(spark, sf, "events")
