@@ -594,3 +594,69 @@ def overview_q(spark, sf):
 
 def _load_events(spark, sf):
     return _load(spark, sf, "events")
+
+
+# ------------------------------------------------ modelling (M1-M17, A30): rows-only checks
+
+from nearcast.operators import modelling as ML  # noqa: E402
+
+# Fixed analogue: order lines as training rows; target = ship delay >= 15 days.
+MODEL_NUMERIC = ["l_quantity", "l_discount", "l_tax", "order_month", "sin_hour", "cos_hour"]
+MODEL_CATEGORICAL = ["l_returnflag", "o_orderpriority"]
+MODEL_FEATURES = MODEL_NUMERIC + MODEL_CATEGORICAL
+MODEL_QUERIES = {"cv_metrics", "cv_summary", "holdout_report", "permutation_importance"}
+
+
+def model_rows(spark, sf):
+    ol = X.order_lines(spark, sf)
+    ol = ol.select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "o_orderpriority",
+                   F.month("o_orderdate").alias("order_month"), F.dayofmonth("o_orderdate").alias("day"),
+                   F.date_format("o_orderdate", "yyyy-MM").alias("year_month"),
+                   (F.col("ship_delay_days") >= X.SHIP_DELAYED_DAYS).cast("double").alias("target"))
+    # cyclic feature of the day of month (M1 analogue: hour -> day)
+    return ML.add_derived_features(ol.withColumn("__p", F.lit(None).cast("double")), "__p", "day").drop("__p")
+
+
+def _cv(spark, sf):
+    cat = ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL)
+    return ML.cv_run(cat, FOLDS, "target", "analogue", features=MODEL_FEATURES,
+                     models=("baseline", "logistic"), categorical=MODEL_CATEGORICAL,
+                     key=["l_orderkey", "year_month"])
+
+
+@query("cv_metrics")
+def cv_metrics_q(spark, sf):
+    """Expanding folds x (constant baseline, balanced logistic) -> metric rows."""
+    return _round_all(_cv(spark, sf), METRIC_COLS)
+
+
+@query("cv_summary")
+def cv_summary_q(spark, sf):
+    """Mean and sample std of fold metrics per model."""
+    s = ML.cv_summary(_cv(spark, sf))
+    return _round_all(s, [c for c in s.columns if c not in ("model", "feature_set")])
+
+
+@query("holdout_report")
+def holdout_report_q(spark, sf):
+    """Final fit on training months, holdout metrics vs baseline."""
+    rows = ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL)
+    train = rows.filter(F.col("year_month") < TEST_START)
+    test = rows.filter(F.col("year_month") >= TEST_START)
+    model = ML.logistic_pipeline(MODEL_FEATURES, "target", 300, MODEL_CATEGORICAL) \
+        .fit(ML.with_balanced_weights(train, "target"))
+    rep = ML.holdout_report(model, train, test, "target")
+    return _round_all(rep, METRIC_COLS + ["pr_auc_lift_abs", "pr_auc_lift_rel"])
+
+
+@query("permutation_importance")
+def permutation_importance_q(spark, sf):
+    """Accuracy drop per shuffled feature, 3 repeats."""
+    rows = ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL)
+    train = rows.filter(F.col("year_month") < TEST_START)
+    test = rows.filter(F.col("year_month") >= TEST_START)
+    model = ML.logistic_pipeline(MODEL_FEATURES, "target", 100, MODEL_CATEGORICAL) \
+        .fit(ML.with_balanced_weights(train, "target"))
+    return ML.permutation_importance(model, test, MODEL_FEATURES, "target", repeats=3, seed=42,
+                                     sample_n=100_000, id_cols=["l_orderkey", "l_quantity", "l_discount",
+                                                                "l_tax", "l_returnflag", "year_month"])
