@@ -14,14 +14,13 @@ Default plan (``nearest_asof``), linear in the input, no candidate pairs:
    observation is copied to every bucket its [t-N, t+N] span touches (at most
    2 when B >= 2N, ~17 % extra rows for B = 1 day, N = 2 h). The shuffle key
    is (key, bucket), so one hot key is spread over its days instead of one task.
-2. Observations are first reduced to one row per (key, time) with ``max_by``
-   (map-side partial aggregation), which makes the tie rules for equal times
-   a plain aggregate and the later window order total.
-3. Union left rows and observations; in each (key, bucket) partition take the
-   last observation at or before the row (ascending running frame, obs sort
-   before events at equal time) and the last observation strictly after it
-   (descending running frame). Both frames are O(n) running aggregates.
-4. Compare the two deltas, keep the winner if within N.
+2. Union left rows and observations (one shuffle on (key, bucket)); in each
+   partition take the last observation at or before the row (ascending
+   running frame, observations before events at equal time) and the last
+   observation strictly after it (descending running frame). Both frames are
+   O(n) running aggregates over one sort each. Observations at equal time are
+   ordered by preference, so the preferred duplicate is the one taken.
+3. Compare the two deltas, keep the winner if within N.
 
 Cross-check plan (``nearest_asof_candidates``): bucketed equi-join with the
 closed range predicate, then ``min_by`` per left row over a struct ranking
@@ -46,18 +45,18 @@ def _bucket_micros(window_hours: float, bucket_hours: float | None) -> int:
     return max(b, 1, n)
 
 
-def _prep_obs(obs: DataFrame, key: str, time: str, carry: list[str], prefer: list[str],
-              obs_key: str | None) -> DataFrame:
-    """One observation per (key, time): the preferred duplicate wins (W1 rule)."""
+def _obs_rows(obs: DataFrame, key: str, time: str, carry: list[str], prefer: list[str],
+              obs_key: str | None, n_us: int, bucket: int, ev_type) -> DataFrame:
+    """Observation rows of the union, copied to every bucket their closed window touches."""
     o = obs.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    payload = F.struct(*[F.col(c).alias(c) for c in carry])
-    # ranking struct: prefer columns descending, then total order on the payload
-    rank_parts = [F.col(c) for c in prefer]
-    if obs_key:
-        rank_parts.append(F.col(obs_key))
-    rank = F.struct(*rank_parts, payload) if rank_parts else payload
-    return (o.groupBy(F.col(key).alias("__k"), F.unix_micros(F.col(time)).alias("__t"))
-            .agg(F.max_by(payload, rank).alias("__o")))
+    t = F.unix_micros(F.col(time))
+    # preference among observations at the same time: larger is preferred
+    rank = F.struct(*[F.col(c) for c in prefer], *([F.col(obs_key)] if obs_key else []), F.lit(0).alias("__z"))
+    lo = F.floor((t - F.lit(n_us)) / F.lit(bucket)).cast("long")
+    hi = F.floor((t + F.lit(n_us)) / F.lit(bucket)).cast("long")
+    return o.select(F.col(key).alias("__k"), F.explode(F.sequence(lo, hi)).alias("__b"), t.alias("__t"),
+                    F.lit(0).alias("__side"), rank.alias("__r"), F.lit(None).cast(ev_type).alias("__e"),
+                    F.struct(t.alias("t"), F.struct(*[F.col(c).alias(c) for c in carry]).alias("p")).alias("__ob"))
 
 
 def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str,
@@ -65,17 +64,22 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                  prefer: list[str] | None = None, obs_key: str | None = None,
                  prefix: str = "obs_", status_col: str = "match_status",
                  lag_col: str = "lag_minutes", bucket_hours: float | None = None,
-                 keep_unmatchable: bool = False) -> DataFrame:
+                 keep_unmatchable: bool = False, spread_buckets: int = 4096) -> DataFrame:
     """Nearest-observation as-of join, window form (J6 + J7).
 
-    ``events`` keep all their columns. Output adds ``{prefix}{time}`` (the
-    matched observation time, named ``{prefix}ts``), one ``{prefix}{c}`` per
-    ``carry`` column, the status and the signed lag in minutes
-    (event time - observation time; positive = observation before the event).
+    ``events`` keep all their columns. Output adds ``{prefix}ts`` (the matched
+    observation time), one ``{prefix}{c}`` per ``carry`` column, the status
+    and the signed lag in minutes (event time - observation time; positive =
+    observation before the event).
+
+    Observations at the same time are ordered by ``prefer`` then ``obs_key``
+    (ascending) inside both windows, so the preferred one is met last in
+    either direction - the duplicate rule needs no extra aggregation.
 
-    Rows with null key or time cannot match; the reference drops rows with a
-    null event time (``keep_unmatchable=False``); with ``True`` they are kept
-    as unmatched. They never enter the shuffle, so nulls cannot form a hot key.
+    Rows with a null key cannot match and are kept as unmatched; rows with a
+    null event time are dropped (the reference) unless ``keep_unmatchable``.
+    Such rows get a null key and one of ``spread_buckets`` hash buckets, so
+    they travel through the same single shuffle without forming a hot key.
     """
     carry = list(carry if carry is not None else [c for c in obs.columns if c not in (key, obs_time)])
     prefer = list(prefer or [])
@@ -84,30 +88,26 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
     bucket = _bucket_micros(window_hours, bucket_hours)
     n_us = int(round(window_hours * _US_PER_HOUR))
     ev_cols = events.columns
+    ev_struct = F.struct(*[F.col(c) for c in ev_cols])
+    ev_type = events.select(ev_struct).schema[0].dataType
 
-    o = _prep_obs(obs, key, obs_time, carry, prefer, obs_key)
-    # copy each observation to every bucket its closed window touches
-    o = (o.withColumn("__b", F.explode(F.sequence(
-            F.floor((F.col("__t") - F.lit(n_us)) / F.lit(bucket)).cast("long"),
-            F.floor((F.col("__t") + F.lit(n_us)) / F.lit(bucket)).cast("long"))))
-         .select("__k", "__b", "__t", F.lit(0).alias("__side"),
-                 F.lit(None).cast(events.select(F.struct(*ev_cols)).schema[0].dataType).alias("__e"),
-                 F.struct(F.col("__t").alias("t"), F.col("__o").alias("p")).alias("__ob")))
+    o = _obs_rows(obs, key, obs_time, carry, prefer, obs_key, n_us, bucket, ev_type)
 
+    ev = events if keep_unmatchable else events.filter(F.col(event_time).isNotNull())
     matchable = F.col(key).isNotNull() & F.col(event_time).isNotNull()
-    ev = events.filter(matchable)
     ev_t = F.unix_micros(F.col(event_time))
-    e = ev.select(F.col(key).alias("__k"),
-                  F.floor(ev_t / F.lit(bucket)).cast("long").alias("__b"),
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in ev_cols]), F.lit(spread_buckets))
+    e = ev.select(F.when(matchable, F.col(key)).alias("__k"),
+                  F.when(matchable, F.floor(ev_t / F.lit(bucket)).cast("long")).otherwise(spread).alias("__b"),
                   ev_t.alias("__t"), F.lit(1).alias("__side"),
-                  F.struct(*[F.col(c) for c in ev_cols]).alias("__e"),
-                  F.lit(None).cast(o.schema["__ob"].dataType).alias("__ob"))
+                  F.lit(None).cast(o.schema["__r"].dataType).alias("__r"),
+                  ev_struct.alias("__e"), F.lit(None).cast(o.schema["__ob"].dataType).alias("__ob"))
 
     u = e.unionByName(o)
     part = Window.partitionBy("__k", "__b")
-    w_back = part.orderBy(F.col("__t").asc(), F.col("__side").asc()) \
+    w_back = part.orderBy(F.col("__t").asc(), F.col("__side").asc(), F.col("__r").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_fwd = part.orderBy(F.col("__t").desc(), F.col("__side").desc()) \
+    w_fwd = part.orderBy(F.col("__t").desc(), F.col("__side").desc(), F.col("__r").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = (u.withColumn("__prev", F.last("__ob", ignorenulls=True).over(w_back))
           .withColumn("__next", F.last("__ob", ignorenulls=True).over(w_fwd))
@@ -115,26 +115,12 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
 
     d_prev = F.col("__t") - F.col("__prev.t")
     d_next = F.col("__next.t") - F.col("__t")
-    prev_ok = F.col("__prev").isNotNull() & (d_prev <= F.lit(n_us))
-    next_ok = F.col("__next").isNotNull() & (d_next <= F.lit(n_us))
+    prev_ok = F.col("__k").isNotNull() & F.col("__prev").isNotNull() & (d_prev <= F.lit(n_us))
+    next_ok = F.col("__k").isNotNull() & F.col("__next").isNotNull() & (d_next <= F.lit(n_us))
     best = (F.when(prev_ok & (~next_ok | (d_prev <= d_next)), F.col("__prev"))
             .when(next_ok, F.col("__next")))
-    u = u.select("__e", best.alias("__best"))
-
-    out_cols = [F.col(f"__e.{c}").alias(c) for c in ev_cols]
-    out = u.select(*out_cols, F.col("__best").alias("__best"))
-    out = _finish(out, ev_cols, carry, prefix, status_col, lag_col, event_time)
-
-    # rows that cannot match never enter the shuffle: a null key would be one
-    # hot partition. Null key -> kept unmatched (as in the reference); null
-    # event time -> dropped unless keep_unmatchable.
-    unmatchable = F.col(event_time).isNotNull() & F.col(key).isNull()
-    if keep_unmatchable:
-        unmatchable = ~matchable
-    rest = events.filter(unmatchable).withColumn(
-        "__best", F.lit(None).cast(u.schema["__best"].dataType))
-    out = out.unionByName(_finish(rest, ev_cols, carry, prefix, status_col, lag_col, event_time))
-    return out
+    out = u.select(*[F.col(f"__e.{c}").alias(c) for c in ev_cols], best.alias("__best"))
+    return _finish(out, ev_cols, carry, prefix, status_col, lag_col, event_time)
 
 
 def _finish(df: DataFrame, ev_cols: list[str], carry: list[str], prefix: str,
