@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearcast.session import materialize
+
 DEFAULT_BUCKETS = 64
 
 
@@ -139,7 +141,8 @@ def ranking_metrics(df: DataFrame, score, label, segments: list[str] | None = No
     """pr_auc (step AP), roc_auc, brier, positive_rate, n_rows, precision_at_recall_50,
     lift_at_top_decile (+ pr_auc_trapezoid) - one row per segment (M9, M10, M16, M19)."""
     segs = list(segments or [])
-    cum = cumulative_table(df, score, label, segs)
+    # the cumulative table feeds 2-3 branches: materialise it once
+    cum = materialize(cumulative_table(df, score, label, segs))
     m = cum.groupBy(*segs).agg(*_metric_aggs())
     parts = [top_decile_lift(cum, segs)]
     if trapezoid:
@@ -232,7 +235,7 @@ def calibration_bins(df: DataFrame, score, label, n_bins: int = 10) -> DataFrame
     score's bin is the number of inner edges strictly below it. Only
     non-empty bins appear.
     """
-    cum = cumulative_table(df, score, label, None)
+    cum = materialize(cumulative_table(df, score, label, None))
     names = [f"e{i}" for i in range(1, n_bins)]
     edges = exact_quantiles_from_counts(cum, [i / n_bins for i in range(1, n_bins)], [], names)
     edges = edges.select(F.array(*[F.col(c) for c in names]).alias("__edges"))

@@ -91,9 +91,23 @@ def readiness(extent: DataFrame, thresholds: list[tuple[str, int, int]]) -> Data
                     F.when(ok, "GO").otherwise("NO_GO").alias("decision"))
 
 
-def run_suite(checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Named checks -> (name, violations, passed), one aggregate per check, one union (Q16)."""
-    parts = []
+def row_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Many row-level checks on one table in one pass: (name, violations) rows.
+
+    Each condition marks a violating row (null counts as not violating).
+    """
+    agg = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
+    stack = ", ".join(f"'{n}', `{n}`" for n in checks)
+    return agg.selectExpr(f"stack({len(checks)}, {stack}) as (name, violations)")
+
+
+def run_suite(checks: dict[str, Callable[[], DataFrame]],
+              grouped: list[DataFrame] | None = None) -> DataFrame:
+    """Named checks -> (name, violations, passed), one aggregate per check, one union (Q16).
+
+    ``grouped`` adds ready (name, violations) frames, e.g. from :func:`row_checks`.
+    """
+    parts = list(grouped or [])
     for name, fn in checks.items():
         parts.append(fn().agg(F.count(F.lit(1)).alias("violations"))
                      .select(F.lit(name).alias("name"), "violations"))

@@ -70,3 +70,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from the copy.
+
+    For an expensive intermediate that several branches of one plan read:
+    Spark only shares a shuffle between branches when their plans
+    canonicalise identically, which inferred filters often prevent. A
+    reliable checkpoint (not a local one) survives executor loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
