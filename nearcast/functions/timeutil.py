@@ -40,14 +40,40 @@ def hhmm_to_local(date, t) -> Column:
     d = _col(date).cast("date")
     raw = F.trim(F.coalesce(_col(t).cast("string"), F.lit("")))
     s = hhmm_string(t)
-    hh = F.substring(s, 1, 2).try_cast("int")
-    mm = F.substring(s, 3, 2).try_cast("int")
-    midnight = F.to_timestamp(d)
+    return _local_from_parts(d, raw, F.substring(s, 1, 2).try_cast("int"), F.substring(s, 3, 2).try_cast("int"))
+
+
+def _local_from_parts(d: Column, raw: Column, hh: Column, mm: Column) -> Column:
     return (F.when(d.isNull(), F.lit(None).cast("timestamp"))
             .when(raw.isin("", "NA"), F.lit(None).cast("timestamp"))
             .when((hh == 24) & (mm == 0), F.to_timestamp(F.date_add(d, 1)))
             .when(hh.isNull() | mm.isNull() | (hh > 23) | (mm > 59), F.lit(None).cast("timestamp"))
-            .otherwise(F.timestamp_add("MINUTE", hh * 60 + mm, midnight)))
+            .otherwise(F.timestamp_add("MINUTE", hh * 60 + mm, F.to_timestamp(d))))
+
+
+def with_local_and_utc(df, date, specs: list[tuple[str, str, object, str | None]]):
+    """Add local and UTC timestamps for several HHMM columns (H-DT1-3) - DataFrame form.
+
+    ``specs``: (hhmm column, local output, zone column/literal, UTC output or
+    None). The padded text, hour and minute are projected once; the
+    optimizer does not inline a non-trivial column that is read several
+    times, so the parse runs once per row instead of once per CASE branch.
+    """
+    d = _col(date).cast("date")
+    parts = []
+    for i, (t, _, _, _) in enumerate(specs):
+        s = hhmm_string(t)
+        parts += [F.trim(F.coalesce(_col(t).cast("string"), F.lit(""))).alias(f"__raw{i}"),
+                  F.substring(s, 1, 2).try_cast("int").alias(f"__hh{i}"),
+                  F.substring(s, 3, 2).try_cast("int").alias(f"__mm{i}")]
+    out = df.select("*", d.alias("__d"), *parts)
+    out = out.select("*", *[_local_from_parts(F.col("__d"), F.col(f"__raw{i}"), F.col(f"__hh{i}"),
+                                              F.col(f"__mm{i}")).alias(local)
+                            for i, (_, local, _, _) in enumerate(specs)])
+    utc_cols = [local_to_utc(F.col(local), zone).alias(utc) for _, local, zone, utc in specs if utc]
+    out = out.select("*", *utc_cols) if utc_cols else out
+    drop = ["__d"] + [f"__{k}{i}" for i in range(len(specs)) for k in ("raw", "hh", "mm")]
+    return out.drop(*drop)
 
 
 def local_to_utc(local_ts, zone) -> Column:

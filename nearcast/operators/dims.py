@@ -15,16 +15,21 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    ``known_rows`` is a bound proven by construction (a seed built from a
+    literal list); then no counting job is needed.
+    """
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, how: str = "inner",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
     """Join a dimension: inner drops unknown keys (J2, J4), left keeps them."""
-    return df.join(bounded_broadcast(dim, max_rows), on, how)
+    return df.join(bounded_broadcast(dim, max_rows, known_rows), on, how)
 
 
 def assemble(base: DataFrame, *dims: tuple[DataFrame, object, str]) -> DataFrame:

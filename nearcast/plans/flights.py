@@ -160,15 +160,11 @@ def departure_context(flights: DataFrame, dim: DataFrame) -> DataFrame:
          .withColumnRenamed("dep_time_local", "dep_time_hhmm")
          .withColumnRenamed("crs_arr_time_local", "crs_arr_time_hhmm")
          .withColumnRenamed("arr_time_local", "arr_time_hhmm"))
-    pairs = [("crs_dep_time_hhmm", "crs_dep_time_local", "crs_dep_time_utc", "origin_timezone"),
-             ("dep_time_hhmm", "dep_time_local", "actual_dep_time_utc", "origin_timezone"),
-             ("crs_arr_time_hhmm", "crs_arr_time_local", "crs_arr_time_utc", "dest_timezone"),
-             ("arr_time_hhmm", "arr_time_local", "arr_time_utc", "dest_timezone")]
-    for hhmm, local, utc, zone in pairs:
-        loc = TU.hhmm_to_local(F.col("flight_date"), F.col(hhmm))
-        f = f.withColumn(local, loc)
-        conv = TU.local_to_utc(F.col(local), F.col(zone))
-        f = f.withColumn(utc, F.when(F.col(zone).isNotNull(), conv) if zone == "dest_timezone" else conv)
+    f = TU.with_local_and_utc(f, "flight_date", [
+        ("crs_dep_time_hhmm", "crs_dep_time_local", F.col("origin_timezone"), "crs_dep_time_utc"),
+        ("dep_time_hhmm", "dep_time_local", F.col("origin_timezone"), "actual_dep_time_utc"),
+        ("crs_arr_time_hhmm", "crs_arr_time_local", F.col("dest_timezone"), "crs_arr_time_utc"),
+        ("arr_time_hhmm", "arr_time_local", F.col("dest_timezone"), "arr_time_utc")])
     anchor, source = TU.departure_anchor("actual_dep_time_utc", "crs_dep_time_utc", "is_cancelled")
     return f.withColumn("dep_time_utc", anchor).withColumn("dep_time_source", source)
 

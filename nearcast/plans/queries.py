@@ -234,13 +234,12 @@ def hhmm_to_utc_q(spark, sf):
     """H-DT1-4, K3: HHMM text + date in an IANA zone -> UTC -> local round trip."""
     zones = spark.createDataFrame(PRIORITY_ZONES, "o_orderpriority string, zone string")
     o = _load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    x = DM.lookup(o, zones, "o_orderpriority").select(
+    x = DM.lookup(o, zones, "o_orderpriority", known_rows=len(PRIORITY_ZONES)).select(
         "o_orderkey", "zone", (F.col("o_orderkey") % 2500).cast("string").alias("hhmm"),
         F.to_date("o_orderdate").alias("d"))
-    local = TU.hhmm_to_local(F.col("d"), F.col("hhmm"))
-    x = x.select("o_orderkey", "zone", "hhmm", local.alias("local_ts"))
-    x = x.withColumn("utc_ts", TU.local_to_utc(F.col("local_ts"), F.col("zone")))
-    return x.withColumn("round_trip_ts", TU.utc_to_local(F.col("utc_ts"), F.col("zone")))
+    x = TU.with_local_and_utc(x, "d", [("hhmm", "local_ts", F.col("zone"), "utc_ts")])
+    return x.select("o_orderkey", "zone", "hhmm", "local_ts", "utc_ts",
+                    TU.utc_to_local(F.col("utc_ts"), F.col("zone")).alias("round_trip_ts"))
 
 
 @query("surrogate_key")
