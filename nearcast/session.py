@@ -21,6 +21,11 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Constraint propagation re-derives every predicate through every alias;
+    # plans with many aliased time columns (four local/UTC pairs per flight)
+    # grow it combinatorially (minutes of planning, driver OOM). Filters that
+    # matter are written explicitly next to the scans instead.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

@@ -11,8 +11,13 @@ from nearcast.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="nearcast-test-ckpt-")})
+    extra = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="nearcast-test-ckpt-"),
+             "spark.driver.memory": "4g"}
+    # extra settings for a run, e.g. NEARCAST_SPARK_CONF="spark.sql.x=1,spark.sql.y=2"
+    for kv in filter(None, os.environ.get("NEARCAST_SPARK_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        extra[k] = v
+    s = build_session("local[4]", shuffle_partitions=4, extra=extra)
     yield s
     s.stop()
 
