@@ -64,7 +64,8 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                  prefer: list[str] | None = None, obs_key: str | None = None,
                  prefix: str = "obs_", status_col: str = "match_status",
                  lag_col: str = "lag_minutes", bucket_hours: float | None = None,
-                 keep_unmatchable: bool = False, spread_buckets: int = 4096) -> DataFrame:
+                 keep_unmatchable: bool = False, spread_buckets: int = 4096,
+                 salt: int = 1, hot_threshold: int | None = None) -> DataFrame:
     """Nearest-observation as-of join, window form (J6 + J7).
 
     ``events`` keep all their columns. Output adds ``{prefix}ts`` (the matched
@@ -80,6 +81,13 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
     null event time are dropped (the reference) unless ``keep_unmatchable``.
     Such rows get a null key and one of ``spread_buckets`` hash buckets, so
     they travel through the same single shuffle without forming a hot key.
+
+    Skew: with ``salt`` > 1, the events of a hot (key, bucket) - more than
+    ``hot_threshold`` events, found by a map-side pre-aggregated count; all
+    pairs when no threshold is given - are split over ``salt`` sub-partitions
+    by a hash of the event, and that pair's observations are copied to each
+    sub-partition, so every sub-partition still sees every candidate and the
+    result is unchanged.
     """
     carry = list(carry if carry is not None else [c for c in obs.columns if c not in (key, obs_time)])
     prefer = list(prefer or [])
@@ -103,8 +111,12 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                   F.lit(None).cast(o.schema["__r"].dataType).alias("__r"),
                   ev_struct.alias("__e"), F.lit(None).cast(o.schema["__ob"].dataType).alias("__ob"))
 
+    if salt > 1:
+        e, o = _salt(e, o, salt, hot_threshold)
+    else:
+        e, o = e.withColumn("__s", F.lit(0)), o.withColumn("__s", F.lit(0))
     u = e.unionByName(o)
-    part = Window.partitionBy("__k", "__b")
+    part = Window.partitionBy("__k", "__b", "__s")
     w_back = part.orderBy(F.col("__t").asc(), F.col("__side").asc(), F.col("__r").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_fwd = part.orderBy(F.col("__t").desc(), F.col("__side").desc(), F.col("__r").asc()) \
@@ -123,6 +135,26 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
     return _finish(out, ev_cols, carry, prefix, status_col, lag_col, event_time)
 
 
+def _salt(e: DataFrame, o: DataFrame, salt: int, hot_threshold: int | None):
+    """Split hot (key, bucket) groups over ``salt`` sub-partitions (events hashed, observations copied)."""
+    from nearcast.operators.dims import bounded_broadcast
+    ev_salt = F.pmod(F.xxhash64(F.col("__e")), F.lit(salt)).cast("int")
+    if hot_threshold is None:
+        e = e.withColumn("__s", F.when(F.col("__k").isNotNull(), ev_salt).otherwise(F.lit(0)))
+        o = o.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        return e, o
+    hot = (e.filter(F.col("__k").isNotNull()).groupBy("__k", "__b").count()
+           .filter(F.col("count") > hot_threshold).select("__k", "__b", F.lit(True).alias("__hot")))
+    # at most (#events / hot_threshold) pairs; broadcast only behind the size check
+    hot = bounded_broadcast(hot)
+    e = e.join(hot, ["__k", "__b"], "left") \
+        .withColumn("__s", F.when(F.col("__hot"), ev_salt).otherwise(F.lit(0))).drop("__hot")
+    o = o.join(hot, ["__k", "__b"], "left") \
+        .withColumn("__s", F.explode(F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(salt - 1))
+                                                .otherwise(F.lit(0))))).drop("__hot")
+    return e, o
+
+
 def _finish(df: DataFrame, ev_cols: list[str], carry: list[str], prefix: str,
             status_col: str, lag_col: str, event_time: str) -> DataFrame:
     matched = F.col("__best").isNotNull()

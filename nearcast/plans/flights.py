@@ -45,6 +45,9 @@ class Params:
     strict_utc_window: bool = False
     pad_month: bool = True
     strict_numeric: bool = True
+    # skew: split (airport, day) groups with more than hot_threshold departures over `salt` tasks
+    salt: int = 1
+    hot_threshold: int | None = None
 
 
 # Raw flight column -> typed column.
@@ -185,7 +188,8 @@ def weather_at_departure(ctx: DataFrame, weather: DataFrame, p: Params = Params(
     obs = weather.select(F.col("airport_code").alias("origin"), "valid_utc", *WEATHER_CARRY)
     out = nearest_asof(f, obs, key="origin", event_time="dep_time_utc", obs_time="valid_utc",
                        window_hours=p.window_hours, carry=WEATHER_CARRY, prefer=["loaded_at"],
-                       prefix="w__", status_col="weather_match_status", lag_col="weather_obs_lag_minutes")
+                       prefix="w__", status_col="weather_match_status", lag_col="weather_obs_lag_minutes",
+                       salt=p.salt, hot_threshold=p.hot_threshold)
     ren = {"w__ts": "weather_valid_utc", "w__weather_station_id": "matched_weather_station_id",
            "w__loaded_at": "weather_loaded_at"}
     for c in out.columns:

@@ -113,9 +113,14 @@ def test_random_against_brute_force(spark):
     c = {r["eid"]: r["obs_oid"] for r in nearest_asof_candidates(ev, ob, event_id="eid", **kw).collect()}
     # small buckets force many bucket edges and replicated observations
     s = {r["eid"]: r["obs_oid"] for r in nearest_asof(ev, ob, bucket_hours=3.0, **kw).collect()}
+    # salting: hot (key, bucket) groups split over sub-partitions, and all groups salted
+    h = {r["eid"]: r["obs_oid"] for r in nearest_asof(ev, ob, salt=3, hot_threshold=20, **kw).collect()}
+    a = {r["eid"]: r["obs_oid"] for r in nearest_asof(ev, ob, salt=4, **kw).collect()}
     assert w == expect
     assert c == expect
     assert s == expect
+    assert h == expect
+    assert a == expect
     ex = {r["eid"]: r["has_obs_in_window"] for r in exists_in_window(
         ev, ob, key="k", event_time="t", obs_time="t", window_hours=1.5).collect()}
     assert ex == {k: v is not None for k, v in expect.items()}
