@@ -176,14 +176,18 @@ def nearest_asof_candidates(events: DataFrame, obs: DataFrame, *, key: str, even
                             bucket_hours: float | None = None) -> DataFrame:
     """Cross-check form: bucketed range join + ``min_by`` per event (J5 + J6).
 
-    ``event_id`` must be unique on ``events``. Candidates are only pairs inside
-    the closed window; the ``min_by`` aggregate combines map-side.
+    ``event_id`` must be unique on ``events``. Buckets default to the window
+    width N, and observations are copied to the buckets their +/- N span
+    touches (at most 3). An event therefore meets only observations within
+    N + one bucket of itself, about 1.5x the in-window candidates the
+    reference ranks, never all pairs of a key. The range predicate keeps the
+    in-window ones, and ``min_by`` combines map-side.
     """
     carry = list(carry if carry is not None else [c for c in obs.columns if c not in (key, obs_time)])
     prefer = list(prefer or [])
     if obs_key and obs_key not in carry:
         carry.append(obs_key)
-    bucket = _bucket_micros(window_hours, bucket_hours)
+    bucket = _bucket_micros(window_hours, bucket_hours if bucket_hours else window_hours)
     n_us = int(round(window_hours * _US_PER_HOUR))
 
     o = (obs.filter(F.col(key).isNotNull() & F.col(obs_time).isNotNull())

@@ -21,17 +21,20 @@ def keyed_merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFra
     """Delete target rows whose key is in the batch, insert all batch rows.
 
     Batch duplicates survive (as in delete+insert). New batch columns are
-    appended; old rows get nulls there (I2). The anti join shuffles only the
-    batch's distinct keys against the target.
+    appended; old rows get nulls there (I2).
     """
-    batch_keys = batch.select(*keys).distinct()
+    from nearcast.operators.dims import bounded_broadcast
+    # a batch (one month) has far fewer keys than the target: broadcast them
+    # behind the size check so the target is filtered in place, not shuffled
+    batch_keys = bounded_broadcast(batch.select(*keys).distinct())
     kept = target.join(batch_keys, keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
 def replace_partitions(target: DataFrame, batch: DataFrame, part_cols: list[str]) -> DataFrame:
     """Partition reload: every target partition present in the batch is replaced."""
-    touched = batch.select(*part_cols).distinct()
+    from nearcast.operators.dims import bounded_broadcast
+    touched = bounded_broadcast(batch.select(*part_cols).distinct())
     kept = target.join(touched, part_cols, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
