@@ -97,10 +97,15 @@ def unmatched_report(fact: DataFrame, key: str, ym: str, date: str, matched: Col
     return R.tagged_union([totals.drop("__gid"), worst.drop("__gid"), samp]).select(*cols)
 
 
-def lag_report(matched_fact: DataFrame, keys: list[str], lag: str) -> DataFrame:
-    """Exact percentiles, before/at/after split and lag histogram."""
+def lag_report(matched_fact: DataFrame, keys: list[str], lag: str, window_hours: float | None = None) -> DataFrame:
+    """Exact percentiles, before/at/after split and lag histogram.
+
+    Matched lags lie in [-60 N, 60 N] minutes, so with ``window_hours`` the
+    percentile prefix sum uses a fixed grid over that range (no extra pass).
+    """
     f = matched_fact.filter(F.col(lag).isNotNull())
-    pct = A.percentiles(f, keys, lag).withColumnRenamed("n", "matched_flights") \
+    grid = (-60.0 * window_hours, 60.0 * window_hours, 1 << 16) if window_hours else None
+    pct = A.percentiles(f, keys, lag, grid=grid).withColumnRenamed("n", "matched_flights") \
         .withColumn("report", F.lit("percentile"))
     timing = B.timing_label(F.col(lag))
     split = f.groupBy(*keys).agg(

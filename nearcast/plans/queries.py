@@ -166,7 +166,7 @@ def unmatched_by_date_q(spark, sf):
 def lag_distribution_q(spark, sf):
     """Exact percentiles, timing split, lag histogram."""
     f = _fact(spark, sf).filter(F.col("match_status") == "matched")
-    return AN.lag_report(f, ["obs_event_type", "year_month"], "lag_minutes")
+    return AN.lag_report(f, ["obs_event_type", "year_month"], "lag_minutes", X.WINDOW_HOURS)
 
 
 @query("dep_time_distribution")
