@@ -78,12 +78,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from the copy.
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder; read it back.
 
     For an expensive intermediate that several branches of one plan read:
     Spark only shares a shuffle between branches when their plans
-    canonicalise identically, which inferred filters often prevent. A
-    reliable checkpoint (not a local one) survives executor loss.
+    canonicalise identically, which inferred filters often prevent. The
+    written table cuts the lineage (a lost executor re-reads files, it does
+    not recompute the join), and unlike ``Dataset.checkpoint`` the plan is
+    evaluated once (one columnar write, no second pass to fill the
+    checkpoint).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
