@@ -339,3 +339,92 @@ def time_parsing_report(spark, samples: list[str | None] | None = None, day: str
     utc = TU.local_to_utc(loc, zone)
     return df.select("sample_order", "hhmm", TU.hhmm_string("hhmm").alias("hhmm_padded"), loc.alias("local_ts"),
                      utc.alias("utc_ts"), TU.utc_to_local(utc, zone).alias("round_trip_local"))
+
+
+# ----------------------------------------------------------------- named analyses
+
+def _scoped(df: DataFrame, scope: list[tuple[str, str]] | None, key: str = "origin") -> DataFrame:
+    """Restrict to (airport, year_month) scope rows (P26, J9); all rows when no scope."""
+    if not scope:
+        return df
+    s = df.sparkSession.createDataFrame(scope, f"{key} string, year_month string")
+    return DM.lookup(df, s, [key, "year_month"], "inner", known_rows=len(scope))
+
+
+def _hour(df: DataFrame) -> DataFrame:
+    return df.withColumn("dep_hour_utc", F.hour("dep_time_utc"))
+
+
+def join_feasibility(ctx: DataFrame, weather: DataFrame, p: Params = Params(),
+                     scope: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Share of flights with any observation within +/- N h, at 3 grains."""
+    from nearcast.operators.asof import exists_in_window
+    f = _scoped(ctx, scope).select("flight_id", "origin", "year_month", "flight_date", "dep_time_utc")
+    obs = weather.select(F.col("airport_code").alias("origin"), "valid_utc")
+    e = exists_in_window(f, obs, key="origin", event_time="dep_time_utc", obs_time="valid_utc",
+                         window_hours=p.window_hours, flag="has_obs")
+    from nearcast.plans import analyses as AN
+    return AN.coverage_grains(_hour(e), "origin", "year_month", "flight_date", "dep_hour_utc", F.col("has_obs"))
+
+
+def analyses(m: dict[str, DataFrame], p: Params = Params(), scope: list[tuple[str, str]] | None = None,
+             year_month: str | None = None, low_match_pct: float = 90.0) -> dict[str, DataFrame]:
+    """The reference's analyses over built models, by name.
+
+    ``scope`` is the (airport, year_month) list the scoped analyses use;
+    ``year_month`` the month of the month-wide coverage report.
+    """
+    from nearcast.plans import analyses as AN
+    joined = m["joined"]
+    scoped = _hour(_scoped(joined, scope))
+    matched = F.col("weather_match_status") == "matched"
+    month = joined.filter(F.col("year_month") == year_month) if year_month else joined
+    return {
+        "delay_by_airport_hour_top": AN.hotspot_report(m["agg_delay_by_airport_hour"], "origin", "dep_hour_utc"),
+        "delay_by_weather_bucket": AN.weather_bucket_report(m["agg_delay_by_weather_bucket"]),
+        "delay_carrier_route_top": AN.route_report(m["agg_delay_by_carrier_route"],
+                                                   ["reporting_airline", "origin", "dest"]),
+        "weather_join_coverage": AN.coverage_grains(scoped, "origin", "year_month", "flight_date",
+                                                    "dep_hour_utc", matched),
+        "weather_join_coverage_month": AN.coverage_overall(month, "origin", "year_month", matched, low_match_pct),
+        "weather_join_unmatched": AN.unmatched_report(scoped, "origin", "year_month", "flight_date", matched),
+        "weather_obs_lag_distribution": AN.lag_report(scoped.filter(matched), ["origin", "year_month"],
+                                                      "weather_obs_lag_minutes", p.window_hours),
+        "dep_time_distribution": AN.time_sanity_report(_scoped(m["departure_context"], scope), "origin",
+                                                       "dep_time_utc"),
+        "join_feasibility_coverage": join_feasibility(m["departure_context"], m["weather_enriched"], p, scope),
+        "materialization_coverage_by_month": A.coverage_by(joined, ["year_month"], matched),
+        "materialization_coverage_by_airport_month": A.coverage_by(joined, ["origin", "year_month"], matched),
+        "materialization_unmatched_by_origin": AN.unmatched_top(joined, "origin", matched),
+        "materialization_row_counts": A.key_counts(joined, ["flight_id"]),
+    }
+
+
+def validation_report(m: dict[str, DataFrame]) -> DataFrame:
+    """Post-build validation: counts, duplicates, coverage by month, unmatched top 10, parity."""
+    from nearcast.operators import reports as R
+    joined, fct = m["joined"], m["fct_flights"]
+    matched = F.col("weather_match_status") == "matched"
+    rows = A.key_counts(joined, ["flight_id"]).select(
+        F.lit("row_counts").alias("section"), F.lit(None).cast("string").alias("item"),
+        F.col("row_count").cast("double").alias("v1"), F.col("duplicate_keys").cast("double").alias("v2"))
+    cov = A.coverage_by(joined, ["year_month"], matched).select(
+        F.lit("coverage_by_month").alias("section"), F.col("year_month").alias("item"),
+        F.col("flights").cast("double").alias("v1"), F.col("match_pct").alias("v2"))
+    from nearcast.plans import analyses as AN
+    unm = AN.unmatched_top(joined, "origin", matched).select(
+        F.lit("unmatched_top").alias("section"), F.col("origin").alias("item"),
+        F.col("flights").cast("double").alias("v1"), F.col("unmatched_flights").cast("double").alias("v2"))
+    par = joined.agg(F.count(F.lit(1)).alias("a")).crossJoin(fct.agg(F.count(F.lit(1)).alias("b"))).select(
+        F.lit("fct_parity").alias("section"), F.lit(None).cast("string").alias("item"),
+        F.col("a").cast("double").alias("v1"), (F.col("b") - F.col("a")).cast("double").alias("v2"))
+    return R.tagged_union([rows, cov, unm, par])
+
+
+def full_history_suite(m: dict[str, DataFrame], p: Params = Params()) -> dict:
+    """Checks that stay valid over the whole history (Q16): keys, values, parity, window."""
+    c = critical_suite(m, p)
+    keep = ["not_null_fct_flight_id", "unique_fct_flight_id", "accepted_values_match_status",
+            "fct_row_count_parity", "matched_within_window", "cancelled_not_eligible",
+            "weather_flag_consistent"]
+    return {k: c[k] for k in keep}

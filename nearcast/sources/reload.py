@@ -201,3 +201,24 @@ def running_counts(counts: DataFrame, ym_col: str = "year_month") -> DataFrame:
     """Per-month and running totals (one row per month: a bounded window)."""
     return counts.withColumn("running_rows", F.sum("rows").over(
         Window.orderBy(ym_col).rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def content_hash(df: DataFrame, exclude: list[str] | None = None) -> tuple[int, int]:
+    """(row count, order-insensitive content hash) of a table - one distributed aggregate."""
+    cols = [c for c in df.columns if c not in (exclude or [])]
+    h = F.xxhash64(*[F.col(c) for c in cols])
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("h")).first()
+    return int(r["n"]), int(r["h"] or 0)
+
+
+def idempotency_check(spark: SparkSession, load, path: str, exclude: list[str] | None = None) -> dict:
+    """Run ``load()`` twice; the table must have equal, non-zero counts and content.
+
+    Lineage columns that change per run (``run_id``, ``loaded_at``) are excluded.
+    """
+    exclude = exclude if exclude is not None else ["run_id", "loaded_at"]
+    load()
+    first = content_hash(spark.read.parquet(path), exclude)
+    load()
+    second = content_hash(spark.read.parquet(path), exclude)
+    return {"first": first, "second": second, "passed": first == second and first[0] > 0}

@@ -111,3 +111,18 @@ def test_time_parsing_report(spark):
     assert r["800"]["utc_ts"] == datetime(2025, 1, 15, 13, 0)
     assert r["2400"]["local_ts"] == datetime(2025, 1, 16, 0, 0)
     assert r[None]["local_ts"] is None
+
+
+def test_named_analyses_run(spark, models):
+    m, p = models
+    res = FL.analyses(m, p, scope=[("JFK", "2025-01"), ("PHX", "2025-01")], year_month="2025-01")
+    for name, df in res.items():
+        df.collect()
+    cov = {(r["grain"], r["origin"]) for r in res["weather_join_coverage"].collect()}
+    assert ("airport", "JFK") in cov and ("airport", "PHX") in cov
+    feas = {r["origin"]: r["match_pct"] for r in res["join_feasibility_coverage"].filter("grain = 'airport'").collect()}
+    assert feas["PHX"] == 100.0 and feas["JFK"] == 50.0       # JFK: the 23:30 local departure has none
+    rep = {r["section"] for r in FL.validation_report(m).collect()}
+    assert rep == {"row_counts", "coverage_by_month", "unmatched_top", "fct_parity"}
+    suite = {r["name"]: r["violations"] for r in Q.run_suite(FL.full_history_suite(m, p)).collect()}
+    assert all(v == 0 for v in suite.values())

@@ -122,3 +122,10 @@ def test_streaming_drop_ingest(spark, tmp_dir):
     t = spark.read.parquet(target)
     assert t.count() == 5                                           # new file only, no double load
     assert {r["station"] for r in t.select("station").distinct().collect()} == {"ATL", "ORD"}
+
+
+def test_idempotency_check(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "raw")
+    b = spark.createDataFrame([("2025-01", "a", "run-x"), ("2025-02", "b", "run-x")], "year_month string, v string, run_id string")
+    res = RL.idempotency_check(spark, lambda: RL.reload_partitions(spark, b, target, ["year_month"]), target)
+    assert res["passed"] and res["first"][0] == 2
