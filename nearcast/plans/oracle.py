@@ -730,3 +730,16 @@ SELECT (SELECT count(*) FROM key_hour) AS airport_hour_rows, (SELECT count(*) FR
 FROM (SELECT 1 AS one) d LEFT JOIN top ON true LEFT JOIN busy ON true LEFT JOIN precip ON true
      LEFT JOIN rt ON true
 """
+
+ORACLE["month_reload"] = """
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m') AS year_month
+           FROM orders),
+l AS (SELECT l_orderkey, count(*) AS line_count, sum(l_quantity) AS total_qty FROM lineitem GROUP BY l_orderkey),
+b AS (SELECT t.o_orderkey, t.o_custkey, t.o_orderstatus, t.year_month, l.line_count, l.total_qty
+      FROM t LEFT JOIN l ON t.o_orderkey = l.l_orderkey WHERE t.o_orderstatus = 'F')
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, year_month, NULL::BIGINT AS line_count,
+       NULL::DOUBLE AS total_qty
+FROM t WHERE year_month NOT IN (SELECT DISTINCT year_month FROM b)
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, NULL::DOUBLE, year_month, line_count, total_qty FROM b
+"""

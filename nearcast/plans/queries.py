@@ -297,6 +297,24 @@ def keyed_merge_q(spark, sf):
     return keyed_merge(o, batch, ["o_orderkey"])
 
 
+@query("month_reload")
+def month_reload_q(spark, sf):
+    """Partition reload - every month present in the batch is replaced whole.
+
+    Batch: the 'F' orders re-loaded with line count and quantity recomputed
+    from their lines; orders of a touched month missing from the batch are
+    gone afterwards, untouched months stay.
+    """
+    from nearcast.operators.incremental import replace_partitions
+    o = _load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                          F.date_format("o_orderdate", "yyyy-MM").alias("year_month"))
+    lines = _load(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("l_quantity").alias("total_qty"))
+    batch = o.filter(F.col("o_orderstatus") == "F").drop("o_totalprice") \
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    return replace_partitions(o, batch, ["year_month"])
+
+
 @query("coverage_extent")
 def coverage_extent_q(spark, sf):
     """Rows, months, min/max month, distinct unit-months and units.
