@@ -45,6 +45,9 @@ class Params:
     strict_utc_window: bool = False
     pad_month: bool = True
     strict_numeric: bool = True
+    # K2: actual departure = scheduled + departure delay (handles midnight
+    # rollover); default keeps the reference's same-date parse of the HHMM text
+    actual_from_delay: bool = False
     # skew: split (airport, day) groups with more than hot_threshold departures over `salt` tasks
     salt: int = 1
     hot_threshold: int | None = None
@@ -152,7 +155,7 @@ def dim_airports(airports: DataFrame, timezones: DataFrame, stations: DataFrame)
                        (tz, "airport_code", "inner"), (st, "airport_code", "inner"))
 
 
-def departure_context(flights: DataFrame, dim: DataFrame) -> DataFrame:
+def departure_context(flights: DataFrame, dim: DataFrame, p: Params = Params()) -> DataFrame:
     """Origin (inner) and destination (left) zones, local -> UTC times, departure anchor (J2, J3, H-DT2-3, P18)."""
     o = dim.select(F.col("airport_code").alias("origin"), F.col("timezone").alias("origin_timezone"),
                    F.col("weather_station_id").alias("origin_weather_station_id"))
@@ -168,6 +171,11 @@ def departure_context(flights: DataFrame, dim: DataFrame) -> DataFrame:
         ("dep_time_hhmm", "dep_time_local", F.col("origin_timezone"), "actual_dep_time_utc"),
         ("crs_arr_time_hhmm", "crs_arr_time_local", F.col("dest_timezone"), "crs_arr_time_utc"),
         ("arr_time_hhmm", "arr_time_local", F.col("dest_timezone"), "arr_time_utc")])
+    if p.actual_from_delay:
+        delay_s = (F.col("dep_delay_minutes").cast("double") * 60).cast("long")
+        f = f.withColumn("actual_dep_time_utc", F.when(
+            F.col("dep_time_hhmm").isNotNull() & F.col("dep_delay_minutes").isNotNull(),
+            F.timestamp_add("SECOND", delay_s, F.col("crs_dep_time_utc"))))
     anchor, source = TU.departure_anchor("actual_dep_time_utc", "crs_dep_time_utc", "is_cancelled")
     return f.withColumn("dep_time_utc", anchor).withColumn("dep_time_source", source)
 
@@ -238,7 +246,7 @@ def build_marts(raw_flights: DataFrame, raw_weather: DataFrame, airports: DataFr
                 stations: DataFrame, p: Params = Params()) -> dict[str, DataFrame]:
     """The whole chain as lazy DataFrames (write the joined table and fact to materialise)."""
     dim = dim_airports(airports, timezones, stations)
-    ctx = departure_context(stg_flights(raw_flights, p), dim)
+    ctx = departure_context(stg_flights(raw_flights, p), dim, p)
     wx = weather_enriched(stg_weather(raw_weather, p), dim)
     joined = weather_at_departure(ctx, wx, p)
     fct = fct_flights(joined)

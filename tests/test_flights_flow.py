@@ -126,3 +126,14 @@ def test_named_analyses_run(spark, models):
     assert rep == {"row_counts", "coverage_by_month", "unmatched_top", "fct_parity"}
     suite = {r["name"]: r["violations"] for r in Q.run_suite(FL.full_history_suite(m, p)).collect()}
     assert all(v == 0 for v in suite.values())
+
+
+def test_k2_midnight_rollover_option(spark):
+    raw = spark.createDataFrame([flight("AA", "9", "JFK", "ORD", "2025-01-15", "2350", "0030", delay="40.00",
+                                        d15="1.00")], ", ".join(f"{c} string" for c in FLIGHT_COLS))
+    dim = spark.createDataFrame([("JFK", "America/New_York", "KJFK"), ("ORD", "America/Chicago", "KORD")],
+                                "airport_code string, timezone string, weather_station_id string")
+    same_day = FL.departure_context(FL.stg_flights(raw), dim).first()
+    assert same_day["dep_time_utc"] == datetime(2025, 1, 15, 5, 30)   # reference parity: placed ~24 h early
+    rolled = FL.departure_context(FL.stg_flights(raw), dim, FL.Params(actual_from_delay=True)).first()
+    assert rolled["dep_time_utc"] == datetime(2025, 1, 16, 5, 30)
