@@ -29,6 +29,27 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings that keep partitions near ``target_partition_bytes`` for a given input size.
+
+    Shuffle partitions start at input / target (at least 2 x total cores),
+    and AQE coalesces small ones back to the advisory size at run time; scans
+    split files at the same size; skewed join partitions above 4 x target
+    are split by AQE. For 100 TB on 1,000 executors x 4 cores: ~400k
+    initial shuffle partitions, each ~256 MB before coalescing.
+    """
+    cores = executors * cores_per_executor
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "nearcast", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
