@@ -101,7 +101,7 @@ ROLLUP_MEASURES = """
 ORACLE["nearest_asof"] = f"""
 WITH {NEAREST}
 SELECT event_id, user_id, ts, value, match_status, obs_ts, obs_event_id, obs_event_type,
-       obs_value, round(lag_minutes, 6) AS lag_minutes
+       obs_value, round(lag_minutes, 8) AS lag_minutes
 FROM nn
 """
 

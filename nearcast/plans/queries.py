@@ -39,7 +39,9 @@ MEASURES = [A.N, A.D, A.RATE, A.AVG]
 @query("nearest_asof")
 def nearest_asof_q(spark, sf):
     """Window-form nearest observation, every purchase kept."""
-    return X.nearest(spark, sf).withColumn("lag_minutes", F.round("lag_minutes", 6))
+    # lag = microseconds / 6e7 has at most 8 decimals when it terminates, so
+    # rounding to 8 dp never meets a half-way tie (6 dp would, 1 row in 60)
+    return X.nearest(spark, sf).withColumn("lag_minutes", F.round("lag_minutes", 8))
 
 
 @query("nearest_asof_minby")
@@ -49,7 +51,7 @@ def nearest_asof_minby_q(spark, sf):
                                   key="user_id", event_time="ts", obs_time="ts",
                                   window_hours=X.WINDOW_HOURS, event_id="event_id",
                                   carry=["event_id", "event_type", "value"], obs_key="event_id")
-    return out.withColumn("lag_minutes", F.round("lag_minutes", 6))
+    return out.withColumn("lag_minutes", F.round("lag_minutes", 8))
 
 
 @query("exists_in_window")
