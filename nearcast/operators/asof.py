@@ -65,7 +65,8 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                  prefix: str = "obs_", status_col: str = "match_status",
                  lag_col: str = "lag_minutes", bucket_hours: float | None = None,
                  keep_unmatchable: bool = False, spread_buckets: int = 4096,
-                 salt: int = 1, hot_threshold: int | None = None) -> DataFrame:
+                 salt: int = 1, hot_threshold: int | None = None,
+                 join_back: bool = False) -> DataFrame:
     """Nearest-observation as-of join, window form (J6 + J7).
 
     ``events`` keep all their columns. Output adds ``{prefix}ts`` (the matched
@@ -88,11 +89,36 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
     by a hash of the event, and that pair's observations are copied to each
     sub-partition, so every sub-partition still sees every candidate and the
     result is unchanged.
+
+    ``join_back=True`` carries only the observation's identity (time, the
+    ``prefer`` columns and ``obs_key``) through the union and both window
+    sorts, and equi-joins the wide ``carry`` columns back afterwards on
+    (key, time, identity) - cheaper when observation rows are wide. It needs
+    observations unique per (key, time, prefer, obs_key), as after W1.
     """
     carry = list(carry if carry is not None else [c for c in obs.columns if c not in (key, obs_time)])
     prefer = list(prefer or [])
     if obs_key and obs_key not in carry:
         carry.append(obs_key)
+    if join_back:
+        ident = [c for c in prefer + ([obs_key] if obs_key else []) if c]
+        out = nearest_asof(events, obs, key=key, event_time=event_time, obs_time=obs_time,
+                           window_hours=window_hours, carry=ident, prefer=prefer, obs_key=obs_key,
+                           prefix="__jb_", status_col=status_col, lag_col=lag_col,
+                           bucket_hours=bucket_hours, keep_unmatchable=keep_unmatchable,
+                           spread_buckets=spread_buckets, salt=salt, hot_threshold=hot_threshold)
+        wide = obs.select(F.col(key).alias("__jb_k"), F.col(obs_time).alias("__jb_ts"),
+                          *[F.col(c).alias(f"__jb_{c}") for c in ident],
+                          *[F.col(c).alias(f"{prefix}{c}") for c in carry if c not in ident])
+        on = ["__jb_ts"] + [f"__jb_{c}" for c in ident]
+        cond = [out[key].eqNullSafe(wide["__jb_k"])] + [out[c].eqNullSafe(wide[c]) for c in on]
+        j = out.join(wide, cond, "left").drop(wide["__jb_ts"]).drop(*[wide[c] for c in on[1:]])
+        j = j.drop("__jb_k")
+        ren = {"__jb_ts": f"{prefix}ts", **{f"__jb_{c}": f"{prefix}{c}" for c in ident}}
+        for a, b in ren.items():
+            j = j.withColumnRenamed(a, b)
+        cols = list(events.columns) + [status_col, f"{prefix}ts"] + [f"{prefix}{c}" for c in carry] + [lag_col]
+        return j.select(*cols)
     bucket = _bucket_micros(window_hours, bucket_hours)
     n_us = int(round(window_hours * _US_PER_HOUR))
     ev_cols = events.columns

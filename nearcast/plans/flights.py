@@ -197,7 +197,10 @@ def weather_at_departure(ctx: DataFrame, weather: DataFrame, p: Params = Params(
     out = nearest_asof(f, obs, key="origin", event_time="dep_time_utc", obs_time="valid_utc",
                        window_hours=p.window_hours, carry=WEATHER_CARRY, prefer=["loaded_at"],
                        prefix="w__", status_col="weather_match_status", lag_col="weather_obs_lag_minutes",
-                       salt=p.salt, hot_threshold=p.hot_threshold)
+                       salt=p.salt, hot_threshold=p.hot_threshold,
+                       # weather rows are wide and unique per (airport, valid_utc) after W1:
+                       # sort only their identity through the windows, join the columns back
+                       join_back=True)
     ren = {"w__ts": "weather_valid_utc", "w__weather_station_id": "matched_weather_station_id",
            "w__loaded_at": "weather_loaded_at"}
     for c in out.columns:

@@ -116,6 +116,10 @@ def test_random_against_brute_force(spark):
     # salting: hot (key, bucket) groups split over sub-partitions, and all groups salted
     h = {r["eid"]: r["obs_oid"] for r in nearest_asof(ev, ob, salt=3, hot_threshold=20, **kw).collect()}
     a = {r["eid"]: r["obs_oid"] for r in nearest_asof(ev, ob, salt=4, **kw).collect()}
+    jb = nearest_asof(ev, ob.withColumn("wide", F.concat(F.lit("w"), F.col("oid").cast("string"))),
+                      join_back=True, **{**kw, "carry": ["oid", "wide"]}).collect()
+    assert {r["eid"]: r["obs_oid"] for r in jb} == expect
+    assert all(r["obs_wide"] == (None if r["obs_oid"] is None else f"w{r['obs_oid']}") for r in jb)
     assert w == expect
     assert c == expect
     assert s == expect
