@@ -152,13 +152,6 @@ def fold_frames(df: DataFrame, fold: tuple[str, str, str, str], ym_col: str = "y
     return train, val
 
 
-def _metric_row(scored: DataFrame, label: str, **tags) -> DataFrame:
-    m = MT.ranking_metrics(scored, "score", label)
-    for k, v in tags.items():
-        m = m.withColumn(k, F.lit(v))
-    return m
-
-
 def cv_run(df: DataFrame, folds: list[tuple], label: str, feature_set: str = "full",
            features: list[str] | None = None, models: tuple[str, ...] = ("baseline", "logistic", "trees"),
            ym_col: str = "year_month", subsample: int | None = None, val_subsample: int | None = None,
@@ -167,23 +160,27 @@ def cv_run(df: DataFrame, folds: list[tuple], label: str, feature_set: str = "fu
     """Folds x models -> one metric row each."""
     feats = features or FEATURE_SETS[feature_set]
     key = key or [ym_col]
-    rows = []
+    scored = []
+
+    def tag(df: DataFrame, fold: str, model: str) -> DataFrame:
+        return df.select(F.col("score").cast("double").alias("score"), F.col(label).alias(label),
+                         F.lit(fold).alias("fold"), F.lit(model).alias("model"))
+
     for fold in folds:
         train, val = fold_frames(df, fold, ym_col)
         train = seeded_subsample(train, subsample, seed, key)
         val = seeded_subsample(val, val_subsample, seed + 1, key)
         if "baseline" in models:
-            rows.append(_metric_row(baseline_score(train, val, label), label, fold=fold[0],
-                                    model="baseline_global_rate", feature_set=feature_set))
+            scored.append(tag(baseline_score(train, val, label), fold[0], "baseline_global_rate"))
         if "logistic" in models:
             m = logistic_pipeline(feats, label, lr_iter, categorical).fit(with_balanced_weights(train, label))
-            rows.append(_metric_row(score(m, val), label, fold=fold[0], model="logistic_regression",
-                                    feature_set=feature_set))
+            scored.append(tag(score(m, val), fold[0], "logistic_regression"))
         if "trees" in models:
             m = gbt_pipeline(feats, label, gbt_params, seed, categorical).fit(train)
-            rows.append(_metric_row(score(m, val), label, fold=fold[0], model="trees_default",
-                                    feature_set=feature_set))
-    return R.tagged_union(rows)
+            scored.append(tag(score(m, val), fold[0], "trees_default"))
+    # every fold x model in one segmented metric pass (one prefix sum, one materialisation)
+    out = MT.ranking_metrics(R.tagged_union(scored), "score", label, ["fold", "model"])
+    return out.withColumn("feature_set", F.lit(feature_set))
 
 
 def cv_summary(cv: DataFrame, metrics: tuple[str, ...] = ("pr_auc", "roc_auc", "brier", "lift_at_top_decile")) -> DataFrame:
@@ -243,9 +240,10 @@ def load_model(path: str) -> PipelineModel:
 
 def holdout_report(model: PipelineModel, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
     """Baseline and model metrics on the holdout, absolute and relative AP lift."""
-    base = _metric_row(baseline_score(train, test, label), label, model="baseline_global_rate")
-    mod = _metric_row(score(model, test), label, model="model")
-    both = base.unionByName(mod)
+    sel = lambda d, name: d.select(F.col("score").cast("double").alias("score"), F.col(label).alias(label),
+                                   F.lit(name).alias("model"))
+    both = MT.ranking_metrics(sel(baseline_score(train, test, label), "baseline_global_rate")
+                              .unionByName(sel(score(model, test), "model")), "score", label, ["model"])
     lift = both.agg((F.max(F.when(F.col("model") == "model", F.col("pr_auc")))
                      - F.max(F.when(F.col("model") != "model", F.col("pr_auc")))).alias("pr_auc_lift_abs"),
                     (F.max(F.when(F.col("model") == "model", F.col("pr_auc")))
