@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearcast.operators import metrics as MT
+from nearcast.session import materialize
 from nearcast.operators import reports as R
 
 # The reference's feature sets (M2).
@@ -292,6 +293,8 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
     key = id_cols or df.columns
     base = seeded_subsample(df, sample_n, seed, key) if sample_n else df
     base = base.withColumn("__rid", F.xxhash64(*[F.col(c) for c in key])).dropDuplicates(["__rid"])
+    # read by the base accuracy and by every repeat's ranks and variants: write it once
+    base = materialize(base)
     keep = [c for c in base.columns if c != "__rid"]
     correct = (F.col("prediction") == F.col(label).cast("double")).cast("double")
     acc0 = model.transform(base).agg(F.avg(correct)).first()[0]
