@@ -654,8 +654,14 @@ def model_rows(spark, sf):
     return ML.add_derived_features(ol.withColumn("__p", F.lit(None).cast("double")), "__p", "day").drop("__p")
 
 
+def _prepared_rows(spark, sf):
+    """Training rows with capped categories, written once: every fold and fit reads them."""
+    from nearcast.session import materialize
+    return materialize(ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL))
+
+
 def _cv(spark, sf):
-    cat = ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL)
+    cat = _prepared_rows(spark, sf)
     return ML.cv_run(cat, FOLDS, "target", "analogue", features=MODEL_FEATURES,
                      models=("baseline", "logistic"), categorical=MODEL_CATEGORICAL,
                      key=["l_orderkey", "year_month"])
@@ -677,7 +683,7 @@ def cv_summary_q(spark, sf):
 @query("holdout_report")
 def holdout_report_q(spark, sf):
     """Final fit on training months, holdout metrics vs baseline."""
-    rows = ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL)
+    rows = _prepared_rows(spark, sf)
     train = rows.filter(F.col("year_month") < TEST_START)
     test = rows.filter(F.col("year_month") >= TEST_START)
     model = ML.logistic_pipeline(MODEL_FEATURES, "target", 300, MODEL_CATEGORICAL) \
@@ -689,7 +695,7 @@ def holdout_report_q(spark, sf):
 @query("permutation_importance")
 def permutation_importance_q(spark, sf):
     """Accuracy drop per shuffled feature, 3 repeats."""
-    rows = ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL)
+    rows = _prepared_rows(spark, sf)
     train = rows.filter(F.col("year_month") < TEST_START)
     test = rows.filter(F.col("year_month") >= TEST_START)
     model = ML.logistic_pipeline(MODEL_FEATURES, "target", 100, MODEL_CATEGORICAL) \
