@@ -256,13 +256,17 @@ def segment_report(scored: DataFrame, label: str, segment_col: str, base_rate: f
                    min_rows: int = 5000) -> DataFrame:
     """Per segment: rows, positive rate, model / baseline AP and their difference."""
     s = scored.withColumn("__seg", F.col(segment_col).cast("string"))
-    model = MT.ranking_metrics(s, "score", label, ["__seg"]).select(
-        "__seg", "n_rows", "positive_rate", F.col("pr_auc").alias("__m"))
     b = (F.broadcast(base_rate.select(F.col(base_rate.columns[0]).alias("__b")))
          if isinstance(base_rate, DataFrame) else None)
     sb = s.crossJoin(b) if b is not None else s.withColumn("__b", F.lit(float(base_rate)))
-    base = MT.ranking_metrics(sb, "__b", label, ["__seg"]).select("__seg", F.col("pr_auc").alias("__bl"))
-    j = model.join(base, "__seg").filter(F.col("n_rows") >= min_rows)
+    both = s.select("__seg", label, F.col("score").cast("double").alias("__s"), F.lit("m").alias("__w")) \
+        .unionByName(sb.select("__seg", label, F.col("__b").cast("double").alias("__s"), F.lit("b").alias("__w")))
+    # model and baseline in one segmented metric pass
+    mt = MT.ranking_metrics(both, "__s", label, ["__seg", "__w"])
+    pick = lambda w, c: F.first(F.when(F.col("__w") == w, F.col(c)), ignorenulls=True)
+    j = mt.groupBy("__seg").agg(pick("m", "n_rows").alias("n_rows"), pick("m", "positive_rate").alias("positive_rate"),
+                                pick("m", "pr_auc").alias("__m"), pick("b", "pr_auc").alias("__bl")) \
+        .filter(F.col("n_rows") >= min_rows)
     return j.select(F.lit(segment_col).alias("segment_type"), F.col("__seg").alias("segment"),
                     F.col("n_rows").cast("long").alias("n_rows"), F.round("positive_rate", 4).alias("positive_rate"),
                     F.round("__m", 4).alias("pr_auc_model"), F.round("__bl", 4).alias("pr_auc_baseline"),

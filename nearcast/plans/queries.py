@@ -414,11 +414,17 @@ def segment_metrics_q(spark, sf):
     """Per-day model vs constant-rate baseline average precision."""
     s = scored_events(spark, sf)
     base_rate = s.agg(F.avg(F.col("target").cast("double")).alias("base_score"))
-    model = MT.ranking_metrics(s, "score", "target", ["segment"]).select(
-        "segment", "n_rows", "positive_rate", F.col("pr_auc").alias("m"))
-    base = MT.ranking_metrics(s.crossJoin(F.broadcast(base_rate)), "base_score", "target", ["segment"]) \
-        .select("segment", F.col("pr_auc").alias("b"))
-    j = model.join(base, "segment").filter(F.col("n_rows") >= SEGMENT_MIN_ROWS)
+    both = s.select("segment", "target", "score", F.lit("m").alias("which")).unionByName(
+        s.crossJoin(F.broadcast(base_rate)).select("segment", "target", F.col("base_score").alias("score"),
+                                                    F.lit("b").alias("which")))
+    # model and baseline in one segmented metric pass
+    mt = MT.ranking_metrics(both, "score", "target", ["segment", "which"])
+    j = mt.groupBy("segment").agg(
+        F.first(F.when(F.col("which") == "m", F.col("n_rows")), ignorenulls=True).alias("n_rows"),
+        F.first(F.when(F.col("which") == "m", F.col("positive_rate")), ignorenulls=True).alias("positive_rate"),
+        F.first(F.when(F.col("which") == "m", F.col("pr_auc")), ignorenulls=True).alias("m"),
+        F.first(F.when(F.col("which") == "b", F.col("pr_auc")), ignorenulls=True).alias("b")) \
+        .filter(F.col("n_rows") >= SEGMENT_MIN_ROWS)
     return j.select(F.lit("segment").alias("segment_type"), "segment",
                     F.col("n_rows").cast("long").alias("n_rows"),
                     F.round("positive_rate", 4).alias("positive_rate"),
