@@ -20,8 +20,7 @@ def flight(al, no, o, d, date, crs, dep, canc="0.00", div="0.00", delay="0.00",
             canc, div, delay, d15, "500.00", date[:7], "f.zip", "2025-02-01 00:00:00", "r1")
 
 
-@pytest.fixture(scope="module")
-def models(spark):
+def _raw(spark):
     flights = [
         flight("AA", "1", "JFK", "ORD", "2025-01-15", "0800", "0805", delay="5.00"),
         flight("AA", "2", "JFK", "ORD", "2025-11-02", "0130", "0130"),            # fall-back hour
@@ -47,8 +46,13 @@ def models(spark):
                                "airport_code string, timezone string")
     st = spark.createDataFrame([("JFK", "KJFK", "x"), ("ORD", "KORD", "x"), ("PHX", "KPHX", "x")],
                                "airport_code string, weather_station_id string, station_source string")
+    return raw_f, raw_w, airports, tz, st
+
+
+@pytest.fixture(scope="module")
+def models(spark):
     p = FL.Params()
-    return FL.build_marts(raw_f, raw_w, airports, tz, st, p), p
+    return FL.build_marts(*_raw(spark), p), p
 
 
 def test_flow_values(models):
@@ -137,3 +141,13 @@ def test_k2_midnight_rollover_option(spark):
     assert same_day["dep_time_utc"] == datetime(2025, 1, 15, 5, 30)   # reference parity: placed ~24 h early
     rolled = FL.departure_context(FL.stg_flights(raw), dim, FL.Params(actual_from_delay=True)).first()
     assert rolled["dep_time_utc"] == datetime(2025, 1, 16, 5, 30)
+
+
+def test_build_months_windowed(spark, tmp_dir):
+    counts = {r["year_month"]: (r["rows"], r["running_rows"])
+              for r in FL.build_months(spark, *_raw(spark), "2025-01", "2025-11", tmp_dir).collect()}
+    assert counts == {"2025-01": (4, 4), "2025-11": (1, 5)}
+    # resume from November: January stays, November is rebuilt
+    again = FL.build_months(spark, *_raw(spark), "2025-01", "2025-11", tmp_dir, resume_from="2025-11")
+    assert {r["year_month"] for r in again.collect()} == {"2025-11"}
+    assert spark.read.parquet(f"{tmp_dir}/joined").count() == 5

@@ -129,3 +129,26 @@ def test_idempotency_check(spark, tmp_dir):
     b = spark.createDataFrame([("2025-01", "a", "run-x"), ("2025-02", "b", "run-x")], "year_month string, v string, run_id string")
     res = RL.idempotency_check(spark, lambda: RL.reload_partitions(spark, b, target, ["year_month"]), target)
     assert res["passed"] and res["first"][0] == 2
+
+
+def test_merge_into_path_and_sinks(spark, tmp_dir):
+    from nearcast.operators.incremental import merge_into_path
+    from nearcast.sources.tables import read_mart
+    path = os.path.join(tmp_dir, "tbl")
+    t = spark.createDataFrame([(1, "a", "2025-01"), (2, "b", "2025-01"), (3, "c", "2025-02")],
+                              "k int, v string, year_month string")
+    merge_into_path(spark, path, t, ["k"], ["year_month"])
+    b = spark.createDataFrame([(2, "B", "2025-01"), (4, "D", "2025-01")], "k int, v string, year_month string")
+    res = merge_into_path(spark, path, b, ["k"], ["year_month"])
+    assert res == {"rows_deleted": 2, "rows_loaded": 3}
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a"), (2, "B"), (3, "c"), (4, "D")]
+    out = RL.training_extract(spark, spark.read.parquet(path), ["k", "v", "year_month"], F.col("k") > 1,
+                              "2025-02", os.path.join(tmp_dir, "extract"))
+    assert spark.read.parquet(out["train"]).count() == 2 and spark.read.parquet(out["test"]).count() == 1
+    paths = RL.export_marts({"m1": t}, os.path.join(tmp_dir, "marts"))
+    assert read_mart(spark, paths[0]).count() == 3
+    assert read_mart(spark, os.path.join(tmp_dir, "missing"), lambda: t).count() == 3
+    RL.write_metrics(t, os.path.join(tmp_dir, "metrics_json"))
+    RL.write_metrics(t, os.path.join(tmp_dir, "metrics_csv"), fmt="csv")
+    assert spark.read.json(os.path.join(tmp_dir, "metrics_json")).count() == 3
