@@ -84,3 +84,27 @@ def test_quality_checks_return_violations(spark):
     ext = spark.createDataFrame([(100, 12, 500)], "row_count long, months long, unit_months long")
     gate = {r["stage"]: r["decision"] for r in Q.readiness(ext, [("s1", 12, 528), ("s2", 12, 400)]).collect()}
     assert gate == {"s1": "NO_GO", "s2": "GO"}
+
+
+def test_dims_scalar_and_scope_helpers(spark):
+    from nearcast.operators import dims as DM
+    a = spark.createDataFrame([(1,), (2,)], "x int")
+    b = spark.createDataFrame([(1,)], "x int")
+    assert DM.scalar_compare(a, b).count() == 1                       # unequal -> one row
+    assert DM.scalar_compare(a, a).count() == 0
+    withs = DM.with_scalars(a, b.agg(F.count(F.lit(1)).alias("n_b"))).collect()
+    assert {r["n_b"] for r in withs} == {1}
+    f = spark.createDataFrame([("ATL", "2025-01", 1), ("ATL", "2025-02", 2), ("ORD", "2025-01", 3)],
+                              "airport_code string, year_month string, v int")
+    scope = DM.scope_table(spark, [("ATL", "2025-01"), ("ORD", "2025-01")], ["airport_code", "year_month"])
+    assert sorted(r["v"] for r in DM.scope_join(f, scope, ["airport_code", "year_month"]).collect()) == [1, 3]
+
+
+def test_inventory_counts_and_running(spark):
+    from nearcast.sources import reload as RL
+    inv = spark.createDataFrame([("ATL", "2025", "01"), ("ATL", "2025", "02"), ("ORD", "2024", "12")],
+                                "station string, year string, month string")
+    c = {(r["station"], r["year"]): r["files"] for r in RL.inventory_counts(inv).collect()}
+    assert c[("ATL", None)] == 2 and c[(None, "2025")] == 2 and c[(None, None)] == 3
+    rc = RL.running_counts(spark.createDataFrame([("2025-01", 4), ("2025-02", 1)], "year_month string, rows long"))
+    assert [r["running_rows"] for r in rc.orderBy("year_month").collect()] == [4, 5]
