@@ -137,4 +137,7 @@ def test_window_form_plan_has_no_candidate_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # one shuffle for the whole operator: events and observations together on (key, bucket)
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert out.filter(F.col("match_status") == "matched").count() == 1
