@@ -98,3 +98,30 @@ def bucket_agg(spark: SparkSession, sf: str) -> DataFrame:
             B.visibility_bucket(F.col("l_tax") * 100).alias("visibility_bucket")]
     return A.delay_aggregate(ol, keys, F.col("ship_delay_days") >= SHIP_DELAYED_DAYS,
                              "ship_delay_days")
+
+
+def bucket_and_route_aggs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Bucket (A3) and route (A2) aggregates from one join and one grouping-sets pass.
+
+    Both read the order-line join; computing them together joins once and
+    shuffles once (Expand x 2), and the small result is written once.
+    """
+    from nearcast.session import materialize
+    ol = order_lines(spark, sf).select(
+        "l_returnflag", "o_orderpriority", "o_orderstatus", "ship_delay_days",
+        B.wind_bucket(F.col("l_quantity")).alias("wind_speed_bucket"),
+        B.precip_bucket(F.col("l_discount") * 4).alias("precip_bucket"),
+        B.visibility_bucket(F.col("l_tax") * 100).alias("visibility_bucket"))
+    cols = ["l_returnflag", "wind_speed_bucket", "precip_bucket", "visibility_bucket",
+            "o_orderpriority", "o_orderstatus"]
+    sets = [cols[:4], ["l_returnflag", "o_orderpriority", "o_orderstatus"]]
+    g = ol.groupingSets(sets, *cols).agg(
+        *A.delay_measures(F.col("ship_delay_days") >= SHIP_DELAYED_DAYS, "ship_delay_days"),
+        F.grouping_id().alias("__gid"))
+    g = materialize(g)
+    measures = [A.N, A.D, A.RATE, A.AVG]
+    # grouping_id bit i (from the right) is set when cols[-1 - i] is not grouped
+    wb = g.filter(F.col("__gid") == 0b000011).select(
+        F.col("l_returnflag").alias("origin"), "wind_speed_bucket", "precip_bucket", "visibility_bucket", *measures)
+    cr = g.filter(F.col("__gid") == 0b011100).select(*ROUTE_KEYS, *measures)
+    return wb, cr

@@ -609,9 +609,10 @@ def carrier_leaderboard_q(spark, sf):
 def overview_q(spark, sf):
     """Row counts, top key-hour by rate, busiest key-hour, precip rates, top route."""
     from nearcast.session import materialize
-    # three small aggregates, each read by several parts: materialise once
-    kh, wb, cr = (materialize(X.key_hour_agg(spark, sf)), materialize(X.bucket_agg(spark, sf)),
-                  materialize(X.route_agg(spark, sf)))
+    # small aggregates, each read by several parts: materialise once; bucket and
+    # route aggregates share one join and one grouping-sets pass
+    kh = materialize(X.key_hour_agg(spark, sf))
+    wb, cr = X.bucket_and_route_aggs(spark, sf)
     counts = kh.agg(F.count(F.lit(1)).alias("airport_hour_rows")) \
         .crossJoin(wb.agg(F.count(F.lit(1)).alias("weather_bucket_rows"))) \
         .crossJoin(cr.agg(F.count(F.lit(1)).alias("carrier_route_rows")))
