@@ -77,16 +77,16 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared filesystem);
-    we only fall back to a fresh scratch folder when it is unset, which is
-    the local/test case.
+    On a cluster the deployment sets it (a shared filesystem). Where it is
+    unset, which is the local/test case, a fresh scratch folder becomes the
+    context's checkpoint folder; a session on a cluster without the setting
+    is refused, because executors do not share the driver's folders.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="nearcast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
