@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import warc
+from . import quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", "refers_to")
 
 
-QUERIES = {"op5_warc": op5_warc}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics, base rules and the MCD verdict of every document."""
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op5_warc": op5_warc, "op10_quality_rules": op10_quality_rules}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
