@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import quality, warc
+from . import bpe, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +35,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_warc": op5_warc, "op10_quality_rules": op10_quality_rules}
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode every whole text; digests of both."""
+    return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op5_warc": op5_warc, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
