@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import bpe, quality, warc
+from . import bpe, html, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``pages`` as WARC records, read the archives back; digests are taken from what is read."""
     path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
@@ -40,7 +46,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op5_warc": op5_warc, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_html": op1_html, "op5_warc": op5_warc, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
