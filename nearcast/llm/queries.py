@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import bpe, html, quality, warc
+from . import bpe, html, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +41,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    rows = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(rows)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text; digests of both."""
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_html": op1_html, "op5_warc": op5_warc, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_html": op1_html, "op5_warc": op5_warc, "op7_packing": op7_packing, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
