@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import bpe, html, langid, packing, quality, warc
+from . import bpe, html, langid, minhash, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and component of every document over pairs at 0.8 or more."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``pages`` as WARC records, read the archives back; digests are taken from what is read."""
     path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
@@ -57,7 +62,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_language_id": op2_language_id, "op5_warc": op5_warc, "op7_packing": op7_packing, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op5_warc": op5_warc, "op7_packing": op7_packing, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
