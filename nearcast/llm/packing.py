@@ -20,19 +20,23 @@ ignored.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearcast.session import materialize
+from tokenizers import Tokenizer
 
-from . import bpe
+from nearcast.session import materialize
 
 CAPACITY = 4096
 SEPARATOR = 1
@@ -40,16 +44,109 @@ ISLAND, EPOCHS = 2048, 4
 POPULATION, GENERATIONS, GROUPS = 4, 12, 2
 #: A bin leaves as a finished sequence when at most this share of it is empty.
 SLACK = 0.002
+#: Encoded runs of text that a Python worker keeps, and bytes of text it encodes at once.
+KEPT_RUNS, BLOCK = 1_000_000, 2 << 20
+
+
+class RunTable:
+    """Ids of the runs of text between white space, which the library has encoded once each.
+
+    The library drops white space and never joins tokens across it, so a text's
+    ids are those of its runs. The ids of all runs lie in one array.
+    """
+
+    def __init__(self, path: str):
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.special = list(self.library.get_added_tokens_decoder().items())
+        self.mark, self.mark_text = self.special[0][0], self.special[0][1].content
+        # texts with a special token, or a separator at which only str.split splits, are not looked up by runs
+        self.odd = re.compile("[\x1c-\x1f]|" + "|".join(re.escape(t.content) for _, t in self.special))
+        self.tails = {c: self.library.encode(c, add_special_tokens=False).ids[0] for c in ".,"}
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def append(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.index.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def read(self, runs: list[str]) -> None:
+        """Have the library encode runs, a special token between them."""
+        ids = np.array(self.library.encode_batch_fast([self.mark_text.join(runs)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        marks = np.flatnonzero(ids == self.mark)
+        self.append(runs, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
+
+    def add(self, runs: list[str]) -> None:
+        """Runs not seen before: capital ASCII letters and a full stop or comma after a letter need no new reading."""
+        stems, tailed = [], []
+        for w in runs:
+            tail = len(w) > 1 and w[-1] in self.tails and w[-2].isalpha()
+            s = w[:-1] if tail else w
+            stems.append(s.lower() if s.isascii() else s)
+            tailed.append(tail)
+        if new := list(set(stems) - self.index.keys()):
+            self.read(new)
+        self.index.update((w, self.index[s]) for w, s, t in zip(runs, stems, tailed, strict=True) if not t)
+        pairs = [(w, s) for w, s, t in zip(runs, stems, tailed, strict=True) if t]
+        code = np.array([self.index[s] for _, s in pairs], dtype=np.int64)
+        size = self.size[code] + 1
+        last = np.cumsum(size) - 1
+        at = np.arange(int(size.sum())) + np.repeat(self.begin[code] - (last + 1 - size), size)
+        at[last] = 0
+        ids = self.ids[at] if len(at) else self.ids[:0]
+        ids[last] = [self.tails[w[-1]] for w, _ in pairs]
+        self.append([w for w, _ in pairs], ids, size)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of whole texts."""
+        runs = [[] if self.odd.search(t) else t.split() for t in texts]
+        flat = list(chain.from_iterable(runs))
+        if len(self.index) > KEPT_RUNS:
+            self.clear()
+        code = np.fromiter(map(self.index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        missed = np.flatnonzero(code < 0).tolist()
+        if missed:
+            self.add(list({flat[i] for i in missed}))
+            code[missed] = [self.index[flat[i]] for i in missed]
+        size = self.size[code]
+        ends = np.cumsum(size)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[code] - (ends - size), size)
+        bounds = np.r_[0, ends][np.cumsum([len(r) for r in runs], dtype=np.int64)]
+        out = np.split(self.ids[at], bounds[:-1]) if len(texts) else []
+        return [x if r or not t else np.array(self.library.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
+                for x, r, t in zip(out, runs, texts, strict=True)]
+
+
+@lru_cache(maxsize=2)
+def run_table(path: str) -> RunTable:
+    """One table per Python worker and file."""
+    return RunTable(path)
+
+
+def slices(batch: pa.RecordBatch, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch (last column: text) of about ``size`` bytes of text, one row at least."""
+    held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
+    i = 0
+    while i < len(held):
+        j = max(i + 1, int(np.searchsorted(held, (held[i - 1] if i else 0) + size)))
+        yield batch.slice(i, j - i)
+        i = j
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = bpe.encoder(path)
-        for batch in batches:
+        table = run_table(path)
+        for part in (p for b in batches for p in slices(b)):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*e.ids(text.as_py()), separator], dtype="<u4")
+            for doc_id, ids in zip(part.column(0).to_pylist(), table.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
+                ids = np.append(ids, np.uint32(separator)).astype("<u4")
                 rows += [(doc_id, k, at, len(ids[at:at + capacity]), crc32(ids[at:at + capacity].tobytes()))
                          for k, at in enumerate(range(0, len(ids), capacity))]
             columns = list(zip(*rows, strict=True)) or [()] * 5

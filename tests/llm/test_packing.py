@@ -53,6 +53,18 @@ def test_evolution_beats_best_fit_decreasing():
     assert packing.evolve(size, 1000, 3, generations=60).max() + 1 < len(plain.fill)
 
 
+def test_ids_are_those_of_the_library(spark):
+    lib = Tokenizer.from_file(PATH)
+    rng = np.random.default_rng(9)
+    texts = ["", " ", "a\x1cb c", "x<|endoftext|>y z", "Don't STOP  me\u00a0now\u3000é e\u0301", "İΣΑΣ ΣΣ", "\u0558 \U00010940x"]
+    texts += ["".join(rng.choice(list("abcZ ',.é\n#1中"), int(rng.integers(0, 80)))) for _ in range(500)]
+    table = packing.RunTable(PATH)
+    for _ in range(2):
+        for t, ids in zip(texts, table.encode(texts), strict=True):
+            assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    assert table.encode([]) == []
+
+
 def test_documents(spark):
     rng = np.random.default_rng(3)
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta's"], rng.integers(0, 600))), "x") for i in range(400)]
