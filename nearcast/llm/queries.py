@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import bpe, embeddings, html, langid, minhash, packing, quality, warc
+from . import bpe, embeddings, html, langid, minhash, packing, quality, substrings, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", "refers_to")
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 200-byte strings removed from every whole text."""
+    return substrings.removed(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics, base rules and the MCD verdict of every document."""
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
@@ -67,7 +72,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe, "op9_suffix_array": op9_suffix_array, "op10_quality_rules": op10_quality_rules}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
