@@ -14,10 +14,12 @@ Bands of signature coordinates are joined on their hash. Exact copies are one
 class beforehand. A bucket is not expanded into pairs:
 
 1. every member is compared with one hub of its bucket (another for each band);
-2. members of buckets that are still in several components are looked at again:
-   a document more than a fifth of whose shingles no other of them has cannot
-   have a partner and leaves; of the others, those outside a bucket's largest
-   component are compared with the members that are in other components.
+2. members of buckets that are still in several components are joined on their
+   rarest shingles: of two documents with n and m shingles that are similar
+   enough, at least c = t / (1 + t) * (n + m) are common, so the first
+   n - c + 1 of one and m - c + 1 of the other, ordered by how many documents
+   have them, share one. Pairs within a component, and within the largest
+   component that has a shingle, are not formed.
 
 Every comparison is the exact weighted Jaccard similarity of the whole texts,
 so links come from exact values and no pair that shares a bucket is lost, while
@@ -196,10 +198,29 @@ def verified(pairs: DataFrame, keys: DataFrame, similarity: float) -> DataFrame:
     a = keys.select(F.col("node").alias("a"), F.col("keys").alias("ka"))
     b = keys.select(F.col("node").alias("b"), F.col("keys").alias("kb"))
     both = F.size(F.array_intersect("ka", "kb"))
-    found = pairs.join(a, "a").join(b, "b").where(both >= similarity * (F.size("ka") + F.size("kb") - both))
+    # shuffled at every size: the keys grow with the texts
+    found = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").where(both >= similarity * (F.size("ka") + F.size("kb") - both))
     return materialize(found.select("a", "b").distinct())
 
 
+def rarest(keys: DataFrame, similarity: float) -> DataFrame:
+    """key, node, n, place: a document's rarest shingles that some other document of ``keys`` has.
+
+    ``place`` counts from 1 in the order of (documents that have it, key) and
+    includes the document's own shingles, which come first; places beyond those
+    that any similar document must reach into are left out.
+    """
+    each = keys.select("node", F.size("keys").alias("n"), F.explode("keys").alias("key")).distinct().repartition("key")
+    shared = each.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    listed = each.join(shared.hint("merge"), "key").groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("held", "key"))).alias("known"))
+    own = F.col("n") - F.size("known")
+    reach = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1 - own
+    near = listed.withColumns({"own": own, "reach": reach.cast("int")}).where("reach > 0")
+    return (near.select("node", "n", "own", F.posexplode(F.expr("slice(known, 1, reach)")).alias("at", "one"))
+            .select(F.col("one.key").alias("key"), "node", "n", (F.col("own") + F.col("at") + 1).alias("place")))
+
+
 def near_links(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Edges (a, b) whose components are those of the graph of all near pairs that share a bucket."""
     rows = classes.where("node is not null and size(bands) > 0").select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -210,29 +231,30 @@ def near_links(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARI
     star = materialize(members.where("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     wanted = members.select("node").distinct()
-    keys = materialize(elements(docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi").select("doc_id", "text")))
+    keys = materialize(elements(docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["node"], "left_semi").select("doc_id", "text")))
     links = verified(star, keys, similarity)
 
     parts = materialize(connected_components(links))
     placed = members.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_buckets = materialize(spread.where("low <> high").select("bucket"))
-    placed = materialize(placed.join(open_buckets, "bucket"))
-    seen = keys.join(placed.select("node").distinct(), "node", "left_semi")
-    alone = (seen.select("node", F.explode("keys").alias("key")).groupBy("key")
-             .agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
-             .groupBy("node").agg(F.count("*").alias("own")))
-    hopeful = materialize(seen.join(alone, "node", "left").where(
-        F.size("keys") - F.coalesce("own", F.lit(0)) >= similarity * F.size("keys")).select("node").distinct())
-    placed = materialize(placed.join(hopeful, "node", "left_semi"))
-    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = materialize(sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("parts")).where("parts > 1"))
-    placed = placed.join(largest, "bucket").select("bucket", "node", "component", "largest")
-    rest = placed.where("component <> largest").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-    others = placed.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"))
-    pairs = rest.join(others, "bucket").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return links.unionByName(verified(materialize(pairs.join(star, ["a", "b"], "left_anti")), keys, similarity))
+    open_buckets = spread.where("low <> high").select("bucket")
+    active = materialize(placed.join(open_buckets, "bucket").select("node", "component").distinct())
+    rare = materialize(rarest(keys.join(active.select("node").hint("merge"), "node", "left_semi"), similarity).join(active, "node"))
+    sizes = rare.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = materialize(sizes.groupBy("key").agg(
+        F.max(F.struct("size", "component"))["component"].alias("largest"), F.count("*").alias("parts"))
+        .where("parts > 1").select("key", "largest"))
+    rare = materialize(rare.join(largest, "key"))
+    rest = rare.where("component <> largest").select(
+        "key", *(F.col(c).alias(f"{c}_x") for c in ("node", "component", "n", "place")))
+    others = rare.select(F.col("key").alias("key_y"), *(F.col(c).alias(f"{c}_y") for c in ("node", "component", "n", "place")))
+    common = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n_x") + F.col("n_y")) - 1e-9)
+    possible = (F.col("component_x") != F.col("component_y")) & (F.col("place_x") <= F.col("n_x") - common + 1) \
+        & (F.col("place_y") <= F.col("n_y") - common + 1)
+    pairs = rest.join(others, (F.col("key") == F.col("key_y")) & possible).select(
+        F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+    pairs = materialize(pairs.join(star, ["a", "b"], "left_anti"))
+    return links.unionByName(verified(pairs, keys, similarity))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
