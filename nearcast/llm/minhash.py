@@ -257,12 +257,8 @@ def near_links(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARI
     return links.unionByName(verified(pairs, keys, similarity))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (smallest id with the same text), component_id (smallest id reachable), kept.
-
-    One row per row of ``docs``; ``kept`` is true where doc_id = component_id,
-    and for texts without words or ids that have no class.
-    """
+def labelled(docs: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, digest (null without words), class_id, component_id of every row."""
     signed = materialize(signatures(docs))
     classes = materialize(signed.where("size(bands) > 0").groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
@@ -270,6 +266,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     labels = materialize(classes.select("digest", "node").join(parts, "node", "left")
                          .select("digest", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id")))
     out = signed.select("doc_id", F.when(F.size("bands") > 0, F.col("digest")).alias("digest")).join(labels, "digest", "left")
-    out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-                     F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "digest", F.coalesce("class_id", "doc_id").alias("class_id"),
+                      F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (smallest id with the same text), component_id (smallest id reachable), kept.
+
+    One row per row of ``docs``; ``kept`` is true where doc_id = component_id,
+    and for texts without words or ids that have no class.
+    """
+    return labelled(docs, similarity).select("doc_id", "class_id", "component_id").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def representatives(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component; texts without words all stay."""
+    kept = labelled(docs, similarity).where(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("digest").isNotNull()) \
+        .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    marked = docs.withColumns({"__key": F.unhex(F.md5(F.col("text").cast("string"))),
+                               "__words": F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))})
+    stay = marked.where("__words").join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__digest")), "left_semi") \
+        .dropDuplicates(["doc_id", "__key"])
+    return stay.unionByName(marked.where("not __words")).select(*docs.columns)

@@ -192,3 +192,12 @@ def quality_rules(docs: DataFrame, min_group: int = 100, cut: float = CUT) -> Da
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("d2") <= cut, F.lit(True))).alias("kept"), "d2", "lang", "source")
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their columns."""
+    stats = docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("th")))
+    good = quality_rules(stats).where("kept").select(
+        F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.th").alias("__th"), F.col("lang").alias("__lang"), F.col("source").alias("__source"))
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th"))
+                     & F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left_semi")

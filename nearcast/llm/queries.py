@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 
 from nearcast.session import scratch_path
 
-from . import bpe, embeddings, html, langid, minhash, packing, quality, substrings, warc
+from . import (
+    bpe,
+    embeddings,
+    html,
+    langid,
+    minhash,
+    packing,
+    perplexity,
+    quality,
+    substrings,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +44,11 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document under models of trusted text."""
+    return perplexity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``pages`` as WARC records, read the archives back; digests are taken from what is read."""
     path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
@@ -72,7 +88,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe, "op9_suffix_array": op9_suffix_array, "op10_quality_rules": op10_quality_rules}
+QUERIES = {
+    "op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op4_perplexity": op4_perplexity,
+    "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe,
+    "op9_suffix_array": op9_suffix_array, "op10_quality_rules": op10_quality_rules,
+}
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
 BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
