@@ -20,7 +20,7 @@ ignored.
 
 from __future__ import annotations
 
-import re
+import string
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,7 +45,8 @@ POPULATION, GENERATIONS, GROUPS = 4, 12, 2
 #: A bin leaves as a finished sequence when at most this share of it is empty.
 SLACK = 0.002
 #: Encoded runs of text that a Python worker keeps, and bytes of text it encodes at once.
-KEPT_RUNS, BLOCK = 1_000_000, 2 << 20
+KEPT_RUNS, BLOCK = 1_500_000, 2 << 20
+SYMBOLS = string.punctuation
 
 
 class RunTable:
@@ -62,8 +63,7 @@ class RunTable:
         self.special = list(self.library.get_added_tokens_decoder().items())
         self.mark, self.mark_text = self.special[0][0], self.special[0][1].content
         # texts with a special token, or a separator at which only str.split splits, are not looked up by runs
-        self.odd = re.compile("[\x1c-\x1f]|" + "|".join(re.escape(t.content) for _, t in self.special))
-        self.tails = {c: self.library.encode(c, add_special_tokens=False).ids[0] for c in ".,"}
+        self.odd = [*"\x1c\x1d\x1e\x1f", *(t.content for _, t in self.special)]
         self.clear()
 
     def clear(self) -> None:
@@ -82,30 +82,31 @@ class RunTable:
         marks = np.flatnonzero(ids == self.mark)
         self.append(runs, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
 
+    def segments(self, code: np.ndarray) -> np.ndarray:
+        """The ids of entries, one entry after the other."""
+        size = self.size[code]
+        ends = np.cumsum(size)
+        return self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[code] - (ends - size), size)]
+
     def add(self, runs: list[str]) -> None:
-        """Runs not seen before: capital ASCII letters and a full stop or comma after a letter need no new reading."""
-        stems, tailed = [], []
+        """Runs not seen before: capital ASCII letters and symbols after a letter need no new reading."""
+        parts = []
         for w in runs:
-            tail = len(w) > 1 and w[-1] in self.tails and w[-2].isalpha()
-            s = w[:-1] if tail else w
-            stems.append(s.lower() if s.isascii() else s)
-            tailed.append(tail)
-        if new := list(set(stems) - self.index.keys()):
+            stem = w.rstrip(SYMBOLS)
+            if len(stem) == len(w) or not stem or not stem[-1].isalpha():
+                stem = w
+            parts.append((stem.lower() if stem.isascii() else stem, w[len(stem):]))
+        if new := list({p for pair in parts for p in pair if p} - self.index.keys()):
             self.read(new)
-        self.index.update((w, self.index[s]) for w, s, t in zip(runs, stems, tailed, strict=True) if not t)
-        pairs = [(w, s) for w, s, t in zip(runs, stems, tailed, strict=True) if t]
-        code = np.array([self.index[s] for _, s in pairs], dtype=np.int64)
-        size = self.size[code] + 1
-        last = np.cumsum(size) - 1
-        at = np.arange(int(size.sum())) + np.repeat(self.begin[code] - (last + 1 - size), size)
-        at[last] = 0
-        ids = self.ids[at] if len(at) else self.ids[:0]
-        ids[last] = [self.tails[w[-1]] for w, _ in pairs]
-        self.append([w for w, _ in pairs], ids, size)
+        index = self.index
+        index.update([(w, index[stem]) for w, (stem, tail) in zip(runs, parts, strict=True) if not tail])
+        tailed = [(w, index[stem], index[tail]) for w, (stem, tail) in zip(runs, parts, strict=True) if tail]
+        code = np.array([c for _, a, b in tailed for c in (a, b)], dtype=np.int64)
+        self.append([w for w, _, _ in tailed], self.segments(code), self.size[code].reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of whole texts."""
-        runs = [[] if self.odd.search(t) else t.split() for t in texts]
+        runs = [[] if any(x in t for x in self.odd) else t.split() for t in texts]
         flat = list(chain.from_iterable(runs))
         if len(self.index) > KEPT_RUNS:
             self.clear()
@@ -114,11 +115,8 @@ class RunTable:
         if missed:
             self.add(list({flat[i] for i in missed}))
             code[missed] = [self.index[flat[i]] for i in missed]
-        size = self.size[code]
-        ends = np.cumsum(size)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[code] - (ends - size), size)
-        bounds = np.r_[0, ends][np.cumsum([len(r) for r in runs], dtype=np.int64)]
-        out = np.split(self.ids[at], bounds[:-1]) if len(texts) else []
+        bounds = np.r_[0, np.cumsum(self.size[code])][np.cumsum([len(r) for r in runs], dtype=np.int64)]
+        out = np.split(self.segments(code), bounds[:-1]) if len(texts) else []
         return [x if r or not t else np.array(self.library.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
                 for x, r, t in zip(out, runs, texts, strict=True)]
 

@@ -57,6 +57,8 @@ def test_ids_are_those_of_the_library(spark):
     lib = Tokenizer.from_file(PATH)
     rng = np.random.default_rng(9)
     texts = ["", " ", "a\x1cb c", "x<|endoftext|>y z", "Don't STOP  me\u00a0now\u3000é e\u0301", "İΣΑΣ ΣΣ", "\u0558 \U00010940x"]
+    texts += ["it's. we'll!! he'd'", "a$$$ b%%% 's 't. x'S! É### 9## ## #a# a#a# don't's''", "_a_ a_ a' 'a'"]
+    texts += ["".join(rng.choice(list("abcdst'#.$ É1"), int(rng.integers(0, 40)))) for _ in range(2000)]
     texts += ["".join(rng.choice(list("abcZ ',.é\n#1中"), int(rng.integers(0, 80)))) for _ in range(500)]
     table = packing.RunTable(PATH)
     for _ in range(2):
