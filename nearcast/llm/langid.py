@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from nearcast.session import materialize
+
 UNDETERMINED = "und"
 TRAIN_DOCS, TRAIN_WINDOWS = 300, 10
 HIDDEN, STEPS, BATCH, LENGTH, RATE = 8, 260, 128, 48, 0.02
@@ -38,13 +40,17 @@ def sample(docs: DataFrame, per_language: int = TRAIN_DOCS, windows: int = TRAIN
            chars: int = 2 * LENGTH) -> list[tuple[str, str]]:
     """(language, passage) pairs: at most ``per_language * windows`` per language, in a fixed order."""
     fit = (docs.where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2")
-           .where(F.col("text").rlike(r"\p{L}"))
-           .select("lang", "doc_id", "text").withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / (1 << 30)))
-    counts = fit.groupBy("lang").agg(F.count("*").alias("n"))
+           .where(F.col("text").rlike(r"\p{L}")))
+    ids = fit.select("lang", "doc_id", F.xxhash64("text").alias("th"), (F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / (1 << 30)).alias("u"))
+    ids = materialize(ids)
+    counts = materialize(ids.groupBy("lang").agg(F.count("*").alias("n")))
     # about twice the wanted documents pass the share, so the ranks below are over bounded groups
-    near = fit.join(counts, "lang").where(F.col("u") * F.col("n") < 2 * per_language + 20)
-    chosen = near.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("u", "doc_id", F.xxhash64("text")))) \
-        .where(F.col("k") <= per_language)
+    near = ids.join(counts, "lang").where(F.col("u") * F.col("n") < 2 * per_language + 20)
+    near = materialize(near.select("lang", "doc_id", "th", "u"))
+    ranked = near.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("u", "doc_id", "th")))
+    # texts are fetched for the chosen ids alone
+    chosen = materialize(ranked.where(F.col("k") <= per_language).select("lang", "doc_id", "th", "k"))
+    chosen = fit.withColumn("th", F.xxhash64("text")).join(chosen, ["lang", "doc_id", "th"]).dropDuplicates(["lang", "k"])
     at = F.pmod(F.xxhash64("doc_id", "i"), F.greatest(F.char_length("text") - chars, F.lit(1))) + 1
     cut = (chosen.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(windows))))
            .select("lang", "k", "i", F.expr("text").substr(at.cast("int"), F.lit(chars)).alias("passage")))
