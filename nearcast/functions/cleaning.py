@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 MISSING_TOKEN = "M"
 TRACE_TOKEN = "T"
 
-DECIMAL = "decimal(18,4)"
+# the source column has no fixed scale; ten decimals and 28 digits before them
+DECIMAL = "decimal(38,10)"
 
 
 def _col(c) -> Column:
@@ -77,7 +78,7 @@ def numeric_violations(df: DataFrame, cols, missing: str = MISSING_TOKEN,
     cond = None
     for c in cols:
         t = _text(c)
-        ok = t.isNull() | t.isin("", missing) | t.try_cast("decimal(38,10)").isNotNull()
+        ok = t.isNull() | t.isin("", missing) | t.try_cast(DECIMAL).isNotNull()
         if trace is not None:
             ok = ok | (t == F.lit(trace))
         cond = ~ok if cond is None else (cond | ~ok)

@@ -146,6 +146,12 @@ def month_bounds(ym: str) -> tuple[str, str]:
     return f"{y:04d}-{m:02d}-01", f"{ny:04d}-{nm:02d}-01"
 
 
+def days_in_month(ym: str) -> int:
+    """Days of a 'yyyy-MM' month (H-DT6)."""
+    import calendar
+    return calendar.monthrange(*(int(p) for p in ym.split("-")))[1]
+
+
 def month_range(start_ym: str, end_ym: str) -> list[str]:
     """Inclusive list of 'yyyy-MM' labels (H-DT6)."""
     y, m = (int(p) for p in start_ym.split("-"))

@@ -107,13 +107,21 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                            prefix="__jb_", status_col=status_col, lag_col=lag_col,
                            bucket_hours=bucket_hours, keep_unmatchable=keep_unmatchable,
                            spread_buckets=spread_buckets, salt=salt, hot_threshold=hot_threshold)
-        wide = obs.select(F.col(key).alias("__jb_k"), F.col(obs_time).alias("__jb_ts"),
-                          *[F.col(c).alias(f"__jb_{c}") for c in ident],
-                          *[F.col(c).alias(f"{prefix}{c}") for c in carry if c not in ident])
         on = ["__jb_ts"] + [f"__jb_{c}" for c in ident]
-        cond = [out[key].eqNullSafe(wide["__jb_k"])] + [out[c].eqNullSafe(wide[c]) for c in on]
+        # one row per identity, so an event stays one row; an observation without key or time matches nothing
+        wide = (obs.filter(F.col(key).isNotNull() & F.col(obs_time).isNotNull())
+                .select(F.col(key).alias("__jb_k"), F.col(obs_time).alias("__jb_ts"),
+                        *[F.col(c).alias(f"__jb_{c}") for c in ident],
+                        *[F.col(c).alias(f"{prefix}{c}") for c in carry if c not in ident])
+                .dropDuplicates(["__jb_k", *on]).withColumn("__jb_part", F.lit(0).cast("long")))
+        # unmatched events join nothing; spread over parts of their own they form no hot group
+        part = F.when(F.col(status_col) == F.lit(MATCHED), F.lit(0).cast("long")) \
+            .otherwise(1 + F.pmod(F.xxhash64(F.col(event_time), F.monotonically_increasing_id()), F.lit(4096)))
+        out = out.withColumn("__jb_left", part)
+        cond = [out["__jb_left"] == wide["__jb_part"], out[key].eqNullSafe(wide["__jb_k"])] \
+            + [out[c].eqNullSafe(wide[c]) for c in on]
         j = out.join(wide, cond, "left").drop(wide["__jb_ts"]).drop(*[wide[c] for c in on[1:]])
-        j = j.drop("__jb_k")
+        j = j.drop("__jb_k", "__jb_part", "__jb_left")
         ren = {"__jb_ts": f"{prefix}ts", **{f"__jb_{c}": f"{prefix}{c}" for c in ident}}
         for a, b in ren.items():
             j = j.withColumnRenamed(a, b)
@@ -229,26 +237,19 @@ def nearest_asof_candidates(events: DataFrame, obs: DataFrame, *, key: str, even
     ev = ev.withColumn("__b", F.floor(F.col("__et") / F.lit(bucket)).cast("long"))
     cand = ev.join(o, ["__k", "__b"]).filter(
         (F.col("__ot") >= F.col("__et") - F.lit(n_us)) & (F.col("__ot") <= F.col("__et") + F.lit(n_us)))
-    # ranking: |delta| asc, after-flag asc, then prefer desc and obs_key desc
-    desc = [_neg(F.col(f"__p_{c}")) for c in prefer]
-    if obs_key:
-        desc.append(_neg(F.col("__p")[obs_key]))
-    rank = F.struct(F.abs(F.col("__ot") - F.col("__et")).alias("d"),
-                    F.when(F.col("__ot") <= F.col("__et"), 0).otherwise(1).alias("a"),
-                    *[d.alias(f"x{i}") for i, d in enumerate(desc)])
+    # the greatest of: nearness, not after the event, then the preference columns and the key as they are
+    liked = [F.col(f"__p_{c}") for c in prefer] + ([F.col("__p")[obs_key]] if obs_key else [])
+    rank = F.struct((-F.abs(F.col("__ot") - F.col("__et"))).alias("d"),
+                    F.when(F.col("__ot") <= F.col("__et"), 1).otherwise(0).alias("a"),
+                    *[c.alias(f"x{i}") for i, c in enumerate(liked)])
     best = cand.groupBy("__id").agg(
-        F.min_by(F.struct(F.col("__ot").alias("t"), F.col("__p").alias("p")),
+        F.max_by(F.struct(F.col("__ot").alias("t"), F.col("__p").alias("p")),
                  rank).alias("__best"))
     out = events.filter(F.col(event_time).isNotNull()).join(
         best, events[event_id] == best["__id"], "left").drop("__id")
     return _finish(out, events.columns, carry, prefix, status_col, lag_col, event_time)
 
 
-def _neg(c: Column) -> Column:
-    """Descending order key usable inside an ascending min_by ranking struct."""
-    return -c.cast("double")
-
-
 def exists_in_window(events: DataFrame, obs: DataFrame, *, key: str, event_time: str,
                      obs_time: str, window_hours: float, flag: str = "has_obs_in_window",
                      bucket_hours: float | None = None) -> DataFrame:

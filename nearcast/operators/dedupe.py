@@ -1,9 +1,9 @@
 """Keep-latest dedupe.
 
-``row_number() over (partition by k order by loaded_at desc, ...) = 1`` sorts
-every row of every key. ``max_by(row, ranking struct)`` gives the same row as
-an aggregate: partial aggregation runs before the shuffle, so a key with a
-third of all rows sends one row per map partition, and nothing is sorted.
+``max(struct(order, row))`` per key: partial aggregation runs before the
+shuffle, so a key with a third of all rows sends one row per map partition.
+Structs are no fixed-width buffers, so Spark plans a sort aggregate, each side
+sorted by key within its partition; the row itself is carried once.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ def keep_latest(df: DataFrame, keys: list, order_desc: list, keep: list[str] | N
     key_names = df.select(*key_cols).columns
     keep = keep or [c for c in df.columns if c not in key_names]
     payload = F.struct(*[F.col(c) for c in keep])
-    rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_desc], payload)
-    return (df.groupBy(*key_cols).agg(F.max_by(payload, rank).alias("__row"))
-            .select(*key_names, "__row.*"))
+    order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_desc])
+    # the payload is part of what is compared, so it is carried once
+    best = F.max(F.struct(order.alias("o"), payload.alias("p"))).alias("__best")
+    return df.groupBy(*key_cols).agg(best).select(*key_names, "__best.p.*")

@@ -1,8 +1,7 @@
 """Dimension joins, reference checks and scalar comparisons.
 
-Broadcasts are only taken behind a size check: :func:`bounded_broadcast`
-counts at most ``max_rows + 1`` rows of the candidate side (a bounded job) and
-falls back to a shuffled join when the side is larger.
+A broadcast is only hinted for a literal seed (:func:`bounded_broadcast`); any
+other side is left to Spark's own size limit and to AQE.
 """
 
 from __future__ import annotations
@@ -10,26 +9,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for a broadcast dimension. Reference dimensions are 45 rows;
-# 1M narrow rows stay well under the default broadcast size limits.
-MAX_BROADCAST_ROWS = 1_000_000
+# A literal seed this small (reference dimensions: 45 rows) is broadcast outright.
+MAX_LITERAL_ROWS = 10_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+def bounded_broadcast(df: DataFrame, known_rows: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint only where a bound is proven by construction.
 
-    ``known_rows`` is a bound proven by construction (a seed built from a
-    literal list); then no counting job is needed.
+    ``known_rows`` is the length of a literal list the frame was made of. For
+    any other input the choice is Spark's: its byte limit decides when the plan
+    is made and again, by measured sizes, when it runs (AQE).
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if known_rows is not None and known_rows <= MAX_LITERAL_ROWS else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, how: str = "inner",
-           max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
+           known_rows: int | None = None) -> DataFrame:
     """Join a dimension: inner drops unknown keys (J2, J4), left keeps them."""
-    return df.join(bounded_broadcast(dim, max_rows, known_rows), on, how)
+    return df.join(bounded_broadcast(dim, known_rows), on, how)
 
 
 def assemble(base: DataFrame, *dims: tuple[DataFrame, object, str]) -> DataFrame:

@@ -9,12 +9,10 @@ then overwrite the target from the staged copy.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearcast.session import scratch_path
+from nearcast.session import materialize, path_exists
 
 
 def keyed_merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,30 +51,27 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
                     part_cols: list[str]) -> dict:
     """Keyed merge into a partitioned Parquet table at ``path``.
 
-    Only the partitions touched by the batch are read, merged, staged and
+    The partitions that the batch or its keys touch are merged, staged and
     rewritten. Returns rows before/after in the touched partitions.
     """
-    touched = [r.asDict() for r in batch.select(*part_cols).distinct().collect()]
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # first load: empty target
+    if not path_exists(spark, path):
         write_partitions(batch, path, part_cols)
         return {"rows_deleted": 0, "rows_loaded": batch.count()}
-    cond = None
-    for t in touched:
-        c = None
-        for k, v in t.items():
-            e = F.col(k) == F.lit(v)
-            c = e if c is None else (c & e)
-        cond = c if cond is None else (cond | c)
-    cur = target.filter(cond) if cond is not None else target.limit(0)
-    before = cur.count()
-    merged = keyed_merge(cur, batch, keys)
-    stage = scratch_path(spark, f"merge-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    write_partitions(staged, path, part_cols)
-    return {"rows_deleted": before, "rows_loaded": staged.count()}
+    batch = materialize(batch)
+    target = spark.read.parquet(path)
+    # a key may stand in another partition than the batch puts it in: both are rewritten
+    touched = materialize(target.join(batch.select(*keys).distinct(), keys, "left_semi").select(*part_cols)
+                          .unionByName(batch.select(*part_cols)).distinct())
+    current = target.join(touched, part_cols, "left_semi")
+    before = current.count()
+    staged = materialize(keyed_merge(current, batch, keys))
+    loaded = staged.count()
+    if touched.join(staged.select(*part_cols).distinct(), part_cols, "left_anti").isEmpty():
+        write_partitions(staged, path, part_cols)
+    else:  # a partition lost its last row, which a dynamic overwrite would leave in place
+        whole = materialize(keyed_merge(target, batch, keys))
+        whole.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*part_cols).parquet(path)
+    return {"rows_deleted": before, "rows_loaded": loaded}
 
 
 def window_filter(df: DataFrame, col: str, start: str | None = None, end: str | None = None,

@@ -53,24 +53,26 @@ def add_derived_features(df: DataFrame, precip: str = "precip_1hr_inches", hour:
             .withColumn("sin_hour", F.sin(rad)).withColumn("cos_hour", F.cos(rad)))
 
 
-def cap_categories(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Keep the ``max_categories - 1`` most frequent values per column, others -> one bucket (M3).
+def frequent_categories(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """The ``max_categories - 1`` most frequent values per column of the training rows (M3): bounded top-k reports."""
+    return {c: [r[c] for r in R.top_n(df.groupBy(c).count().filter(F.col(c).isNotNull()),
+                                      [F.col("count").desc(), F.col(c).asc()], max_categories - 1).select(c).collect()]
+            for c in cols}
 
-    The frequent values are a top-k report per column (bounded list), applied
-    as an ``isin`` expression.
-    """
-    out = df
-    for c in cols:
-        top = R.top_n(df.groupBy(c).count().filter(F.col(c).isNotNull()),
-                      [F.col("count").desc(), F.col(c).asc()], max_categories - 1)
-        keep = [r[c] for r in top.select(c).collect()]        # at most max_categories - 1 values
-        out = out.withColumn(c, F.when(F.col(c).isin(keep), F.col(c).cast("string"))
-                             .when(F.col(c).isNotNull(), F.lit(OTHER)))
-    return out
+
+def with_categories(df: DataFrame, frequent: dict[str, list[str]]) -> DataFrame:
+    """Values outside a column's frequent ones become one bucket; nulls stay."""
+    return df.withColumns({c: F.when(F.col(c).isin(keep), F.col(c).cast("string")).when(F.col(c).isNotNull(), F.lit(OTHER))
+                           for c, keep in frequent.items()}) if frequent else df
+
+
+def cap_categories(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """Both steps on the same rows; for a train/test split take the values from the training rows."""
+    return with_categories(df, frequent_categories(df, cols, max_categories))
 
 
 def preprocessing_stages(features: list[str], categorical: list[str] = CATEGORICAL_FEATURES) -> list:
-    """Median impute + standardise numerics; index + one-hot categoricals, unknown kept (M3)."""
+    """Median impute + standardise numerics; index + one-hot categoricals, unknowns ignored (M3)."""
     num = [c for c in features if c not in categorical]
     cat = [c for c in features if c in categorical]
     stages: list = []
@@ -85,7 +87,8 @@ def preprocessing_stages(features: list[str], categorical: list[str] = CATEGORIC
         idx = [f"{c}__idx" for c in cat]
         oh = [f"{c}__oh" for c in cat]
         stages += [StringIndexer(inputCols=cat, outputCols=idx, handleInvalid="keep"),
-                   OneHotEncoder(inputCols=idx, outputCols=oh, handleInvalid="keep", dropLast=False)]
+                   # the indexer's last index is "unknown": dropping it leaves unknowns without a column
+                   OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True)]
         parts += oh
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return stages
@@ -155,12 +158,12 @@ def fold_frames(df: DataFrame, fold: tuple[str, str, str, str], ym_col: str = "y
 
 def cv_run(df: DataFrame, folds: list[tuple], label: str, feature_set: str = "full",
            features: list[str] | None = None, models: tuple[str, ...] = ("baseline", "logistic", "trees"),
-           ym_col: str = "year_month", subsample: int | None = None, val_subsample: int | None = None,
+           ym_col: str = "year_month", subsample: int | None = None,
            seed: int = 42, key: list[str] | None = None, gbt_params: dict | None = None,
            lr_iter: int = 300, categorical: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """Folds x models -> one metric row each."""
     feats = features or FEATURE_SETS[feature_set]
-    key = key or [ym_col]
+    key = key or df.columns
     scored = []
 
     def tag(df: DataFrame, fold: str, model: str) -> DataFrame:
@@ -170,7 +173,8 @@ def cv_run(df: DataFrame, folds: list[tuple], label: str, feature_set: str = "fu
     for fold in folds:
         train, val = fold_frames(df, fold, ym_col)
         train = seeded_subsample(train, subsample, seed, key)
-        val = seeded_subsample(val, val_subsample, seed + 1, key)
+        frequent = frequent_categories(train, [c for c in feats if c in categorical])
+        train, val = with_categories(train, frequent), with_categories(val, frequent)
         if "baseline" in models:
             scored.append(tag(baseline_score(train, val, label), fold[0], "baseline_global_rate"))
         if "logistic" in models:
@@ -282,8 +286,7 @@ def _random_rank(df: DataFrame, seed: int, col: str) -> DataFrame:
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], label: str,
-                           repeats: int = 3, seed: int = 42, sample_n: int | None = 100_000,
-                           id_cols: list[str] | None = None) -> DataFrame:
+                           repeats: int = 3, seed: int = 42) -> DataFrame:
     """Accuracy drop when one feature's values are shuffled across rows.
 
     Per repeat, one seeded permutation pairs every row with the row of the
@@ -294,11 +297,8 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
     population std of the drop over ``repeats`` (the reference's estimator
     default score is accuracy).
     """
-    key = id_cols or df.columns
-    base = seeded_subsample(df, sample_n, seed, key) if sample_n else df
-    base = base.withColumn("__rid", F.xxhash64(*[F.col(c) for c in key])).dropDuplicates(["__rid"])
-    # read by the base accuracy and by every repeat's ranks and variants: write it once
-    base = materialize(base)
+    # every row takes part under a number of its own; written once, so the numbers are the same in every read
+    base = materialize(df.withColumn("__rid", F.monotonically_increasing_id()))
     keep = [c for c in base.columns if c != "__rid"]
     correct = (F.col("prediction") == F.col(label).cast("double")).cast("double")
     acc0 = model.transform(base).agg(F.avg(correct)).first()[0]

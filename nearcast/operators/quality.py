@@ -115,3 +115,38 @@ def run_suite(checks: dict[str, Callable[[], DataFrame]],
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("passed", F.col("violations") == 0)
+
+
+def scoped_match_share(df: DataFrame, scope: DataFrame, on: list[str], ok: Column, min_share: float = 0.9) -> DataFrame:
+    """Scope units (station-months) whose share of ``ok`` rows is below ``min_share``, or that have no row (Q14)."""
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(ok).alias("ok_rows"))
+    return (scope.select(*on).distinct().join(counted, on, "left").na.fill(0, ["total_rows", "ok_rows"])
+            .filter((F.col("total_rows") == 0) | (F.col("ok_rows") < F.lit(min_share) * F.col("total_rows"))))
+
+
+def full_readiness(tables: dict[str, DataFrame], min_months: dict[str, int], min_units: dict[str, int],
+                   unit_col: dict[str, str], ym_col: str = "year_month") -> DataFrame:
+    """Go / no-go over several raw tables (Q15): one row per table and one verdict row.
+
+    A table passes with rows, enough months and enough distinct unit-months. A
+    first or last month that differs between tables is a warning, not a fault.
+    """
+    parts = []
+    for name, df in tables.items():
+        unit = F.col(unit_col[name])
+        pairs = df.groupBy(unit.alias("unit"), F.col(ym_col).alias("ym")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(pairs.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count_distinct("ym").alias("months"),
+            F.count(F.lit(1)).alias("unit_months"), F.min("ym").alias("first_month"), F.max("ym").alias("last_month"))
+            .select(F.lit(name).alias("table_name"), "*", F.lit(min_months[name]).alias("min_months"),
+                    F.lit(min_units[name]).alias("min_unit_months")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    ok = (F.col("row_count") > 0) & (F.col("months") >= F.col("min_months")) & (F.col("unit_months") >= F.col("min_unit_months"))
+    rows = rows.withColumn("decision", F.when(ok, "GO").otherwise("NO_GO"))
+    verdict = rows.agg(F.when(F.bool_and(F.col("decision") == "GO"), "GO").otherwise("NO_GO").alias("decision"),
+                       F.when((F.count_distinct("first_month") > 1) | (F.count_distinct("last_month") > 1),
+                              "first or last months differ between tables").alias("warning"))
+    return rows.withColumn("warning", F.lit(None).cast("string")).unionByName(
+        verdict.withColumn("table_name", F.lit("ALL")), allowMissingColumns=True)

@@ -26,6 +26,17 @@ def asc_pg(c) -> Column:
     return _col(c).asc_nulls_last()
 
 
+def asc_nulls_first(c) -> Column:
+    """Ascending with nulls first, as a report states it (L1)."""
+    return _col(c).asc_nulls_first()
+
+
+def by_labels(c, labels: list[str]) -> Column:
+    """Ascending in a stated order of labels, others last (L3: ORDER BY CASE)."""
+    place = F.coalesce(*[F.when(_col(c) == v, F.lit(i)) for i, v in enumerate(labels)], F.lit(len(labels)))
+    return place.asc()
+
+
 def top_n(df: DataFrame, order: list[Column], n: int = 10, where: Column | None = None,
           rank_col: str = "rank", label: str | None = None,
           label_col: str = "report") -> DataFrame:

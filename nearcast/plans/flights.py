@@ -303,12 +303,13 @@ def materialize(spark, m: dict[str, DataFrame], out_dir: str, fresh: bool = Fals
     paths = {k: os.path.join(out_dir, k) for k in ("joined", "fct_flights", "agg_delay_by_airport_hour",
                                                    "agg_delay_by_carrier_route", "agg_delay_by_weather_bucket")}
     if fresh:
-        m["joined"].write.mode("overwrite").partitionBy("year_month").parquet(paths["joined"])
+        # static: the session default (dynamic) would leave months outside the build in place
+        m["joined"].write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year_month").parquet(paths["joined"])
     else:
         write_partitions(m["joined"], paths["joined"], ["year_month"])
     joined = spark.read.parquet(paths["joined"])
     fct = fct_flights(joined)
-    fct.write.mode("overwrite").partitionBy("year_month").parquet(paths["fct_flights"])
+    fct.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year_month").parquet(paths["fct_flights"])
     fct = spark.read.parquet(paths["fct_flights"])
     agg_delay_by_airport_hour(fct).write.mode("overwrite").parquet(paths["agg_delay_by_airport_hour"])
     agg_delay_by_carrier_route(fct).write.mode("overwrite").parquet(paths["agg_delay_by_carrier_route"])
@@ -321,23 +322,26 @@ def build_months(spark, raw_flights: DataFrame, raw_weather: DataFrame, airports
                  resume_from: str | None = None, fresh: bool | None = None, p: Params = Params()) -> DataFrame:
     """Windowed build over an inclusive month range in one job.
 
-    ``resume_from`` skips earlier months; ``fresh`` defaults to True when the
-    whole range is rebuilt. Returns per-month and running row counts of the
-    joined table for the built months.
+    ``resume_from`` skips earlier months; ``fresh`` (replace the whole table)
+    defaults to True only where the table has no month outside the range.
+    Returns per-month rows and the running total of the whole joined table,
+    for the built months.
     """
     from dataclasses import replace
 
     from nearcast.operators.incremental import month_counts
+    from nearcast.session import path_exists
     months = TU.month_range(resume_from or start_ym, end_ym)
     lo, _ = TU.month_bounds(months[0])
     _, hi = TU.month_bounds(months[-1])
     q = replace(p, year_month=None, start_date=lo, end_date=hi)
     m = build_marts(raw_flights, raw_weather, airports, timezones, stations, q)
     if fresh is None:
-        fresh = resume_from is None
+        old = f"{out_dir}/joined"
+        fresh = resume_from is None and (not path_exists(spark, old) or spark.read.parquet(old)
+                                         .filter(~F.col("year_month").isin(months)).isEmpty())
     paths = materialize(spark, m, out_dir, fresh=fresh)
-    built = spark.read.parquet(paths["joined"]).filter(F.col("year_month").isin(months))
-    return month_counts(built)
+    return month_counts(spark.read.parquet(paths["joined"])).filter(F.col("year_month").isin(months))
 
 
 def time_parsing_report(spark, samples: list[str | None] | None = None, day: str = "2025-01-15",

@@ -338,16 +338,16 @@ clean AS (
   SELECT event_id, raw_value, raw_trace, raw_flag,
          nullif(nullif(trim(raw_value), ''), 'M') AS text_clean,
          CAST(CASE WHEN trim(raw_value) IN ('', 'M') THEN NULL
-                   ELSE CAST(trim(raw_value) AS DECIMAL(18,4)) END AS DOUBLE) AS num_clean,
+                   ELSE CAST(trim(raw_value) AS DECIMAL(38,10)) END AS DOUBLE) AS num_clean,
          CAST(CASE WHEN trim(raw_trace) IN ('', 'M') THEN NULL WHEN trim(raw_trace) = 'T' THEN 0
-                   ELSE CAST(trim(raw_trace) AS DECIMAL(18,4)) END AS DOUBLE) AS num_trace,
-         CAST(coalesce(nullif(trim(raw_flag), ''), '0') AS DECIMAL(18,4)) = 1 AS flag_clean,
+                   ELSE CAST(trim(raw_trace) AS DECIMAL(38,10)) END AS DOUBLE) AS num_trace,
+         CAST(coalesce(nullif(trim(raw_flag), ''), '0') AS DECIMAL(38,10)) = 1 AS flag_clean,
          event_type = 'error' AS is_cancelled,
          CASE WHEN event_type = 'error' THEN NULL
               ELSE CAST(CASE WHEN trim(raw_value) IN ('', 'M') THEN NULL
-                             ELSE CAST(trim(raw_value) AS DECIMAL(18,4)) END AS DOUBLE) END AS delay_clean,
+                             ELSE CAST(trim(raw_value) AS DECIMAL(38,10)) END AS DOUBLE) END AS delay_clean,
          CASE WHEN event_type = 'error' THEN NULL
-              ELSE CAST(coalesce(nullif(trim(raw_flag), ''), '0') AS DECIMAL(18,4)) = 1 END AS delay_15_flag
+              ELSE CAST(coalesce(nullif(trim(raw_flag), ''), '0') AS DECIMAL(38,10)) = 1 END AS delay_15_flag
   FROM r2)
 """
 

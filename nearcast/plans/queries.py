@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearcast.operators import modelling as ML
 from nearcast.operators import aggregates as A
 from nearcast.operators import reports as R
 from nearcast.operators.asof import exists_in_window, nearest_asof_candidates
@@ -414,22 +415,7 @@ def segment_metrics_q(spark, sf):
     """Per-day model vs constant-rate baseline average precision."""
     s = scored_events(spark, sf)
     base_rate = s.agg(F.avg(F.col("target").cast("double")).alias("base_score"))
-    both = s.select("segment", "target", "score", F.lit("m").alias("which")).unionByName(
-        s.crossJoin(F.broadcast(base_rate)).select("segment", "target", F.col("base_score").alias("score"),
-                                                    F.lit("b").alias("which")))
-    # model and baseline in one segmented metric pass
-    mt = MT.ranking_metrics(both, "score", "target", ["segment", "which"])
-    j = mt.groupBy("segment").agg(
-        F.first(F.when(F.col("which") == "m", F.col("n_rows")), ignorenulls=True).alias("n_rows"),
-        F.first(F.when(F.col("which") == "m", F.col("positive_rate")), ignorenulls=True).alias("positive_rate"),
-        F.first(F.when(F.col("which") == "m", F.col("pr_auc")), ignorenulls=True).alias("m"),
-        F.first(F.when(F.col("which") == "b", F.col("pr_auc")), ignorenulls=True).alias("b")) \
-        .filter(F.col("n_rows") >= SEGMENT_MIN_ROWS)
-    return j.select(F.lit("segment").alias("segment_type"), "segment",
-                    F.col("n_rows").cast("long").alias("n_rows"),
-                    F.round("positive_rate", 4).alias("positive_rate"),
-                    F.round("m", 4).alias("pr_auc_model"), F.round("b", 4).alias("pr_auc_baseline"),
-                    F.round(F.col("m") - F.col("b"), 4).alias("pr_auc_lift"))
+    return ML.segment_report(s, "target", "segment", base_rate, min_rows=SEGMENT_MIN_ROWS)
 
 
 @query("calibration_bins")
@@ -465,13 +451,8 @@ def split_profile_q(spark, sf):
     """train/test split profile and train rows by year."""
     o = order_months(spark, sf).withColumn(
         "split", F.when(F.col("year_month") < TEST_START, "train").otherwise("test"))
-    prof = o.groupBy("split").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.round(F.avg(F.col("target").cast("double")), 4).alias("positive_rate"),
-        F.count_distinct("year_month").alias("months"),
-        F.count_distinct("o_custkey").alias("origins"),
-        F.count_distinct("o_orderpriority").alias("airlines"),
-        F.round(F.avg(F.col("o_totalprice").isNull().cast("double")), 4).alias("missing_price_pct")) \
+    prof = ML.split_profile(o, "target", "split", "year_month",
+                            {"origins": "o_custkey", "airlines": "o_orderpriority"}, {"missing_price_pct": "o_totalprice"}) \
         .withColumn("report", F.lit("summary")).withColumn("year", F.lit(None).cast("string"))
     by_year = o.filter(F.col("split") == "train").groupBy(F.substring("year_month", 1, 4).alias("year")) \
         .agg(F.count(F.lit(1)).alias("rows"),
@@ -642,7 +623,6 @@ def _load_events(spark, sf):
 
 # ------------------------------------------------ modelling (M1-M17, A30): rows-only checks
 
-from nearcast.operators import modelling as ML  # noqa: E402
 
 # Fixed analogue: order lines as training rows; target = ship delay >= 15 days.
 MODEL_NUMERIC = ["l_quantity", "l_discount", "l_tax", "order_month", "sin_hour", "cos_hour"]
@@ -662,9 +642,17 @@ def model_rows(spark, sf):
 
 
 def _prepared_rows(spark, sf):
-    """Training rows with capped categories, written once: every fold and fit reads them."""
+    """Rows of all months, written once: every fold and fit reads them."""
     from nearcast.session import materialize
-    return materialize(ML.cap_categories(model_rows(spark, sf), MODEL_CATEGORICAL))
+    return materialize(model_rows(spark, sf))
+
+
+def _split_rows(spark, sf):
+    """Training and test rows; the frequent categories are those of the training rows."""
+    rows = _prepared_rows(spark, sf)
+    train, test = (rows.filter(F.col("year_month") < TEST_START), rows.filter(F.col("year_month") >= TEST_START))
+    frequent = ML.frequent_categories(train, MODEL_CATEGORICAL)
+    return ML.with_categories(train, frequent), ML.with_categories(test, frequent)
 
 
 def _cv(spark, sf):
@@ -690,9 +678,7 @@ def cv_summary_q(spark, sf):
 @query("holdout_report")
 def holdout_report_q(spark, sf):
     """Final fit on training months, holdout metrics vs baseline."""
-    rows = _prepared_rows(spark, sf)
-    train = rows.filter(F.col("year_month") < TEST_START)
-    test = rows.filter(F.col("year_month") >= TEST_START)
+    train, test = _split_rows(spark, sf)
     model = ML.logistic_pipeline(MODEL_FEATURES, "target", 300, MODEL_CATEGORICAL) \
         .fit(ML.with_balanced_weights(train, "target"))
     rep = ML.holdout_report(model, train, test, "target")
@@ -702,14 +688,10 @@ def holdout_report_q(spark, sf):
 @query("permutation_importance")
 def permutation_importance_q(spark, sf):
     """Accuracy drop per shuffled feature, 3 repeats."""
-    rows = _prepared_rows(spark, sf)
-    train = rows.filter(F.col("year_month") < TEST_START)
-    test = rows.filter(F.col("year_month") >= TEST_START)
+    train, test = _split_rows(spark, sf)
     model = ML.logistic_pipeline(MODEL_FEATURES, "target", 100, MODEL_CATEGORICAL) \
         .fit(ML.with_balanced_weights(train, "target"))
-    return ML.permutation_importance(model, test, MODEL_FEATURES, "target", repeats=3, seed=42,
-                                     sample_n=100_000, id_cols=["l_orderkey", "l_quantity", "l_discount",
-                                                                "l_tax", "l_returnflag", "year_month"])
+    return ML.permutation_importance(model, test, MODEL_FEATURES, "target", repeats=3, seed=42)
 
 
 def _fact(spark, sf):

@@ -92,6 +92,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)

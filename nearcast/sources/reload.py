@@ -18,22 +18,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nearcast.operators.incremental import write_partitions
-from nearcast.session import scratch_path
+from nearcast.session import materialize, path_exists, scratch_path
 
 AUDIT_COLUMNS = ("run_id string, unit string, source_file string, rows_deleted long, "
                  "rows_loaded long, event_ts timestamp, status string, error_message string")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
 def partition_counts(spark: SparkSession, path: str, part_cols: list[str]) -> DataFrame:
     """Current row count per partition of a table (empty if the table does not exist)."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         schema = ", ".join(f"{c} string" for c in part_cols) + ", rows long"
         return spark.createDataFrame([], schema)
     return spark.read.parquet(path).groupBy(*part_cols).agg(F.count(F.lit(1)).alias("rows"))
@@ -52,20 +45,18 @@ def reload_partitions(spark: SparkSession, batch: DataFrame, path: str, part_col
     batch.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     loaded = staged.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    loaded_rows = loaded.collect()                      # one row per touched partition
-    touched = spark.createDataFrame(loaded_rows, loaded.schema)
-    if _exists(spark, path):
-        cur = spark.read.parquet(path).select(*[F.col(c).cast("string").alias(c) for c in part_cols])
-        before = cur.join(F.broadcast(touched.select(*part_cols)), part_cols) \
-            .groupBy(*part_cols).agg(F.count(F.lit(1)).alias("rows_deleted"))
-        before_rows = {tuple(r[c] for c in part_cols): r["rows_deleted"] for r in before.collect()}
+    names = [F.col(c).cast("string").alias(c) for c in part_cols]
+    loaded = loaded.select(*names, "rows_loaded")
+    if path_exists(spark, path):
+        before = spark.read.parquet(path).select(*names).groupBy(*part_cols).agg(F.count(F.lit(1)).alias("rows_deleted"))
+        outcome = loaded.join(before, part_cols, "left")
     else:
-        before_rows = {}
+        outcome = loaded.withColumn("rows_deleted", F.lit(0).cast("long"))
+    # counted before the old partitions go; written, because the counts are read after that
+    outcome = materialize(outcome.select(*part_cols, F.coalesce("rows_deleted", F.lit(0)).cast("long").alias("rows_deleted"),
+                                         F.col("rows_loaded").cast("long").alias("rows_loaded")))
     write_partitions(staged, path, part_cols)
-    rows = [tuple(r[c] for c in part_cols) + (before_rows.get(tuple(r[c] for c in part_cols), 0),
-                                              r["rows_loaded"]) for r in loaded_rows]
-    schema = ", ".join(f"{c} string" for c in part_cols) + ", rows_deleted long, rows_loaded long"
-    return spark.createDataFrame(rows, schema)
+    return outcome
 
 
 def backfill(spark: SparkSession, manifest: DataFrame, loaded: DataFrame, unit_cols: list[str],
@@ -91,6 +82,33 @@ def backfill(spark: SparkSession, manifest: DataFrame, loaded: DataFrame, unit_c
         F.when(ok, F.lit(None)).otherwise(F.lit("no rows read for unit")).alias("error_message"))
 
 
+def backfill_each(spark: SparkSession, units: list[dict[str, str]], load, path: str, part_cols: list[str],
+                  stop_on_error: bool = False, run_id: str | None = None) -> DataFrame:
+    """One job per unit, so that a unit that fails is recorded and the others are loaded.
+
+    ``units`` is the manifest as a list (months, or station x month);
+    ``load(unit)`` returns the unit's rows. With ``stop_on_error`` the units
+    after a failed one are recorded as skipped. Same columns as ``backfill``.
+    """
+    run_id = run_id or str(uuid.uuid4())
+    rows, stopped = [], False
+    for unit in units:
+        deleted, loaded, status, error = 0, 0, "skipped", "an earlier unit failed"
+        if not stopped:
+            try:
+                done = reload_partitions(spark, load(unit), path, part_cols).agg(
+                    F.sum("rows_deleted"), F.sum("rows_loaded")).first()
+                deleted, loaded = done[0] or 0, done[1] or 0
+                status, error = ("success", None) if loaded else ("failed", "no rows read for unit")
+            except Exception as e:  # whatever a unit's files do, the run goes on and reports it
+                status, error = "failed", f"{type(e).__name__}: {str(e)[:500]}"
+            stopped = stop_on_error and status == "failed"
+        rows.append((run_id, *unit.values(), deleted, loaded, status, error))
+    columns = ", ".join(f"{c} string" for c in (units[0] if units else {}))
+    return spark.createDataFrame(rows, f"run_id string, {columns}{', ' if columns else ''}rows_deleted long, rows_loaded long, "
+                                       "status string, error_message string")
+
+
 def backfill_summary(outcomes: DataFrame) -> dict:
     """Totals of a backfill; ``exit_code`` is 1 if any unit failed."""
     r = outcomes.agg(F.count(F.lit(1)).alias("units"), F.count_if(F.col("status") == "failed").alias("failed"),
@@ -149,11 +167,13 @@ def training_extract(spark: SparkSession, fact: DataFrame, cols: list[str], wher
     partitioned by month, so later reads prune by ``year_month``.
     """
     train_p, test_p = os.path.join(out_dir, "train"), os.path.join(out_dir, "test")
-    if not force and _exists(spark, train_p) and _exists(spark, test_p):
+    if not force and path_exists(spark, train_p) and path_exists(spark, test_p):
         return {"train": train_p, "test": test_p}
     base = fact.filter(where).select(*cols)
-    base.filter(F.col(ym_col) < test_start).write.mode("overwrite").partitionBy(ym_col).parquet(train_p)
-    base.filter(F.col(ym_col) >= test_start).write.mode("overwrite").partitionBy(ym_col).parquet(test_p)
+    for side, path in ((F.col(ym_col) < test_start, train_p), (F.col(ym_col) >= test_start, test_p)):
+        # static: months that moved to the other side must not stay behind
+        (base.filter(side).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(ym_col).parquet(path))
     return {"train": train_p, "test": test_p}
 
 

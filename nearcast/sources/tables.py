@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nearcast.session import path_exists
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -38,7 +40,7 @@ def register_all(spark: SparkSession, sf_dir: str) -> None:
 
 def read_mart(spark: SparkSession, path: str | None, recompute=None) -> DataFrame:
     """Mart read: Parquet extract if present, else recompute the plan."""
-    if path and os.path.exists(path):
+    if path and path_exists(spark, path):
         return spark.read.parquet(path)
     if recompute is None:
         raise FileNotFoundError(path)

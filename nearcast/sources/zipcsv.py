@@ -2,11 +2,10 @@
 
 Spark has no ZIP codec, so the archive bytes come in through Spark's own
 file layer (``binaryFile``: one row per archive, works on any filesystem
-Spark can read) and ``mapInArrow`` unpacks them inside the tasks: first
-``*.csv`` member, UTF-8 with bad bytes replaced, cells stripped, short rows
-padded with '', extra cells dropped. Archives are spread over tasks like any
-file scan; the parsed rows come out as Arrow batches, so everything after
-the scan is ordinary DataFrame work.
+Spark can read) and ``mapInArrow`` unpacks them inside the tasks, a bounded
+number of rows at a time. Columns are taken by the names in each archive's own
+header. An archive that cannot be read gives one error row instead of ending
+the job (``zip_errors``; feed it to the backfill outcome).
 """
 
 from __future__ import annotations
@@ -14,99 +13,97 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+from collections.abc import Iterator
+from itertools import islice, zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearcast.sources.csvtext import sanitize_headers
+from nearcast.sources.csvtext import column_plan
 
 BATCH_ROWS = 50_000
 
 
-def _first_csv(zf: zipfile.ZipFile) -> str:
-    names = [i.filename for i in zf.infolist() if i.filename.lower().endswith(".csv")]
-    if not names:
-        raise FileNotFoundError("no CSV member in archive")
-    return names[0]
-
-
-def _rows(content: bytes):
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        with zf.open(_first_csv(zf)) as raw:
-            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-            reader = csv.reader(text)
-            header = next(reader, None)
-            if header is None:
-                return
-            yield header
-            yield from reader
-
-
-def _header_batches(it):
-    for batch in it:
-        for content in batch.column("content").to_pylist():
-            rows = _rows(content)
-            h = next(rows, None)
-            yield pa.RecordBatch.from_pydict({"header": [list(h or [])]})
-            return
+def _open(content: bytes) -> Iterator[list[str]]:
+    """Records of the archive's first CSV member, header first."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        member = next((m for m in archive.namelist() if m.lower().endswith(".csv")), None)
+        if member is None:
+            raise ValueError("no CSV member in archive")
+        with archive.open(member) as raw:
+            yield from csv.reader(io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline=""))
+
+
+def _tables(records: Iterator[list[str]], names: list[str], size: int = BATCH_ROWS) -> Iterator[dict[str, list[str]]]:
+    """Blocks of columns by name: a block of records is turned on its side once."""
+    plan = column_plan(next(records, []))
+    while block := list(islice(records, size)):
+        block = [r for r in block if any(c.strip() for c in r)]
+        sides = list(zip_longest(*block, fillvalue=""))
+        empty = [""] * len(block)
+        if block:
+            yield {n: [c.strip() for c in sides[plan[n]]] if plan.get(n, len(sides)) < len(sides) else empty for n in names}
+
+
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found, broken = [], []
+        for content in batch.column("content"):
+            try:
+                found.append(next(_open(content.as_py()), []))
+                broken.append(None)
+            except (zipfile.BadZipFile, ValueError, OSError, EOFError) as e:
+                found.append([])
+                broken.append(f"{type(e).__name__}: {e}")
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.list_(pa.string())), pa.array(broken, pa.string())],
+                                         names=["path", "header", "error"])
+
+
+def zip_headers(spark: SparkSession, path: str) -> DataFrame:
+    """path, header, error of every archive matching ``path``, parsed in tasks."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(_headers, "path string, header array<string>, error string")
 
 
-def zip_header(spark: SparkSession, path: str) -> list[str]:
-    """Raw header of the first archive (by path), parsed in a task."""
-    first = (spark.read.format("binaryFile").load(path).select("path").orderBy("path").first())
-    if first is None:
-        raise FileNotFoundError(path)
-    one = spark.read.format("binaryFile").load(first["path"]).select("content")
-    row = one.mapInArrow(_header_batches, "header array<string>").first()
-    return list(row["header"])
+def zip_errors(spark: SparkSession, path: str) -> DataFrame:
+    """path, error of the archives that cannot be read."""
+    return zip_headers(spark, path).filter("error is not null").select("path", "error")
 
 
 def read_zipped_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """All-string rows of the first CSV member of every archive matching ``path``.
+    """All-string rows of the first CSV member of every readable archive matching ``path``.
 
-    Column names are the sanitized header of the first archive; later
-    archives are read by position (the first file fixes the schema).
+    Columns are the union of the archives' names (or those of ``header``); an
+    archive without a column has '' there.
     """
-    raw = header or zip_header(spark, path)
-    names = sanitize_headers(raw)
-    keep = [i for i, n in enumerate(names) if n is not None]
-    out_names = [names[i] for i in keep]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in out_names]
-                          + [T.StructField("__file", T.StringType())])
-
-    def parse(it):
-        for batch in it:
-            paths = batch.column("path").to_pylist()
-            contents = batch.column("content").to_pylist()
-            for p, content in zip(paths, contents):
-                fname = p.rsplit("/", 1)[-1]
-                cols: list[list[str]] = [[] for _ in out_names]
-                n = 0
-                rows = _rows(content)
-                next(rows, None)  # this archive's own header line
-                for row in rows:
-                    for j, i in enumerate(keep):
-                        v = row[i] if i < len(row) and row[i] is not None else ""
-                        cols[j].append(v.strip())
-                    n += 1
-                    if n == BATCH_ROWS:
-                        yield _batch(out_names, cols, fname, n)
-                        cols, n = [[] for _ in out_names], 0
-                if n:
-                    yield _batch(out_names, cols, fname, n)
+    if header is None:
+        # different headers, not archives: a few spellings of one layout
+        kinds = zip_headers(spark, path).filter("error is null").groupBy("header").agg(F.min("path").alias("path")).sort("path").collect()
+        if not kinds:
+            raise FileNotFoundError(path)
+        names = list(dict.fromkeys(n for k in kinds for n in column_plan(k["header"])))
+    else:
+        names = list(column_plan(header))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__file"]])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                try:
+                    for table in _tables(_open(content.as_py()), names):
+                        rows = len(table[names[0]]) if names else 0
+                        columns = [pa.array(table[n], pa.string()) for n in names]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array([file.rsplit("/", 1)[-1]] * rows, pa.string())],
+                                                         names=[*names, "__file"])
+                except (zipfile.BadZipFile, ValueError, OSError, EOFError):
+                    continue  # reported by zip_errors
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(parse, schema)
 
 
-def _batch(names: list[str], cols: list[list[str]], fname: str, n: int) -> pa.RecordBatch:
-    data = {name: pa.array(c, type=pa.string()) for name, c in zip(names, cols)}
-    data["__file"] = pa.array([fname] * n, type=pa.string())
-    return pa.RecordBatch.from_pydict(data)
-
-
 def archive_names(spark: SparkSession, path: str) -> DataFrame:
     """Archive paths and sizes (content not read)."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.col("modificationTime"))

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from nearcast.session import checkpoint_dir
-from nearcast.sources.csvtext import first_file, header_of, sanitize_headers
+from nearcast.sources.csvtext import csv_options, first_file, header_of, sanitize_headers
 from nearcast.sources.reload import audit_events, reload_partitions
 
 
@@ -32,9 +32,7 @@ def text_csv_stream(spark: SparkSession, landing: str, header: list[str], commen
     """Streaming all-string CSV rows with the file name."""
     names = sanitize_headers(header)
     schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(len(names))])
-    r = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", True)
-         .option("comment", comment).option("ignoreLeadingWhiteSpace", True)
-         .option("ignoreTrailingWhiteSpace", True).option("pathGlobFilter", glob))
+    r = csv_options(spark.readStream.schema(schema), comment).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(landing)
@@ -50,8 +48,12 @@ def start_drop_ingest(spark: SparkSession, landing: str, target: str, audit_log:
     """Start the landing-folder -> partitioned raw table stream.
 
     ``part_cols`` are built from the file name: ``year_month`` always,
-    ``station`` when ``station_pattern`` is given (its first group).
+    ``station`` when ``station_pattern`` is given (its first group). A
+    partition is replaced by the file that holds it, so ``part_cols`` must name
+    what a file holds: with station files, station and month.
     """
+    if station_pattern and "station" not in part_cols:
+        raise ValueError("files are per station: part_cols must include 'station', else one replaces another's rows")
     if header is None:
         header = header_of(spark, first_file(spark, landing.rstrip("/") + "/*.csv"))
     stream = text_csv_stream(spark, landing, header)

@@ -70,8 +70,7 @@ def test_fit_save_load_holdout_segments_importance(spark, rows, tmp_dir):
     assert set(rep) == {"baseline_global_rate", "model"}
     seg = ML.segment_report(ML.score(model, test), "target", "origin", 0.3, min_rows=10).collect()
     assert {r["segment"] for r in seg} <= {"ATL", "ORD", "DEN", "LAX"} and seg
-    imp = {r["feature"]: r for r in ML.permutation_importance(model, test, FEATS, "target", repeats=2,
-                                                              id_cols=["id"]).collect()}
+    imp = {r["feature"]: r for r in ML.permutation_importance(model, test, FEATS, "target", repeats=2).collect()}
     assert set(imp) == set(FEATS)
     best, trials = ML.random_search(rows, FOLDS[:1], "target", trials=2, features=FEATS,
                                     overrides={"maxIter": 3, "maxDepth": 3},
