@@ -262,9 +262,10 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         .unionByName(tight.select(F.col("a").alias("node"), F.col("b").alias("centre"))) \
         .unionByName(tight.select(F.col("a").alias("node"), F.col("a").alias("centre"))) \
         .unionByName(tight.select(F.col("b").alias("node"), F.col("b").alias("centre")))
-    wish = materialize(wish.groupBy("node").agg(F.min_by("centre", rank).alias("ball")))
-    centres = wish.where("node = ball").select("ball")
-    balls = materialize(wish.join(centres, "ball").select("node", "ball"))
+    wish = materialize(wish.distinct())
+    # a centre ranks first among all that it is near to; a member takes the first of the centres it is near to
+    centres = wish.groupBy("node").agg(F.min_by("centre", rank).alias("centre")).where("node = centre").select("centre")
+    balls = materialize(wish.join(materialize(centres), "centre").groupBy("node").agg(F.min_by("centre", rank).alias("ball")))
 
     labelled = found.join(balls, "node", "left").withColumn("ball", F.coalesce("ball", "node"))
     links = materialize(exact(cross_pairs(labelled, cosine - CODE_ERROR), units, cosine))
@@ -274,10 +275,13 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     across = (both.join(units.select(F.col("node").alias("b"), "weight"), "b")
               .groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("across")))
-    parts = connected_components(links.unionByName(balls.where("node <> ball").select(F.col("node").alias("a"), F.col("ball").alias("b"))))
-    of_node = weights.join(inside, "ball").join(across, "node", "left").join(parts, "node", "left").select(
+    # a ball is connected, so components are those of balls that some link joins
+    a, b = (weights.select(F.col("node").alias(x), F.col("ball").alias(f"ball_{x}")) for x in ("a", "b"))
+    joined = links.join(a, "a").join(b, "b").select(F.col("ball_a").alias("a"), F.col("ball_b").alias("b")).distinct()
+    parts = connected_components(joined).withColumnRenamed("node", "ball")
+    of_node = weights.join(inside, "ball").join(across, "node", "left").join(parts, "ball", "left").select(
         "node", (F.col("ball_weight") + F.coalesce("across", F.lit(0)) - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component"))
+        F.coalesce("component", "ball").alias("component"))
     of_node = materialize(of_node)
     smallest = (keyed.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("vec_id"))
                 .join(of_node.select("node", "component"), "node")
