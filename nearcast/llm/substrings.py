@@ -43,7 +43,7 @@ DEPTH = 256
 REACH = LENGTH - ANCHOR + 1
 #: Bytes hashed at once (positions must fit into PLACE bits), bytes of runs in a shard, different runs of an anchor in one shard.
 CHUNK, PLACE = 1 << 19, 20
-SHARD_BYTES, SHARD_RUNS = 4 << 20, 4000
+SHARD_BYTES, SHARD_RUNS = 2 << 20, 4000
 NO_ID = -(1 << 63)
 
 
