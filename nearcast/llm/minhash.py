@@ -221,8 +221,8 @@ def rarest(keys: DataFrame, similarity: float) -> DataFrame:
             .select(F.col("one.key").alias("key"), "node", "n", (F.col("own") + F.col("at") + 1).alias("place")))
 
 
-def near_links(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Edges (a, b) whose components are those of the graph of all near pairs that share a bucket."""
+def near_components(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """node, component over all near pairs, for the nodes that have one."""
     rows = classes.where("node is not null and size(bands) > 0").select("node", F.posexplode("bands").alias("band", "bucket"))
     order = F.struct(F.xxhash64("node", "band"), F.col("node"))
     hubs = rows.groupBy("bucket").agg(F.min_by("node", order).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
@@ -247,14 +247,22 @@ def near_links(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARI
     rare = materialize(rare.join(largest, "key"))
     rest = rare.where("component <> largest").select(
         "key", *(F.col(c).alias(f"{c}_x") for c in ("node", "component", "n", "place")))
-    others = rare.select(F.col("key").alias("key_y"), *(F.col(c).alias(f"{c}_y") for c in ("node", "component", "n", "place")))
+    others = rare.select(F.col("key").alias("key_y"), *(F.col(c).alias(f"{c}_y") for c in ("node", "component", "n", "place", "largest")))
     common = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n_x") + F.col("n_y")) - 1e-9)
     possible = (F.col("component_x") != F.col("component_y")) & (F.col("place_x") <= F.col("n_x") - common + 1) \
-        & (F.col("place_y") <= F.col("n_y") - common + 1)
+        & (F.col("place_y") <= F.col("n_y") - common + 1) \
+        & ((F.col("component_y") == F.col("largest_y")) | (F.col("node_x") < F.col("node_y")))
     pairs = rest.join(others, (F.col("key") == F.col("key_y")) & possible).select(
         F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
     pairs = materialize(pairs.join(star, ["a", "b"], "left_anti"))
-    return links.unionByName(verified(pairs, keys, similarity))
+    # components of the first round, joined by the links of the second
+    found = verified(pairs, keys, similarity)
+    ends = {x: active.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in ("a", "b")}
+    joined = connected_components(found.join(ends["a"], "a").join(ends["b"], "b").select(
+        F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+    joined = materialize(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")))
+    alone = active.join(parts, "node", "left_anti")
+    return parts.unionByName(alone).join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
 
 
 def labelled(docs: DataFrame, similarity: float) -> DataFrame:
@@ -262,7 +270,7 @@ def labelled(docs: DataFrame, similarity: float) -> DataFrame:
     signed = materialize(signatures(docs))
     classes = materialize(signed.where("size(bands) > 0").groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
-    parts = materialize(connected_components(near_links(classes, docs, similarity)))
+    parts = materialize(near_components(classes, docs, similarity))
     labels = materialize(classes.select("digest", "node").join(parts, "node", "left")
                          .select("digest", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id")))
     out = signed.select("doc_id", F.when(F.size("bands") > 0, F.col("digest")).alias("digest")).join(labels, "digest", "left")
