@@ -211,20 +211,17 @@ def pr_points(df: DataFrame, score, label, segments: list[str] | None = None) ->
 def pr_auc_trapezoid(cum: DataFrame, segments: list[str] | None = None) -> DataFrame:
     """Trapezoid area under the PR points incl. the (recall 0, precision 1) end.
 
-    Consecutive points pair up through the distinct-threshold rank of the
-    same prefix sum (an equi-join on rank), not through a global window.
+    The point before a threshold follows from the threshold's own row: its
+    counts without the rows that have exactly this score. No join, no window.
     """
     segs = list(segments or [])
-    pts = _points(cum, segs).select(*segs, "rank", "recall", "precision")
-    ends = pts.select(*segs).distinct().select(*segs, F.lit(0).cast("long").alias("rank"),
-                                                F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"))
-    pts = pts.unionByName(ends)
-    prev = pts.select(*segs, (F.col("rank") + 1).alias("rank"), F.col("recall").alias("r0"),
-                      F.col("precision").alias("p0"))
-    pair = pts.join(prev, segs + ["rank"])
-    return pair.groupBy(*segs).agg(
-        F.sum((F.col("recall") - F.col("r0")) * (F.col("precision") + F.col("p0")) / 2)
-        .alias("pr_auc_trapezoid"))
+    tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    share = lambda tp: F.coalesce(F.try_divide(tp, F.col("P")), F.lit(1.0))
+    precision0 = F.coalesce(F.try_divide(tp0, tp0 + fp0), F.lit(1.0))
+    recall0 = F.when(tp0 + fp0 == 0, F.lit(0.0)).otherwise(share(tp0))
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    return cum.groupBy(*segs).agg(
+        F.sum((share(F.col("tp")) - recall0) * (precision + precision0) / 2).alias("pr_auc_trapezoid"))
 
 
 def calibration_bins(df: DataFrame, score, label, n_bins: int = 10) -> DataFrame:
