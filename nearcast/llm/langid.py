@@ -39,7 +39,7 @@ LETTER = regex.compile(r"\p{L}")
 def sample(docs: DataFrame, per_language: int = TRAIN_DOCS, windows: int = TRAIN_WINDOWS,
            chars: int = 2 * LENGTH) -> list[tuple[str, str]]:
     """(language, passage) pairs: at most ``per_language * windows`` per language, in a fixed order."""
-    fit = (docs.where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2")
+    fit = (docs.select("lang", "doc_id", "text").where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2")
            .where(F.col("text").rlike(r"\p{L}")))
     ids = fit.select("lang", "doc_id", F.xxhash64("text").alias("th"), (F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / (1 << 30)).alias("u"))
     ids = materialize(ids)

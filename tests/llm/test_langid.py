@@ -67,7 +67,8 @@ def test_edge_rows(spark):
     rows += [(i, "der hund und die katze saßen übel " * 5, "de", "s") for i in range(40, 80)]
     rows += [(100, None, "en", "s"), (101, "", "en", "s"), (102, "123 ... !!", "de", "s"), (None, "the cat and the dog", None, "s"),
              (103, "the cat and the dog sat " * 20_000, None, None), (100, "der hund und die katze", "zz", "s")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string").selectExpr(
+        "*", "1 as k", "2 as u", "3 as th", "4 as n", "5 as i")
     got = langid.identify(df).collect()
     assert len(got) == len(rows)
     by = {(r.doc_id, r.lang_pred) for r in got if r.doc_id in (None, 100, 101, 102, 103)}
