@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearcast.llm import langid, minhash, packing, quality, substrings
+from nearcast.llm.batches import bounded_batches
 from nearcast.session import scratch_path
 
 #: A language must reach this share of a document's positions.
@@ -22,6 +23,7 @@ MIN_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language; ``lang`` is the predicted one. No letter or no clear language: rejected."""
+    bounded_batches(spark)
     judged = langid.predict(docs, langid.fit(docs))
     kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
@@ -34,16 +36,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    bounded_batches(spark)
     return minhash.representatives(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the 200-byte strings that also occur elsewhere; ``n_chars`` follows the text."""
+    bounded_batches(spark)
     return substrings.cleaned(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, placed in sequences of at most 4096 tokens."""
+    bounded_batches(spark)
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 

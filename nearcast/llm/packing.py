@@ -45,7 +45,7 @@ POPULATION, GENERATIONS, GROUPS = 4, 12, 2
 #: A bin leaves as a finished sequence when at most this share of it is empty.
 SLACK = 0.002
 #: Encoded runs of text that a Python worker keeps, and bytes of text it encodes at once.
-KEPT_RUNS, BLOCK = 1_000_000, 2 << 20
+KEPT_RUNS, BLOCK = 400_000, 2 << 20
 SYMBOLS = string.punctuation
 
 

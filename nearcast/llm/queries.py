@@ -22,10 +22,11 @@ from . import (
     substrings,
     warc,
 )
+from .batches import bounded_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
