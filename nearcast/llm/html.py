@@ -1,21 +1,22 @@
 """Main-text extraction by wrapper induction over the pages of a host.
 
-Pages of one host come from one template. Per host one page serves as frame:
-every page's DOM, reduced to slots (repeated siblings with the same key are one
-slot), is aligned with the frame by simple tree matching, and all pages of the
-host vote on each frame node: how often it was matched and how often its text
-was the frame's. Constant nodes are template; varying slots are content,
+Pages of one host come from one template. Every page's DOM is reduced to slots
+(repeated siblings with the same key are one slot) at full depth; the frame of
+a host is the union of the slot trees of all its pages, so a slot is aligned by
+its path of keys. All pages of the host that have a slot vote on it: how often
+its text was the same. Constant slots are template; varying slots are content,
 unless their markup names them (menus, headers, footers, sidebars, notices,
 adverts, forms, comments) or nearly all their text is links. A second pass over
 the pages drops the template and reads the text of what is left, from the
 article or main element where a page has one; nothing inside that element is
-template (the same article on two pages of a host is still an article).
+template. Elsewhere a slot with half or more of the page's text is template
+only if it repeats the constant text and other text is left.
 
-Votes are summed inside a task before they are shuffled, so a host with a
-third of all pages costs a few rows per task. The wrappers hold one row per
-host; their size is known when the second pass is planned, so Spark broadcasts
-them below its limit and otherwise shuffles pages by host, where AQE splits a
-large host.
+Votes are summed inside a task before they are shuffled: a row per host, path
+and different text. The wrappers hold one row per host with the paths that are
+template or links; their size is known when the second pass is planned, so
+Spark broadcasts them below its limit and otherwise shuffles pages by host,
+where AQE splits a large host.
 
 Defined cases: null or empty html gives an empty text; a null url makes a host
 of its own; a host with one page has no votes and only the markup rules;
@@ -24,11 +25,11 @@ repeated rows are extracted each; extra columns are ignored.
 
 from __future__ import annotations
 
-import json
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from html import unescape
 from zlib import crc32
 
@@ -58,8 +59,8 @@ NAMES = frozenset("""nav navbar navigation menu breadcrumb breadcrumbs sidebar f
  newsletter subscribe signup login comment comments disqus reply replies respond share sharing social related
  recommended widget toolbar search pagination pager skip hidden""".split())
 WORDS = re.compile(r"[a-z]+")
-DEPTH, SLOT_DEPTH = 200, 8
-#: A frame node is template if at least this share of the other pages that match it, and two at least, repeat its text.
+DEPTH = 200
+#: A slot is template if at least this share of the other pages that have it, and two at least, repeat its text.
 CONSTANT_SHARE, LINK_SHARE = 0.6, 0.7
 
 
@@ -178,25 +179,20 @@ class Slot:
 def slots(root: Node) -> tuple[Slot, dict[int, Slot]]:
     """The page's slot tree, and the slot of each node by the node's ``id``."""
     top, of = Slot(""), {}
-    todo = [(root, top, 0)]
+    todo = [(root, top)]
     of[id(root)] = top
-    order = []
     while todo:
-        node, slot, depth = todo.pop()
-        order.append((node, slot))
+        node, slot = todo.pop()
         slot.links += node.links
         for c in node.children:
             if isinstance(c, str):
                 if not c.isspace():
                     slot.crc = crc32(c.strip().encode("utf-8", "surrogatepass"), slot.crc)
                     slot.chars += len(c)
-            elif depth < SLOT_DEPTH:
+            else:
                 s = slot.children.setdefault(c.key, None) or Slot(c.key)
                 slot.children[c.key] = of[id(c)] = s
-                todo.append((c, s, depth + 1))
-            else:
-                of[id(c)] = slot
-                todo.append((c, slot, depth))
+                todo.append((c, s))
     close(top)
     return top, of
 
@@ -210,11 +206,24 @@ def close(slot: Slot) -> None:
         slot.links += s.links
 
 
-def frame(html: str | None) -> str:
-    """A page's slot tree as JSON: [key, checksum of the text, children]."""
-    def pack(s: Slot) -> list:
-        return [s.key, s.crc, [pack(c) for c in s.children.values()]]
-    return json.dumps(pack(slots(parse(html or ""))[0]), separators=(",", ":"))
+@lru_cache(maxsize=100_000)
+def path(above: int, key: str) -> int:
+    """Name of a slot: a hash of the keys from the root down to it."""
+    return int.from_bytes(blake2b(b"%d %b" % (above, key.encode("utf-8", "surrogatepass")), digest_size=8).digest(), "little", signed=True)
+
+
+def paths(top: Slot) -> Iterator[tuple[int, Slot]]:
+    """All slots of a page by path."""
+    todo = [(0, top)]
+    while todo:
+        above, s = todo.pop()
+        yield above, s
+        todo += [(path(above, c.key), c) for c in s.children.values()]
+
+
+def checksum(s: Slot) -> int:
+    """Stands for the text below a slot; 0 if there is none."""
+    return s.crc | (s.chars & 0x7FFFFFFF) << 32 if s.chars else 0
 
 
 def numbered(packed: list) -> list:
@@ -228,11 +237,6 @@ def numbered(packed: list) -> list:
     return walk(packed)
 
 
-@lru_cache(maxsize=500)
-def loaded(text: str) -> list:
-    return numbered(json.loads(text))
-
-
 def matched(a: list, b: Slot) -> tuple[int, list]:
     """Simple tree matching: size of the largest ordered matching of two trees and its pairs."""
     left, right = a[2], list(b.children.values())
@@ -262,32 +266,27 @@ def matched(a: list, b: Slot) -> tuple[int, list]:
     return 1 + best[-1][-1][0], pairs + best[-1][-1][1]
 
 
-def wrapper(counts: list | None) -> dict[int, tuple[bool, bool]]:
-    """By frame node: whether it is template, whether it is links."""
-    out = {}
-    for r in counts or ():
-        out[r["node"]] = (r["same"] >= max(2, CONSTANT_SHARE * r["n"]), r["links"] > LINK_SHARE * max(r["chars"], 1))
-    return out
-
-
-def text_of(html: str | None, packed: str | None, rules: dict[int, tuple[bool, bool]]) -> str:
-    """The main text of one page."""
+def text_of(html: str | None, template: dict[int, int] | None, links: Collection[int]) -> str:
+    """The main text of one page; ``template`` has the constant text of each template path of the host."""
     if not html:
         return ""
     root = parse(html)
     regions = main_regions(root)
-    banned = set()
-    if not regions:
-        regions = [root]
-        if packed and rules:
-            top, of = slots(root)
-            pairs = {id(s): x[3] for x, s in matched(loaded(packed), top)[1]}
-            live = top.chars
-            for node_id, s in of.items():
-                template, links = rules.get(pairs.get(id(s), -1), (False, False))
-                # what makes up most of a page is its content, whatever other pages say
-                if s is not top and (template or links) and 2 * s.chars < live:
-                    banned.add(node_id)
+    if regions or not (template or links):
+        return text_below(regions or [root], ())
+    top, of = slots(root)
+    at = {id(s): p for p, s in paths(top)}
+
+    def repeats(s: Slot) -> bool:
+        return s.chars > 0 and template.get(at[id(s)]) == checksum(s)
+
+    small = {n for n, s in of.items() if s is not top and 2 * s.chars < top.chars and (at[id(s)] in template or at[id(s)] in links)}
+    large = {n for n, s in of.items() if s is not top and 2 * s.chars >= top.chars and repeats(s)}
+    # a page that repeats others as a whole still has its largest part for a text
+    return text_below([root], small | large) or text_below([root], small)
+
+
+def text_below(regions: list[Node], banned: Collection[int]) -> str:
     blocks: list[str] = []
     for r in regions:
         read(r, banned, blocks)
@@ -308,7 +307,7 @@ def main_regions(root: Node) -> list[Node]:
     return articles or mains[:1]
 
 
-def read(region: Node, banned: set[int], blocks: list[str]) -> None:
+def read(region: Node, banned: Collection[int], blocks: list[str]) -> None:
     """Append the blocks of text below a node in page order."""
     run: list[str] = []
 
@@ -340,45 +339,48 @@ def host_of(url: str = "url"):
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """host, frame, counts: one row per host. ``pages`` has host, url, page_id, html."""
-    chosen = pages.groupBy("host").agg(F.min_by("html", F.struct(F.xxhash64("url", "page_id"), F.xxhash64("html"))).alias("html"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([frame(x) for x in b.column(1).to_pylist()], pa.string())],
-                                             names=["host", "frame"])
-    frames = materialize(chosen.mapInArrow(pack, "host string, frame string"))
-
+    """host, rules: one row per host that has a template or links. ``pages`` has host and html."""
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict = defaultdict(lambda: [0, 0, 0, 0])
+        sums: dict = defaultdict(lambda: [0, 0, 0])
         for b in batches:
-            for host, html, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for x, s in matched(loaded(packed), slots(parse(html or ""))[0])[1]:
-                    v = sums[host, x[3]]
+            for host, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for p, s in paths(slots(parse(html))[0]):
+                    v = sums[host, p, checksum(s)]
                     v[0] += 1
-                    v[1] += x[1] == s.crc and s.chars > 0
-                    v[2] += s.chars
-                    v[3] += s.links
-            if len(sums) > 50_000:
-                yield votes(sums)
-                sums.clear()
+                    v[1] += s.chars
+                    v[2] += s.links
+                if len(sums) > 50_000:
+                    yield votes(sums)
+                    sums.clear()
         yield votes(sums)
 
-    counted = pages.select("host", "html").join(frames, "host").mapInArrow(
-        vote, "host string, node int, n long, same long, chars long, links long")
-    # the frame itself is one of the pages that agree with it
-    per_host = (counted.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("n", "same", "chars", "links")))
-                .withColumn("n", F.col("n") - 1).withColumn("same", F.col("same") - 1)
-                .groupBy("host").agg(F.collect_list(F.struct("node", "n", "same", "chars", "links")).alias("counts")))
-    return materialize(frames.join(per_host, "host", "left"))
+    counted = pages.where("html <> ''").select("host", "html").mapInArrow(
+        vote, "host string, path long, text long, n long, chars long, links long")
+    texts = counted.groupBy("host", "path", "text").agg(*(F.sum(c).alias(c) for c in ("n", "chars", "links")))
+    # how many pages have the path, and the text that most of them have there
+    slot = texts.groupBy("host", "path").agg(
+        *(F.sum(c).alias(c) for c in ("n", "chars", "links")),
+        F.max(F.when(F.col("text") != 0, F.struct("n", "text"))).alias("most"))
+    others = F.col("n") - 1
+    rules = slot.where("path <> 0").select(
+        "host", "path", F.when(F.col("most.n") - 1 >= F.greatest(F.lit(2), CONSTANT_SHARE * others), F.col("most.text")).alias("template"),
+        (F.col("links") > LINK_SHARE * F.greatest(F.col("chars"), F.lit(1))).alias("links"))
+    return materialize(rules.where("template is not null or links").groupBy("host").agg(
+        F.collect_list(F.struct("path", "template", "links")).alias("rules")))
 
 
 def votes(sums: dict) -> pa.RecordBatch:
     rows = [(*k, *v) for k, v in sums.items()]
     columns = list(zip(*rows, strict=True)) or [()] * 6
-    kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4]
+    kinds = [pa.string(), *[pa.int64()] * 5]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                      names=["host", "node", "n", "same", "chars", "links"])
+                                      names=["host", "path", "text", "n", "chars", "links"])
+
+
+def wrapper(rules: list | None) -> tuple[dict[int, int], set[int]]:
+    """The constant text of each template path, and the paths that are links."""
+    rules = rules or ()
+    return {r["path"]: r["template"] for r in rules if r["template"] is not None}, {r["path"] for r in rules if r["links"]}
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -391,14 +393,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         known: dict = {}
         for b in batches:
             texts = []
-            for html, packed, counts in zip(*(c for c in b.columns[2:]), strict=True):
-                packed = packed.as_py()
-                if packed not in known:
+            for html, host, rules in zip(*(c for c in b.columns[2:]), strict=True):
+                host = host.as_py()
+                if host not in known:
                     if len(known) > 500:
                         known.clear()
-                    known[packed] = wrapper(counts.as_py())
-                texts.append(text_of(html.as_py(), packed, known[packed]))
+                    known[host] = wrapper(rules.as_py())
+                texts.append(text_of(html.as_py(), *known[host]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
-    joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "frame", "counts")
+    joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "host", "rules")
     return joined.mapInArrow(run, "page_id long, url string, text string")

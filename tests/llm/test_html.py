@@ -69,3 +69,19 @@ def test_template_is_induced(spark):
     assert (got[100], got[101], got[102], got[103]) == ("alone", "", "b", "an article")
     assert all(got[i] == "the same long text on every page" for i in range(200, 206))
     assert html.extract(df.limit(0)).count() == 0
+
+
+def texts_of(spark, pages):
+    rows = [(i, f"http://one.example/{i}", h) for i, h in enumerate(pages)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[i] for i in range(len(pages))]
+
+
+def test_every_page_votes(spark):
+    # one unlike page, null or of another layout, cannot be all of the host's frame; a banner that most pages have is template
+    deep = "<section>" * 12 + "<ul><li>same menu entry</li></ul><p>own words {i}</p>" + "</section>" * 12
+    body = "<div class='qx'>Bannertext</div><div class='y'><p>words of page {i}</p></div>" + deep
+    foot = "<div class='z'>a long constant footer that is most of a short page, longer than all that stands above it, by far</div>"
+    pages = [(body + foot).replace("{i}", str(i)) for i in range(12)] + [None, "", "<table><tr><td>unlike</table>"]
+    got = texts_of(spark, pages)
+    assert got == [f"words of page {i}\nown words {i}" for i in range(12)] + ["", "", "unlike"]
