@@ -8,9 +8,11 @@ its text was the same. Constant slots are template; varying slots are content,
 unless their markup names them (menus, headers, footers, sidebars, notices,
 adverts, forms, comments) or nearly all their text is links. A second pass over
 the pages drops the template and reads the text of what is left, from the
-article or main element where a page has one; nothing inside that element is
-template. Elsewhere a slot with half or more of the page's text is template
-only if it repeats the constant text and other text is left.
+article and main elements where a page has some. Inside these only what repeats
+the host's constant text and is less than half of them is template, and nothing
+if the element repeats as a whole (the same article on several pages of a host
+is still an article). Elsewhere a slot with half or more of the page's text is
+template only if it repeats the constant text and other text is left.
 
 Votes are summed inside a task before they are shuffled: a row per host, path
 and different text. The wrappers hold one row per host with the paths that are
@@ -272,7 +274,7 @@ def text_of(html: str | None, template: dict[int, int] | None, links: Collection
         return ""
     root = parse(html)
     regions = main_regions(root)
-    if regions or not (template or links):
+    if not (template if regions else template or links):
         return text_below(regions or [root], ())
     top, of = slots(root)
     at = {id(s): p for p, s in paths(top)}
@@ -280,6 +282,11 @@ def text_of(html: str | None, template: dict[int, int] | None, links: Collection
     def repeats(s: Slot) -> bool:
         return s.chars > 0 and template.get(at[id(s)]) == checksum(s)
 
+    if regions:
+        whole = {id(s): s for r in regions if not repeats(s := of[id(r)])}
+        banned = {id(n) for r in regions if id(of[id(r)]) in whole for n in nodes(r)
+                  if n is not r and repeats(s := of[id(n)]) and 2 * s.chars < of[id(r)].chars}
+        return text_below(regions, banned)
     small = {n for n, s in of.items() if s is not top and 2 * s.chars < top.chars and (at[id(s)] in template or at[id(s)] in links)}
     large = {n for n, s in of.items() if s is not top and 2 * s.chars >= top.chars and repeats(s)}
     # a page that repeats others as a whole still has its largest part for a text
@@ -293,18 +300,30 @@ def text_below(regions: list[Node], banned: Collection[int]) -> str:
     return "\n".join(blocks)
 
 
+def nodes(region: Node) -> Iterator[Node]:
+    todo = [region]
+    while todo:
+        n = todo.pop()
+        yield n
+        todo += [c for c in n.children if not isinstance(c, str)]
+
+
 def main_regions(root: Node) -> list[Node]:
-    """Outermost articles that are not boilerplate, else main elements."""
-    articles, mains, todo = [], [], [(root, False)]
+    """Outermost articles that are not boilerplate and outermost main elements without such an article, in page order."""
+    found, holds, todo = [], set(), [(root, None)]
     while todo:
-        n, inside = todo.pop()
+        n, within = todo.pop()
         if n.dropped:
             continue
-        if n.main and not inside:
-            (articles if n.tag == "article" else mains).append(n)
-            inside = n.tag == "article"
-        todo += [(c, inside) for c in reversed(n.children) if not isinstance(c, str)]
-    return articles or mains[:1]
+        if n.main and (within is None or n.tag == "article"):
+            found.append(n)
+            if within is not None:
+                holds.add(id(within))
+            if n.tag == "article":
+                continue
+            within = n
+        todo += [(c, within) for c in reversed(n.children) if not isinstance(c, str)]
+    return [n for n in found if id(n) not in holds]
 
 
 def read(region: Node, banned: Collection[int], blocks: list[str]) -> None:

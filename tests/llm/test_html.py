@@ -77,6 +77,21 @@ def texts_of(spark, pages):
     return [got[i] for i in range(len(pages))]
 
 
+def test_template_inside_the_article(spark):
+    notice = "<div class='x7'>same notice on every page</div>"
+    pages = [f"<article><p>text number {i} has more words than the notice</p>{notice}</article>" for i in range(8)]
+    pages += [f"<main><p>first {i} part of a longer text</p>{notice}</main><main><p>second {i} part</p></main>" for i in range(8)]
+    got = texts_of(spark, pages)
+    assert got[:8] == [f"text number {i} has more words than the notice" for i in range(8)]
+    assert got[8:] == [f"first {i} part of a longer text\nsecond {i} part" for i in range(8)]
+    again = ["<article><h1>Title</h1><p>the same article</p></article>"] * 5 + ["<article><h1>Other</h1><p>its own text</p></article>"]
+    assert texts_of(spark, again) == ["Title\nthe same article"] * 5 + ["Other\nits own text"]
+
+
+def test_main_elements():
+    assert main_text("<main><p>a</p><div role='main'><p>b</p></div></main><main><article>c</article><p>d</p></main>") == "a\nb\nc"
+
+
 def test_every_page_votes(spark):
     # one unlike page, null or of another layout, cannot be all of the host's frame; a banner that most pages have is template
     deep = "<section>" * 12 + "<ul><li>same menu entry</li></ul><p>own words {i}</p>" + "</section>" * 12
