@@ -60,27 +60,44 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         (F.char_length("t") - F.char_length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").alias("n_lines"),
-        windows(F.col("w")).alias("s"))
+        "w", windows(F.col("w")).alias("s"))
+    d = d.withColumn("s", compared(likely_positions()))
     d = d.withColumn("p", repeated_positions())
-    return d.withColumn("n_repeat_words", covered(F.col("p"))).drop("s", "p")
+    return d.withColumn("n_repeat_words", covered(F.col("p"))).drop("w", "s", "p")
 
 
 def windows(w: Column) -> Column:
-    """Sorted (40-bit hash of a 3-word window, 24-bit position), one long each; empty below four words."""
+    """Sorted (33-bit hash of a 3-word window, 31-bit position), one long each; empty below four words."""
     at = F.sequence(F.lit(0), F.size(w) - 4 + F.lit(1))
-    packed = F.transform(at, lambda i: F.shiftleft(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), 24)
+    packed = F.transform(at, lambda i: F.shiftleft(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), 31)
                          .bitwiseOR(i.cast("long")))
     return F.when(F.size(w) >= 4, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>"))
 
 
+def likely_positions() -> Column:
+    """Positions of the windows whose hash occurs twice or more (neighbours in ``s`` share it)."""
+    return F.expr("""
+      transform(
+        filter(sequence(0, size(s) - 1), i -> size(s) > 0 and (
+          shiftright(get(s, i), 31) <=> shiftright(get(s, i - 1), 31)
+          or shiftright(get(s, i), 31) <=> shiftright(get(s, i + 1), 31))),
+        i -> cast(get(s, i) & 2147483647L as int))""")
+
+
+def compared(at: Column) -> Column:
+    """Sorted (three words, position) of the windows at the positions ``at``."""
+    w = F.col("w")
+    return F.sort_array(F.transform(at, lambda i: F.struct(
+        F.struct(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("words"), i.alias("at"))))
+
+
 def repeated_positions() -> Column:
-    """Positions of the windows that occur twice or more, ascending (neighbours in ``s`` share the hash)."""
+    """Positions of the windows whose words occur twice or more, ascending (neighbours in ``s`` share the words)."""
     return F.expr("""
       sort_array(transform(
         filter(sequence(0, size(s) - 1), i -> size(s) > 0 and (
-          shiftright(get(s, i), 24) <=> shiftright(get(s, i - 1), 24)
-          or shiftright(get(s, i), 24) <=> shiftright(get(s, i + 1), 24))),
-        i -> cast(get(s, i) & 16777215L as int)))""")
+          get(s, i).words <=> get(s, i - 1).words or get(s, i).words <=> get(s, i + 1).words)),
+        i -> get(s, i).at))""")
 
 
 def covered(p: Column) -> Column:

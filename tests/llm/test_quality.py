@@ -87,3 +87,11 @@ def test_rejects_junk_and_keeps_clean(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality.quality_rules(df).count() == 0
+
+
+def test_windows_with_equal_hashes(spark):
+    # the lowest 40 bits of the hashes of (w12622 x y) and (w2005369 x y) are equal
+    texts = ["w12622 x y a b w2005369 x y", "w12622 x y w2005369 x y w12622 x y", "w1245330 x y q w1669206 x y q w1245330 x y q"]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.n_repeat_words for r in quality.base_statistics(df).collect()}
+    assert got == {i: brute(t)[-1] for i, t in enumerate(texts)} and got[0] == 0
