@@ -14,7 +14,8 @@ group with map-side partial sums, so a hot source is never in one task; what a
 step hands on is one row per group. A scale floor per statistic is added to the
 scatter, because most groups have no symbol and no repeated line at all.
 Groups with fewer than ``min_group`` documents use their language's estimate,
-small languages the estimate of all documents.
+small languages the estimate of all documents. These are fitted on all rows of
+the language and on all rows, whatever estimates those rows are judged by.
 
 Defined cases: a null or blank text has no word and fails the base rule; null
 languages or sources are groups of their own; with no document left after the
@@ -117,15 +118,20 @@ def features() -> list[Column]:
 
 
 def with_group(stats: DataFrame, min_group: int) -> DataFrame:
-    """Add ``key``: language and source if that group is large enough, else language, else all."""
-    own = F.to_json(F.struct("lang", "source"))
-    lang = F.to_json(F.struct("lang"))
-    counts = materialize(stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
-                         .withColumn("own", own).withColumn("of_lang", lang))
-    by_lang = counts.groupBy("of_lang").agg(F.sum("n").alias("n_lang"))
-    keys = materialize(counts.join(by_lang, "of_lang").select(
-        "own", F.when(F.col("n") >= min_group, F.col("own"))
-        .when(F.col("n_lang") >= min_group, F.col("of_lang")).otherwise("all").alias("key")))
+    """Add ``key``: language and source if that group is large enough, else language, else all; and ``fits``, the
+    keys of all estimates that the row enters: those of its group, its language and all rows that some row is judged by."""
+    # to_json leaves nulls out, so the kinds of keys are told apart by a word
+    own = F.concat(F.lit("source "), F.to_json(F.struct("lang", "source")))
+    counts = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
+    counts = materialize(counts.withColumn("own", own).withColumn("of_lang", F.concat(F.lit("lang "), F.to_json(F.struct("lang")))))
+    by_lang = counts.groupBy("of_lang").agg(F.sum("n").alias("n_lang"), (F.min("n") < min_group).alias("any_small"))
+    by_lang = by_lang.withColumn("lang_fit", F.col("any_small") & (F.col("n_lang") >= min_group))
+    all_fit = by_lang.agg(F.coalesce(F.min("n_lang") < min_group, F.lit(False)).alias("all_fit"))
+    large = F.col("n") >= min_group
+    keys = materialize(counts.join(by_lang, "of_lang").crossJoin(all_fit).select(
+        "own", F.when(large, F.col("own")).when(F.col("n_lang") >= min_group, F.col("of_lang")).otherwise("all").alias("key"),
+        F.array_compact(F.array(F.when(large, F.col("own")), F.when(F.col("lang_fit"), F.col("of_lang")),
+                                F.when(F.col("all_fit"), F.lit("all")))).alias("fits")))
     return stats.withColumn("own", own).join(keys, "own", "left").drop("own")
 
 
@@ -204,7 +210,7 @@ def quality_rules(docs: DataFrame, min_group: int = 100, cut: float = CUT) -> Da
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     stats = materialize(stats.select("*", *(f.alias(x) for f, x in zip(features(), X, strict=True))))
     stats = with_group(stats, min_group)
-    estimate = mcd(stats.where("not base_failed").select("key", *X))
+    estimate = mcd(stats.where("not base_failed").select(F.explode("fits").alias("key"), *X))
     judged = stats.join(estimate, "key", "left").withColumn("d2", F.when(~F.col("base_failed"), squared_distance()))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -95,3 +95,16 @@ def test_windows_with_equal_hashes(spark):
     df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
     got = {r.doc_id: r.n_repeat_words for r in quality.base_statistics(df).collect()}
     assert got == {i: brute(t)[-1] for i, t in enumerate(texts)} and got[0] == 0
+
+
+def test_small_groups_use_estimates_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    words = ["w" + "abcdefgh"[i % 8] * (1 + i % 5) + str(i) for i in range(900)]
+    clean = lambda end="": " ".join(x + end for x in rng.choice(words, 150))
+    rows = [(i, clean(), ("en", "de", None)[i % 3], "large") for i in range(300)]
+    rows += [(1000, clean("###"), "en", "small"), (1001, clean(), "en", "small"), (1002, clean("###"), "fr", "large"),
+             (1003, clean(), "fr", None), (1004, clean("###"), None, None), (1005, clean("###"), "de", None)]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string"), min_group=40).collect()}
+    assert all(got[i] for i in [*range(300), 1001, 1003])
+    assert not any(got[i] for i in (1000, 1002, 1004, 1005))
