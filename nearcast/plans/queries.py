@@ -664,7 +664,7 @@ def _cv(spark, sf):
 
 @query("cv_metrics")
 def cv_metrics_q(spark, sf):
-    """Expanding folds x (constant baseline, balanced logistic) -> metric rows."""
+    """Expanding folds x (constant baseline, balanced logistic) -> metric rows."""
     return _round_all(_cv(spark, sf), METRIC_COLS)
 
 
