@@ -15,6 +15,7 @@ from . import (
     embeddings,
     html,
     langid,
+    merkle,
     minhash,
     packing,
     perplexity,
@@ -23,6 +24,7 @@ from . import (
     warc,
 )
 from .batches import bounded_batches
+from .sql import MERKLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,10 +91,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, every proof folded again over a table that was tampered with."""
+    return merkle.audited(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op4_perplexity": op4_perplexity,
     "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe,
     "op9_suffix_array": op9_suffix_array, "op10_quality_rules": op10_quality_rules,
+    "op11_merkle": op11_merkle,
 }
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
@@ -100,6 +108,7 @@ BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGH
   1 + (((('0x' || substr({0}, 1 + (5 * i) // 4, 2))::INTEGER >> (3 - (5 * i) % 4)) & 31))::INTEGER, 1)), '')"""
 
 ORACLE = {
+    "op11_merkle": MERKLE_SQL,
     "op5_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, h, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS top FROM p)
