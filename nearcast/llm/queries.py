@@ -20,6 +20,7 @@ from . import (
     packing,
     perplexity,
     quality,
+    runs,
     substrings,
     warc,
 )
@@ -96,11 +97,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(_table(spark, sf_dir, "documents"))
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words in every whole text, and the texts with every run cut to its first period."""
+    return runs.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op4_perplexity": op4_perplexity,
     "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe,
     "op9_suffix_array": op9_suffix_array, "op10_quality_rules": op10_quality_rules,
-    "op11_merkle": op11_merkle,
+    "op11_merkle": op11_merkle, "op12_runs": op12_runs,
 }
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
