@@ -19,6 +19,7 @@ from . import (
     minhash,
     packing,
     perplexity,
+    pii,
     quality,
     runs,
     substrings,
@@ -102,11 +103,16 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: what rules find and what its contexts and shapes reveal."""
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html": op1_html, "op2_language_id": op2_language_id, "op3_minhash": op3_minhash, "op4_perplexity": op4_perplexity,
     "op5_warc": op5_warc, "op6_embeddings": op6_embeddings, "op7_packing": op7_packing, "op8_bpe": op8_bpe,
     "op9_suffix_array": op9_suffix_array, "op10_quality_rules": op10_quality_rules,
-    "op11_merkle": op11_merkle, "op12_runs": op12_runs,
+    "op11_merkle": op11_merkle, "op12_runs": op12_runs, "op13_pii": op13_pii,
 }
 
 #: base32 of a hex digest: digit i holds the bits 5i..5i+4, which lie in two hex digits.
