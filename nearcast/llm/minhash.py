@@ -14,6 +14,8 @@ Bands of signature coordinates are joined on their hash. Exact copies are one
 class beforehand. A bucket is not expanded into pairs:
 
 1. every member is compared with one hub of its bucket (another for each band);
+   in buckets that are still in several components, members outside the largest
+   one are compared with a new hub from it, as long as that goes on joining them;
 2. members of buckets that are still in several components are joined on their
    rarest shingles: of two documents with n and m shingles that are similar
    enough, at least c = t / (1 + t) * (n + m) are common, so the first
@@ -48,6 +50,8 @@ from .components import connected_components
 SHINGLE, SIMILARITY = 5, 0.8
 #: 20 bands of 5 rows: a pair at the threshold shares a bucket with probability 0.9996.
 BANDS, ROWS = 20, 5
+#: Buckets get another hub while this share of the comparisons with the last one were links.
+MORE_HUBS = 0.02
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)
 #: Bytes hashed at once; bounds the tables of powers.
@@ -221,6 +225,24 @@ def rarest(keys: DataFrame, similarity: float) -> DataFrame:
             .select(F.col("one.key").alias("key"), "node", "n", (F.col("own") + F.col("at") + 1).alias("place")))
 
 
+def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (node, component) after the components of linked nodes (a, b) have become one."""
+    ends = {x: parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in ("a", "b")}
+    joined = connected_components(links.join(ends["a"], "a").join(ends["b"], "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+    whole = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return materialize(parts.join(whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component")))
+
+
+def hub_pairs(members: DataFrame, parts: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b) of a new hub from each bucket's largest component and the bucket's members outside it."""
+    placed = materialize(members.join(parts, "node"))
+    largest = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"), F.min_by("node", F.xxhash64("node", "bucket", F.lit(number))).alias("hub")) \
+        .groupBy("bucket").agg(F.max(F.struct("size", "component", "hub")).alias("top"), F.count("*").alias("parts")).where("parts > 1") \
+        .select("bucket", F.col("top.component").alias("largest"), F.col("top.hub").alias("hub"))
+    outside = placed.join(largest, "bucket").where("component <> largest")
+    return outside.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def near_components(classes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """node, component over all near pairs, for the nodes that have one."""
     rows = classes.where("node is not null and size(bands) > 0").select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -228,18 +250,33 @@ def near_components(classes: DataFrame, docs: DataFrame, similarity: float = SIM
     hubs = rows.groupBy("bucket").agg(F.min_by("node", order).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
     hubs = materialize(hubs.where("low <> high").select("bucket", "hub"))
     members = materialize(rows.join(hubs, "bucket").select("bucket", "node", "hub").distinct())
-    star = materialize(members.where("node <> hub").select(
+    tried = materialize(members.where("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     wanted = members.select("node").distinct()
     keys = materialize(elements(docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["node"], "left_semi").select("doc_id", "text")))
-    links = verified(star, keys, similarity)
+    links = verified(tried, keys, similarity)
 
     parts = materialize(connected_components(links))
     placed = members.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_buckets = spread.where("low <> high").select("bucket")
-    active = materialize(placed.join(open_buckets, "bucket").select("node", "component").distinct())
-    rare = materialize(rarest(keys.join(active.select("node").hint("merge"), "node", "left_semi"), similarity).join(active, "node"))
+    still = materialize(placed.join(open_buckets, "bucket"))
+    active = materialize(still.select("node", "component").distinct())
+    keys = materialize(keys.join(active.select("node").hint("merge"), "node", "left_semi"))
+    # further hubs while they join a good part of what is open; what they leave open is searched pair by pair
+    members, found, n, number = still.select("bucket", "node"), links.limit(0), 1, 0
+    while n:
+        number += 1
+        pairs = materialize(hub_pairs(members, active, number).join(tried, ["a", "b"], "left_anti"))
+        more = verified(pairs, keys, similarity)
+        n, open_pairs = more.count(), pairs.count()
+        tried = tried.unionByName(pairs)
+        if n:
+            active = merged(active, more)
+        if n < MORE_HUBS * open_pairs:
+            break
+
+    rare = materialize(rarest(keys, similarity).join(active, "node"))
     sizes = rare.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = materialize(sizes.groupBy("key").agg(
         F.max(F.struct("size", "component"))["component"].alias("largest"), F.count("*").alias("parts"))
@@ -254,15 +291,13 @@ def near_components(classes: DataFrame, docs: DataFrame, similarity: float = SIM
         & ((F.col("component_y") == F.col("largest_y")) | (F.col("node_x") < F.col("node_y")))
     pairs = rest.join(others, (F.col("key") == F.col("key_y")) & possible).select(
         F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
-    pairs = materialize(pairs.join(star, ["a", "b"], "left_anti"))
-    # components of the first round, joined by the links of the second
-    found = verified(pairs, keys, similarity)
-    ends = {x: active.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in ("a", "b")}
-    joined = connected_components(found.join(ends["a"], "a").join(ends["b"], "b").select(
-        F.col("part_a").alias("a"), F.col("part_b").alias("b")))
-    joined = materialize(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")))
-    alone = active.join(parts, "node", "left_anti")
-    return parts.unionByName(alone).join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"))
+    last = merged(active, verified(pairs, keys, similarity))
+    # what was not open keeps the component of the first round, unless that component went on growing
+    first = still.select("node", F.col("component").alias("first")).distinct()
+    grown = last.join(first, "node").select(F.col("first").alias("component"), F.col("component").alias("whole")).distinct()
+    settled = parts.join(grown, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    return settled.unionByName(last.join(parts, "node", "left_anti").select("node", "component"))
 
 
 def labelled(docs: DataFrame, similarity: float) -> DataFrame:

@@ -39,7 +39,8 @@ def test_stages_in_order(spark, tmp_path):
 
 
 def test_rows_with_gaps(spark):
-    text = " ".join(f"the cat number {i} and the dog sat on a long wall" for i in range(30))
+    # mostly words of its own: more than half in repeated windows would fail the base rules
+    text = " ".join(f"the cat number{i} saw dog{i} on wall{i} near tree{i} at house{i} by lake{i}" for i in range(30))
     rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text, None, None, 1), (None, text + " more", "en", "s", 1),
             (3, None, "en", "s", None), (4, "", "en", "s", 0), (5, "1 2 3", "en", "s", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
