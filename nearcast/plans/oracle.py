@@ -731,6 +731,13 @@ FROM (SELECT 1 AS one) d LEFT JOIN top ON true LEFT JOIN busy ON true LEFT JOIN
      LEFT JOIN rt ON true
 """
 
+ORACLE["zipped_csv_load"] = """
+SELECT strftime(o_orderdate, '%Y') || '.zip' AS source_file, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_customers,
+       sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents, count(*) FILTER (o_orderpriority = '1-URGENT') AS n_urgent,
+       count(*) AS reported_rows, true AS sound
+FROM orders GROUP BY 1
+"""
+
 ORACLE["month_reload"] = """
 WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m') AS year_month
            FROM orders),

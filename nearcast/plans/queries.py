@@ -9,6 +9,7 @@ differences cannot change a result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,9 @@ from nearcast.operators import reports as R
 from nearcast.operators.asof import exists_in_window, nearest_asof_candidates
 from nearcast.plans import analogues as X
 from nearcast.plans import analyses as AN
+from nearcast.session import scratch_path
 from nearcast.sources.tables import load as _load
+from nearcast.sources.zipcsv import archive_report, read_zipped_csv, write_zipped_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -300,6 +303,22 @@ def keyed_merge_q(spark, sf):
     return keyed_merge(o, batch, ["o_orderkey"])
 
 
+@query("zipped_csv_load")
+def zipped_csv_load_q(spark, sf):
+    """Orders written as one zipped CSV per year, read back as text by names, typed, checked against the archive report."""
+    o = _load(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+        F.date_format("o_orderdate", "yyyy").alias("year"))
+    path = scratch_path(spark, f"archives-{uuid.uuid4().hex}")
+    write_zipped_csv(o, path, "year").write.format("noop").mode("overwrite").save()
+    rows = read_zipped_csv(spark, path).groupBy(F.col("__file").alias("source_file")).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("o_custkey").alias("n_customers"), F.sum(F.col("cents").cast("long")).alias("cents"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent"))
+    report = archive_report(spark, path).select(
+        F.element_at(F.split("path", "/"), -1).alias("source_file"), F.col("n_rows").alias("reported_rows"), F.col("error").isNull().alias("sound"))
+    return rows.join(report, "source_file")
+
+
 @query("month_reload")
 def month_reload_q(spark, sf):
     """Partition reload - every month present in the batch is replaced whole.

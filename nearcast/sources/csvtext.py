@@ -20,9 +20,20 @@ from pyspark.sql import types as T
 
 def column_plan(header: list[str | None]) -> dict[str, int]:
     """Column name -> position of one header (S3): cells without a name are left out,
-    the n-th repetition of a name gets the suffix ``_n``."""
-    cells = [(c or "").strip() for c in header]
-    return {c if c not in cells[:at] else f"{c}_{cells[:at].count(c)}": at for at, c in enumerate(cells) if c}
+    the n-th repetition of a name gets the suffix ``_n`` (or the next number that is free)."""
+    plan: dict[str, int] = {}
+    met: dict[str, int] = {}
+    for at, name in enumerate((c or "").strip() for c in header):
+        if not name:
+            continue
+        n = met.get(name, 0)
+        unique = f"{name}_{n}" if n else name
+        while unique in plan:
+            n += 1
+            unique = f"{name}_{n}"
+        met[name] = n + 1
+        plan[unique] = at
+    return plan
 
 
 def sanitize_headers(headers: list[str | None]) -> list[str | None]:
