@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearcast.session import materialize
+
 MATCHED = "matched"
 UNMATCHED = "no_obs_in_window"
 
@@ -66,7 +68,7 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                  lag_col: str = "lag_minutes", bucket_hours: float | None = None,
                  keep_unmatchable: bool = False, spread_buckets: int = 4096,
                  salt: int = 1, hot_threshold: int | None = None,
-                 join_back: bool = False) -> DataFrame:
+                 split_rows: int | None = None, join_back: bool = False) -> DataFrame:
     """Nearest-observation as-of join, window form (J6 + J7).
 
     ``events`` keep all their columns. Output adds ``{prefix}ts`` (the matched
@@ -90,6 +92,12 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
     sub-partition, so every sub-partition still sees every candidate and the
     result is unchanged.
 
+    With ``split_rows``, a (key, bucket) with more rows than that, events and
+    observations together, is cut into time slices of about as many rows
+    (``_sliced``): both sides are split, no observation is copied, and the
+    result is unchanged. Finding hot groups is one counted job; without one,
+    the plan is the single shuffle above.
+
     ``join_back=True`` carries only the observation's identity (time, the
     ``prefer`` columns and ``obs_key``) through the union and both window
     sorts, and equi-joins the wide ``carry`` columns back afterwards on
@@ -106,7 +114,7 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                            window_hours=window_hours, carry=ident, prefer=prefer, obs_key=obs_key,
                            prefix="__jb_", status_col=status_col, lag_col=lag_col,
                            bucket_hours=bucket_hours, keep_unmatchable=keep_unmatchable,
-                           spread_buckets=spread_buckets, salt=salt, hot_threshold=hot_threshold)
+                           spread_buckets=spread_buckets, salt=salt, hot_threshold=hot_threshold, split_rows=split_rows)
         on = ["__jb_ts"] + [f"__jb_{c}" for c in ident]
         # one row per identity, so an event stays one row; an observation without key or time matches nothing
         wide = (obs.filter(F.col(key).isNotNull() & F.col(obs_time).isNotNull())
@@ -145,7 +153,9 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
                   F.lit(None).cast(o.schema["__r"].dataType).alias("__r"),
                   ev_struct.alias("__e"), F.lit(None).cast(o.schema["__ob"].dataType).alias("__ob"))
 
-    if salt > 1:
+    if split_rows:
+        e, o = _sliced(e, o, split_rows)
+    elif salt > 1:
         e, o = _salt(e, o, salt, hot_threshold)
     else:
         e, o = e.withColumn("__s", F.lit(0)), o.withColumn("__s", F.lit(0))
@@ -169,6 +179,69 @@ def nearest_asof(events: DataFrame, obs: DataFrame, *, key: str, event_time: str
     return _finish(out, ev_cols, carry, prefix, status_col, lag_col, event_time)
 
 
+def hot_slices(e: DataFrame, o: DataFrame, split_rows: int) -> DataFrame | None:
+    """__k, __b, __bounds of the groups with more than ``split_rows`` rows; None if there are none.
+
+    The bounds are times that cut a group into slices of about ``split_rows``
+    rows, from Spark's mergeable quantile sketch. There are at most (all rows /
+    ``split_rows``) hot groups and twice as many bounds.
+    """
+    from nearcast.operators.dims import bounded_broadcast
+    times = e.filter(F.col("__k").isNotNull()).select("__k", "__b", "__t").unionByName(o.select("__k", "__b", "__t"))
+    sizes = times.groupBy("__k", "__b").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > split_rows)
+    sizes = materialize(sizes)
+    most = sizes.agg(F.max("__n")).first()[0]
+    if most is None:
+        return None
+    cuts = -(-most // split_rows)  # slices of the largest group
+    found = times.join(bounded_broadcast(sizes), ["__k", "__b"]).groupBy("__k", "__b").agg(
+        F.first("__n").alias("__n"), F.percentile_approx("__t", [i / cuts for i in range(1, cuts)], 20 * cuts).alias("__all"))
+    slices = F.ceil(F.col("__n") / F.lit(split_rows)).cast("int")
+
+    def bound(i: Column) -> Column:
+        return F.get("__all", (F.floor(i * F.lit(cuts) / slices) - 1).cast("int"))
+    return materialize(found.select("__k", "__b", F.transform(F.sequence(F.lit(1), slices - 1), bound).alias("__bounds")))
+
+
+def _sliced(e: DataFrame, o: DataFrame, split_rows: int):
+    """Cut hot (key, bucket) groups into time slices; no observation is copied to another slice's rows.
+
+    A row's slice is the number of bounds before its time. Nearness needs of
+    the other slices only the last observation before a slice and the first
+    one after it; these two are added to every slice, from a table with a row
+    per slice. Many events at one time have equal bounds; they are dealt over
+    the slices between these, which see the observations of that time as the
+    last ones before. Of observations at one time, the preferred one is kept.
+    """
+    from nearcast.operators.dims import bounded_broadcast
+    hot = hot_slices(e, o, split_rows)
+    none = F.lit(0)
+    if hot is None:
+        return e.withColumn("__s", none), o.withColumn("__s", none)
+    bounds = bounded_broadcast(hot)
+    below = F.size(F.filter("__bounds", lambda x: x < F.col("__t")))
+    upto = F.size(F.filter("__bounds", lambda x: x <= F.col("__t")))
+    dealt = below + F.pmod(F.xxhash64("__e"), (upto - below + 1).cast("long")).cast("int")
+    e = e.join(bounds, ["__k", "__b"], "left").withColumn("__s", F.when(F.col("__bounds").isNull(), none).otherwise(dealt)).drop("__bounds")
+    o = o.join(bounds, ["__k", "__b"], "left")
+    cold = o.filter(F.col("__bounds").isNull()).withColumn("__s", none).drop("__bounds")
+    split = o.filter(F.col("__bounds").isNotNull()).withColumn("__s", below) \
+        .groupBy("__k", "__b", "__s", "__t").agg(F.max("__r").alias("__r"), F.max_by("__ob", "__r").alias("__ob"))
+    ends = split.groupBy("__k", "__b", "__s").agg(F.min_by("__ob", "__t").alias("__first"), F.max_by("__ob", "__t").alias("__last"))
+    every = hot.select("__k", "__b", F.explode(F.sequence(none, F.size("__bounds"))).alias("__s")).join(ends, ["__k", "__b", "__s"], "left")
+    order = Window.partitionBy("__k", "__b").orderBy("__s")
+    before = F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("__first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    both = every.select("__k", "__b", "__s", F.array(before, after).alias("__two"))
+    edge = both.select("__k", "__b", "__s", F.explode("__two").alias("__ob")).filter(F.col("__ob").isNotNull())
+    kinds = {f.name: f.dataType for f in cold.schema}
+    rows = [split.withColumn("__side", none).withColumn("__e", F.lit(None).cast(kinds["__e"])),
+            edge.withColumns({"__t": F.col("__ob.t"), "__side": none, "__r": F.lit(None).cast(kinds["__r"]), "__e": F.lit(None).cast(kinds["__e"])})]
+    for r in rows:
+        cold = cold.unionByName(r.select(*cold.columns))
+    return e, cold
+
+
 def _salt(e: DataFrame, o: DataFrame, salt: int, hot_threshold: int | None):
     """Split hot (key, bucket) groups over ``salt`` sub-partitions (events hashed, observations copied)."""
     from nearcast.operators.dims import bounded_broadcast
@@ -252,7 +325,7 @@ def nearest_asof_candidates(events: DataFrame, obs: DataFrame, *, key: str, even
 
 def exists_in_window(events: DataFrame, obs: DataFrame, *, key: str, event_time: str,
                      obs_time: str, window_hours: float, flag: str = "has_obs_in_window",
-                     bucket_hours: float | None = None) -> DataFrame:
+                     bucket_hours: float | None = None, split_rows: int | None = None) -> DataFrame:
     """Boolean per event: is there any observation within the closed window (J8)?
 
     Derived from the window-form nearest match (a match exists iff the nearest
@@ -261,6 +334,6 @@ def exists_in_window(events: DataFrame, obs: DataFrame, *, key: str, event_time:
     nn = nearest_asof(events, obs.select(key, obs_time), key=key, event_time=event_time,
                       obs_time=obs_time, window_hours=window_hours, carry=[],
                       status_col="__status", lag_col="__lag", prefix="__o_",
-                      bucket_hours=bucket_hours, keep_unmatchable=True)
+                      bucket_hours=bucket_hours, keep_unmatchable=True, split_rows=split_rows)
     return nn.withColumn(flag, F.col("__status") == F.lit(MATCHED)) \
         .drop("__status", "__lag", "__o_ts")

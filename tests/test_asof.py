@@ -141,3 +141,63 @@ def test_window_form_plan_has_no_candidate_join(spark):
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert out.filter(F.col("match_status") == "matched").count() == 1
+
+
+def _hot_frames(spark, seed=3):
+    """Half of all rows on one key, within one day; a burst of events and observations at one time."""
+    rng = np.random.default_rng(seed)
+    base = datetime(2025, 3, 1)
+    n = 1200
+    key = lambda: "HOT" if rng.random() < 0.5 else f"k{rng.integers(6)}"
+    at = lambda k: base + timedelta(seconds=int(rng.integers(0, 86400 if k == "HOT" else 5 * 86400)))
+    events, obs = [], []
+    for i in range(n):
+        k = key()
+        events.append((i, k, base + timedelta(hours=9) if i % 5 == 0 else at(k)))
+        k = key()
+        obs.append((5000 + i, k, base + timedelta(hours=int(rng.integers(7, 11))) if i % 6 == 0 else at(k), base + timedelta(days=int(rng.integers(2)))))
+    return events, [o for o in obs if not (o[1] == "HOT" and 14 <= o[2].hour < 19)]
+
+
+def test_hot_group_is_cut_into_slices(spark):
+    events, obs = _hot_frames(spark)
+    want = _brute(pd.DataFrame(events, columns=["eid", "k", "t"]), pd.DataFrame(obs, columns=["oid", "k", "t", "loaded"]), 2.0)
+    ev, ob = _frames(spark, [*events, (9998, None, T0), (9999, "none", T0)], obs)
+    kw = dict(key="k", event_time="t", obs_time="t", window_hours=2.0, carry=["oid", "loaded"], prefer=["loaded"], obs_key="oid")
+    for rows in (25, 90, 400, 10_000):
+        got = {r.eid: r.obs_oid for r in nearest_asof(ev, ob, split_rows=rows, **kw).collect()}
+        assert got == want | {9998: None, 9999: None}, rows
+    back = {r.eid: (r.obs_oid, r.obs_loaded) for r in nearest_asof(ev, ob, split_rows=60, join_back=True, **kw).collect()}
+    loaded = {o[0]: o[3] for o in obs}
+    assert back == {k: (v, loaded.get(v)) for k, v in (want | {9998: None, 9999: None}).items()}
+    flags = {r.eid: r.has_obs_in_window for r in exists_in_window(ev, ob, key="k", event_time="t", obs_time="t", window_hours=2.0, split_rows=50).collect()}
+    assert flags == {k: v is not None for k, v in (want | {9998: None, 9999: None}).items()}
+
+
+def test_slices_bound_the_largest_group(spark):
+    from nearcast.operators import asof
+    events, obs = _hot_frames(spark)
+    ev, ob = _frames(spark, events, obs)
+    n_us, bucket = 2 * 3_600_000_000, 86_400_000_000
+    kind = ev.select(F.struct("eid", "k", "t")).schema[0].dataType
+    o = asof._obs_rows(ob, "k", "t", ["oid"], ["loaded"], "oid", n_us, bucket, kind)
+    us = F.unix_micros("t")
+    e = ev.select(F.col("k").alias("__k"), F.floor(us / bucket).cast("long").alias("__b"), us.alias("__t"), F.lit(1).alias("__side"),
+                  F.lit(None).cast(o.schema["__r"].dataType).alias("__r"), F.struct("eid", "k", "t").alias("__e"),
+                  F.lit(None).cast(o.schema["__ob"].dataType).alias("__ob"))
+    largest = lambda e, o: e.unionByName(o).groupBy("__k", "__b", "__s").count().agg(F.max("count")).first()[0]
+    whole = largest(e.withColumn("__s", F.lit(0)), o.withColumn("__s", F.lit(0)))
+    sliced = asof._sliced(e, o, 60)
+    assert whole > 900 and largest(*sliced) <= 2 * 60
+    # no observation is in two slices of a group but the two at the edges of each
+    copies = sliced[1].filter("__k = 'HOT'").count()
+    slices = asof.hot_slices(e, o, 60).filter("__k = 'HOT'").agg(F.sum(F.size("__bounds") + 1)).first()[0]
+    assert copies <= o.filter("__k = 'HOT'").count() + 2 * slices
+    assert asof.hot_slices(e, o, 10_000) is None
+
+
+def test_no_hot_group_keeps_the_single_shuffle(spark):
+    ev, ob = _frames(spark, [(1, "A", T0)], [(10, "A", m(-5), T0)])
+    out = nearest_asof(ev, ob, key="k", event_time="t", obs_time="t", window_hours=2, carry=["oid"], obs_key="oid", split_rows=1000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
