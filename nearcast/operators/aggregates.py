@@ -135,20 +135,18 @@ def key_counts(df: DataFrame, key_cols: list[str]) -> DataFrame:
         .withColumn("duplicate_keys", F.col("row_count") - F.col("distinct_keys"))
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs, names: list[str],
-                      grid: tuple[float, float, int] | None = None) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs, names: list[str]) -> DataFrame:
     """Exact interpolated percentiles (``percentile_cont``) per group, without one task per group.
 
     Spark's ``percentile`` aggregate merges every distinct value of a group
     in one task. Here the (group, value) counts are pre-aggregated, cumulative
-    counts come from a prefix sum partitioned by group *and* value bucket
-    (``grid`` for a bounded value range, else approximate-quantile edges), and
-    each quantile picks the values at ranks floor/ceil of q (n - 1).
+    counts come from a prefix sum partitioned by group *and* value range
+    (splitters from a quantile sketch), and each quantile picks the values at ranks floor/ceil of q (n - 1).
     """
     from nearcast.operators.metrics import prefix_sums
     v = F.col(value).cast("double")
     c = df.filter(F.col(value).isNotNull()).groupBy(*keys, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    cum = prefix_sums(c, "__v", ["__c"], descending=False, partition_cols=keys, grid=grid)
+    cum = prefix_sums(c, "__v", ["__c"], descending=False, partition_cols=keys)
     tot = c.groupBy(*keys).agg(F.sum("__c").alias("__n"))
     j = cum.join(tot, keys) if keys else cum.crossJoin(F.broadcast(tot))
     end = F.col("__c_cum") - 1                    # 0-based ascending rank of the value's last row
@@ -164,7 +162,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs, names: lis
 
 
 def percentiles(df: DataFrame, keys: list, value: str, qs=(0.5, 0.9, 0.99),
-                digits: int = 2, prefix: str = "lag", grid: tuple[float, float, int] | None = None) -> DataFrame:
+                digits: int = 2, prefix: str = "lag") -> DataFrame:
     """count, min, max, avg and exact interpolated percentiles.
 
     Percentiles come from :func:`exact_percentiles` (distributed, exact);
@@ -176,7 +174,7 @@ def percentiles(df: DataFrame, keys: list, value: str, qs=(0.5, 0.9, 0.99),
                                  F.round(F.max(v), digits).alias(f"{prefix}_max"),
                                  F.round(F.avg(v), digits).alias(f"{prefix}_avg"))
     names = [f"{prefix}_p{int(round(q * 100))}" for q in qs]
-    pct = exact_percentiles(df, [k for k in keys], value, qs, [f"__{n}" for n in names], grid)
+    pct = exact_percentiles(df, [k for k in keys], value, qs, [f"__{n}" for n in names])
     out = base.join(pct, keys, "left") if keys else base.crossJoin(pct)
     return out.select(*keys, "n", f"{prefix}_min", f"{prefix}_max", f"{prefix}_avg",
                       *[F.round(F.col(f"__{n}"), digits).alias(n) for n in names])

@@ -4,11 +4,10 @@ All metrics reduce to cumulative counts over distinct scores:
 
 1. ``groupBy(score)`` -> (pos, neg) per distinct score (map-side combine: a
    constant score over a third of the rows becomes one row).
-2. Distributed prefix sum (:func:`prefix_sums`): distinct scores fall into a
-   fixed grid of 65,536 order-monotone buckets over [0, 1]; per-bucket totals
-   (at most 65,537 rows, independent of data size) give the offsets; a window
-   partitioned by bucket adds the local running sum. No global window, no
-   extra pass over the data to find bucket edges.
+2. Distributed prefix sum (:func:`prefix_sums`): distinct scores are cut into
+   ranges of equal numbers of rows at splitters from a quantile sketch;
+   totals per range give the offsets; a window partitioned by range adds the
+   local running sum. No global window, however the scores are distributed.
 3. Metrics are sums over that table.
 
 Definitions follow the reference's metric library: step-wise average
@@ -20,12 +19,15 @@ Scores are clipped to [0, 1].
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearcast.session import materialize
 
-DEFAULT_BUCKETS = 64
+#: Distinct values of one running sum; a range of a prefix sum has about as many rows.
+ROWS_PER_BUCKET = 500_000
 
 
 def _col(c) -> Column:
@@ -47,50 +49,60 @@ def score_counts(df: DataFrame, score, label, segments: list[str] | None = None)
                  (F.count(F.lit(1)) - F.sum("__y")).cast("long").alias("neg")))
 
 
-def _edges(df: DataFrame, col: str, k: int) -> list[float]:
-    """K-1 approximate quantile edges of ``col`` (a bounded driver-side list)."""
+def splitters(df: DataFrame, order_col: str, rows_per_bucket: int, buckets: int | None = None) -> list[float]:
+    """Values of ``order_col`` that cut the rows into ranges of about ``rows_per_bucket`` (sample-sort splitters).
+
+    They come from Spark's mergeable quantile sketch, so they follow the data:
+    values crowded in one corner get as many splitters as they have rows. The
+    list has one value per ``rows_per_bucket`` rows.
+    """
+    k = buckets or -(-df.count() // rows_per_bucket)
     if k <= 1:
         return []
-    fr = [i / k for i in range(1, k)]
-    row = df.agg(F.percentile_approx(col, fr, 10_000).alias("e")).first()
-    edges = sorted(set(v for v in (row["e"] or []) if v is not None))
-    return edges
+    row = df.agg(F.percentile_approx(order_col, [i / k for i in range(1, k)], max(10_000, 20 * k)).alias("e")).first()
+    return sorted({v for v in row["e"] or [] if v is not None})
+
+
+def values_below(edges: list[float], x: Column) -> Column:
+    """How many of the sorted ``edges`` are less than ``x``: two levels of about sqrt(len) comparisons."""
+    if not edges:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(edges)))
+    blocks = [edges[i:i + step] for i in range(0, len(edges), step)]
+
+    def fixed(values: list[float]) -> Column:
+        return F.array(*[F.lit(float(v)) for v in values])
+    full = F.size(F.filter(fixed([b[-1] for b in blocks]), lambda e: e < x))
+    within = F.size(F.filter(F.get(F.array(*map(fixed, blocks)), full), lambda e: e < x))
+    return F.when(full == len(blocks), F.lit(len(edges))).otherwise(full * step + within)
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descending: bool = True,
-                partition_cols: list[str] | None = None, grid: tuple[float, float, int] | None = None,
-                buckets: int = DEFAULT_BUCKETS, suffix: str = "_cum") -> DataFrame:
+                partition_cols: list[str] | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
+                buckets: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_col`` (unique per partition).
 
-    Distributed: rows are cut into order-monotone buckets, each bucket runs a
-    local running sum, and per-bucket totals give the offsets.
-
-    * ``grid=(lo, hi, n)``: fixed-width buckets over a bounded order column
-      (scores in [0, 1]); no extra pass over the data, at most n + 1 totals.
-    * otherwise: ``buckets`` approximate-quantile edges, taken in one bounded
-      driver-side list (an extra aggregate pass; for unbounded order columns).
+    Distributed: rows are cut into ranges of the order column of about
+    ``rows_per_bucket`` rows (:func:`splitters`), each range runs a local
+    running sum, and totals per range give the offsets. ``buckets`` sets the
+    number of ranges instead. The rows are written once, because the splitters,
+    the totals and the sums read them.
     """
     parts = list(partition_cols or [])
     s = F.col(order_col)
-    if grid is not None:
-        lo, hi, n = grid
-        b = F.floor((F.least(F.greatest(s, F.lit(lo)), F.lit(hi)) - F.lit(lo)) / F.lit((hi - lo) / n)).cast("long")
-        if descending:
-            b = F.lit(n) - b
-    else:
-        edges = _edges(df, order_col, buckets)
-        arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-        # bucket index monotone in the running order
-        b = F.size(F.filter(arr, lambda e: e > s)) if descending else F.size(F.filter(arr, lambda e: e < s))
-    d = df.withColumn("__b", b)
+    df = materialize(df)
+    edges = splitters(df, order_col, rows_per_bucket, buckets)
+    order = s.desc() if descending else s.asc()
+    if not edges:
+        w = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).cast("long").alias(f"{c}{suffix}") for c in value_cols])
+    b = values_below(edges, s)
+    d = df.withColumn("__b", F.lit(len(edges)) - b if descending else b)
     totals = d.groupBy(*parts, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in value_cols])
-    # offsets: one row per (partition, bucket) - bounded by the bucket count
+    # offsets: one row per (partition, range)
     w_off = Window.partitionBy(*parts).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0))
                                               .alias(f"__o_{c}") for c in value_cols])
-    if not parts:
-        offsets = F.broadcast(offsets)
-    order = s.desc() if descending else s.asc()
     w_loc = Window.partitionBy(*parts, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = d.select("*", *[F.sum(c).over(w_loc).alias(f"__l_{c}") for c in value_cols])
     out = local.join(offsets, parts + ["__b"])
@@ -98,16 +110,12 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descend
                                      .alias(f"{c}{suffix}") for c in value_cols])
 
 
-SCORE_GRID = (0.0, 1.0, 1 << 16)
-
-
 def cumulative_table(df: DataFrame, score, label, segments: list[str] | None = None) -> DataFrame:
     """Per distinct score (descending): pos, neg; tp, fp = counts with score >= s;
     rank = number of distinct scores >= s; segment totals P, N."""
     segs = list(segments or [])
     c = score_counts(df, score, label, segs).withColumn("one", F.lit(1))
-    cum = prefix_sums(c, "s", ["pos", "neg", "one"], descending=True, partition_cols=segs,
-                      grid=SCORE_GRID)
+    cum = prefix_sums(c, "s", ["pos", "neg", "one"], descending=True, partition_cols=segs)
     cum = (cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
            .withColumnRenamed("one_cum", "rank").drop("one"))
     tot = c.groupBy(*segs).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))

@@ -136,15 +136,14 @@ def baseline_score(train: DataFrame, val: DataFrame, label: str, out: str = "sco
 def seeded_subsample(df: DataFrame, n: int | None, seed: int, key: list[str]) -> DataFrame:
     """Exactly n rows chosen by a seeded hash order - a sampling operator (M8).
 
-    Ranks in the seeded hash order come from the distributed prefix sum (a
-    fixed grid over the normalised hash), so the n kept rows never pass
+    Ranks in the seeded hash order come from the distributed prefix sum, so the n kept rows never pass
     through one task the way ``orderBy().limit(n)`` would.
     """
     if n is None:
         return df
     u = F.xxhash64(*[F.col(k) for k in key], F.lit(seed)).cast("double") / F.lit(2.0 ** 64) + 0.5
     d = df.withColumn("__u", u).withColumn("__one", F.lit(1))
-    ranked = MT.prefix_sums(d, "__u", ["__one"], descending=False, grid=(0.0, 1.0, 1 << 16))
+    ranked = MT.prefix_sums(d, "__u", ["__one"], descending=False)
     return ranked.filter(F.col("__one_cum") <= n).drop("__u", "__one", "__one_cum")
 
 
@@ -281,7 +280,7 @@ def _random_rank(df: DataFrame, seed: int, col: str) -> DataFrame:
     """Dense 1..n rank of rows in a seeded random order (distributed prefix sum, no global window)."""
     u = (F.xxhash64(F.col("__rid"), F.lit(seed)).cast("double") / F.lit(2.0 ** 64) + 0.5)
     d = df.withColumn("__u", u).withColumn("__one", F.lit(1))
-    return MT.prefix_sums(d, "__u", ["__one"], descending=False, grid=(0.0, 1.0, 1 << 16)) \
+    return MT.prefix_sums(d, "__u", ["__one"], descending=False) \
         .withColumnRenamed("__one_cum", col).drop("__one", "__u")
 
 

@@ -51,6 +51,8 @@ class Params:
     # skew: split (airport, day) groups with more than hot_threshold departures over `salt` tasks
     salt: int = 1
     hot_threshold: int | None = None
+    # (airport, day) groups with more rows than this are cut into time slices
+    split_rows: int | None = 2_000_000
 
 
 # Raw flight column -> typed column.
@@ -197,7 +199,7 @@ def weather_at_departure(ctx: DataFrame, weather: DataFrame, p: Params = Params(
     out = nearest_asof(f, obs, key="origin", event_time="dep_time_utc", obs_time="valid_utc",
                        window_hours=p.window_hours, carry=WEATHER_CARRY, prefer=["loaded_at"],
                        prefix="w__", status_col="weather_match_status", lag_col="weather_obs_lag_minutes",
-                       salt=p.salt, hot_threshold=p.hot_threshold,
+                       salt=p.salt, hot_threshold=p.hot_threshold, split_rows=None if p.salt > 1 else p.split_rows,
                        # weather rows are wide and unique per (airport, valid_utc) after W1:
                        # sort only their identity through the windows, join the columns back
                        join_back=True)
@@ -404,7 +406,7 @@ def analyses(m: dict[str, DataFrame], p: Params = Params(), scope: list[tuple[st
         "weather_join_coverage_month": AN.coverage_overall(month, "origin", "year_month", matched, low_match_pct),
         "weather_join_unmatched": AN.unmatched_report(scoped, "origin", "year_month", "flight_date", matched),
         "weather_obs_lag_distribution": AN.lag_report(scoped.filter(matched), ["origin", "year_month"],
-                                                      "weather_obs_lag_minutes", p.window_hours),
+                                                      "weather_obs_lag_minutes"),
         "dep_time_distribution": AN.time_sanity_report(_scoped(m["departure_context"], scope), "origin",
                                                        "dep_time_utc"),
         "join_feasibility_coverage": join_feasibility(m["departure_context"], m["weather_enriched"], p, scope),

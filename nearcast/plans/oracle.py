@@ -107,6 +107,19 @@ FROM nn
 
 ORACLE["nearest_asof_minby"] = ORACLE["nearest_asof"]
 
+ORACLE["nearest_asof_hot"] = """
+WITH f AS (SELECT event_id, user_id % 4 AS station, ts FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL),
+o AS (SELECT user_id % 4 AS station, ts AS o_ts, event_id AS o_id FROM events WHERE event_type IN ('click', 'view')),
+cand AS (
+  SELECT f.event_id, o.o_ts, o.o_id,
+         row_number() OVER (PARTITION BY f.event_id ORDER BY abs(epoch_us(o.o_ts) - epoch_us(f.ts)),
+                            CASE WHEN o.o_ts <= f.ts THEN 0 ELSE 1 END, o.o_id DESC) AS rn
+  FROM f JOIN o ON o.station = f.station AND o.o_ts >= f.ts - INTERVAL 6 HOUR AND o.o_ts <= f.ts + INTERVAL 6 HOUR)
+SELECT f.event_id, f.station, CASE WHEN c.o_ts IS NOT NULL THEN 'matched' ELSE 'no_obs_in_window' END AS match_status,
+       c.o_ts AS obs_ts, c.o_id AS obs_event_id, round((epoch_us(f.ts) - epoch_us(c.o_ts)) / 60000000.0, 8) AS lag_minutes
+FROM f LEFT JOIN cand c ON c.event_id = f.event_id AND c.rn = 1
+"""
+
 ORACLE["exists_in_window"] = """
 SELECT f.event_id, f.user_id, f.ts, f.value,
        EXISTS (SELECT 1 FROM events o

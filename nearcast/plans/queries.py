@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from nearcast.operators import modelling as ML
 from nearcast.operators import aggregates as A
 from nearcast.operators import reports as R
-from nearcast.operators.asof import exists_in_window, nearest_asof_candidates
+from nearcast.operators.asof import exists_in_window, nearest_asof, nearest_asof_candidates
 from nearcast.plans import analogues as X
 from nearcast.plans import analyses as AN
 from nearcast.session import scratch_path
@@ -35,6 +35,8 @@ def query(name: str):
     return deco
 
 
+#: Rows of a time slice of ``nearest_asof_hot``; the flight flow's own limit is ``Params.split_rows``.
+SLICE_ROWS = 1000
 MEASURES = [A.N, A.D, A.RATE, A.AVG]
 
 
@@ -58,6 +60,17 @@ def nearest_asof_minby_q(spark, sf):
     return out.withColumn("lag_minutes", F.round("lag_minutes", 8))
 
 
+@query("nearest_asof_hot")
+def nearest_asof_hot_q(spark, sf):
+    """J6 on four pooled stations and 30-day buckets: hot groups are cut into time slices."""
+    def pooled(df):
+        return df.withColumn("station", F.col("user_id") % 4)
+    out = nearest_asof(pooled(X.purchases(spark, sf)), pooled(X.observations(spark, sf)).drop("user_id"), key="station",
+                       event_time="ts", obs_time="ts", window_hours=X.WINDOW_HOURS, carry=["event_id"], obs_key="event_id",
+                       bucket_hours=720, split_rows=SLICE_ROWS)
+    return out.select("event_id", "station", "match_status", "obs_ts", "obs_event_id", F.round("lag_minutes", 8).alias("lag_minutes"))
+
+
 @query("exists_in_window")
 def exists_in_window_q(spark, sf):
     """Does any observation fall within the window?"""
@@ -172,7 +185,7 @@ def unmatched_by_date_q(spark, sf):
 def lag_distribution_q(spark, sf):
     """Exact percentiles, timing split, lag histogram."""
     f = _fact(spark, sf).filter(F.col("match_status") == "matched")
-    return AN.lag_report(f, ["obs_event_type", "year_month"], "lag_minutes", X.WINDOW_HOURS)
+    return AN.lag_report(f, ["obs_event_type", "year_month"], "lag_minutes")
 
 
 @query("dep_time_distribution")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from nearcast.operators import metrics as MT
 
@@ -109,3 +110,36 @@ def test_prefix_sums_quantile_edges(spark):
     order = np.sort(v)
     for i, x in enumerate(order):
         assert got[float(x)] == i + 1
+
+
+def _skewed_scores(spark, n=40_000):
+    """99 % of the scores below 0.001."""
+    u = F.rand(5)
+    return spark.range(n).select("id", F.when(F.col("id") % 100 == 0, u).otherwise(u / 1000).alias("score"), (F.rand(6) < 0.2).cast("int").alias("y"))
+
+
+def test_splitters_follow_crowded_scores(spark):
+    df = _skewed_scores(spark).cache()
+    edges = MT.splitters(df, "score", 500)
+    sizes = [r["count"] for r in df.groupBy(MT.values_below(edges, F.col("score")).alias("b")).count().collect()]
+    assert len(sizes) == 80 and max(sizes) <= 2 * np.median(sizes)
+    assert sum(e < 0.001 for e in edges) > 70  # a fixed grid of 65,536 cells has 66 there, whatever the number of rows
+    df.unpersist()
+
+
+def test_values_below_against_counting(spark):
+    edges = sorted({round(x, 3) for x in np.random.default_rng(1).random(137)})
+    xs = [*edges[:40], -1.0, 2.0, *np.random.default_rng(2).random(60)]
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    got = df.select("x", MT.values_below(edges, F.col("x")).alias("n")).collect()
+    assert all(r.n == sum(e < r.x for e in edges) for r in got)
+    assert df.select(MT.values_below([], F.col("x")).alias("n")).distinct().collect()[0].n == 0
+
+
+def test_prefix_sums_are_the_same_for_any_number_of_ranges(spark):
+    df = _skewed_scores(spark, 4000).withColumn("seg", F.col("id") % 3).withColumn("one", F.lit(1))
+    for descending in (True, False):
+        outs = [{r.id: (r.one_cum, r.y_cum) for r in MT.prefix_sums(df, "score", ["one", "y"], descending=descending, partition_cols=["seg"], rows_per_bucket=k).collect()}
+                for k in (10_000, 700, 60)]
+        assert outs[0] == outs[1] == outs[2]
+        assert max(v[0] for v in outs[0].values()) == 1334
