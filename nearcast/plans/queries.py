@@ -660,7 +660,7 @@ def _load_events(spark, sf):
 MODEL_NUMERIC = ["l_quantity", "l_discount", "l_tax", "order_month", "sin_hour", "cos_hour"]
 MODEL_CATEGORICAL = ["l_returnflag", "o_orderpriority"]
 MODEL_FEATURES = MODEL_NUMERIC + MODEL_CATEGORICAL
-MODEL_QUERIES = {"cv_metrics", "cv_summary", "holdout_report", "permutation_importance"}
+MODEL_QUERIES = {"cv_metrics", "cv_summary", "boosted_cv", "holdout_report", "permutation_importance"}
 
 
 def model_rows(spark, sf):
@@ -700,6 +700,14 @@ def cv_metrics_q(spark, sf):
     return _round_all(_cv(spark, sf), METRIC_COLS)
 
 
+@query("boosted_cv")
+def boosted_cv_q(spark, sf):
+    """Expanding folds x (constant baseline, histogram boosted trees, a small number of them)."""
+    cv = ML.cv_run(_prepared_rows(spark, sf), FOLDS, "target", "analogue", features=MODEL_FEATURES, models=("baseline", "boosted"),
+                   categorical=MODEL_CATEGORICAL, boost_params={"max_iter": 5, "max_depth": 3})
+    return _round_all(cv, METRIC_COLS)
+
+
 @query("cv_summary")
 def cv_summary_q(spark, sf):
     """Mean and sample std of fold metrics per model."""
