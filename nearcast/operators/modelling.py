@@ -115,11 +115,18 @@ def with_balanced_weights(df: DataFrame, label: str, weight: str = "class_weight
 
 
 def logistic_pipeline(features: list[str], label: str, max_iter: int = 300,
-                      categorical: list[str] = CATEGORICAL_FEATURES) -> Pipeline:
-    """Balanced logistic regression (M4)."""
+                      categorical: list[str] = CATEGORICAL_FEATURES, rows: int | None = None) -> Pipeline:
+    """Balanced logistic regression (M4) with the reference's default L2 term.
+
+    The reference minimises |w|^2 / 2 + the weighted sum of losses; Spark divides
+    the losses by the sum of the weights, which balanced weights make the number
+    of training ``rows``. So the same minimum has regParam = 1 / rows, on the
+    coefficients as they are (no standardisation); the intercept is free in both.
+    Without ``rows`` there is no L2 term.
+    """
     # tol 1e-4: the convergence tolerance of the reference's solver default
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="class_weight",
-                            maxIter=max_iter, tol=1e-4)
+                            maxIter=max_iter, tol=1e-4, regParam=1.0 / rows if rows else 0.0, standardization=not rows)
     return Pipeline(stages=preprocessing_stages(features, categorical) + [lr])
 
 
@@ -192,7 +199,7 @@ def cv_run(df: DataFrame, folds: list[tuple], label: str, feature_set: str = "fu
         if "baseline" in models:
             scored.append(tag(baseline_score(train, val, label), fold[0], "baseline_global_rate"))
         if "logistic" in models:
-            m = logistic_pipeline(feats, label, lr_iter, categorical).fit(with_balanced_weights(train, label))
+            m = logistic_pipeline(feats, label, lr_iter, categorical, train.count()).fit(with_balanced_weights(train, label))
             scored.append(tag(score(m, val), fold[0], "logistic_regression"))
         if "trees" in models:
             m = gbt_pipeline(feats, label, gbt_params, seed, categorical).fit(train)

@@ -719,7 +719,7 @@ def cv_summary_q(spark, sf):
 def holdout_report_q(spark, sf):
     """Final fit on training months, holdout metrics vs baseline."""
     train, test = _split_rows(spark, sf)
-    model = ML.logistic_pipeline(MODEL_FEATURES, "target", 300, MODEL_CATEGORICAL) \
+    model = ML.logistic_pipeline(MODEL_FEATURES, "target", 300, MODEL_CATEGORICAL, train.count()) \
         .fit(ML.with_balanced_weights(train, "target"))
     rep = ML.holdout_report(model, train, test, "target")
     return _round_all(rep, METRIC_COLS + ["pr_auc_lift_abs", "pr_auc_lift_rel"])
@@ -729,7 +729,7 @@ def holdout_report_q(spark, sf):
 def permutation_importance_q(spark, sf):
     """Accuracy drop per shuffled feature, 3 repeats."""
     train, test = _split_rows(spark, sf)
-    model = ML.logistic_pipeline(MODEL_FEATURES, "target", 100, MODEL_CATEGORICAL) \
+    model = ML.logistic_pipeline(MODEL_FEATURES, "target", 100, MODEL_CATEGORICAL, train.count()) \
         .fit(ML.with_balanced_weights(train, "target"))
     return ML.permutation_importance(model, test, MODEL_FEATURES, "target", repeats=3, seed=42)
 

@@ -76,3 +76,23 @@ def test_fit_save_load_holdout_segments_importance(spark, rows, tmp_dir):
                                     overrides={"maxIter": 3, "maxDepth": 3},
                                     categorical=["origin"], key=["id"])
     assert trials.count() == 2 and set(best["params"]) == {"maxDepth", "stepSize", "maxIter", "minInstancesPerNode"}
+
+
+def test_logistic_has_the_l2_term(spark):
+    """Coefficients against Newton steps on |w|^2 / 2 + balanced losses, intercept free."""
+    rng = np.random.default_rng(3)
+    n = 80  # few rows, so that the term matters
+    x = rng.normal(size=(n, 2)) * [1, 5]
+    y = (rng.random(n) < 1 / (1 + np.exp(1.2 - 2 * x[:, 0]))).astype(float)
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y, strict=True)], "a double, b double, y double")
+    model = ML.logistic_pipeline(["a", "b"], "y", 300, [], rows=n).fit(ML.with_balanced_weights(df, "y"))
+    z = np.column_stack([np.ones(n), (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)])
+    weight = np.where(y == 1, n / (2 * y.sum()), n / (2 * (n - y.sum())))
+    free, w = np.diag([0.0, 1.0, 1.0]), np.zeros(3)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-z @ w))
+        w -= np.linalg.solve(z.T @ (z * (weight * p * (1 - p))[:, None]) + free, z.T @ (weight * (p - y)) + free @ w)
+    got = model.stages[-1]
+    assert np.allclose([got.intercept, *got.coefficients], w, atol=2e-3)
+    plain = ML.logistic_pipeline(["a", "b"], "y", 300, []).fit(ML.with_balanced_weights(df, "y")).stages[-1]
+    assert abs(plain.coefficients[0]) > 1.05 * abs(w[1])
