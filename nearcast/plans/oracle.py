@@ -763,3 +763,65 @@ FROM t WHERE year_month NOT IN (SELECT DISTINCT year_month FROM b)
 UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, NULL::DOUBLE, year_month, line_count, total_qty FROM b
 """
+
+# ------------------------------------------------------------ derived columns, gates and orders
+
+ORACLE["calendar_columns"] = """
+SELECT event_id, hour(ts)::INTEGER AS hour, isodow(ts)::INTEGER AS dow_iso, month(ts)::INTEGER AS month,
+       round(epoch_us(ts) / 1000000.0, 6) AS epoch_s, ts + INTERVAL 2 HOUR AS ts_plus_2h,
+       CASE WHEN value > 50 THEN 1 ELSE 0 END AS is_precip,
+       round(sin(2 * pi() * hour(ts) / 24.0), 9) + 0.0 AS sin_hour, round(cos(2 * pi() * hour(ts) / 24.0), 9) + 0.0 AS cos_hour
+FROM events
+"""
+
+ORACLE["model_buckets"] = """
+WITH l AS (SELECT CASE WHEN l_linenumber <> 3 THEN l_quantity END AS w, coalesce(CASE WHEN l_linenumber <> 2 THEN 4 * l_discount END, 0) AS p
+           FROM lineitem)
+SELECT CASE WHEN w IS NULL THEN 'unknown' WHEN w <= 5 THEN 'calm' WHEN w <= 15 THEN 'light' WHEN w <= 25 THEN 'moderate' ELSE 'strong' END AS wind,
+       CASE WHEN p = 0 THEN 'none' WHEN p <= 0.1 THEN 'light' WHEN p <= 0.3 THEN 'moderate' ELSE 'heavy' END AS precip, count(*) AS n
+FROM l GROUP BY 1, 2
+"""
+
+ORACLE["departure_anchors"] = """
+WITH x AS (
+  SELECT CASE WHEN l_returnflag <> 'R' AND l_quantity > 10 THEN 'actual' ELSE 'scheduled' END AS time_source, l_shipdate, o_orderdate,
+         date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS delay
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT time_source, strftime(CASE WHEN time_source = 'actual' THEN l_shipdate ELSE o_orderdate END, '%Y-%m') AS year_month,
+       count(*) AS n, count(*) FILTER (delay >= 15) AS delayed
+FROM x GROUP BY 1, 2
+"""
+
+ORACLE["station_month_gate"] = f"""
+WITH {NEAREST},
+scope AS (SELECT DISTINCT user_id % 20 AS station, strftime(ts, '%Y-%m') AS year_month FROM events WHERE ts IS NOT NULL
+          UNION SELECT range, '1999-01' FROM range(20)),
+c AS (SELECT user_id % 20 AS station, year_month, count(*) AS total_rows, count(*) FILTER (is_matched) AS ok_rows FROM fact GROUP BY 1, 2)
+SELECT scope.station, scope.year_month, coalesce(total_rows, 0) AS total_rows, coalesce(ok_rows, 0) AS ok_rows
+FROM scope LEFT JOIN c ON c.station = scope.station AND c.year_month = scope.year_month
+WHERE coalesce(total_rows, 0) = 0 OR ok_rows < 0.9 * total_rows
+"""
+
+ORACLE["readiness_gate"] = """
+WITH r AS (SELECT 'orders' AS table_name, o_orderstatus AS u, strftime(o_orderdate, '%Y-%m') AS ym FROM orders
+           UNION ALL SELECT 'events', event_type, strftime(ts, '%Y-%m') FROM events),
+t AS (SELECT table_name, count(*) AS row_count, count(DISTINCT ym) AS months, count(DISTINCT (u, ym)) AS unit_months,
+             min(ym) AS first_month, max(ym) AS last_month FROM r GROUP BY table_name),
+g AS (SELECT *, 60 AS min_months, 100 AS min_unit_months,
+             CASE WHEN row_count > 0 AND months >= 60 AND unit_months >= 100 THEN 'GO' ELSE 'NO_GO' END AS decision FROM t)
+SELECT table_name, row_count, months, unit_months, first_month, last_month, min_months, min_unit_months, decision, NULL::VARCHAR AS warning FROM g
+UNION ALL
+SELECT 'ALL', NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN bool_and(decision = 'GO') THEN 'GO' ELSE 'NO_GO' END,
+       CASE WHEN count(DISTINCT first_month) > 1 OR count(DISTINCT last_month) > 1 THEN 'first or last months differ between tables' END
+FROM g
+"""
+
+ORACLE["ordered_reports"] = """
+WITH p AS (SELECT o_orderpriority AS segment, count(*) AS n_rows FROM orders GROUP BY 1),
+s AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS segment, count(*) AS n_rows FROM orders GROUP BY 1),
+a AS (SELECT 'labels' AS report, row_number() OVER (ORDER BY CASE segment WHEN '3-MEDIUM' THEN 0 WHEN '1-URGENT' THEN 1 ELSE 2 END, segment) AS rank,
+             'priority' AS segment_type, segment, n_rows FROM p),
+b AS (SELECT 'nulls_first', row_number() OVER (ORDER BY segment NULLS FIRST), 'status', segment, n_rows FROM s),
+c AS (SELECT 'segments', row_number() OVER (ORDER BY n_rows DESC, segment), 'priority', segment, n_rows FROM p)
+SELECT * FROM a WHERE rank <= 4 UNION ALL SELECT * FROM b WHERE 1 = 1 UNION ALL (SELECT * FROM c ORDER BY 2 LIMIT 3)
+"""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from nearcast.operators import modelling as ML
 from nearcast.operators import aggregates as A
+from nearcast.operators import quality as DQ
 from nearcast.operators import reports as R
 from nearcast.operators.asof import exists_in_window, nearest_asof, nearest_asof_candidates
 from nearcast.plans import analogues as X
@@ -738,3 +739,64 @@ def _fact(spark, sf):
     """The as-of fact for reports that read it in several branches: materialised once."""
     from nearcast.session import materialize
     return materialize(X.nearest_fact(spark, sf))
+
+
+# ---------------------------------------------------------------- derived columns, gates and orders
+
+@query("calendar_columns")
+def calendar_columns_q(spark, sf):
+    """H-DT5, H-DT8, P19, M1, F13: calendar parts, epoch seconds, shifted instants and cyclic hours of every event."""
+    e = _load(spark, sf, "events").withColumns(TU.calendar_features("ts"))
+    e = ML.add_derived_features(e.withColumn("amount", F.when(F.col("value") > 50, F.col("value"))), "amount", "hour")
+    return e.select("event_id", "hour", "dow_iso", "month", F.round(TU.epoch_seconds("ts"), 6).alias("epoch_s"),
+                    TU.add_hours("ts", 2).alias("ts_plus_2h"), "is_precip", F.round("sin_hour", 9).alias("sin_hour"),
+                    F.round("cos_hour", 9).alias("cos_hour"))
+
+
+@query("model_buckets")
+def model_buckets_q(spark, sf):
+    """Order lines per model-side wind and precipitation label."""
+    li = _load(spark, sf, "lineitem")
+    return li.groupBy(B.model_wind_bucket(F.when(F.col("l_linenumber") != 3, F.col("l_quantity"))).alias("wind"),
+                      B.model_precip_bucket(F.when(F.col("l_linenumber") != 2, 4 * F.col("l_discount"))).alias("precip")).agg(F.count("*").alias("n"))
+
+
+@query("departure_anchors")
+def departure_anchors_q(spark, sf):
+    """Lines by the instant they count for: shipped ones by ship date, returned and open ones by order date."""
+    ol = X.order_lines(spark, sf)
+    actual = F.when(F.col("l_quantity") > 10, F.col("l_shipdate").cast("timestamp"))
+    anchor, source = TU.departure_anchor(actual, F.col("o_orderdate").cast("timestamp"), F.col("l_returnflag") == "R")
+    return ol.groupBy(source.alias("time_source"), TU.year_month(anchor).alias("year_month")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("ship_delay_days") >= X.SHIP_DELAYED_DAYS).alias("delayed"))
+
+
+@query("station_month_gate")
+def station_month_gate_q(spark, sf):
+    """Station-months whose share of matched events is too low, or that have no event."""
+    fact = X.nearest_fact(spark, sf).withColumn("station", F.col("user_id") % 20)
+    scope = _load(spark, sf, "events").select((F.col("user_id") % 20).alias("station"), F.date_format("ts", "yyyy-MM").alias("year_month")) \
+        .unionByName(spark.range(20).select(F.col("id").alias("station"), F.lit("1999-01").alias("year_month")))
+    return DQ.scoped_match_share(fact, scope, ["station", "year_month"], F.col("is_matched"), 0.9)
+
+
+@query("readiness_gate")
+def readiness_gate_q(spark, sf):
+    """Q15: go / no-go over two tables: rows, months, unit-months, a warning where the months differ."""
+    o = _load(spark, sf, "orders").withColumn("year_month", F.date_format("o_orderdate", "yyyy-MM"))
+    e = _load(spark, sf, "events").withColumn("year_month", F.date_format("ts", "yyyy-MM"))
+    return DQ.full_readiness({"orders": o, "events": e}, {"orders": 60, "events": 60}, {"orders": 100, "events": 100},
+                            {"orders": "o_orderstatus", "events": "event_type"})
+
+
+@query("ordered_reports")
+def ordered_reports_q(spark, sf):
+    """L1 (ascending, nulls first), L3, L9, U4: reports in a stated order."""
+    o = _load(spark, sf, "orders")
+    by_priority = o.groupBy(F.col("o_orderpriority").alias("segment")).agg(F.count("*").alias("n_rows")).withColumn("segment_type", F.lit("priority"))
+    by_status = o.groupBy(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("segment")).agg(F.count("*").alias("n_rows")) \
+        .withColumn("segment_type", F.lit("status"))
+    labelled = R.top_n(by_priority, [R.by_labels("segment", ["3-MEDIUM", "1-URGENT"]), F.col("segment").asc()], 4, label="labels")
+    nulls = R.top_n(by_status, [R.asc_nulls_first("segment")], 3, label="nulls_first")
+    top = V.top_segments(by_priority.unionByName(by_status), "priority", 3).withColumn("report", F.lit("segments"))
+    return R.tagged_union([labelled, nulls, top]).select("report", "rank", "segment_type", "segment", "n_rows")
