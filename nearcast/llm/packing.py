@@ -20,11 +20,12 @@ ignored.
 
 from __future__ import annotations
 
+import re
 import string
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -34,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from nearcast.session import materialize
 
@@ -47,13 +48,16 @@ SLACK = 0.002
 #: Encoded runs of text that a Python worker keeps, and bytes of text it encodes at once.
 KEPT_RUNS, BLOCK = 400_000, 2 << 20
 SYMBOLS = string.punctuation
+#: Words of small Latin letters: the library neither changes nor splits them.
+PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
 
 class RunTable:
     """Ids of the runs of text between white space, which the library has encoded once each.
 
     The library drops white space and never joins tokens across it, so a text's
-    ids are those of its runs. The ids of all runs lie in one array.
+    ids are those of its runs. Runs are split and told apart by Arrow, a block of
+    texts at a time; the ids of all runs lie in one array.
     """
 
     def __init__(self, path: str):
@@ -62,13 +66,26 @@ class RunTable:
         self.library.no_padding()
         self.special = list(self.library.get_added_tokens_decoder().items())
         self.mark, self.mark_text = self.special[0][0], self.special[0][1].content
-        # texts with a special token, or a separator at which only str.split splits, are not looked up by runs
-        self.odd = [*"\x1c\x1d\x1e\x1f", *(t.content for _, t in self.special)]
+        # plain words need neither normalising nor splitting, and each ends with a token that ends words
+        self.plain = Tokenizer.from_file(path)
+        self.plain.no_truncation()
+        self.plain.no_padding()
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.library.model.end_of_word_suffix
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for label, i in vocab.items() if suffix and label.endswith(suffix)]] = True
+        # texts with a special token, or a separator that the library counts as a symbol, are not looked up by runs
+        odd = [*"\x1c\x1d\x1e\x1f", *(t.content for _, t in self.special)]
+        self.odd = "|".join(map(re.escape, odd))
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """Keep the empty run alone, entry 0."""
+        self.index: dict[str, int] = {"": 0}
+        self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def append(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> None:
         self.index.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
@@ -77,10 +94,22 @@ class RunTable:
         self.ids = np.concatenate([self.ids, ids])
 
     def read(self, runs: list[str]) -> None:
-        """Have the library encode runs, a special token between them."""
-        ids = np.array(self.library.encode_batch_fast([self.mark_text.join(runs)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-        marks = np.flatnonzero(ids == self.mark)
-        self.append(runs, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
+        """Have the library encode runs: plain words with spaces between them, others with a special token."""
+        words = [w for w in runs if PLAIN(w)]
+        if words:
+            ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(words):
+                self.append(words, ids, np.diff(last, prepend=-1))
+                runs = [w for w in runs if not PLAIN(w)]
+        if runs:
+            ids = np.array(self.library.encode_batch_fast([self.mark_text.join(runs)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            marks = np.flatnonzero(ids == self.mark)
+            self.append(runs, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
+
+    def codes(self, runs: list[str]) -> np.ndarray:
+        """The entries of runs, -1 for those not seen before."""
+        return np.fromiter(map(self.index.get, runs, repeat(-1)), dtype=np.int64, count=len(runs))
 
     def segments(self, code: np.ndarray) -> np.ndarray:
         """The ids of entries, one entry after the other."""
@@ -90,35 +119,38 @@ class RunTable:
 
     def add(self, runs: list[str]) -> None:
         """Runs not seen before: capital ASCII letters and symbols after a letter need no new reading."""
-        parts = []
-        for w in runs:
-            stem = w.rstrip(SYMBOLS)
-            if len(stem) == len(w) or not stem or not stem[-1].isalpha():
-                stem = w
-            parts.append((stem.lower() if stem.isascii() else stem, w[len(stem):]))
-        if new := list({p for pair in parts for p in pair if p} - self.index.keys()):
+        stems = [w.rstrip(SYMBOLS) for w in runs]
+        stems = [s if s and s[-1].lower().isalpha() else w for s, w in zip(stems, runs, strict=True)]
+        tails = [w[len(s):] for s, w in zip(stems, runs, strict=True)]
+        stems = [s.lower() if s.isascii() else s for s in stems]
+        if new := list({*stems, *tails} - self.index.keys()):
             self.read(new)
-        index = self.index
-        index.update([(w, index[stem]) for w, (stem, tail) in zip(runs, parts, strict=True) if not tail])
-        tailed = [(w, index[stem], index[tail]) for w, (stem, tail) in zip(runs, parts, strict=True) if tail]
-        code = np.array([c for _, a, b in tailed for c in (a, b)], dtype=np.int64)
-        self.append([w for w, _, _ in tailed], self.segments(code), self.size[code].reshape(-1, 2).sum(axis=1))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of whole texts."""
-        runs = [[] if any(x in t for x in self.odd) else t.split() for t in texts]
-        flat = list(chain.from_iterable(runs))
+        code = np.stack([self.codes(stems), self.codes(tails)], axis=1)
+        self.append(runs, self.segments(code.ravel()), self.size[code].sum(axis=1))
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        """Token ids of whole texts (null: none)."""
+        texts = pa.array(texts) if isinstance(texts, list) else texts
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, self.odd)
+        runs = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        told = pc.list_flatten(runs).dictionary_encode()
         if len(self.index) > KEPT_RUNS:
             self.clear()
-        code = np.fromiter(map(self.index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        names = told.dictionary.to_pylist()
+        code = self.codes(names)
         missed = np.flatnonzero(code < 0).tolist()
         if missed:
-            self.add(list({flat[i] for i in missed}))
-            code[missed] = [self.index[flat[i]] for i in missed]
-        bounds = np.r_[0, np.cumsum(self.size[code])][np.cumsum([len(r) for r in runs], dtype=np.int64)]
-        out = np.split(self.segments(code), bounds[:-1]) if len(texts) else []
-        return [x if r or not t else np.array(self.library.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
-                for x, r, t in zip(out, runs, texts, strict=True)]
+            fresh = [names[i] for i in missed]
+            self.add(fresh)
+            code[missed] = self.codes(fresh)
+        code = code[told.indices.to_numpy()]
+        bounds = np.r_[0, np.cumsum(self.size[code])][runs.offsets.to_numpy() - runs.offsets[0].as_py()]
+        ids = self.segments(code)
+        out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = np.array(self.library.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -143,7 +175,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int
         table = run_table(path)
         for part in (p for b in batches for p in slices(b)):
             rows = []
-            for doc_id, ids in zip(part.column(0).to_pylist(), table.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
+            for doc_id, ids in zip(part.column(0).to_pylist(), table.encode(part.column(1)), strict=True):
                 ids = np.append(ids, np.uint32(separator)).astype("<u4")
                 rows += [(doc_id, k, at, len(ids[at:at + capacity]), crc32(ids[at:at + capacity].tobytes()))
                          for k, at in enumerate(range(0, len(ids), capacity))]
