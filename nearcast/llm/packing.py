@@ -264,7 +264,12 @@ def mutate(p: Packing, rng: np.random.Generator) -> None:
 
 
 def evolve(size: np.ndarray, capacity: int, seed: int, generations: int = GENERATIONS) -> np.ndarray:
-    """The bin of each piece in the best individual of one island."""
+    """The bin of each piece in the best individual of one island.
+
+    One individual starts with best fit decreasing, the others with pieces in
+    random order. The search ends with the first child that needs no more bins
+    than the pieces' total does, or after all generations.
+    """
     rng = np.random.default_rng(seed)
     bound = -(-int(size.sum()) // capacity)
     groups: list[list[Packing]] = []
@@ -272,12 +277,8 @@ def evolve(size: np.ndarray, capacity: int, seed: int, generations: int = GENERA
         groups.append([])
         for k in range(POPULATION):
             p = Packing(size, capacity)
-            # best fit decreasing, and the same over noisy sizes
-            noise = 1.0 if g == k == 0 else rng.uniform(0.8, 1.2, len(size))
-            p.place(np.argsort(-(size * noise), kind="stable"))
+            p.place(larger_first(size, np.arange(len(size))) if g == k == 0 else rng.permutation(len(size)))
             groups[-1].append(p)
-            if len(p.fill) <= bound:  # no packing has fewer bins
-                return p.bin_of
     for _ in range(generations):
         for group in groups:
             group.sort(key=Packing.fitness, reverse=True)
@@ -293,7 +294,7 @@ def evolve(size: np.ndarray, capacity: int, seed: int, generations: int = GENERA
         for i, g in enumerate(groups):  # the neighbour's elite replaces the weakest
             weakest = min(range(len(g)), key=lambda j: g[j].fitness())
             g[weakest] = elite[i - 1].copy()
-    return max((p for g in groups for p in g), key=Packing.fitness).bin_of
+    return min((p for g in groups for p in g), key=lambda p: (len(p.fill), -p.fitness())).bin_of
 
 
 def on_island(epoch: int, last: bool, capacity: int):

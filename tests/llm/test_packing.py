@@ -93,3 +93,24 @@ def test_empty_and_unpackable(spark):
     big = spark.createDataFrame([(i, 3000) for i in range(300)], "doc_id long, length long")
     got = packing.pack(big, island=32).collect()
     assert len(got) == 300 and check(got, 4096) == 300
+
+
+def test_packings_come_from_crossovers(spark, monkeypatch):
+    """Bins of an island are those of a child, and no more than best fit decreasing needs."""
+    children = []
+    cross = packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda a, b, rng: children.append(cross(a, b, rng)) or children[-1])
+    size = np.random.default_rng(11).integers(1, 4096, 1500)
+    plain = packing.Packing(size, 4096)
+    plain.place(packing.larger_first(size, np.arange(1500)))
+    bin_of = packing.evolve(size, 4096, 5)
+    assert children and bin_of.max() + 1 <= len(plain.fill)
+    assert np.bincount(bin_of, weights=size).max() <= 4096
+
+
+def test_plain_words_and_others_are_read_alike():
+    lib = Tokenizer.from_file(PATH)
+    table = packing.RunTable(PATH)
+    texts = [None, "straße ÀB àb ªx ºx dtİ' İ. ẖ H̱ ẖ ﬁn", "word " * 5 + "$$$ ..", "plain words alone"]
+    for t, ids in zip(texts, table.encode(texts), strict=True):
+        assert ids.tolist() == lib.encode(t or "", add_special_tokens=False).ids, repr(t)
