@@ -32,6 +32,7 @@ from nearcast.operators import aggregates as A
 from nearcast.operators import dims as DM
 from nearcast.operators.asof import nearest_asof
 from nearcast.operators.dedupe import keep_latest
+from nearcast.operators.incremental import padded_window_filter, publish_table, window_filter, write_partitions
 
 
 @dataclass
@@ -44,6 +45,8 @@ class Params:
     end_date: str | None = None
     strict_utc_window: bool = False
     pad_month: bool = True
+    # raw rows are loaded under the month of their date (UTC for weather): a windowed build reads only those partitions
+    prune_months: bool = True
     strict_numeric: bool = True
     # K2: actual departure = scheduled + departure delay (handles midnight
     # rollover); default keeps the reference's same-date parse of the HHMM text
@@ -111,11 +114,7 @@ def stg_flights(raw: DataFrame, p: Params = Params()) -> DataFrame:
     cols += [num("DistanceGroup").cast("int").alias("distance_group"), num("Flights").alias("flights_count")]
     cols += [_opt(raw, c).alias(c) for c in LINEAGE]
     typed = raw.select(*cols)
-    if p.year_month:
-        typed = typed.filter(F.col("year_month") == p.year_month)
-    elif p.start_date and p.end_date:
-        typed = typed.filter((F.col("flight_date") >= F.lit(p.start_date).cast("date"))
-                             & (F.col("flight_date") < F.lit(p.end_date).cast("date")))
+    typed = window_filter(typed, "flight_date", p.start_date, p.end_date, p.year_month, prune=p.prune_months)
     return typed.withColumn("flight_id", surrogate_key(
         "reporting_airline", "flight_number", "origin", F.col("flight_date").cast("string"), "crs_dep_time_local"))
 
@@ -132,20 +131,11 @@ def stg_weather(raw: DataFrame, p: Params = Params()) -> DataFrame:
     cols += [C.clean_text(_opt(raw, s), m).alias(t) for s, t in WEATHER_TEXT]
     cols += [_opt(raw, c).alias(c) for c in LINEAGE]
     typed = raw.select(*cols).filter(F.col("station").isNotNull() & F.col("valid_utc").isNotNull())
-    if p.start_date and p.end_date and not p.year_month:
-        pad = int(p.window_hours * 3600)
-        typed = typed.filter(
-            (F.col("valid_utc") >= F.timestamp_add("SECOND", F.lit(-pad), F.lit(p.start_date).cast("timestamp")))
-            & (F.col("valid_utc") < F.timestamp_add("SECOND", F.lit(pad), F.lit(p.end_date).cast("timestamp"))))
-    elif p.year_month:
-        if p.pad_month:
-            lo, hi = TU.month_bounds(p.year_month)
-            pad = int(p.window_hours * 3600)
-            typed = typed.filter(
-                (F.col("valid_utc") >= F.timestamp_add("SECOND", F.lit(-pad), F.lit(lo).cast("timestamp")))
-                & (F.col("valid_utc") < F.timestamp_add("SECOND", F.lit(pad), F.lit(hi).cast("timestamp"))))
-        else:
-            typed = typed.filter(F.col("year_month") == p.year_month)
+    if p.year_month and not p.pad_month:
+        typed = window_filter(typed, "valid_utc", year_month=p.year_month)
+    elif p.year_month or (p.start_date and p.end_date):
+        lo, hi = TU.month_bounds(p.year_month) if p.year_month else (p.start_date, p.end_date)
+        typed = padded_window_filter(typed, "valid_utc", lo, hi, p.window_hours, prune=p.prune_months)
     return keep_latest(typed, ["station", "valid_utc"], ["loaded_at", "source_file"])
 
 
@@ -297,25 +287,24 @@ def materialize(spark, m: dict[str, DataFrame], out_dir: str, fresh: bool = Fals
     dynamic partition overwrite: the months present in this build are
     replaced (delete + insert by month), other months stay. ``fresh``
     replaces the whole table. Downstream models are rebuilt from the written
-    table, which also cuts the lineage of the expensive join.
+    table, which also cuts the lineage of the expensive join. Whole tables are
+    written beside the old ones and put in their place by renames.
     """
     import os
 
-    from nearcast.operators.incremental import write_partitions
     paths = {k: os.path.join(out_dir, k) for k in ("joined", "fct_flights", "agg_delay_by_airport_hour",
                                                    "agg_delay_by_carrier_route", "agg_delay_by_weather_bucket")}
     if fresh:
-        # static: the session default (dynamic) would leave months outside the build in place
-        m["joined"].write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year_month").parquet(paths["joined"])
+        publish_table(m["joined"], paths["joined"], ["year_month"])
     else:
         write_partitions(m["joined"], paths["joined"], ["year_month"])
     joined = spark.read.parquet(paths["joined"])
     fct = fct_flights(joined)
-    fct.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year_month").parquet(paths["fct_flights"])
+    publish_table(fct, paths["fct_flights"], ["year_month"])
     fct = spark.read.parquet(paths["fct_flights"])
-    agg_delay_by_airport_hour(fct).write.mode("overwrite").parquet(paths["agg_delay_by_airport_hour"])
-    agg_delay_by_carrier_route(fct).write.mode("overwrite").parquet(paths["agg_delay_by_carrier_route"])
-    agg_delay_by_weather_bucket(fct).write.mode("overwrite").parquet(paths["agg_delay_by_weather_bucket"])
+    publish_table(agg_delay_by_airport_hour(fct), paths["agg_delay_by_airport_hour"])
+    publish_table(agg_delay_by_carrier_route(fct), paths["agg_delay_by_carrier_route"])
+    publish_table(agg_delay_by_weather_bucket(fct), paths["agg_delay_by_weather_bucket"])
     return paths
 
 
