@@ -42,9 +42,13 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 def rates_valid(agg: DataFrame, n: str = "flight_count", d: str = "delayed_count",
                 rate: str = "delay_rate_15") -> DataFrame:
     """n > 0, 0 <= d <= n, 0 <= rate <= 1 (Q5)."""
-    bad = ((F.col(n) <= 0) | (F.col(d) < 0) | (F.col(d) > F.col(n))
-           | (F.col(rate) < 0) | (F.col(rate) > 1))
-    return agg.filter(bad)
+    return agg.filter(rate_violation(n, d, rate))
+
+
+def rate_violation(n: str = "flight_count", d: str = "delayed_count", rate: str = "delay_rate_15") -> Column:
+    """The condition of :func:`rates_valid`."""
+    return ((F.col(n) <= 0) | (F.col(d) < 0) | (F.col(d) > F.col(n))
+            | (F.col(rate) < 0) | (F.col(rate) > 1))
 
 
 def implies(df: DataFrame, premise: Column, conclusion: Column) -> DataFrame:
@@ -101,6 +105,52 @@ def row_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return agg.selectExpr(f"stack({len(checks)}, {stack}) as (name, violations)")
 
 
+def table_checks(df: DataFrame, keys: list, rows: dict[str, Column] | None = None,
+                 measures: list[Column] | None = None, groups: dict[str, Column] | None = None,
+                 totals: dict[str, Column] | None = None, parity: dict[str, Column] | None = None) -> DataFrame:
+    """All checks on one table from one scan and one grouping: (name, violations, is_parity) rows.
+
+    The table is grouped by ``keys`` (its key, or the key of a grouped check)
+    with ``n_rows``, the given ``measures`` and a count per row check, and the
+    groups are summed up once.
+
+    * ``rows``: conditions that mark a violating row (null: not violating)
+    * ``groups``: conditions over keys, ``n_rows`` and measures that mark a violating group
+    * ``totals``: aggregates over the groups that are true when the table fails
+    * ``parity``: signed counts over the groups; :func:`run_checks` adds those of
+      the same name from several tables, and the check fails unless they cancel out
+
+    An empty table has no violations and counts of 0.
+    """
+    rows, groups, totals, parity = rows or {}, groups or {}, totals or {}, parity or {}
+    grouped = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), *(measures or []),
+        *[F.count_if(F.coalesce(c, F.lit(False))).alias(f"rows {n}") for n, c in rows.items()])
+    found = {n: F.sum(f"rows {n}") for n in rows}
+    found |= {n: F.count_if(F.coalesce(c, F.lit(False))) for n, c in groups.items()}
+    found |= {n: F.coalesce(c, F.lit(False)).cast("long") for n, c in totals.items()}
+    found |= parity
+    one = grouped.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in found.items()])
+    stack = ", ".join(f"'{n}', `{n}`, {str(n in parity).lower()}" for n in found)
+    return one.selectExpr(f"stack({len(found)}, {stack}) as (name, violations, is_parity)")
+
+
+def run_checks(parts: list[DataFrame]) -> DataFrame:
+    """Results of :func:`table_checks` and of plain checks (name, violations) -> (name, violations, passed) (Q16)."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    # one row per check and table
+    out = out.groupBy("name").agg(F.sum("violations").alias("v"), F.coalesce(F.bool_or("is_parity"), F.lit(False)).alias("p"))
+    return out.select("name", F.when(F.col("p"), (F.col("v") != 0).cast("long")).otherwise(F.col("v")).alias("violations")) \
+        .withColumn("passed", F.col("violations") == 0)
+
+
+def violations(name: str, bad: DataFrame) -> DataFrame:
+    """A check that returns violating rows -> one (name, violations) row."""
+    return bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("name"), "violations")
+
+
 def run_suite(checks: dict[str, Callable[[], DataFrame]],
               grouped: list[DataFrame] | None = None) -> DataFrame:
     """Named checks -> (name, violations, passed), one aggregate per check, one union (Q16).

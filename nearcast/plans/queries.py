@@ -221,7 +221,7 @@ PRIORITY_ZONES = [
 ]
 
 
-def _raw_text(ev):
+def _raw_text(ev, *more):
     v = F.col("value").cast("string")
     raw = (F.when(F.col("event_type") == "error", F.lit("")).when(F.col("event_type") == "signup", F.lit("M"))
            .when(F.col("event_type") == "click", F.concat(F.lit(" "), v, F.lit(" "))).otherwise(v))
@@ -229,7 +229,7 @@ def _raw_text(ev):
     flag = (F.when(F.col("value") >= 75, F.lit("1.00")).when(F.col("value") >= 50, F.lit("0"))
             .when(F.col("value") >= 25, F.lit("")))
     return ev.select("event_id", "event_type", raw.alias("raw_value"), trace.alias("raw_trace"),
-                     flag.alias("raw_flag"))
+                     flag.alias("raw_flag"), *more)
 
 
 @query("clean_fields")
@@ -370,44 +370,49 @@ def coverage_extent_q(spark, sf):
 def quality_report_q(spark, sf):
     """Q1-Q13, Q16: named checks -> (name, violations, passed).
 
-    Row-level checks on the same table share one pass (``row_checks``); the
-    as-of result, read by several checks, is materialised once.
+    One scan and one grouping per table feeds all its checks (``table_checks``):
+    orders by key, events by type and hour, the as-of result by user. Lineitem
+    is read for its key, for its reference and for the route join, each time
+    other columns of the file.
     """
     from nearcast.operators import quality as Q
-    from nearcast.session import materialize
     orders = _load(spark, sf, "orders")
     li = _load(spark, sf, "lineitem")
     ev = _load(spark, sf, "events")
-    nn = materialize(X.nearest(spark, sf))
-    clean = clean_fields_q(spark, sf)
     matched = F.col("match_status") == "matched"
-    grouped = [
-        Q.row_checks(orders, {
+    # the typed, cancel-aware fields of clean_fields, as columns of the event
+    raw = _raw_text(ev, "ts", "value")
+    cancelled = F.col("event_type") == "error"
+    delay = C.null_if_cancelled(C.clean_numeric("raw_value"), cancelled).cast("double")
+    flag = C.cancel_aware_flag("raw_flag", cancelled)
+    purchase = F.col("event_type") == "purchase"
+    return Q.run_checks([
+        Q.table_checks(orders, ["o_orderkey"], rows={
             "not_null_orders_o_orderkey": F.col("o_orderkey").isNull(),
             "not_null_orders_o_orderdate": F.col("o_orderdate").isNull(),
-            "accepted_values_o_orderstatus": F.col("o_orderstatus").isNotNull()
-            & ~F.col("o_orderstatus").isin("F", "O", "P")}),
-        Q.row_checks(nn, {
-            "accepted_values_match_status": F.col("match_status").isNotNull()
-            & ~F.col("match_status").isin("matched", "no_obs_in_window"),
+            "accepted_values_o_orderstatus": ~F.col("o_orderstatus").isin("F", "O", "P")},
+            groups={"unique_orders_o_orderkey": F.col("n_rows") > 1}),
+        Q.table_checks(raw, ["event_type", F.hour("ts").alias("event_hour")],
+                       rows={"cancelled_null_delay": cancelled & delay.isNotNull(),
+                             "cancelled_null_flag": cancelled & flag.isNotNull()},
+                       measures=[*A.delay_measures(F.col("value") >= X.DELAYED_AT, "value"),
+                                 F.count_if(F.col("ts").isNull()).alias("null_ts")],
+                       groups={"rates_valid_key_hour": Q.rate_violation()},
+                       totals={"null_ts_share": F.sum("null_ts") > 0.01 * F.sum("n_rows")},
+                       parity={"row_count_parity_nearest": -F.sum(F.when(purchase, F.col("n_rows")).otherwise(0))}),
+        Q.table_checks(X.nearest(spark, sf), ["user_id"], rows={
+            "accepted_values_match_status": ~F.col("match_status").isin("matched", "no_obs_in_window"),
             "match_flag_consistent": matched != F.col("obs_ts").isNotNull(),
             "matched_within_window": matched & ~F.coalesce(
-                F.abs(F.col("lag_minutes")) <= X.WINDOW_HOURS * 60, F.lit(False))}),
-        Q.row_checks(clean, {
-            "cancelled_null_delay": F.col("is_cancelled") & ~F.col("delay_clean").isNull(),
-            "cancelled_null_flag": F.col("is_cancelled") & ~F.col("delay_15_flag").isNull()}),
-    ]
-    checks = {
-        "unique_orders_o_orderkey": lambda: Q.unique(orders, ["o_orderkey"]),
-        "unique_lineitem_order_line": lambda: Q.unique(li, ["l_orderkey", "l_linenumber"]),
-        "rates_valid_key_hour": lambda: Q.rates_valid(X.key_hour_agg(spark, sf)),
-        "rates_valid_route": lambda: Q.rates_valid(X.route_agg(spark, sf)),
-        "refs_lineitem_suppkey": lambda: DM.missing_refs(li, "l_suppkey", _load(spark, sf, "supplier"), "s_suppkey"),
-        "row_count_parity_nearest": lambda: Q.count_parity(nn, X.purchases(spark, sf)),
-        "null_ts_share": lambda: Q.max_null_share(ev, "ts", 0.01),
-        "match_share_by_user": lambda: Q.min_share_by(nn, ["user_id"], matched, 0.9),
-    }
-    return Q.run_suite(checks, grouped)
+                F.abs(F.col("lag_minutes")) <= X.WINDOW_HOURS * 60, F.lit(False))},
+            measures=[F.count_if(matched).alias("n_matched")],
+            groups={"match_share_by_user": F.col("n_matched") < F.lit(0.9) * F.col("n_rows")},
+            parity={"row_count_parity_nearest": F.sum("n_rows")}),
+        Q.table_checks(li, ["l_orderkey", "l_linenumber"], groups={"unique_lineitem_order_line": F.col("n_rows") > 1}),
+        Q.violations("rates_valid_route", Q.rates_valid(X.route_agg(spark, sf))),
+        Q.violations("refs_lineitem_suppkey",
+                     DM.missing_refs(li, "l_suppkey", _load(spark, sf, "supplier"), "s_suppkey")),
+    ])
 
 
 # ------------------------------------------------ ranking metrics and folds
