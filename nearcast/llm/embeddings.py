@@ -13,7 +13,8 @@ Counting links does not expand groups of copies. Equal vectors are one node.
 In every filter all vectors are compared with one hub; those within half the
 linking angle of a common centre form a ball, all of whose members are linked
 with each other. Only pairs from different balls are compared one by one, on
-8-bit codes first, in double precision after that.
+8-bit codes first, in double precision after that. A filter in a dense cone may
+hold a large share of all vectors; it is dealt into blocks, and a task holds two.
 
 Defined cases: null vectors, zero vectors and vectors with null or non-finite
 components link with nothing; neither do vectors of different dimension; null
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +45,8 @@ PER_FILTER, SHARED = 20, 16
 ROTATIONS = 3
 #: Most that an inner product of two 8-bit codes is off (tested); pairs closer to the threshold are verified too.
 CODE_ERROR = 0.02
+#: A filter with more vectors than this is compared in blocks of about as many, two to a task.
+BLOCK = 10_000
 
 
 def nodes(rows: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
@@ -225,30 +229,51 @@ def hub_pairs(rows: DataFrame, least: float) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").where("a <> b")
 
 
+def near_in(node: np.ndarray, code: list[bytes], ball: np.ndarray, least: float, block: np.ndarray | None = None) -> np.ndarray:
+    """Pairs (smaller node first, each once) of one dimension, from different balls and blocks, with codes that similar."""
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    length = np.fromiter(map(len, code), dtype=np.int64, count=len(code))
+    for d in np.unique(length):  # vectors of two dimensions may meet in a filter number
+        at = np.flatnonzero(length == d)
+        x, b = decoded([code[k] for k in at]), ball[at]
+        _, of, size = np.unique(b, return_inverse=True, return_counts=True)
+        rest = np.flatnonzero(of != size.argmax())
+        for k in range(0, len(rest), 1000):
+            part = rest[k:k + 1000]
+            near = (x[part] @ x.T >= least) & (b[part, None] != b)
+            if block is not None:
+                near &= block[at[part], None] != block[at]
+            p, q = np.nonzero(near)
+            found.append(np.unique(np.sort(np.stack([node[at[part[p]]], node[at[q]]], axis=1), axis=1), axis=0))
+    return np.unique(np.concatenate(found), axis=0)
+
+
 def cross_pairs(rows: DataFrame, least: float) -> DataFrame:
     """Pairs from different balls in the same filter whose codes are at least that similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_filters(batches):
-            left, right = [], []
-            for i, j in groups(t["filter"]):
-                ball, node = np.array(t["ball"][i:j]), np.array(t["node"][i:j])
-                if len(set(map(len, t["code"][i:j]))) > 1:
-                    continue  # two dimensions whose filter numbers agree: each is compared in its other filters
-                x = decoded(t["code"][i:j])
-                names, of, size = np.unique(ball, return_inverse=True, return_counts=True)
-                rest = np.flatnonzero(of != size.argmax())
-                for k in range(0, len(rest), 1000):
-                    part = rest[k:k + 1000]
-                    p, q = np.nonzero((x[part] @ x.T >= least) & (ball[part, None] != ball))
-                    left += node[part[p]].tolist()
-                    right += node[q].tolist()
-            yield pairs(left, right)
+            ball, node = np.array(t["ball"], dtype=np.int64), np.array(t["node"], dtype=np.int64)
+            found = [near_in(node[i:j], t["code"][i:j], ball[i:j], least) for i, j in groups(t["filter"])]
+            if found:
+                once = np.unique(np.concatenate(found), axis=0)
+                yield pairs(once[:, 0], once[:, 1])
     ordered = rows.repartition("filter").sortWithinPartitions("filter")
-    return (ordered.select("filter", "node", "code", "ball").mapInArrow(run, "a long, b long")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    return ordered.select("filter", "node", "code", "ball").mapInArrow(run, "a long, b long")
+
+
+def hot_pairs(rows: DataFrame, hot: DataFrame, least: float) -> DataFrame:
+    """The same for filters with many vectors: dealt into blocks, a task compares one block with itself or another."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = None if pdf["low"].iat[0] == pdf["high"].iat[0] else pdf["block"].to_numpy()
+        return pd.DataFrame(near_in(pdf["node"].to_numpy(), pdf["code"].tolist(), pdf["ball"].to_numpy(), least, block), columns=["a", "b"])
+    dealt = rows.join(hot, "filter").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cells = dealt.select("filter", "node", "code", "ball", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("other")
+    return cells.groupBy("filter", "low", "high").applyInPandas(run, "a long, b long")
 
 
-def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
+def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE,
+                 block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     keyed, units = nodes(rows, id_col, vector_col)
     keyed = materialize(keyed)
@@ -268,7 +293,10 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     balls = materialize(wish.join(materialize(centres), "centre").groupBy("node").agg(F.min_by("centre", rank).alias("ball")))
 
     labelled = found.join(balls, "node", "left").withColumn("ball", F.coalesce("ball", "node"))
-    links = materialize(exact(cross_pairs(labelled, cosine - CODE_ERROR), units, cosine))
+    hot = materialize(found.groupBy("filter").agg(F.count("*").alias("n")).where(F.col("n") > block)
+                      .select("filter", F.ceil(F.col("n") / block).alias("blocks")))
+    candidates = cross_pairs(labelled.join(hot, "filter", "left_anti"), cosine - CODE_ERROR)
+    links = materialize(exact(candidates.unionByName(hot_pairs(labelled, hot, cosine - CODE_ERROR)), units, cosine))
 
     weights = units.select("node", "weight").join(balls, "node", "left").withColumn("ball", F.coalesce("ball", "node"))
     inside = weights.groupBy("ball").agg(F.sum("weight").alias("ball_weight"))

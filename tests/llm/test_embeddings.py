@@ -90,3 +90,30 @@ def test_driver_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding")
     got = sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect())
     assert got == brute([(r.vec_id, r.embedding) for r in df.collect()])
+
+
+def test_pairs_of_one_filter():
+    """Two dimensions in one filter and any blocks: the same pairs as one by one."""
+    rng = np.random.default_rng(8)
+    unit = [x / np.linalg.norm(x) for d in (6, 9) for x in rng.normal(size=(60, d)) + 1.0]
+    code = [embeddings.coded(x[None])[0] for x in unit]
+    node, ball, block = np.arange(120) * 7 - 300, rng.integers(0, 30, 120), rng.integers(0, 2, 120)
+    for blocks in (None, block):
+        want = set()
+        for i in range(120):
+            for j in range(i):
+                if len(unit[i]) == len(unit[j]) and ball[i] != ball[j] and (blocks is None or blocks[i] != blocks[j]) \
+                        and embeddings.decoded([code[i]])[0] @ embeddings.decoded([code[j]])[0] >= 0.8:
+                    want.add((min(node[i], node[j]), max(node[i], node[j])))
+        got = embeddings.near_in(node, code, ball, 0.8, blocks)
+        assert want and len(got) == len(want) and {tuple(p) for p in got.tolist()} == want
+
+
+def test_blocks_lose_no_link(spark):
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=64)
+    cone = [at_cosine(rng, middle / np.linalg.norm(middle), 0.96) for _ in range(90)]  # many balls near one direction
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(cone)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole, split = (sorted(map(tuple, embeddings.near_vectors(df, block=b).collect())) for b in (10_000, 12))
+    assert whole == split and sum(r[1] for r in whole) > 1000
