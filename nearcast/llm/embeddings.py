@@ -231,21 +231,32 @@ def hub_pairs(rows: DataFrame, least: float) -> DataFrame:
 
 def near_in(node: np.ndarray, code: list[bytes], ball: np.ndarray, least: float, block: np.ndarray | None = None) -> np.ndarray:
     """Pairs (smaller node first, each once) of one dimension, from different balls and blocks, with codes that similar."""
-    found = [np.zeros((0, 2), dtype=np.int64)]
+    found = [np.zeros((2, 0), dtype=np.int64)]
     length = np.fromiter(map(len, code), dtype=np.int64, count=len(code))
-    for d in np.unique(length):  # vectors of two dimensions may meet in a filter number
-        at = np.flatnonzero(length == d)
-        x, b = decoded([code[k] for k in at]), ball[at]
+    # vectors of two dimensions may meet in a filter number
+    for at in [np.arange(len(code))] if (length == length[0]).all() else [np.flatnonzero(length == d) for d in np.unique(length)]:
+        x, b, n = decoded([code[k] for k in at]), ball[at], node[at]
         _, of, size = np.unique(b, return_inverse=True, return_counts=True)
-        rest = np.flatnonzero(of != size.argmax())
+        is_rest = of != size.argmax()
+        rest = np.flatnonzero(is_rest)
         for k in range(0, len(rest), 1000):
             part = rest[k:k + 1000]
             near = (x[part] @ x.T >= least) & (b[part, None] != b)
             if block is not None:
                 near &= block[at[part], None] != block[at]
             p, q = np.nonzero(near)
-            found.append(np.unique(np.sort(np.stack([node[at[part[p]]], node[at[q]]], axis=1), axis=1), axis=0))
-    return np.unique(np.concatenate(found), axis=0)
+            p = part[p]
+            once = ~is_rest[q] | (q > p)
+            p, q = n[p[once]], n[q[once]]
+            found.append(np.stack([np.minimum(p, q), np.maximum(p, q)]))
+    return np.concatenate(found, axis=1)
+
+
+def distinct_pairs(found: list[np.ndarray]) -> np.ndarray:
+    """Both rows of the pairs, each pair once."""
+    both = np.concatenate(found, axis=1)
+    both = both[:, np.lexsort(both)]
+    return both[:, np.r_[True, (both[:, 1:] != both[:, :-1]).any(axis=0)][:both.shape[1]]]
 
 
 def cross_pairs(rows: DataFrame, least: float) -> DataFrame:
@@ -255,8 +266,7 @@ def cross_pairs(rows: DataFrame, least: float) -> DataFrame:
             ball, node = np.array(t["ball"], dtype=np.int64), np.array(t["node"], dtype=np.int64)
             found = [near_in(node[i:j], t["code"][i:j], ball[i:j], least) for i, j in groups(t["filter"])]
             if found:
-                once = np.unique(np.concatenate(found), axis=0)
-                yield pairs(once[:, 0], once[:, 1])
+                yield pairs(*distinct_pairs(found))
     ordered = rows.repartition("filter").sortWithinPartitions("filter")
     return ordered.select("filter", "node", "code", "ball").mapInArrow(run, "a long, b long")
 
@@ -265,7 +275,8 @@ def hot_pairs(rows: DataFrame, hot: DataFrame, least: float) -> DataFrame:
     """The same for filters with many vectors: dealt into blocks, a task compares one block with itself or another."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         block = None if pdf["low"].iat[0] == pdf["high"].iat[0] else pdf["block"].to_numpy()
-        return pd.DataFrame(near_in(pdf["node"].to_numpy(), pdf["code"].tolist(), pdf["ball"].to_numpy(), least, block), columns=["a", "b"])
+        a, b = near_in(pdf["node"].to_numpy(), pdf["code"].tolist(), pdf["ball"].to_numpy(), least, block)
+        return pd.DataFrame({"a": a, "b": b})
     dealt = rows.join(hot, "filter").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     cells = dealt.select("filter", "node", "code", "ball", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("other")

@@ -106,7 +106,9 @@ def test_pairs_of_one_filter():
                         and embeddings.decoded([code[i]])[0] @ embeddings.decoded([code[j]])[0] >= 0.8:
                     want.add((min(node[i], node[j]), max(node[i], node[j])))
         got = embeddings.near_in(node, code, ball, 0.8, blocks)
-        assert want and len(got) == len(want) and {tuple(p) for p in got.tolist()} == want
+        assert want and got.shape == (2, len(want)) and {tuple(p) for p in got.T.tolist()} == want
+        assert np.array_equal(embeddings.distinct_pairs([got, got[:, ::-1]]), embeddings.distinct_pairs([got]))
+    assert embeddings.distinct_pairs([got[:, :0]]).shape == (2, 0)
 
 
 def test_blocks_lose_no_link(spark):
