@@ -1,14 +1,17 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over characters, of order four, one per language and one of all
-languages (for documents whose language has no model). It is fitted on a
-bounded sample of trusted rows: at most ``docs_per_language`` labelled
-documents a language, a passage of at most ``passage`` characters of each. The
-counts, continuation counts, context totals, discounts and the interpolation
-of each order with the next lower one are Spark aggregations and joins over
-tables that are sharded by n-gram. The finished table has at most
-7 * docs_per_language * passage rows a language, whatever the corpus, and goes
-to the tasks, which read every document from its first to its last character.
+languages (for documents whose language has no model). It counts every n-gram
+of the whole text of every trusted row: tasks count the texts they read, Spark
+sums these tables by n-gram. The counts, continuation counts, context totals,
+discounts and the interpolation of each order with the next lower one are Spark
+aggregations and joins over tables that are sharded by n-gram.
+
+The tasks that read the documents hold at most about ``SHARD_ROWS`` rows of the
+finished table, besides its n-grams of one and two symbols. A larger table is
+cut into shards by the two symbols before the predicted one; each shard's
+positions are scored in a pass of their own, from every document's first to its
+last character, and the passes' sums are added.
 
 A document's score is its mean negative log probability per character, drawn
 towards its language's trusted median by ``prior`` characters, so that a few
@@ -29,46 +32,102 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from nearcast.session import materialize
 
 from .minhash import BASE, U64, mix
 
 ORDER = 4
-DOCS, PASSAGE = 300, 1500
 #: Share of each language's documents labelled good that the threshold keeps.
 PRIOR, QUANTILE = 60, 0.99
 #: Stands before the first character; not a character of any text's XML or JSON form.
 START = "\x00"
 ALL = "*"
+#: Rows of the model that a task holds, and code points of text whose n-grams it counts at once.
+SHARD_ROWS, COUNT_BLOCK = 1_000_000, 1 << 20
+#: Words of 64 bits of the filter of trusted ids.
+FILTER_WORDS = 1 << 23
+
+
+def likely_among(ids: DataFrame, column: str, most_words: int = FILTER_WORDS) -> Column:
+    """A test of ``column`` that holds for all ``ids`` and for few other values: a Bloom filter of two bits an id.
+
+    It keeps texts out of a shuffle join; beyond ``most_words`` words it lets more of them pass.
+    """
+    words = min(max(1, ids.count() // 4), most_words)
+    h = F.xxhash64(column)
+    bits = [F.expr(f"shiftleft(1L, cast(shiftright(xxhash64({column}), {at}) & 63 as int))") for at in (40, 50)]
+    set_bits = ids.groupBy(F.pmod(h, F.lit(words)).alias("word")).agg(F.bit_or(bits[0].bitwiseOR(bits[1])).alias("bits")).toPandas()
+    table = np.zeros(words, dtype=np.int64)
+    table[set_bits["word"].to_numpy(dtype=np.int64)] = set_bits["bits"].to_numpy(dtype=np.int64)
+
+    @F.pandas_udf("boolean")
+    def test(word: pd.Series, bits: pd.Series) -> pd.Series:
+        bits = bits.to_numpy()
+        return pd.Series(table[word.to_numpy()] & bits == bits)
+    return test(F.pmod(h, F.lit(words)), bits[0].bitwiseOR(bits[1]))
+
+
+def trusted_texts(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
+    """lang, text: the whole padded texts of all trusted rows."""
+    good = materialize(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct())
+    known = docs.where("lang is not null and text is not null and char_length(text) > 0").where(likely_among(good, "doc_id"))
+    # a merge join at every size: what tasks hold does not grow with the labels
+    return known.join(good.hint("merge"), "doc_id", "left_semi").select(
+        "lang", F.concat(F.lit(START * (order - 1)), F.col("text")).alias("text"))
+
+
+def count_windows(codes: np.ndarray, inside: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different windows of ``order`` symbols at the places ``inside``, one a row, and how often each occurs."""
+    symbols, number = np.unique(codes, return_inverse=True)
+    bits = max(1, int(len(symbols) - 1).bit_length())
+    if bits * order > 64:  # too many symbols for one word: tell the windows apart as rows
+        return np.unique(np.stack([codes[k:len(codes) - order + 1 + k] for k in range(order)], axis=1)[inside], axis=0, return_counts=True)
+    wide = np.uint32 if bits * order <= 32 else np.uint64
+    number = number.astype(wide)
+    key = np.zeros(len(codes) - order + 1, dtype=wide)
+    for k in range(order):
+        key = (key << wide(bits)) | number[k:len(codes) - order + 1 + k]
+    key, count = np.unique(key[inside], return_counts=True)
+    return np.stack([symbols[(key >> wide(bits * k)) & wide((1 << bits) - 1)] for k in range(order - 1, -1, -1)], axis=1), count
+
+
+def gram_counts(texts: DataFrame, order: int = ORDER, block: int = COUNT_BLOCK) -> DataFrame:
+    """lang, gram, c: how often each n-gram of ``order`` symbols occurs in whole texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs = b.column("lang").to_numpy(zero_copy_only=False)
+            for lang in set(langs):
+                mine = b.column("text").take(pa.array(np.flatnonzero(langs == lang))).to_pylist()
+                ends = np.cumsum([len(t) for t in mine])
+                codes = np.frombuffer("".join(mine).encode("utf-32-le"), dtype="<u4")
+                inside = np.ones(len(codes), dtype=bool)
+                for k in range(1, order):  # no window reaches into the next text
+                    inside[ends[ends >= k] - k] = False
+                for i in range(0, len(codes) - order + 1, block):
+                    part = codes[i:i + block + order - 1]
+                    grams, count = count_windows(part, inside[i:i + len(part) - order + 1], order)
+                    joined = grams.astype("<u4").tobytes().decode("utf-32-le")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(count), pa.string()), pa.array([joined[j:j + order] for j in range(0, len(joined), order)], pa.string()),
+                         pa.array(count, pa.int64())], names=["lang", "gram", "c"])
+    rows = texts.select(F.col("lang").cast("string").alias("lang"), "text")
+    return rows.mapInArrow(run, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+
 
+def kneser_ney(texts: DataFrame, order: int = ORDER, pooled: str | None = None) -> DataFrame:
+    """lang, gram, kind, value: log probability of every seen n-gram ('p') and log weight of every context ('g').
 
-def trusted_passages(docs: DataFrame, labels: DataFrame, per_language: int, passage: int) -> DataFrame:
-    """lang, text: passages at pseudo-random places of trusted documents, pooled once more under ``ALL``."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
-    known = docs.where("lang is not null and text is not null and char_length(text) > 0").select("doc_id", "lang").distinct().join(good, "doc_id")
-    known = known.withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) / (1 << 30))
-    counts = known.groupBy("lang").agg(F.count("*").alias("size"))
-    # about twice the wanted rows pass the share, so the ranks are over bounded groups
-    near = known.join(counts, "lang").where(F.col("u") * F.col("size") < 2 * per_language + 20)
-    ranked = near.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("u", "doc_id")))
-    chosen = materialize(ranked.where(F.col("k") <= per_language).select("doc_id"))
-    at = F.pmod(F.xxhash64("doc_id"), F.greatest(F.char_length("text") - passage, F.lit(1))) + 1
-    texts = docs.where("lang is not null and text is not null and char_length(text) > 0").join(chosen, "doc_id").select(
-        "lang", F.concat(F.lit(START * (ORDER - 1)), F.col("text").substr(at.cast("int"), F.lit(passage))).alias("text"))
-    return texts.select(F.explode(F.array(F.col("lang"), F.lit(ALL))).alias("lang"), "text")
-
-
-def kneser_ney(passages: DataFrame, order: int = ORDER) -> DataFrame:
-    """lang, gram, kind, value: log probability of every seen n-gram ('p') and log weight of every context ('g')."""
-    at = F.sequence(F.lit(1), F.char_length("text") - (order - 1))
-    grams = passages.where(F.char_length("text") >= order).select(
-        "lang", F.explode(F.transform(at, lambda i: F.substring(F.col("text"), i, F.lit(order)))).alias("gram"))
-    counts = {order: materialize(grams.groupBy("lang", "gram").agg(F.count("*").alias("c")))}
+    With ``pooled`` there is one more model of that name, of the texts of all languages.
+    """
+    counts = {order: materialize(gram_counts(texts, order))}
+    if pooled is not None:
+        counts[order] = counts[order].unionByName(
+            counts[order].groupBy("gram").agg(F.sum("c").alias("c")).select(F.lit(pooled).alias("lang"), "gram", "c"))
     for n in range(order - 1, 0, -1):
         # how many different symbols come before it
         counts[n] = materialize(counts[n + 1].groupBy("lang", F.expr(f"substring(gram, 2, {n})").alias("gram")).agg(F.count("*").alias("c")))
@@ -153,11 +212,25 @@ class Table:
         return out
 
 
+def shard_of(before: np.ndarray, last: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of positions whose two preceding symbols are given."""
+    return (before.astype(np.int64) * 31_337 + last.astype(np.int64)) % shards
+
+
+def in_shard(shard: int, shards: int) -> Column:
+    """Whether a row of the table belongs to a shard; those of all positions after a symbol belong to every one."""
+    seen = F.col("kind") == "p"
+    n = F.char_length("gram")
+    at = n - F.when(seen, 2).otherwise(1)  # the two symbols before the predicted one
+    first, second = (F.ascii(F.col("gram").substr(at + k, F.lit(1))).cast("long") for k in (0, 1))
+    return (at < 1) | ((first * 31_337 + second) % shards == shard)
+
+
 class Model:
-    """Tables of one language."""
+    """Tables of one language, or of one shard of it."""
 
-    def __init__(self, rows: list[tuple[str, str, float]], order: int = ORDER):
-        self.order = order
+    def __init__(self, rows: list[tuple[str, str, float]], order: int = ORDER, shard: int = 0, shards: int = 1):
+        self.order, self.shard, self.shards = order, shard, shards
         self.p: dict[int, Table] = {}
         self.g: dict[int, Table] = {}
         for kind, into in (("p", self.p), ("g", self.g)):
@@ -167,26 +240,31 @@ class Model:
                     by.setdefault(len(gram), []).append((gram, value))
             for n, pairs in by.items():
                 if n:
-                    codes = np.array([[ord(c) for c in g] for g, _ in pairs], dtype=np.uint64)
+                    codes = np.frombuffer("".join(g for g, _ in pairs).encode("utf-32-le"), dtype="<u4").reshape(-1, n).astype(np.uint64)
                     into[n] = Table(key_of(list(codes.T)), np.array([v for _, v in pairs]))
         self.unseen = next(v for g, k, v in rows if k == "g" and g == "")
 
     def score(self, text: np.ndarray) -> np.ndarray:
-        """Log probability of each code point of the padded text, after the padding."""
+        """Log probability of each code point of the padded text, after the padding (0 where another shard has it)."""
         n = len(text) - self.order + 1
         out = np.zeros(n)
         todo = np.arange(n) + self.order - 1
+        if self.shards > 1:
+            todo = todo[shard_of(text[todo - 2], text[todo - 1], self.shards) == self.shard]
         for m in range(self.order, 0, -1):
-            found = self.p[m].get(key_of([text[todo - k] for k in range(m - 1, -1, -1)]))
+            if m not in self.p:  # none in this shard
+                found = np.full(len(todo), np.nan)
+            else:
+                found = self.p[m].get(key_of([text[todo - k] for k in range(m - 1, -1, -1)]))
             seen = ~np.isnan(found)
             out[todo[seen] - self.order + 1] += found[seen]
             todo = todo[~seen]
             if not len(todo):
                 break
-            if m > 1:
+            if m > 1 and m - 1 in self.g:
                 weight = self.g[m - 1].get(key_of([text[todo - k] for k in range(m - 1, 0, -1)]))
                 out[todo - self.order + 1] += np.nan_to_num(weight, nan=0.0)
-            else:
+            elif m == 1:
                 out[todo - self.order + 1] += self.unseen
         return out
 
@@ -214,17 +292,38 @@ def scores(docs: DataFrame, models: dict[str, Model], block: int = 1 << 18) -> D
     return rows.mapInArrow(run, "doc_id long, lang string, n_symbols long, total double")
 
 
-def fit(docs: DataFrame, labels: DataFrame, docs_per_language: int = DOCS, passage: int = PASSAGE) -> dict[str, Model]:
-    rows: dict[str, list] = {}
-    for r in kneser_ney(trusted_passages(docs, labels, docs_per_language, passage)).collect():
-        rows.setdefault(r.lang, []).append((r.gram, r.kind, r.value))
-    return {lang: Model(r) for lang, r in rows.items()}
+def shard_models(table: DataFrame, shard: int, shards: int) -> dict[str, Model]:
+    """One shard's part of every model."""
+    rows = table.where(in_shard(shard, shards)) if shards > 1 else table
+    return {lang: Model(list(zip(r["gram"], r["kind"], r["value"], strict=True)), shard=shard, shards=shards)
+            for lang, r in rows.toPandas().groupby("lang")}
+
+
+def scores_by_shards(docs: DataFrame, table: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, list[str]]:
+    """What ``scores`` returns, by the models of a finished table, and their names."""
+    shards = max(1, -(-table.count() // shard_rows))
+    names = sorted(r.lang for r in table.where("gram = ''").select("lang").collect())
+    if shards == 1:
+        return materialize(scores(docs, shard_models(table, 0, 1))), names
+    # rows may look alike, so each has a number; every pass reads the rows as they are numbered here
+    docs = materialize(docs.select("doc_id", "lang", "text").withColumn("uid", F.monotonically_increasing_id()))
+    parts = []
+    for shard in range(shards):  # one pass at a time, so that a task holds one shard
+        numbered = docs.select(F.col("uid").alias("doc_id"), "lang", "text")
+        parts.append(materialize(scores(numbered, shard_models(table, shard, shards)).withColumnRenamed("doc_id", "uid")))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total.unionByName(p)
+    total = total.groupBy("uid").agg(F.first("n_symbols").alias("n_symbols"), F.sum("total").alias("total"))
+    own = docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
+    return materialize(own.join(total, "uid").select("doc_id", "lang", "n_symbols", "total")), names
 
 
-def classify(docs: DataFrame, labels: DataFrame, prior: int = PRIOR, quantile: float = QUANTILE, **bounds: int) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, prior: int = PRIOR, quantile: float = QUANTILE, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, score, threshold, kept of every row."""
-    models = fit(docs, labels, **bounds)
-    read = materialize(scores(docs, models)).withColumn("model", F.when(F.col("lang").isin(*models), F.col("lang")).otherwise(F.lit(ALL)))
+    table = materialize(kneser_ney(trusted_texts(docs, labels), pooled=ALL))
+    read, models = scores_by_shards(docs, table, shard_rows)
+    read = read.withColumn("model", F.when(F.col("lang").isin(*models), F.col("lang")).otherwise(F.lit(ALL)))
     mean = F.try_divide("total", "n_symbols")
     labelled = labels.where("quality = 1").groupBy("doc_id").agg((F.min(F.coalesce("toxic", F.lit(0))) == 0).alias("trusted"))
     good = read.where("n_symbols > 0").join(labelled, "doc_id").select(

@@ -98,3 +98,33 @@ def test_threshold_is_a_quantile_of_good_scores(spark):
     limit = {r.lang: r.threshold for r in got}
     for lang, x in scores.items():
         assert limit[lang] == pytest.approx(np.sort(x)[math.ceil(0.9 * len(x)) - 1]), lang
+
+
+def test_counts_cover_every_trusted_text_whole(spark):
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcde é😀\x00"), int(rng.integers(1, 60)))) for _ in range(400)] + ["ab" * 3000 + "qqqq"]
+    docs = spark.createDataFrame([(i, t, "en" if i % 3 else "de") for i, t in enumerate(texts)] + [(9, None, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i == 7)) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    want = Counter()
+    for i, t in enumerate(texts):
+        t = P.START * 3 + t
+        want.update(("en" if i % 3 else "de", t[k:k + 4]) for k in range(len(t) - 3) if i != 7)
+    for block in (50, 1 << 20):
+        got = {(r.lang, r.gram): r.c for r in P.gram_counts(P.trusted_texts(docs, labels), block=block).collect()}
+        assert got == want
+    codes = np.arange(70_000, dtype=np.uint32)  # too many symbols for packed windows
+    grams, count = P.count_windows(codes, np.ones(len(codes) - 3, dtype=bool), 4)
+    assert len(grams) == len(codes) - 3 and set(count) == {1}
+
+
+def test_shards_give_the_same_scores(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i % 50 if i % 17 else None, "".join(rng.choice(list("abcdefg😀 é"), int(rng.integers(0, 80)))), ["en", "de", None, "zz"][i % 4])
+            for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50) if i % 4 < 2], "doc_id long, quality int, toxic int")
+    def key(r):
+        return str(r.doc_id), str(r.lang), r.n_symbols, round(r.score or 0, 9), round(r.perplexity or 0, 9), round(r.threshold, 9), r.kept
+    whole = sorted(map(key, P.classify(docs, labels).collect()))
+    assert len(whole) == len(rows)
+    assert sorted(map(key, P.classify(docs, labels, shard_rows=700).collect())) == whole
