@@ -96,3 +96,20 @@ def test_logistic_has_the_l2_term(spark):
     assert np.allclose([got.intercept, *got.coefficients], w, atol=2e-3)
     plain = ML.logistic_pipeline(["a", "b"], "y", 300, []).fit(ML.with_balanced_weights(df, "y")).stages[-1]
     assert abs(plain.coefficients[0]) > 1.05 * abs(w[1])
+
+
+def test_importance_swaps_parts_of_a_logistic_margin(spark, rows, monkeypatch):
+    """The parts give what scoring every variant gives, with fewer scored rows."""
+    pipe = ML.logistic_pipeline(FEATS, "target", 50, ["origin"])
+    model = pipe.fit(ML.with_balanced_weights(rows, "target"))
+    scored = []
+    transform = type(model).transform
+    monkeypatch.setattr(type(model), "transform", lambda self, df, *a: scored.append(1) or transform(self, df, *a))
+    test = rows.withColumn("origin", F.when(F.col("id") % 5 > 0, F.col("origin")).otherwise("new"))
+    parts = {r["feature"]: r for r in ML.permutation_importance(model, test, FEATS, "target", repeats=3).collect()}
+    assert len(scored) == 1
+    monkeypatch.setattr(ML, "_additive_parts", lambda *a: None)
+    whole = {r["feature"]: r for r in ML.permutation_importance(model, test, FEATS, "target", repeats=3).collect()}
+    for f in FEATS:
+        assert parts[f][1:] == pytest.approx(whole[f][1:], abs=1e-9), f
+    assert any(r["importance_std"] > 0 for r in parts.values())
