@@ -86,3 +86,13 @@ def test_gaps(spark, rows):
         B.fit(rows.where("false"), FEATURES, "y")
     one = rows.withColumn("y", F.lit(1.0)).unionByName(rows.limit(5).withColumn("y", F.lit(None).cast("double")))
     assert B.fit(one, FEATURES, "y", max_iter=2, max_depth=2).start > 15
+
+
+def test_bins_are_read_where_they_lie():
+    import pyarrow as pa
+    bins = np.arange(60, dtype=np.uint8).reshape(20, 3)
+    batch = pa.RecordBatch.from_pydict({"bins": B._packed(bins)})
+    assert batch.column("bins").to_pylist() == [r.tobytes() for r in bins]
+    for part in (batch, batch.slice(7, 5), batch.slice(20)):
+        got = B._bins(part, 3)
+        assert got.tobytes() == b"".join(part.column("bins").to_pylist()) and (not len(got) or not got.flags.owndata)
