@@ -45,11 +45,11 @@ ISLAND, EPOCHS = 2048, 4
 POPULATION, GENERATIONS, GROUPS = 4, 12, 2
 #: A bin leaves as a finished sequence when at most this share of it is empty.
 SLACK = 0.002
-#: Encoded runs of text that a Python worker keeps, and bytes of text it encodes at once.
-KEPT_RUNS, BLOCK = 400_000, 2 << 20
+#: Encoded runs of text from which a Python worker drops those it met once, and bytes of text it encodes at once.
+KEPT_RUNS, BLOCK = 400_000, 8 << 20
 SYMBOLS = string.punctuation
 #: Words of small Latin letters: the library neither changes nor splits them.
-PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+PLAIN = "^[a-zß-öø-ÿ]+$"
 
 
 class RunTable:
@@ -57,7 +57,8 @@ class RunTable:
 
     The library drops white space and never joins tokens across it, so a text's
     ids are those of its runs. Runs are split and told apart by Arrow, a block of
-    texts at a time; the ids of all runs lie in one array.
+    texts at a time; the ids of all runs lie in one array. A full table keeps the
+    runs that came more than once.
     """
 
     def __init__(self, path: str):
@@ -86,26 +87,45 @@ class RunTable:
         """Keep the empty run alone, entry 0."""
         self.index: dict[str, int] = {"": 0}
         self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.met = np.zeros(1, dtype=bool)
 
-    def append(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+    def shrink(self, most: int) -> None:
+        """Keep the runs that were met again since they were added or last kept, ``most`` at most, oldest first."""
+        again = self.met[np.fromiter(self.index.values(), dtype=np.int64, count=len(self.index))].tolist()
+        names = [w for w, kept in zip(self.index, again, strict=True) if kept and w][:most]
+        code = self.codes(names)
+        ids, size = self.segments(code), self.size[code]
+        self.clear()
+        self.append(names, ids, size)
+
+    def append(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Add runs with their ids; their entries."""
+        code = np.arange(len(self.size), len(self.size) + len(names))
         self.index.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
+        self.met = np.concatenate([self.met, np.zeros(len(size), dtype=bool)])
         self.ids = np.concatenate([self.ids, ids])
+        return code
 
-    def read(self, runs: list[str]) -> None:
-        """Have the library encode runs: plain words with spaces between them, others with a special token."""
-        words = [w for w in runs if PLAIN(w)]
+    def read(self, runs: pa.Array) -> np.ndarray:
+        """Have the library encode runs: plain words with spaces between them, others with a special token; their entries."""
+        code = np.zeros(len(runs), dtype=np.int64)
+        plain = pc.match_substring_regex(runs, PLAIN).to_numpy(zero_copy_only=False)
+        words = runs.filter(pa.array(plain)).to_pylist()
         if words:
             ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(words):
-                self.append(words, ids, np.diff(last, prepend=-1))
-                runs = [w for w in runs if not PLAIN(w)]
-        if runs:
-            ids = np.array(self.library.encode_batch_fast([self.mark_text.join(runs)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+                code[plain] = self.append(words, ids, np.diff(last, prepend=-1))
+            else:
+                plain[:] = False
+        if not plain.all():
+            words = runs.filter(pa.array(~plain)).to_pylist()
+            ids = np.array(self.library.encode_batch_fast([self.mark_text.join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             marks = np.flatnonzero(ids == self.mark)
-            self.append(runs, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
+            code[~plain] = self.append(words, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
+        return code
 
     def codes(self, runs: list[str]) -> np.ndarray:
         """The entries of runs, -1 for those not seen before."""
@@ -117,16 +137,33 @@ class RunTable:
         ends = np.cumsum(size)
         return self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[code] - (ends - size), size)]
 
-    def add(self, runs: list[str]) -> None:
-        """Runs not seen before: capital ASCII letters and symbols after a letter need no new reading."""
-        stems = [w.rstrip(SYMBOLS) for w in runs]
-        stems = [s if s and s[-1].lower().isalpha() else w for s, w in zip(stems, runs, strict=True)]
-        tails = [w[len(s):] for s, w in zip(stems, runs, strict=True)]
-        stems = [s.lower() if s.isascii() else s for s in stems]
-        if new := list({*stems, *tails} - self.index.keys()):
-            self.read(new)
-        code = np.stack([self.codes(stems), self.codes(tails)], axis=1)
-        self.append(runs, self.segments(code.ravel()), self.size[code].sum(axis=1))
+    def known(self, runs: pa.Array) -> np.ndarray:
+        """The entries of runs, which may be equal; those not seen before are read."""
+        told = runs.dictionary_encode()
+        code = self.codes(told.dictionary.to_pylist())
+        missed = code < 0
+        self.met[code[~missed]] = True
+        code[missed] = self.read(told.dictionary.filter(pa.array(missed)))
+        return code[told.indices.to_numpy()]
+
+    def add(self, runs: pa.Array) -> np.ndarray:
+        """Runs not seen before: capital ASCII letters and symbols after a letter need no new reading; their entries."""
+        stems = pc.utf8_rtrim(runs, characters=SYMBOLS)
+        last = pc.utf8_slice_codeunits(stems, start=-1).dictionary_encode()
+        letter = pa.array([c.lower().isalpha() for c in last.dictionary.to_pylist()], pa.bool_()).take(last.indices)
+        stems = pc.if_else(letter, stems, runs)
+        long = pc.utf8_length(stems)
+        stems = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
+        same = pc.equal(stems, runs).to_numpy(zero_copy_only=False)
+        code = np.zeros(len(runs), dtype=np.int64)
+        code[same] = self.read(runs.filter(pa.array(same)))
+        if not same.all():
+            other = pa.array(~same)
+            names = runs.filter(other).to_pylist()
+            tails = [w[n:] for w, n in zip(names, long.filter(other).to_pylist(), strict=True)]
+            parts = np.stack([self.known(stems.filter(other)), self.known(pa.array(tails, runs.type))], axis=1)
+            code[~same] = self.append(names, self.segments(parts.ravel()), self.size[parts].sum(axis=1))
+        return code
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Token ids of whole texts (null: none)."""
@@ -135,15 +172,13 @@ class RunTable:
         odd = pc.match_substring_regex(texts, self.odd)
         runs = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
         told = pc.list_flatten(runs).dictionary_encode()
-        if len(self.index) > KEPT_RUNS:
-            self.clear()
-        names = told.dictionary.to_pylist()
-        code = self.codes(names)
-        missed = np.flatnonzero(code < 0).tolist()
-        if missed:
-            fresh = [names[i] for i in missed]
-            self.add(fresh)
-            code[missed] = self.codes(fresh)
+        if len(self.size) > KEPT_RUNS:
+            self.shrink(KEPT_RUNS // 2)
+        code = self.codes(told.dictionary.to_pylist())
+        missed = code < 0
+        self.met[code[~missed]] = True
+        if missed.any():
+            code[missed] = self.add(told.dictionary.filter(pa.array(missed)))
         code = code[told.indices.to_numpy()]
         bounds = np.r_[0, np.cumsum(self.size[code])][runs.offsets.to_numpy() - runs.offsets[0].as_py()]
         ids = self.segments(code)

@@ -114,3 +114,24 @@ def test_plain_words_and_others_are_read_alike():
     texts = [None, "straße ÀB àb ªx ºx dtİ' İ. ẖ H̱ ẖ ﬁn", "word " * 5 + "$$$ ..", "plain words alone"]
     for t, ids in zip(texts, table.encode(texts), strict=True):
         assert ids.tolist() == lib.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+def test_a_full_table_keeps_the_runs_that_came_again(monkeypatch):
+    """Runs are read by the library once, however many others come and go; ids stay those of the library."""
+    monkeypatch.setattr(packing, "KEPT_RUNS", 300)
+    table, lib, read = packing.RunTable(PATH), Tokenizer.from_file(PATH), []
+    plain = packing.RunTable.read
+
+    def counted(self, runs):
+        read.extend(runs if isinstance(runs, list) else runs.to_pylist())
+        return plain(self, runs)
+    monkeypatch.setattr(packing.RunTable, "read", counted)
+    common = ["often", "Common.", "É###", "straße", "x1$", "été"]
+    rng = np.random.default_rng(4)
+    letters = list("abcdeéßÉZ'.#$1中\u0301")
+    for i in range(12):
+        texts = [" ".join(["".join(rng.choice(letters, int(rng.integers(1, 9)))) for _ in range(20)] + common) for _ in range(10)]
+        for t, ids in zip(texts, table.encode(texts), strict=True):
+            assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+        assert len(table.index) <= len(table.size) <= 300 + 3 * 200 + 30
+    assert [read.count(w) for w in ("often", "straße", "x1$", "été")] == [1, 1, 1, 1]
