@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -226,23 +227,35 @@ def in_shard(shard: int, shards: int) -> Column:
     return (at < 1) | ((first * 31_337 + second) % shards == shard)
 
 
+def symbols_of(grams: pa.ChunkedArray) -> np.ndarray:
+    """Code points of all strings, one string after the other; no Python string is made of each."""
+    out = []
+    for a in grams.cast(pa.string()).chunks:
+        ends = np.frombuffer(a.buffers()[1], dtype=np.int32)[a.offset:a.offset + len(a) + 1]
+        if len(a) and ends[-1] > ends[0]:
+            out.append(bytes(a.buffers()[2][int(ends[0]):int(ends[-1])]).decode().encode("utf-32-le"))
+    return np.frombuffer(b"".join(out), dtype="<u4")
+
+
 class Model:
     """Tables of one language, or of one shard of it."""
 
-    def __init__(self, rows: list[tuple[str, str, float]], order: int = ORDER, shard: int = 0, shards: int = 1):
+    def __init__(self, rows: pa.Table | list[tuple[str, str, float]], order: int = ORDER, shard: int = 0, shards: int = 1):
         self.order, self.shard, self.shards = order, shard, shards
         self.p: dict[int, Table] = {}
         self.g: dict[int, Table] = {}
+        if not isinstance(rows, pa.Table):
+            rows = pa.table(dict(zip(("gram", "kind", "value"), zip(*rows, strict=True), strict=True)))
         for kind, into in (("p", self.p), ("g", self.g)):
-            by: dict[int, list] = {}
-            for gram, k, value in rows:
-                if k == kind:
-                    by.setdefault(len(gram), []).append((gram, value))
-            for n, pairs in by.items():
+            of = rows.filter(pc.equal(rows["kind"], kind))
+            long = pc.utf8_length(of["gram"])
+            for n in pc.unique(long).to_pylist():
+                part = of.filter(pc.equal(long, n))
                 if n:
-                    codes = np.frombuffer("".join(g for g, _ in pairs).encode("utf-32-le"), dtype="<u4").reshape(-1, n).astype(np.uint64)
-                    into[n] = Table(key_of(list(codes.T)), np.array([v for _, v in pairs]))
-        self.unseen = next(v for g, k, v in rows if k == "g" and g == "")
+                    codes = symbols_of(part["gram"]).reshape(-1, n).astype(np.uint64)
+                    into[n] = Table(key_of(list(codes.T)), part["value"].to_numpy())
+                elif kind == "g":
+                    self.unseen = part["value"][0].as_py()
 
     def score(self, text: np.ndarray) -> np.ndarray:
         """Log probability of each code point of the padded text, after the padding (0 where another shard has it)."""
@@ -295,8 +308,8 @@ def scores(docs: DataFrame, models: dict[str, Model], block: int = 1 << 18) -> D
 def shard_models(table: DataFrame, shard: int, shards: int) -> dict[str, Model]:
     """One shard's part of every model."""
     rows = table.where(in_shard(shard, shards)) if shards > 1 else table
-    return {lang: Model(list(zip(r["gram"], r["kind"], r["value"], strict=True)), shard=shard, shards=shards)
-            for lang, r in rows.toPandas().groupby("lang")}
+    rows = rows.select("lang", "gram", "kind", "value").toArrow()
+    return {lang: Model(rows.filter(pc.equal(rows["lang"], lang)), shard=shard, shards=shards) for lang in pc.unique(rows["lang"]).to_pylist()}
 
 
 def scores_by_shards(docs: DataFrame, table: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, list[str]]:

@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from nearcast.llm import perplexity as P
 
@@ -128,3 +130,22 @@ def test_shards_give_the_same_scores(spark):
     whole = sorted(map(key, P.classify(docs, labels).collect()))
     assert len(whole) == len(rows)
     assert sorted(map(key, P.classify(docs, labels, shard_rows=700).collect())) == whole
+
+
+def test_models_are_built_without_python_objects(spark):
+    """What the driver holds while it builds tables is a few arrays, not strings and tuples of every row."""
+    n = 200_000
+    gram = F.concat(*(F.expr(f"char(97 + cast(floor(id / {26 ** k}) % 26 as int))") for k in (3, 2, 1, 0)))
+    rows = spark.range(n).select(F.lit("en").alias("lang"), gram.alias("gram"), F.lit("p").alias("kind"), (-1.0 - F.col("id")).alias("value"))
+    rows = rows.unionByName(spark.createDataFrame([("en", "", "g", -9.0), ("de", "", "g", -8.0), ("de", "é", "p", -2.0)], rows.schema))
+    P.shard_models(rows.where("kind = 'g'"), 0, 1)
+    tracemalloc.start()
+    models = P.shard_models(rows, 0, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 220 * n, peak / n
+    assert models["en"].unseen == -9 and models["de"].unseen == -8
+    ids = [0, 5, 26 ** 3 + 1, n - 1]
+    text = np.concatenate([[97 + i // 26 ** k % 26 for k in (3, 2, 1, 0)] for i in ids]).astype(np.uint64)
+    assert models["en"].score(text)[::4].tolist() == [-1.0 - i for i in ids]
+    assert models["de"].score(np.array([0, 0, 0, ord("é")], dtype=np.uint64)).tolist() == [-2.0]
