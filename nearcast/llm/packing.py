@@ -25,7 +25,6 @@ import string
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -47,18 +46,41 @@ POPULATION, GENERATIONS, GROUPS = 4, 12, 2
 SLACK = 0.002
 #: Encoded runs of text from which a Python worker drops those it met once, and bytes of text it encodes at once.
 KEPT_RUNS, BLOCK = 400_000, 8 << 20
+#: Bytes that a row of a block takes besides its text.
+ROW = 256
 SYMBOLS = string.punctuation
 #: Words of small Latin letters: the library neither changes nor splits them.
 PLAIN = "^[a-zß-öø-ÿ]+$"
 
 
+def stretches(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions in stretches of an array, one stretch after the other."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+
+
+def joined(words: pa.Array, mark: str) -> str:
+    """Words with a mark between them, as one text."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words)
+    return pc.binary_join(whole, pa.scalar(mark, words.type))[0].as_py()
+
+
+def tails(words: pa.Array, skipped: np.ndarray) -> pa.Array:
+    """What follows the first ``skipped`` bytes of every word (large strings without nulls)."""
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset:words.offset + len(words) + 1]
+    size = np.diff(offsets) - skipped
+    held = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[stretches(offsets[:-1] + skipped, size)]
+    return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(np.r_[0, np.cumsum(size)]), pa.py_buffer(held))
+
+
 class RunTable:
     """Ids of the runs of text between white space, which the library has encoded once each.
 
     The library drops white space and never joins tokens across it, so a text's
-    ids are those of its runs. Runs are split and told apart by Arrow, a block of
-    texts at a time; the ids of all runs lie in one array. A full table keeps the
-    runs that came more than once.
+    ids are those of its runs. Runs are split, told apart and looked up by Arrow,
+    a block of texts at a time; a run is held without the symbols behind it and in
+    small letters, and no run becomes a Python string. The ids of all runs lie in
+    one array. A full table keeps the runs that came more than once.
     """
 
     def __init__(self, path: str):
@@ -81,27 +103,27 @@ class RunTable:
         # texts with a special token, or a separator that the library counts as a symbol, are not looked up by runs
         odd = [*"\x1c\x1d\x1e\x1f", *(t.content for _, t in self.special)]
         self.odd = "|".join(map(re.escape, odd))
+        # capital letters stay where small ones would make a special token, or might join a mark that follows
+        self.as_is = r"[A-Z]\p{M}|(?i:" + "|".join(re.escape(t.content) for _, t in self.special) + ")"
         self.clear()
 
     def clear(self) -> None:
         """Keep the empty run alone, entry 0."""
-        self.index: dict[str, int] = {"": 0}
+        self.index = pa.array([""], pa.large_string())
         self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.met = np.zeros(1, dtype=bool)
 
     def shrink(self, most: int) -> None:
         """Keep the runs that were met again since they were added or last kept, ``most`` at most, oldest first."""
-        again = self.met[np.fromiter(self.index.values(), dtype=np.int64, count=len(self.index))].tolist()
-        names = [w for w, kept in zip(self.index, again, strict=True) if kept and w][:most]
-        code = self.codes(names)
-        ids, size = self.segments(code), self.size[code]
+        code = 1 + np.flatnonzero(self.met[1:])[:most]
+        names, ids, size = self.index.take(pa.array(code)), self.segments(code), self.size[code]
         self.clear()
         self.append(names, ids, size)
 
-    def append(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def append(self, names: pa.Array, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Add runs with their ids; their entries."""
         code = np.arange(len(self.size), len(self.size) + len(names))
-        self.index.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
+        self.index = pa.concat_arrays([self.index, names])
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.met = np.concatenate([self.met, np.zeros(len(size), dtype=bool)])
@@ -112,58 +134,51 @@ class RunTable:
         """Have the library encode runs: plain words with spaces between them, others with a special token; their entries."""
         code = np.zeros(len(runs), dtype=np.int64)
         plain = pc.match_substring_regex(runs, PLAIN).to_numpy(zero_copy_only=False)
-        words = runs.filter(pa.array(plain)).to_pylist()
-        if words:
-            ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        words = runs.filter(pa.array(plain))
+        if len(words):
+            ids = np.array(self.plain.encode_batch_fast([joined(words, " ")], add_special_tokens=False)[0].ids, dtype=np.uint32)
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(words):
                 code[plain] = self.append(words, ids, np.diff(last, prepend=-1))
             else:
                 plain[:] = False
         if not plain.all():
-            words = runs.filter(pa.array(~plain)).to_pylist()
-            ids = np.array(self.library.encode_batch_fast([self.mark_text.join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            words = runs.filter(pa.array(~plain))
+            ids = np.array(self.library.encode_batch_fast([joined(words, self.mark_text)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             marks = np.flatnonzero(ids == self.mark)
             code[~plain] = self.append(words, ids[ids != self.mark], np.diff(np.r_[-1, marks, len(ids)]) - 1)
         return code
 
-    def codes(self, runs: list[str]) -> np.ndarray:
-        """The entries of runs, -1 for those not seen before."""
-        return np.fromiter(map(self.index.get, runs, repeat(-1)), dtype=np.int64, count=len(runs))
-
     def segments(self, code: np.ndarray) -> np.ndarray:
         """The ids of entries, one entry after the other."""
-        size = self.size[code]
-        ends = np.cumsum(size)
-        return self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[code] - (ends - size), size)]
+        return self.ids[stretches(self.begin[code], self.size[code])]
 
     def known(self, runs: pa.Array) -> np.ndarray:
         """The entries of runs, which may be equal; those not seen before are read."""
-        told = runs.dictionary_encode()
-        code = self.codes(told.dictionary.to_pylist())
-        missed = code < 0
+        found = pc.index_in(runs, value_set=self.index)
+        missed = found.is_null().to_numpy(zero_copy_only=False)
+        code = found.fill_null(0).to_numpy().astype(np.int64)
         self.met[code[~missed]] = True
-        code[missed] = self.read(told.dictionary.filter(pa.array(missed)))
-        return code[told.indices.to_numpy()]
+        if missed.any():
+            told = runs.filter(pa.array(missed)).dictionary_encode()
+            code[missed] = self.read(told.dictionary)[told.indices.to_numpy()]
+        return code
 
-    def add(self, runs: pa.Array) -> np.ndarray:
-        """Runs not seen before: capital ASCII letters and symbols after a letter need no new reading; their entries."""
+    def parts(self, runs: pa.Array) -> np.ndarray:
+        """Two entries of every run, its ids in order: capital ASCII letters and symbols after a letter need no reading of their own."""
         stems = pc.utf8_rtrim(runs, characters=SYMBOLS)
-        last = pc.utf8_slice_codeunits(stems, start=-1).dictionary_encode()
+        cut = pc.less(pc.binary_length(stems), pc.binary_length(runs))
+        last = pc.utf8_slice_codeunits(stems.filter(cut), start=-1).dictionary_encode()
         letter = pa.array([c.lower().isalpha() for c in last.dictionary.to_pylist()], pa.bool_()).take(last.indices)
-        stems = pc.if_else(letter, stems, runs)
-        long = pc.utf8_length(stems)
-        stems = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
-        same = pc.equal(stems, runs).to_numpy(zero_copy_only=False)
-        code = np.zeros(len(runs), dtype=np.int64)
-        code[same] = self.read(runs.filter(pa.array(same)))
-        if not same.all():
-            other = pa.array(~same)
-            names = runs.filter(other).to_pylist()
-            tails = [w[n:] for w, n in zip(names, long.filter(other).to_pylist(), strict=True)]
-            parts = np.stack([self.known(stems.filter(other)), self.known(pa.array(tails, runs.type))], axis=1)
-            code[~same] = self.append(names, self.segments(parts.ravel()), self.size[parts].sum(axis=1))
-        return code
+        cut = pc.replace_with_mask(cut, cut, letter)
+        stems = pc.if_else(cut, stems, runs)
+        stems = pc.if_else(pc.match_substring_regex(stems, self.as_is), stems, pc.ascii_lower(stems))
+        rest = tails(runs.filter(cut), pc.binary_length(stems.filter(cut)).to_numpy())
+        code = self.known(pa.concat_arrays([stems, rest]))
+        out = np.zeros((len(runs), 2), dtype=np.int64)
+        out[:, 0] = code[:len(runs)]
+        out[cut.to_numpy(zero_copy_only=False), 1] = code[len(runs):]
+        return out
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Token ids of whole texts (null: none)."""
@@ -174,14 +189,12 @@ class RunTable:
         told = pc.list_flatten(runs).dictionary_encode()
         if len(self.size) > KEPT_RUNS:
             self.shrink(KEPT_RUNS // 2)
-        code = self.codes(told.dictionary.to_pylist())
-        missed = code < 0
-        self.met[code[~missed]] = True
-        if missed.any():
-            code[missed] = self.add(told.dictionary.filter(pa.array(missed)))
-        code = code[told.indices.to_numpy()]
-        bounds = np.r_[0, np.cumsum(self.size[code])][runs.offsets.to_numpy() - runs.offsets[0].as_py()]
-        ids = self.segments(code)
+        # the ids of the block's different runs lie together, those of all its runs are taken from there
+        parts = self.parts(told.dictionary)
+        held, size = self.segments(parts.ravel()), self.size[parts].sum(axis=1)
+        code = told.indices.to_numpy()
+        ids = held[stretches((np.cumsum(size) - size)[code], size[code])]
+        bounds = np.r_[0, np.cumsum(size[code])][runs.offsets.to_numpy() - runs.offsets[0].as_py()]
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
             out[i] = np.array(self.library.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
@@ -194,9 +207,14 @@ def run_table(path: str) -> RunTable:
     return RunTable(path)
 
 
+def weights(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of text (last column) of every row, and what a row takes besides."""
+    return ROW + pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def slices(batch: pa.RecordBatch, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch (last column: text) of about ``size`` bytes of text, one row at least."""
-    held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
+    """Slices of a batch of about ``size`` bytes, one row at least."""
+    held = np.cumsum(weights(batch))
     i = 0
     while i < len(held):
         j = max(i + 1, int(np.searchsorted(held, (held[i - 1] if i else 0) + size)))
@@ -204,11 +222,25 @@ def slices(batch: pa.RecordBatch, size: int = BLOCK) -> Iterator[pa.RecordBatch]
         i = j
 
 
+def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Batches cut, and small ones joined, to about ``size`` bytes: every block looks its runs up in the whole table."""
+    held, total = [], 0
+    for part in (p for b in batches for p in slices(b, size)):
+        more = int(weights(part).sum())
+        if held and total + more > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(part)
+        total += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = run_table(path)
-        for part in (p for b in batches for p in slices(b)):
+        for part in blocks(batches):
             rows = []
             for doc_id, ids in zip(part.column(0).to_pylist(), table.encode(part.column(1)), strict=True):
                 ids = np.append(ids, np.uint32(separator)).astype("<u4")

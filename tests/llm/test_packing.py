@@ -1,5 +1,6 @@
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 from zlib import crc32
@@ -135,3 +136,30 @@ def test_a_full_table_keeps_the_runs_that_came_again(monkeypatch):
             assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
         assert len(table.index) <= len(table.size) <= 300 + 3 * 200 + 30
     assert [read.count(w) for w in ("often", "straße", "x1$", "été")] == [1, 1, 1, 1]
+
+
+def test_capitals_and_symbols_add_no_entries():
+    """A word in capitals or with symbols behind it is made of entries that the table has."""
+    lib, table = Tokenizer.from_file(PATH), packing.RunTable(PATH)
+    texts = ["word Word WORD été", "word, Word. WORD,. (Word) été, word", "WORD,.", None]
+    for t, ids in zip(texts, table.encode(texts), strict=True):
+        assert ids.tolist() == lib.encode(t or "", add_special_tokens=False).ids, repr(t)
+    assert sorted(table.index.to_pylist()) == ["", "(word", ")", ",", ",.", ".", "word", "été"]
+    assert len(table.size) == 8
+
+
+def test_capitals_that_small_letters_cannot_stand_for():
+    """Special tokens are told by their case; a small letter may join a mark that the capital does not."""
+    lib, table = Tokenizer.from_file(PATH), packing.RunTable(PATH)
+    texts = ["<|ENDOFTEXT|>x y", "a<|EndOfText|>É", "<|endoftext|>", "H̱a ẖa J̌X. T̈, W̊ Y̊", "ÉTÉ À,"]
+    for t, ids in zip(texts, table.encode(texts), strict=True):
+        assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_blocks_join_small_batches_and_cut_large_ones():
+    texts = [None, "", "a" * 50, "b" * 5000, "c"] * 20
+    rows = pa.record_batch([pa.array(range(100)), pa.array(texts)], names=["doc_id", "text"])
+    got = list(packing.blocks((rows.slice(i, 3) for i in range(0, 100, 3)), 4000))
+    assert pa.Table.from_batches(got).combine_chunks().to_batches() == [rows]
+    assert len(got) == 41 and all(b.num_rows == 1 or packing.weights(b).sum() <= 4000 for b in got)
+    assert list(packing.blocks(iter([]))) == []
